@@ -71,7 +71,7 @@ def header_period(c, header_chars: int = HEADER_CHARS) -> Column:
     """
     head = F.substring(col_of(c), 1, header_chars)
     digits = F.regexp_extract(head, PERIOD_PATTERN, 1)
-    return F.try_to_date(F.nullif(digits, F.lit("")), F.lit("yyyyMMdd"))
+    return F.try_to_date(F.nullif(digits, F.lit("")), "yyyyMMdd")
 
 
 def _section(text, start_re: str, end_re: str, skip: int) -> Column:
