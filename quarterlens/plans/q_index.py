@@ -1 +1,190 @@
-"""placeholder"""
+"""Registered membership / id / dimension queries (orders and customers stand in)."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from quarterlens.functions import ids
+from quarterlens.operators.enrich import left_dim_with_default, null_tokens, rows_with_nulls
+from quarterlens.operators.joins import bounded_broadcast
+from quarterlens.plans import membership as M
+from quarterlens.plans import stand_ins
+from quarterlens.plans.q_calendar import filing_names
+from quarterlens.plans.registry import register
+from quarterlens.sources.membership_lines import parse_membership_lines
+from quarterlens.sources.tables import read_table
+from quarterlens.streaming.incremental import pending
+
+INDEX_AFTER = dt.date(1995, 12, 31)
+
+
+def _pad(x: str) -> str:
+    return f"CASE WHEN length({x}) >= 10 THEN {x} ELSE lpad({x}, 10, '0') END"
+
+
+INDEX_SQL = """
+WITH m AS (SELECT o_orderdate::DATE AS date, o_custkey::VARCHAR AS ticker FROM orders
+           WHERE o_orderdate::DATE > DATE '1995-12-31'),
+l AS (SELECT date, 'Q' || quarter(date) || '-' || strftime(date, '%y') AS quarter,
+             date_trunc('quarter', date)::DATE AS quarter_start,
+             CASE ticker WHEN 'BF.B' THEN 'BF-B' WHEN 'BRK.B' THEN 'BRK-B' ELSE ticker END AS ticker
+      FROM m WHERE month(date) IN (3, 6, 9, 12)),
+mx AS (SELECT quarter, max(date) AS max_date FROM l GROUP BY quarter)
+SELECT DISTINCT l.quarter, l.quarter_start, l.ticker
+FROM l JOIN mx ON l.quarter = mx.quarter AND l.date = mx.max_date"""
+
+
+def index_of(spark, sf):
+    return M.historical_index(stand_ins.membership(spark, sf), after=INDEX_AFTER)
+
+
+@register("index_snapshot", INDEX_SQL)
+def q_index_snapshot(spark, sf):
+    """Members at each quarter's last snapshot in the quarter's last month."""
+    return index_of(spark, sf)
+
+
+@register("member_explode", """
+SELECT l_orderkey AS line_id, min(l_shipdate::DATE) OVER (PARTITION BY l_orderkey) AS date,
+       l_partkey::VARCHAR AS ticker
+FROM lineitem""")
+def q_member_explode(spark, sf):
+    """A7 + I13 + I14 + J1: snapshot text lines ``date,"t1,t2"`` parsed back to rows.
+
+    Lines are built per order from its line items (at most seven per order).
+    """
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_shipdate"])
+    lines = li.groupBy("l_orderkey").agg(
+        F.min(F.to_date("l_shipdate")).alias("d"),
+        F.concat_ws(",", F.collect_list(F.col("l_partkey").cast("string"))).alias("lst"))
+    lines = lines.select(F.col("l_orderkey").alias("line_id"),
+                         F.concat(F.date_format("d", "yyyy-MM-dd"), F.lit(',"'), F.col("lst"),
+                                  F.lit('"')).alias("value"))
+    return parse_membership_lines(lines, "value", keep=("line_id",))
+
+
+def _conversion(spark, sf):
+    c = read_table(spark, sf, "customer", ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"])
+    return c.filter(F.col("c_acctbal") > 0).select(
+        F.col("c_custkey").cast("string").alias("ticker"),
+        ids.pad_cik((F.col("c_custkey") * 7).cast("string")).alias("cik"),
+        F.when(F.col("c_mktsegment") == "BUILDING", F.lit(None).cast("string"))
+        .otherwise(F.col("c_name")).alias("company_name"))
+
+
+def _patch(spark, sf):
+    c = read_table(spark, sf, "customer", ["c_custkey", "c_name", "c_mktsegment"])
+    return c.filter(F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE")).select(
+        F.col("c_custkey").cast("string").alias("ticker"),
+        F.col("c_custkey").cast("string").alias("cik"), F.col("c_name").alias("company_name"))
+
+
+@register("enrich_fallback", f"""
+WITH idx AS ({INDEX_SQL}),
+conv AS (SELECT c_custkey::VARCHAR AS ticker, {_pad('(c_custkey * 7)::VARCHAR')} AS cik,
+                CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_name END AS company_name
+         FROM customer WHERE c_acctbal > 0),
+patch AS (SELECT c_custkey::VARCHAR AS ticker, {_pad('c_custkey::VARCHAR')} AS cik, c_name AS company_name
+          FROM customer WHERE c_mktsegment IN ('BUILDING', 'AUTOMOBILE')),
+j AS (SELECT i.quarter, i.quarter_start, i.ticker, c.cik, c.company_name
+      FROM idx i LEFT JOIN conv c ON i.ticker = c.ticker)
+SELECT * FROM j WHERE cik IS NOT NULL AND company_name IS NOT NULL
+UNION ALL
+SELECT j.quarter, j.quarter_start, j.ticker, p.cik, p.company_name
+FROM j LEFT JOIN patch p ON j.ticker = p.ticker
+WHERE j.cik IS NULL OR j.company_name IS NULL""")
+def q_enrich_fallback(spark, sf):
+    """N2 / D5 + C10 + H1: ids and names, whole-row fallback to the patch table."""
+    return M.base_index(index_of(spark, sf), _conversion(spark, sf), _patch(spark, sf))
+
+
+@register("core_join", f"""
+WITH f AS (SELECT o_orderkey, {_pad('o_custkey::VARCHAR')} AS cik, o_orderdate::DATE AS period FROM orders),
+conv AS (SELECT {_pad('c_custkey::VARCHAR')} AS cik, c_custkey::VARCHAR AS ticker, c_name AS company_name FROM customer),
+fj AS (SELECT f.*, conv.ticker, conv.company_name, strftime(f.period, '%Y-%m') AS date_clean
+       FROM f LEFT JOIN conv ON f.cik = conv.cik),
+m AS (SELECT o_orderdate::DATE AS member_date, o_custkey::VARCHAR AS ticker,
+             strftime(o_orderdate, '%Y-%m') AS date_clean
+      FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderdate::DATE > DATE '1995-12-31')
+SELECT fj.date_clean, fj.ticker, fj.o_orderkey, fj.cik, fj.period, fj.company_name, m.member_date
+FROM fj JOIN m ON fj.date_clean = m.date_clean AND fj.ticker = m.ticker""")
+def q_core_join(spark, sf):
+    """Filings joined to the member list of their report month."""
+    o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
+    filings = o.select("o_orderkey", F.col("o_custkey").cast("string").alias("cik"),
+                       F.to_date("o_orderdate").alias("period"))
+    c = read_table(spark, sf, "customer", ["c_custkey", "c_name"])
+    conv = c.select(F.col("c_custkey").cast("string").alias("cik"),
+                    F.col("c_custkey").cast("string").alias("ticker"), F.col("c_name").alias("company_name"))
+    members = (o.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+               .select(F.to_date("o_orderdate").alias("date"), F.col("o_custkey").cast("string").alias("ticker"))
+               .filter(F.col("date") > F.lit(INDEX_AFTER)))
+    return M.core_table(members, filings, conv).select(
+        "date_clean", "ticker", "o_orderkey", "cik", "period", "company_name", "member_date")
+
+
+@register("wanted_semi", """
+WITH f AS (SELECT o_orderkey, 'filings/' || year(o_orderdate) || 'q' || quarter(o_orderdate) || '/' ||
+   CASE WHEN o_orderstatus = 'P'
+        THEN strftime(o_orderdate, '%Y%m%d') || '_10-Q_misc_' || o_orderkey || '.txt'
+        ELSE strftime(o_orderdate, '%Y%m%d') || '_' || CASE WHEN o_orderstatus = 'F' THEN '10-K' ELSE '10-Q' END ||
+             '_edgar_data_' || o_custkey || '_' || o_orderkey || '.txt' END AS path FROM orders),
+g AS (SELECT o_orderkey, path, nullif(regexp_extract(path, 'edgar_data_(\\d+)_', 1), '') AS cik FROM f)
+SELECT o_orderkey, path, cik FROM g
+WHERE cik::BIGINT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'AUTOMOBILE')""")
+def q_wanted_semi(spark, sf):
+    """Filing paths of wanted companies (one market segment's customers)."""
+    paths = filing_names(spark, sf).select("o_orderkey", "path")
+    wanted = (read_table(spark, sf, "customer", ["c_custkey", "c_mktsegment"])
+              .filter(F.col("c_mktsegment") == "AUTOMOBILE").select(F.col("c_custkey").alias("cik")))
+    return M.wanted_paths(paths, wanted).select("o_orderkey", "path", "cik")
+
+
+@register("resume_anti", f"""
+WITH idx AS ({INDEX_SQL}),
+done AS (SELECT DISTINCT quarter FROM idx WHERE quarter_start < DATE '1998-01-01')
+SELECT * FROM idx WHERE quarter NOT IN (SELECT quarter FROM done)""")
+def q_resume_anti(spark, sf):
+    """Quarters already in the master result (before 1998) are skipped."""
+    idx = index_of(spark, sf)
+    done = idx.filter(F.col("quarter_start") < F.lit(dt.date(1998, 1, 1))).select("quarter")
+    return pending(idx, done, ["quarter"])
+
+
+def sector_dim(spark, sf):
+    """Sector / industry per ticker: market segment and nation; ``None`` text for debtors."""
+    c = read_table(spark, sf, "customer", ["c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    n = read_table(spark, sf, "nation", ["n_nationkey", "n_name"])
+    j = c.join(bounded_broadcast(n), c["c_nationkey"] == n["n_nationkey"], "left")
+    return j.select(F.col("c_custkey").cast("string").alias("ticker"),
+                    F.col("c_mktsegment").alias("sector"),
+                    F.when(F.col("c_acctbal") < 0, F.lit("None")).otherwise(F.col("n_name")).alias("industry"))
+
+
+SECTOR_SQL = """SELECT c_custkey::VARCHAR AS ticker, c_mktsegment AS sector,
+  CASE WHEN c_acctbal < 0 THEN 'None' ELSE n_name END AS industry
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey"""
+
+
+@register("left_dim_default", f"""
+WITH idx AS ({INDEX_SQL}), s AS ({SECTOR_SQL})
+SELECT idx.quarter, idx.quarter_start, idx.ticker,
+  coalesce(CASE WHEN s.sector = 'None' THEN NULL ELSE s.sector END, 'N/A') AS sector,
+  coalesce(CASE WHEN s.industry = 'None' THEN NULL ELSE s.industry END, 'N/A') AS industry
+FROM idx LEFT JOIN s ON idx.ticker = s.ticker""")
+def q_left_dim_default(spark, sf):
+    """D13 + C11 + C13: sector lookup; ``None`` text and misses become ``N/A``."""
+    return left_dim_with_default(index_of(spark, sf), sector_dim(spark, sf), "ticker",
+                                 ["sector", "industry"])
+
+
+@register("missing_report", f"""
+WITH s AS ({SECTOR_SQL}),
+n AS (SELECT ticker, CASE WHEN sector = 'None' THEN NULL ELSE sector END AS sector,
+             CASE WHEN industry = 'None' THEN NULL ELSE industry END AS industry FROM s)
+SELECT * FROM n WHERE ticker IS NULL OR sector IS NULL OR industry IS NULL""")
+def q_missing_report(spark, sf):
+    """N13 / C10 + C11: tickers whose sector or industry is missing."""
+    return rows_with_nulls(null_tokens(sector_dim(spark, sf)))
