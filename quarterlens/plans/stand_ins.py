@@ -56,3 +56,24 @@ def membership(spark: SparkSession, sf: str) -> DataFrame:
     o = read_table(spark, sf, "orders", ["o_orderdate", "o_custkey"])
     return o.select(F.to_date("o_orderdate").alias("date"),
                     F.col("o_custkey").cast("string").alias("ticker"))
+
+
+def company_info(spark: SparkSession, sf: str) -> DataFrame:
+    """Company facts per ticker (customer key): names, shares outstanding, sector, industry.
+
+    The long name is missing for debtors so the ``N/A`` default is exercised.
+    """
+    c = read_table(spark, sf, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    n = read_table(spark, sf, "nation", ["n_nationkey", "n_name"])
+    j = c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"], "left")  # 25 nations: bounded
+    return j.select(F.col("c_custkey").alias("ticker"), F.col("c_name").alias("short_name"),
+                    F.when(F.col("c_acctbal") > 0, F.col("c_name")).alias("long_name"),
+                    (F.abs("c_acctbal") * 1000 + 1).alias("shares_outstanding"),
+                    F.col("c_mktsegment").alias("sector"), F.col("n_name").alias("industry"))
+
+
+def order_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """Order totals as a price feed: (ticker = customer key as text, ts, close, event_id)."""
+    o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])
+    return o.select(F.col("o_custkey").cast("string").alias("ticker"), F.col("o_orderdate").alias("ts"),
+                    F.col("o_totalprice").alias("close"), F.col("o_orderkey").alias("event_id"))
