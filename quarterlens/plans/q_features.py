@@ -1 +1,191 @@
-"""placeholder"""
+"""Registered training-table, split, scaling, encoding, profile and model queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from quarterlens.functions.quarters import quarter_label
+from quarterlens.operators.features import (MinMaxScaling, OneHotEncoding, StandardScaling,
+                                            hash_split)
+from quarterlens.operators.profile import column_profile
+from quarterlens.operators.rowindex import positional_split
+from quarterlens.operators.scoring import demo_scorer
+from quarterlens.operators.sentiment import sentiment_stats
+from quarterlens.plans import stand_ins
+from quarterlens.plans import training as TR
+from quarterlens.plans.q_index import SECTOR_SQL, sector_dim
+from quarterlens.plans.q_prices import QLAB, QOQ_SQL, quarterly_prices
+from quarterlens.plans.q_sentiment import STATS_SQL
+from quarterlens.plans.registry import register, rounded
+from quarterlens.plans.sentiment import sentiment_export
+from quarterlens.plans import prices as P
+from quarterlens.sources.tables import read_table
+
+
+def _doc_keys(spark, sf):
+    """Each document is the filing of one order's customer in that order's quarter."""
+    o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    return o.select(F.col("o_orderkey").alias("doc_id"), F.col("o_custkey").cast("string").alias("ticker"),
+                    quarter_label("o_orderdate").alias("quarter"),
+                    F.concat(F.lit("Q"), F.quarter("o_orderdate").cast("string")).alias("q"),
+                    F.year("o_orderdate").alias("year"))
+
+
+def _stats(spark, sf):
+    return sentiment_stats(stand_ins.documents(spark, sf), demo_scorer())
+
+
+def training_rows(spark, sf):
+    """N15 on the stand-ins, rounded once so every downstream query sees the same values."""
+    stock = P.quarter_over_quarter(quarterly_prices(spark, sf)).filter(F.col("up_or_down").isNotNull())
+    sent = TR.sentiment_train(_stats(spark, sf), _doc_keys(spark, sf).select("doc_id", "ticker", "quarter"))
+    return rounded(TR.training_table(stock, sector_dim(spark, sf), sent))
+
+
+TRAIN_SQL = f"""
+WITH st AS ({STATS_SQL}),
+dk AS (SELECT o_orderkey AS doc_id, o_custkey::VARCHAR AS ticker, {QLAB.format('o_orderdate')} AS quarter FROM orders),
+sent AS (SELECT dk.ticker, dk.quarter, st.net_sentiment,
+                count_positive_chunks + count_negative_chunks + count_neutral_chunks AS total,
+                count_neutral_chunks / (count_positive_chunks + count_negative_chunks + count_neutral_chunks) AS share
+         FROM st JOIN dk ON st.doc_id = dk.doc_id),
+s2 AS (SELECT DISTINCT ticker, quarter, share > 0.6 AS neutral_dominance, net_sentiment
+       FROM sent WHERE coalesce(total <> 0, true)),
+qoq AS ({QOQ_SQL}),
+stock AS (SELECT ticker, quarter, quarter_start, up_or_down FROM qoq WHERE up_or_down IS NOT NULL),
+sec AS ({SECTOR_SQL}),
+p AS (SELECT stock.*, sec.industry, nullif(regexp_extract(stock.quarter, 'Q([1-4])', 1), '') AS q_num
+      FROM stock LEFT JOIN sec ON stock.ticker = sec.ticker)
+SELECT p.ticker, p.quarter, p.quarter_start, p.q_num, p.industry, round(s2.net_sentiment, 6) AS net_sentiment,
+       s2.neutral_dominance, CASE p.up_or_down WHEN 'Up' THEN 1 WHEN 'Down' THEN 0 END AS label
+FROM p LEFT JOIN s2 ON p.quarter = s2.quarter AND p.ticker = s2.ticker
+WHERE s2.net_sentiment IS NOT NULL"""
+
+
+@register("training_table", TRAIN_SQL)
+def q_training_table(spark, sf):
+    """prices' Up/Down label + industry + quarter number + sentiment features."""
+    return training_rows(spark, sf)
+
+
+HASH_SQL = f"""
+WITH t AS ({TRAIN_SQL}),
+h AS (SELECT *, ('0x' || substr(md5(ticker || '|' || quarter), 1, 8))::BIGINT % 10000 AS hb FROM t)
+SELECT *, CASE WHEN hb < 1500 THEN 'test' WHEN hb < 2350 THEN 'val' ELSE 'train' END AS split FROM h"""
+
+
+@register("hash_split", f"SELECT ticker, quarter, quarter_start, label, split FROM ({HASH_SQL})")
+def q_hash_split(spark, sf):
+    """K6: 15 % test, then 10 % of the rest validation, by md5 of (ticker, quarter)."""
+    return hash_split(training_rows(spark, sf), ["ticker", "quarter"]).select(
+        "ticker", "quarter", "quarter_start", "label", "split")
+
+
+ORDER = ["quarter_start", "ticker", "net_sentiment", "neutral_dominance", "label", "industry"]
+POS_SQL = f"""
+WITH t AS ({TRAIN_SQL}),
+r AS (SELECT *, row_number() OVER (ORDER BY {', '.join(ORDER)}) - 1 AS row_index, count(*) OVER () AS n FROM t)
+SELECT *, CASE WHEN row_index < floor(n * 0.6) THEN 'train' WHEN row_index < floor(n * 0.8) THEN 'val'
+               ELSE 'test' END AS split FROM r"""
+
+
+@register("positional_split", f"SELECT ticker, quarter, quarter_start, row_index, split FROM ({POS_SQL})")
+def q_positional_split(spark, sf):
+    """60 / 20 / 20 by position in (quarter_start, ticker, ...) order,
+    with a distributed row index (no single-partition window)."""
+    return positional_split(training_rows(spark, sf), ORDER).select(
+        "ticker", "quarter", "quarter_start", "row_index", "split")
+
+
+@register("minmax", f"""
+WITH h AS ({HASH_SQL}),
+m AS (SELECT min(net_sentiment) AS lo, max(net_sentiment) AS hi FROM h WHERE split = 'train')
+SELECT ticker, quarter, quarter_start, split,
+       round(CASE WHEN hi = lo THEN 0.0 ELSE (net_sentiment - lo) / (hi - lo) END, 6) AS net_sentiment_scaled
+FROM h, m""")
+def q_minmax(spark, sf):
+    """K1: min-max scaling fitted on the training split, applied to every row."""
+    h = hash_split(training_rows(spark, sf), ["ticker", "quarter"])
+    sc = MinMaxScaling(["net_sentiment"]).fit(h.filter(F.col("split") == "train"))
+    return rounded(sc.transform(h).select("ticker", "quarter", "quarter_start", "split",
+                                          "net_sentiment_scaled"))
+
+
+@register("standardize", f"""
+WITH p AS ({POS_SQL}),
+m AS (SELECT avg(net_sentiment) AS mu, stddev_pop(net_sentiment) AS sd FROM p WHERE split = 'train')
+SELECT ticker, quarter, quarter_start, split,
+       round((net_sentiment - mu) / CASE WHEN sd = 0 THEN 1.0 ELSE sd END, 6) AS net_sentiment_std
+FROM p, m""")
+def q_standardize(spark, sf):
+    """K2: standard scaling (population deviation) fitted on the positional training split."""
+    p = positional_split(training_rows(spark, sf), ORDER)
+    sc = StandardScaling(["net_sentiment"]).fit(p.filter(F.col("split") == "train"))
+    return rounded(sc.transform(p).select("ticker", "quarter", "quarter_start", "split", "net_sentiment_std"))
+
+
+@register("onehot", f"""
+WITH t AS ({TRAIN_SQL}),
+c AS (SELECT list(DISTINCT industry ORDER BY industry) AS ci, list(DISTINCT q_num ORDER BY q_num) AS cq FROM t)
+SELECT ticker, quarter, quarter_start, industry, q_num, array_to_string(list_concat(
+    list_transform(CASE WHEN len(ci) = 2 THEN ci[2:] ELSE ci END, lambda x: CASE WHEN industry = x THEN '1' ELSE '0' END),
+    list_transform(CASE WHEN len(cq) = 2 THEN cq[2:] ELSE cq END, lambda x: CASE WHEN q_num = x THEN '1' ELSE '0' END)),
+  ',') AS onehot
+FROM t, c""")
+def q_onehot(spark, sf):
+    """K3: one-hot of industry and quarter number (sorted categories, first dropped
+    when a column has exactly two)."""
+    t = training_rows(spark, sf)
+    enc = OneHotEncoding(["industry", "q_num"]).fit(t)
+    v = enc.transform(t)
+    return v.select("ticker", "quarter", "quarter_start", "industry", "q_num",
+                    F.array_join(F.transform("onehot", lambda x: x.cast("int").cast("string")), ",")
+                    .alias("onehot"))
+
+
+_PROFILE_COLS = [("doc_id", "bigint"), ("lang", "string"), ("quality", "int"), ("toxic", "int")]
+
+
+@register("profile_nonnull", """
+WITH j AS (SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+""" + " UNION ALL ".join(f"SELECT '{c}' AS column_name, '{t}' AS data_type, count({c}) AS non_null, "
+                         f"count(*) AS n_rows FROM j" for c, t in _PROFILE_COLS))
+def q_profile_nonnull(spark, sf):
+    """E11 + E12: type and non-null count of every column, in one pass."""
+    d = read_table(spark, sf, "documents", ["doc_id", "lang"])
+    lab = read_table(spark, sf, "labels", ["doc_id", "quality", "toxic"])
+    return column_profile(d.join(lab, "doc_id", "left").select("doc_id", "lang", "quality", "toxic"))
+
+
+@register("sentiment_export", f"""
+WITH st AS ({STATS_SQL})
+SELECT o_custkey::VARCHAR AS ticker, 'Q' || quarter(o_orderdate) || '-' || right(year(o_orderdate)::VARCHAR, 2)
+       AS quarter_year, st.net_sentiment
+FROM st JOIN orders ON st.doc_id = orders.o_orderkey""")
+def q_sentiment_export(spark, sf):
+    """(ticker, quarter, year) statistics exported as (ticker, quarter_year, net)."""
+    s = _stats(spark, sf).join(_doc_keys(spark, sf), "doc_id")
+    return rounded(sentiment_export(s.select("ticker", F.col("q").alias("quarter"), "year", "net_sentiment")))
+
+
+def _fit(spark, sf):
+    rows = hash_split(training_rows(spark, sf), ["ticker", "quarter"])
+    model = TR.fit_model(rows.filter(F.col("split") == "train"))
+    return rows, model
+
+
+@register("gbt_accuracy")
+def q_gbt_accuracy(spark, sf):
+    """N16 / K5 + K9: boosted trees (100, rate 0.02) on the hash-split training rows;
+    test accuracy next to the majority-class baseline. Rows-only check."""
+    rows, model = _fit(spark, sf)
+    return TR.evaluate(model, rows.filter(F.col("split") == "test"), rows)
+
+
+@register("score_documents")
+def q_score_documents(spark, sf):
+    """Every document scored: sentiment -> features -> model -> Up probability."""
+    _, model = _fit(spark, sf)
+    keys = _doc_keys(spark, sf).select("doc_id", "ticker", F.substring("q", 2, 1).alias("q_num"))
+    requests = stand_ins.documents(spark, sf).select("doc_id").join(keys, "doc_id")
+    return TR.score_documents(requests, _stats(spark, sf), sector_dim(spark, sf), model)
