@@ -32,9 +32,12 @@ SCORE_TYPE = T.StructType([T.StructField(f, T.DoubleType()) for f in SCORE_FIELD
 PUNCTUATION = r"[.,;:!?()\"']"
 
 
-def _hits(tokens: Column, words: Sequence[str]) -> Column:
-    """Number of tokens found in ``words`` (one-argument lambda: Spark reads two as (x, i))."""
-    return F.size(F.filter(tokens, lambda t: t.isin(list(words)))).cast("long")
+def _token_pattern(words: Sequence[str]) -> str:
+    """Regex matching any of ``words`` as a whole space-delimited token."""
+    import re
+
+    alternatives = "|".join(re.escape(w) for w in sorted(set(words), key=lambda w: (-len(w), w)))
+    return f"(?<![^ ])(?:{alternatives})(?![^ ])"
 
 
 class LexiconScorer:
@@ -61,12 +64,18 @@ class LexiconScorer:
         return F.split(cleaned, " ")
 
     def counts(self, paragraph) -> Column:
-        """``struct<positive, negative, neutral>`` of hit counts (bigint)."""
-        toks = self.tokens(paragraph)
-        return F.struct(*[_hits(toks, ws).alias(k) for k, ws in self.words.items()])
+        """``struct<positive, negative, neutral>`` of hit counts (bigint).
 
-    def score_column(self, paragraph) -> Column:
-        c = self.counts(paragraph)
+        A word counts when it is a whole space-separated token of the cleaned,
+        lower-cased paragraph - the same rule as splitting on spaces and comparing
+        - written as one compiled regex per class instead of a per-token lambda.
+        """
+        cleaned = F.regexp_replace(F.lower(col_of(paragraph)), PUNCTUATION, "")
+        return F.struct(*[F.regexp_count(cleaned, F.lit(_token_pattern(ws))).cast("long").alias(k)
+                          for k, ws in self.words.items()])
+
+    def probabilities(self, counts) -> Column:
+        c = col_of(counts)
         p, n, u = (c[f] for f in SCORE_FIELDS)
         if self.mode == "softmax":
             return softmax3(p, n, u)
@@ -75,10 +84,16 @@ class LexiconScorer:
                         ((n + 1) / total).alias("negative"),
                         ((u + 1) / total).alias("neutral"))
 
+    def score_column(self, paragraph) -> Column:
+        return self.probabilities(self.counts(paragraph))
+
     def score(self, df: DataFrame, paragraph_col: str = "paragraph") -> DataFrame:
-        s = self.score_column(paragraph_col)
-        return df.withColumn("_s", s).select(
-            "*", *[F.col("_s")[f].alias(f) for f in SCORE_FIELDS]).drop("_s")
+        # Counts first in their own projection: the probabilities read each count
+        # several times, and the optimiser keeps an expensive column shared rather
+        # than inlining it into every use.
+        c = df.withColumn("_c", self.counts(paragraph_col))
+        s = c.withColumn("_s", self.probabilities("_c"))
+        return s.select(*df.columns, *[F.col("_s")[f].alias(f) for f in SCORE_FIELDS])
 
 
 # ---------------------------------------------------------------- pandas model path

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarterlens.functions.text import first_sentence_with, section_10k, section_10q
+from quarterlens.operators.partitioning import spread_if_few_partitions
 from quarterlens.operators.scoring import demo_scorer
 from quarterlens.operators.sentiment import (averages_only, explode_paragraphs,
                                              sentiment_stats)
@@ -63,7 +64,7 @@ def q_sentiment_incremental(spark, sf):
 
     The union must equal a full recompute (``sentiment_stats``).
     """
-    docs = read_table(spark, sf, "documents", ["doc_id", "text", "lang"])
+    docs = spread_if_few_partitions(read_table(spark, sf, "documents", ["doc_id", "text", "lang"]))
     scorer = demo_scorer()
     existing = sentiment_stats(docs.filter(F.col("lang") == "en").select("doc_id", "text"), scorer)
     full = union_incremental(existing, docs.select("doc_id", "text"), ["doc_id"],
@@ -104,7 +105,7 @@ def _filing_text_sql(layout) -> str:
 
 
 def _filing_docs(spark, sf, layout):
-    docs = read_table(spark, sf, "documents", ["doc_id", "text", "lang"])
+    docs = spread_if_few_partitions(read_table(spark, sf, "documents", ["doc_id", "text", "lang"]))
     return docs.select("doc_id", F.expr(_filing_text_sql(layout)).alias("filing_text"))
 
 

@@ -9,12 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarterlens.operators.partitioning import spread_if_few_partitions
 from quarterlens.sources.tables import read_table
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    """MD&A texts: (doc_id, text)."""
-    return read_table(spark, sf, "documents", ["doc_id", "text"])
+    """MD&A texts: (doc_id, text), spread over the cores when stored as few splits."""
+    return spread_if_few_partitions(read_table(spark, sf, "documents", ["doc_id", "text"]))
 
 
 def prices(spark: SparkSession, sf: str) -> DataFrame:
