@@ -51,7 +51,7 @@ def month_start(d) -> Column:
 
 def _label_parts(label):
     label = col_of(label)
-    q = F.regexp_extract(label, r"^Q([1-4])-", 1).cast("int")
+    q = F.regexp_extract(label, r"^Q([1-4])-", 1).try_cast("int")
     yy = F.regexp_extract(label, r"-(\d{2}|\d{4})$", 1)
     return q, yy
 
@@ -59,8 +59,8 @@ def _label_parts(label):
 def label_year(label, century: int = 2000) -> Column:
     """Year of a label; two digits mean ``century + yy`` (the reference rule is 20YY)."""
     _, yy = _label_parts(label)
-    return (F.when(F.length(yy) == 4, yy.cast("int"))
-            .when(F.length(yy) == 2, F.lit(century) + yy.cast("int")))
+    return (F.when(F.length(yy) == 4, yy.try_cast("int"))
+            .when(F.length(yy) == 2, F.lit(century) + yy.try_cast("int")))
 
 
 def label_quarter_start(label, century: int = 2000) -> Column:

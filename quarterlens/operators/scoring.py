@@ -216,3 +216,8 @@ DEMO_LEXICON = {
 def demo_scorer(mode: str = "shares") -> LexiconScorer:
     return LexiconScorer(DEMO_LEXICON["positive"], DEMO_LEXICON["negative"],
                          DEMO_LEXICON["neutral"], mode=mode)
+
+
+def demo_model() -> PythonLexiconModel:
+    """Picklable factory for :class:`PandasModelScorer` with the demo lexicon."""
+    return PythonLexiconModel(DEMO_LEXICON["positive"], DEMO_LEXICON["negative"], DEMO_LEXICON["neutral"])
