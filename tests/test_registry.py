@@ -1,0 +1,59 @@
+"""Driver contract: every registered query runs on sf0.001, and every oracle agrees."""
+
+import datetime as dt
+import hashlib
+import math
+
+import duckdb
+import pytest
+
+import __spark_entry__ as E
+from quarterlens.sources.tables import TABLES
+from tests.conftest import SF_SMALL
+
+SLOW = {"gbt_accuracy", "score_documents"}
+
+
+def _norm(v):
+    if isinstance(v, float):
+        return None if math.isnan(v) else round(v, 6) + 0.0
+    if isinstance(v, dt.datetime):
+        return v.isoformat()
+    if isinstance(v, dt.date):
+        return v.isoformat()
+    return v
+
+
+def _digest(cols, data):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    keyed = sorted(repr(tuple(_norm(r[i]) for i in order)) for r in data)
+    return [cols[i] for i in order], hashlib.sha256("\n".join(keyed).encode()).hexdigest()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    return con
+
+
+def test_entry(spark):
+    df = E.entry(spark)
+    assert "net_sentiment" in df.columns and df.count() > 0
+
+
+def test_every_query_has_an_oracle_or_is_a_model():
+    q, o = E.queries(), E.oracle_sql()
+    assert set(o) <= set(q)
+    assert set(q) - set(o) == SLOW
+
+
+@pytest.mark.parametrize("name", sorted(set(E.oracle_sql())))
+def test_oracle_agrees(spark, duck, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    got = [tuple(r) for r in df.collect()]
+    res = duck.execute(E.oracle_sql()[name])
+    want = res.fetchall()
+    assert len(got) == len(want)
+    assert _digest(df.columns, got) == _digest([d[0] for d in res.description], want)

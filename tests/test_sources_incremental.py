@@ -1,0 +1,109 @@
+import datetime as dt
+import json
+import os
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quarterlens.operators.scoring import demo_scorer
+from quarterlens.operators.sentiment import sentiment_stats
+from quarterlens.plans.filings import extract_mda
+from quarterlens.sources.filings import fetch_texts, filings_metadata, list_objects, read_filings
+from quarterlens.sources.files import read_csv, ticker_conversion
+from quarterlens.sources.sinks import append_table, write_by_quarter, write_csv
+from quarterlens.streaming.incremental import append_new
+from tests.conftest import SF_SMALL, rows
+
+
+def _write_filings(folder, docs):
+    os.makedirs(os.path.join(folder, "2022q1"), exist_ok=True)
+    names = []
+    for i, (doc_id, text) in enumerate(docs):
+        kind = "10-K" if i % 2 else "10-Q"
+        name = f"20220{(i % 3) + 1}15_{kind}_edgar_data_{1000 + doc_id}_0000-22-{doc_id}.txt"
+        skip = 18000 if kind == "10-K" else 20000
+        start = "Item 7. Management Discussion and Analysis\n" if kind == "10-K" else "Item 2. MD&A\n"
+        end = "\nItem 8. Financial" if kind == "10-K" else "\nItem 3. Market"
+        period = ("20220131", "20220228", "20220331")[i % 3]
+        header = f"ACCESSION\r\nCONFORMED PERIOD OF REPORT: {period}\r\n"
+        body = header + "x" * skip + start + text + end
+        with open(os.path.join(folder, "2022q1", name), "w", encoding="utf-8") as f:
+            f.write(body)
+        names.append(name)
+    with open(os.path.join(folder, "2022q1", "notes_8-K.txt"), "w") as f:
+        f.write("not a filing")
+    return names
+
+
+def test_filings_folder_to_sentiment(spark, tmp_path):
+    docs = [(r[0], r[1]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+            .orderBy("doc_id").limit(6).collect()]
+    folder = str(tmp_path / "filings")
+    names = _write_filings(folder, docs)
+    f = read_filings(spark, folder)
+    assert sorted(r[0] for r in rows(f, "filename")) == sorted(names)
+    meta = {r["filename"]: r for r in filings_metadata(f).collect()}
+    first = meta[names[0]]
+    assert first["cik"] == str(1000 + docs[0][0]) and first["filing_type"] == "10-Q"
+    assert first["conformed_period_of_report"] == dt.date(2022, 1, 31) and first["quarter"] == "Q1-22"
+    mda = extract_mda(f)
+    got = {r["filename"]: r["management_discussion"] for r in mda.collect()}
+    for name, (doc_id, text) in zip(names, docs):
+        assert got[name] is not None and text.strip()[:40] in got[name]
+    st = sentiment_stats(mda, demo_scorer(), keys=["cik", "filename"], text_col="management_discussion")
+    assert st.count() == len(names)
+
+
+def test_listing_and_missing_objects(spark, tmp_path):
+    folder = str(tmp_path / "bucket")
+    os.makedirs(os.path.join(folder, "2015q1"))
+    name = "20150102_10-K_edgar_data_1022097_0001477932-15-000006.txt"
+    with open(os.path.join(folder, "2015q1", name), "w") as fh:
+        fh.write("CONFORMED PERIOD OF REPORT: 20141231\nbody")
+    listing = list_objects(spark, folder)
+    assert rows(listing, "cik", "filename") == [("1022097", name)]
+    wanted = listing.select("path").unionByName(spark.createDataFrame([("file:/missing.txt",)], "path string"))
+    texts = dict(rows(fetch_texts(wanted, read_filings(spark, folder)), "path", "text"))
+    assert texts["file:/missing.txt"] is None
+    assert [v for k, v in texts.items() if k != "file:/missing.txt"][0].startswith("CONFORMED")
+
+
+def test_json_column_array_and_csv(spark, tmp_path):
+    p = tmp_path / "tickers.json"
+    p.write_text(json.dumps({"fields": ["cik", "name", "ticker", "exchange"],
+                             "data": [[320193, "Apple Inc.", "AAPL", "Nasdaq"], [12345678901, "Big", "BIG", None]]}))
+    got = sorted(rows(ticker_conversion(spark, str(p))))
+    assert got == [("0000320193", "AAPL", "Apple Inc."), ("12345678901", "BIG", "Big")]
+    c = tmp_path / "missing.csv"
+    c.write_text("ticker,cik,company_name\nBRK-B,1067983,Berkshire\n")
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("ticker", "cik", "company_name")])
+    assert rows(read_csv(spark, str(c), schema)) == [("BRK-B", "1067983", "Berkshire")]
+
+
+def test_sinks(spark, tmp_path):
+    df = spark.createDataFrame([(2024, "Q1", 1.0), (2024, "Q2", 2.0)], "year int, quarter string, v double")
+    write_csv(df, str(tmp_path / "csv"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 2
+    out = str(tmp_path / "byq")
+    write_by_quarter(df, out)
+    write_by_quarter(spark.createDataFrame([(2024, "Q2", 9.0)], df.schema), out)
+    assert sorted(rows(spark.read.parquet(out), "quarter", "v")) == [("Q1", 1.0), ("Q2", 9.0)]
+    assert append_table(df, str(tmp_path / "app")) == 2
+
+
+def test_incremental_append_is_idempotent(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    target = str(tmp_path / "sentiment")
+    score = lambda d: sentiment_stats(d, demo_scorer())
+    first_part = docs.filter(F.col("doc_id") < 100)
+    n1 = append_new(spark, first_part, target, ["doc_id"], score)
+    n2 = append_new(spark, first_part, target, ["doc_id"], score)          # re-run: nothing new
+    n3 = append_new(spark, docs, target, ["doc_id"], score)                # new filings arrive
+    n4 = append_new(spark, docs.limit(0), target, ["doc_id"], score)       # empty input
+    total = docs.count()
+    assert (n1, n2, n4) == (first_part.count(), 0, 0) and n1 + n3 == total
+    result = spark.read.parquet(target)
+    assert result.count() == total and result.select("doc_id").distinct().count() == total
+    full = score(docs)
+    diff = result.select(full.columns).exceptAll(full)
+    assert diff.count() == 0
