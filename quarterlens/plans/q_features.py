@@ -189,3 +189,11 @@ def q_score_documents(spark, sf):
     keys = _doc_keys(spark, sf).select("doc_id", "ticker", F.substring("q", 2, 1).alias("q_num"))
     requests = stand_ins.documents(spark, sf).select("doc_id").join(keys, "doc_id")
     return TR.score_documents(requests, _stats(spark, sf), sector_dim(spark, sf), model)
+
+
+@register("mlp_accuracy")
+def q_mlp_accuracy(spark, sf):
+    """The small dense network on the same split; accuracy and baseline. Rows-only."""
+    rows_ = hash_split(training_rows(spark, sf), ["ticker", "quarter"])
+    model = TR.fit_mlp(rows_.filter(F.col("split") == "train"))
+    return TR.evaluate(model, rows_.filter(F.col("split") == "test"), rows_)

@@ -188,3 +188,31 @@ SELECT * FROM n WHERE ticker IS NULL OR sector IS NULL OR industry IS NULL""")
 def q_missing_report(spark, sf):
     """N13 / C10 + C11: tickers whose sector or industry is missing."""
     return rows_with_nulls(null_tokens(sector_dim(spark, sf)))
+
+
+@register("distinct_members", f"""
+WITH idx AS ({INDEX_SQL})
+SELECT quarter, quarter_start, count(DISTINCT ticker) AS n_tickers FROM idx GROUP BY quarter, quarter_start
+ORDER BY quarter_start""")
+def q_distinct_members(spark, sf):
+    """E3 + G1: distinct members per quarter, in calendar (not label) order."""
+    idx = index_of(spark, sf)
+    return (idx.groupBy("quarter", "quarter_start").agg(F.count_distinct("ticker").alias("n_tickers"))
+            .orderBy("quarter_start"))
+
+
+@register("sector_map_rows", """
+SELECT c_custkey::VARCHAR AS ticker, c_mktsegment AS sector,
+       CASE WHEN c_acctbal < 0 THEN 'None' ELSE n_name END AS industry
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""")
+def q_sector_map_rows(spark, sf):
+    """A ticker -> {sector, industry} dictionary turned into rows.
+
+    Distributed, the dictionary is a column of single-entry maps (one per row),
+    never one map collected per group.
+    """
+    from quarterlens.operators.reshape import map_to_rows
+
+    d = sector_dim(spark, sf)
+    maps = d.select(F.create_map("ticker", F.struct("sector", "industry")).alias("m"))
+    return map_to_rows(maps, "m", "ticker", "info")

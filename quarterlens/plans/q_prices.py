@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quarterlens.functions.quarters import quarter_label, quarter_start
 from quarterlens.functions.timefns import earnings_session
 from quarterlens.operators.asof import asof_join
+from quarterlens.operators.reshape import wide_to_long
 from quarterlens.plans import prices as P
 from quarterlens.plans import stand_ins
 from quarterlens.plans.q_index import INDEX_SQL, index_of
@@ -306,3 +307,13 @@ def q_close_matrix(spark, sf):
     e = read_table(spark, sf, "events", ["event_id", "ts", "event_type", "value"])
     daily = P.daily_last(e, "event_type", "ts", "value", "event_id", value_name="close")
     return rounded(P.close_matrix(daily, EVENT_TYPES, ticker_col="event_type"))
+
+
+@register("wide_to_long", """
+WITH d AS (SELECT event_type, ts::DATE AS date, value,
+                  row_number() OVER (PARTITION BY event_type, ts::DATE ORDER BY ts DESC, event_id DESC) AS rn
+           FROM events)
+SELECT date, event_type AS ticker, round(value, 6) AS close FROM d WHERE rn = 1""")
+def q_wide_to_long(spark, sf):
+    """The wide close matrix back to long (date, series, value) rows."""
+    return rounded(wide_to_long(q_close_matrix(spark, sf), ["date"], EVENT_TYPES))

@@ -82,6 +82,32 @@ def fit_model(train: DataFrame, num_trees: int = 100, step: float = 0.02, depth:
     return _pipeline(num_trees, step, depth, seed).fit(data)
 
 
+def fit_mlp(train: DataFrame, hidden: Sequence[int] = (20, 40, 20), max_iter: int = 100, seed: int = 42):
+    """Small dense network (hidden layers 20-40-20, two outputs) on the same
+    features as the boosted trees."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+
+    data = cut_lineage(model_input(train).filter(F.col("label").isNotNull()))
+    prep = Pipeline(stages=_pipeline().getStages()[:-1]).fit(data)
+    width = len(prep.transform(data.limit(1)).first()["features"])
+    mlp = MultilayerPerceptronClassifier(featuresCol="features", labelCol="label",
+                                         layers=[width, *hidden, 2], maxIter=max_iter, seed=seed)
+    return Pipeline(stages=[prep, mlp]).fit(data)
+
+
+def save_model(model, path: str) -> None:
+    """Persist a fitted pipeline (Spark ML format, readable from any executor)."""
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str):
+    """Load a pipeline saved by :func:`save_model`."""
+    from pyspark.ml import PipelineModel
+
+    return PipelineModel.load(path)
+
+
 def predict(model, df: DataFrame) -> DataFrame:
     """K8: class and probability of Up."""
     from pyspark.ml.functions import vector_to_array

@@ -58,3 +58,34 @@ def test_global_row_index_and_positional_split(spark):
 def test_column_profile(spark):
     df = spark.createDataFrame([(1, None), (2, "a")], "a int, b string")
     assert sorted(rows(column_profile(df))) == [("a", "int", 2, 2), ("b", "string", 1, 2)]
+
+
+def test_model_save_load_and_mlp(spark, tmp_path):
+    from quarterlens.plans import training as TR
+
+    data = [("T%d" % i, "Q%d-24" % (i % 4 + 1), str(i % 4 + 1), "ind%d" % (i % 3), (i % 7) / 7.0 - 0.5,
+             bool(i % 2), i % 2) for i in range(60)]
+    df = spark.createDataFrame(data, "ticker string, quarter string, q_num string, industry string, "
+                                     "net_sentiment double, neutral_dominance boolean, label int")
+    model = TR.fit_model(df, num_trees=5)
+    path = str(tmp_path / "model")
+    TR.save_model(model, path)
+    again = TR.load_model(path)
+    a = sorted(rows(TR.predict(model, df), "ticker", "prediction", "probability_up"))
+    b = sorted(rows(TR.predict(again, df), "ticker", "prediction", "probability_up"))
+    assert a == b
+    m = TR.fit_mlp(df, max_iter=20)
+    assert TR.predict(m, df).count() == 60
+    ev = TR.evaluate(model, df, df).first()
+    assert ev["n_test"] == 60 and 0 <= ev["accuracy"] <= 1 and ev["baseline"] == 0.5
+
+
+def test_reshape(spark):
+    import datetime as dt
+    from quarterlens.operators.reshape import map_to_rows, wide_to_long
+
+    w = spark.createDataFrame([(dt.date(2024, 1, 2), 1.0, None)], "date date, A double, B double")
+    assert rows(wide_to_long(w, ["date"], ["A", "B"])) == [(dt.date(2024, 1, 2), "A", 1.0)]
+    m = spark.createDataFrame([({"AAPL": ("Tech", "Hardware")},)],
+                              "m map<string, struct<sector: string, industry: string>>")
+    assert rows(map_to_rows(m, "m", "ticker", "info")) == [("AAPL", "Tech", "Hardware")]

@@ -11,7 +11,7 @@ import __spark_entry__ as E
 from quarterlens.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 
-SLOW = {"gbt_accuracy", "score_documents"}
+SLOW = {"gbt_accuracy", "score_documents", "mlp_accuracy"}
 
 
 def _norm(v):

@@ -107,3 +107,22 @@ def test_incremental_append_is_idempotent(spark, tmp_path):
     full = score(docs)
     diff = result.select(full.columns).exceptAll(full)
     assert diff.count() == 0
+
+
+def test_stream_new_files_once_each(spark, tmp_path):
+    from quarterlens.streaming.incremental import stream_new_files
+
+    src = str(tmp_path / "incoming")
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    docs.filter("doc_id < 50").write.parquet(src + "/batch1")
+    target, ckpt = str(tmp_path / "scored"), str(tmp_path / "stream_ckpt")
+    score = lambda d: sentiment_stats(d, demo_scorer())
+    kw = dict(schema=docs.schema, target_path=target, checkpoint_path=ckpt, keys=["doc_id"], process=score)
+    q = stream_new_files(spark, src + "/*", **kw)
+    q.awaitTermination()
+    docs.filter("doc_id >= 50").write.parquet(src + "/batch2")
+    docs.filter("doc_id < 10").write.parquet(src + "/batch3")      # re-delivered rows are skipped
+    q = stream_new_files(spark, src + "/*", **kw)
+    q.awaitTermination()
+    out = spark.read.parquet(target)
+    assert out.count() == docs.count() == out.select("doc_id").distinct().count()
