@@ -20,6 +20,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     return F.broadcast(df) if n <= max_rows else df
 
 
+def dimension(df: DataFrame) -> DataFrame:
+    """Join side whose size is not bounded by construction (ticker lists, sectors).
+
+    No hint: the size check is Spark's own. The planner broadcasts when the
+    estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE
+    re-plans from the measured shuffle size at runtime; above it the join stays a
+    sort-merge / shuffled hash join. No extra job runs (use
+    :func:`broadcast_if_small` for an explicit row-count guarantee).
+    """
+    return df
+
+
 def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a table whose row count is bounded by construction.
 

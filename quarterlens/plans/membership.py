@@ -12,7 +12,7 @@ from quarterlens.functions import ids
 from quarterlens.functions.quarters import (month_label, quarter_label,
                                             quarter_label_bounded, quarter_start)
 from quarterlens.operators.enrich import enrich_with_fallback
-from quarterlens.operators.joins import bounded_broadcast, broadcast_if_small
+from quarterlens.operators.joins import bounded_broadcast, dimension
 
 QUARTER_END_MONTHS = (3, 6, 9, 12)
 
@@ -43,8 +43,8 @@ def historical_index(snapshots: DataFrame, after: dt.date = dt.date(2018, 12, 31
 
 def base_index(index: DataFrame, conversion: DataFrame, patch: DataFrame) -> DataFrame:
     """Index rows with (cik, company_name); incomplete rows take both from ``patch``."""
-    conv = broadcast_if_small(conversion.select("ticker", "cik", "company_name"))
-    fix = broadcast_if_small(patch.select("ticker", ids.pad_cik("cik").alias("cik"), "company_name"))
+    conv = dimension(conversion.select("ticker", "cik", "company_name"))
+    fix = dimension(patch.select("ticker", ids.pad_cik("cik").alias("cik"), "company_name"))
     return enrich_with_fallback(index, conv, fix, "ticker", ["cik", "company_name"])
 
 
@@ -52,7 +52,7 @@ def core_table(members: DataFrame, filings: DataFrame, conversion: DataFrame) ->
     """Filings -> ticker via cik (left), then inner join with members on
     (month label, ticker): the company was an index member that month (D1, D3, I2)."""
     f = filings.withColumn("cik", ids.pad_cik("cik"))
-    conv = broadcast_if_small(conversion.select(ids.pad_cik("cik").alias("cik"), "ticker", "company_name"))
+    conv = dimension(conversion.select(ids.pad_cik("cik").alias("cik"), "ticker", "company_name"))
     f = f.join(conv, "cik", "left").withColumn("date_clean", month_label("period"))
     m = ids.fix_tickers(members.select(F.col("date").alias("member_date"), "ticker")) \
         .withColumn("date_clean", month_label("member_date"))
@@ -64,6 +64,6 @@ def wanted_paths(paths: DataFrame, wanted_ciks: DataFrame, name_col: str = "path
 
     A name without a cik gives null and simply fails the semi join (L26).
     """
-    w = broadcast_if_small(wanted_ciks.select(F.col("cik").cast("long").alias("_wanted")).distinct())
+    w = dimension(wanted_ciks.select(F.col("cik").cast("long").alias("_wanted")).distinct())
     p = paths.withColumn("cik", ids.cik_from_name(F.col(name_col)))
     return p.join(w, p["cik"].cast("long") == w["_wanted"], "left_semi")

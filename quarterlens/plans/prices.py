@@ -106,7 +106,7 @@ def change_on_day(events: DataFrame, daily: DataFrame, date_col: str = "earnings
     base = daily.select("ticker", F.col("date").alias("_base_date"), F.col("close").alias("base_close"))
     target = daily.select("ticker", F.col("date").alias("_target_date"), F.col("close").alias("target_close"))
     j = e.join(base, ["ticker", "_base_date"], "left").join(target, ["ticker", "_target_date"], "left")
-    cod = (F.col("target_close") - F.col("base_close")) / F.col("base_close") * 100
+    cod = F.try_divide(F.col("target_close") - F.col("base_close"), F.col("base_close")) * 100
     return j.withColumn("cod", F.when(F.col(session_col).isNotNull(), round_half_even(cod, 2))) \
             .drop("_base_date", "_target_date")
 
@@ -144,7 +144,7 @@ def quarter_over_quarter(quarterly: DataFrame, price_col: str = "q_end_price") -
                  .withColumn("_prev", F.lag(price_col).over(w))
     adjacent = F.col("_prev_start") == F.add_months("quarter_start", -3)
     prev = F.when(adjacent, F.col("_prev"))
-    chg = (F.col(price_col) - prev) / prev * 100
+    chg = F.try_divide(F.col(price_col) - prev, prev) * 100
     return (q.withColumn("prev_price", prev).withColumn("coq_pct", chg)
             .withColumn("up_or_down", F.when(chg > 0, "Up").when(chg.isNotNull(), "Down"))
             .drop("_prev_start", "_prev"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarterlens.functions.numeric import up_down_to_label
 from quarterlens.functions.quarters import quarter_number
-from quarterlens.operators.joins import broadcast_if_small
+from quarterlens.operators.joins import dimension
 from quarterlens.session import cut_lineage
 
 DOMINANCE_THRESHOLD = 0.6
@@ -23,7 +23,7 @@ def sentiment_train(stats: DataFrame, doc_keys: DataFrame, key: str = "doc_id")
     total = F.col("count_positive_chunks") + F.col("count_negative_chunks") + F.col("count_neutral_chunks")
     return s.select("ticker", "quarter", "count_positive_chunks", "count_negative_chunks",
                     "count_neutral_chunks", "net_sentiment",
-                    (F.col("count_neutral_chunks") / total).alias("count_neut_over_total_count"))
+                    F.try_divide(F.col("count_neutral_chunks"), total).alias("count_neut_over_total_count"))
 
 
 def training_table(stock_prices: DataFrame, sector: DataFrame, sentiment: DataFrame) -> DataFrame:
@@ -35,7 +35,7 @@ def training_table(stock_prices: DataFrame, sector: DataFrame, sentiment: DataFr
     dropping rows without sentiment is planned as an inner join (C9).
     """
     p = stock_prices.select("ticker", "quarter", "quarter_start", "up_or_down")
-    p = p.join(broadcast_if_small(sector.select("ticker", "sector", "industry")), "ticker", "left")
+    p = p.join(dimension(sector.select("ticker", "sector", "industry")), "ticker", "left")
     p = p.withColumn("q_num", quarter_number("quarter"))
     total = F.col("count_positive_chunks") + F.col("count_negative_chunks") + F.col("count_neutral_chunks")
     s = sentiment.filter(F.coalesce(total != 0, F.lit(True)))
@@ -139,7 +139,7 @@ def score_documents(requests: DataFrame, stats: DataFrame, sector: DataFrame, mo
     ticker's industry (one per ticker, A9) -> prediction and probability of Up."""
     ind = sector.groupBy("ticker").agg(F.min("industry").alias("industry"))
     feats = (requests.join(stats, list(keys), "left")
-             .join(broadcast_if_small(ind), "ticker", "left")
+             .join(dimension(ind), "ticker", "left")
              .select(*keys, "ticker", "q_num", "industry", "net_sentiment",
                      F.col("neutral_dominance_count").alias("neutral_dominance")))
     return predict(model, feats).select(*keys, "ticker", "prediction", "probability_up")

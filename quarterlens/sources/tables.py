@@ -19,7 +19,23 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+_RELATIONS: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: Sequence[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
+    """Parquet table, pruned to ``columns``.
+
+    The relation (file listing, footer schema) is resolved once per session and
+    path and reused by later queries; call :func:`forget_tables` after the files
+    of a path change within a long-lived session.
+    """
+    key = (spark, table_path(sf_dir, name))
+    df = _RELATIONS.get(key)
+    if df is None:
+        df = _RELATIONS[key] = spark.read.parquet(key[1])
     return df.select(*columns) if columns else df
+
+
+def forget_tables() -> None:
+    _RELATIONS.clear()

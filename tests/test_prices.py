@@ -72,3 +72,22 @@ def test_close_matrix(spark):
                                   "ticker string, date date, close double")
     got = sorted(rows(P.close_matrix(daily, ["A", "B", "C"]), "date", "A", "B", "C"))
     assert got == [(D(2024, 1, 2), 1.0, 2.0, None), (D(2024, 1, 3), 3.0, None, None)]
+
+
+def test_zero_prices_give_null_not_error(spark):
+    q = spark.createDataFrame([("A", "Q1-24", D(2024, 1, 1), 0.0), ("A", "Q2-24", D(2024, 4, 1), 5.0)],
+                              "ticker string, quarter string, quarter_start date, q_end_price double")
+    got = {r["quarter"]: r["coq_pct"] for r in P.quarter_over_quarter(q).collect()}
+    assert got["Q2-24"] is None
+    daily = spark.createDataFrame([("A", D(2024, 1, 4), 0.0), ("A", D(2024, 1, 5), 1.0)],
+                                  "ticker string, date date, close double")
+    ev = spark.createDataFrame([(1, "A", D(2024, 1, 5), "BMO")], "id int, ticker string, earnings_date date, session string")
+    assert rows(P.change_on_day(ev, daily), "cod") == [(None,)]
+
+
+def test_sentiment_train_without_chunks(spark):
+    from quarterlens.plans.training import sentiment_train
+    stats = spark.createDataFrame([(1, 0, 0, 0, None)], "doc_id long, count_positive_chunks long, "
+                                  "count_negative_chunks long, count_neutral_chunks long, net_sentiment double")
+    keys = spark.createDataFrame([(1, "A", "Q1-24")], "doc_id long, ticker string, quarter string")
+    assert rows(sentiment_train(stats, keys), "count_neut_over_total_count") == [(None,)]
