@@ -1,0 +1,38 @@
+"""Plan checks over every registered query."""
+
+import pytest
+
+import __spark_entry__ as E
+from tests.conftest import SF_SMALL
+
+# Queries whose plan legitimately runs Python: the per-partition row numbering of the
+# distributed row index (Arrow batches).
+PYTHON_ALLOWED = {"positional_split", "standardize"}
+MODEL = {"gbt_accuracy", "mlp_accuracy", "score_documents"}
+
+
+@pytest.mark.parametrize("name", sorted(set(E.queries()) - MODEL))
+def test_no_cartesian_and_no_stray_python(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
+    python_nodes = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
+    if name not in PYTHON_ALLOWED:
+        assert not any(p in plan for p in python_nodes), name
+
+
+def _formatted(df):
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
+def test_scans_are_pruned_and_filters_pushed(spark):
+    text = _formatted(E.queries()["asof_tol7"](spark, SF_SMALL))
+    schemas = [line for line in text.splitlines() if line.startswith("ReadSchema")]
+    assert schemas and all("props" not in s for s in schemas)          # unused column never read
+    assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,signup)]" in text
