@@ -15,8 +15,16 @@ from pyspark.sql.utils import AnalysisException
 
 
 def pending(candidates: DataFrame, done_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``candidates`` whose key is not in ``done_keys`` (left anti join)."""
-    return candidates.join(done_keys.select(*keys).distinct(), list(keys), "left_anti")
+    """Rows of ``candidates`` whose key is not in ``done_keys`` (left anti join).
+
+    Keys compare null-safely, so a row with a missing key part is processed once,
+    not again on every run.
+    """
+    from pyspark.sql import functions as F
+
+    done = done_keys.select(*[F.col(k).alias(f"_done_{k}") for k in keys]).distinct()
+    cond = [F.col(k).eqNullSafe(F.col(f"_done_{k}")) for k in keys]
+    return candidates.join(done, cond, "left_anti")
 
 
 def union_incremental(existing: DataFrame, candidates: DataFrame, keys: Sequence[str],
@@ -71,3 +79,42 @@ def stream_new_files(spark: SparkSession, source_dir: str, schema, target_path:
     return (stream.writeStream.foreachBatch(each_batch)
             .option("checkpointLocation", checkpoint_path)
             .trigger(availableNow=True).start())
+
+
+def stream_filing_sentiment(spark: SparkSession, folder: str, target_path: str,
+                            checkpoint_path: str, scorer) -> "object":
+    """M1 end to end: filing text files arriving in ``folder`` -> MD&A section ->
+    per-filing sentiment statistics appended once per (cik, filename).
+
+    Whole files are streamed (``wholetext``), ``availableNow`` drains what is there
+    and stops, and the stream checkpoint plus the keyed append make re-runs and
+    re-delivered files add nothing.
+    """
+    from pyspark.sql import functions as F
+
+    from quarterlens.functions.ids import cik_from_name
+    from quarterlens.functions.text import normalise_newlines
+    from quarterlens.operators.sentiment import sentiment_stats
+    from quarterlens.plans.filings import extract_mda
+    from quarterlens.sources.filings import FILING_NAME_GLOB, FILING_NAME_PATTERN
+
+    raw = (spark.readStream.option("pathGlobFilter", FILING_NAME_GLOB)
+           .option("recursiveFileLookup", "true").text(folder, wholetext=True))
+    files = raw.select(F.col("_metadata.file_path").alias("path"),
+                       F.col("_metadata.file_name").alias("filename"),
+                       normalise_newlines("value").alias("text")) \
+        .filter(F.col("filename").rlike(FILING_NAME_PATTERN))
+
+    def process(batch: DataFrame) -> DataFrame:
+        mda = extract_mda(batch)
+        stats = sentiment_stats(mda, scorer, keys=["cik", "filename"], text_col="management_discussion")
+        return stats
+
+    def each_batch(batch: DataFrame, _epoch: int) -> None:
+        keyed = batch.withColumn("cik", cik_from_name("filename"))
+        append_new(batch.sparkSession, keyed, target_path, ["cik", "filename"],
+                   lambda d: process(d.drop("cik")))
+
+    return (files.writeStream.foreachBatch(each_batch)
+            .option("checkpointLocation", checkpoint_path)
+            .trigger(availableNow=True).start())

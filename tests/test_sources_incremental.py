@@ -126,3 +126,29 @@ def test_stream_new_files_once_each(spark, tmp_path):
     q.awaitTermination()
     out = spark.read.parquet(target)
     assert out.count() == docs.count() == out.select("doc_id").distinct().count()
+
+
+def test_stream_filing_sentiment(spark, tmp_path):
+    from quarterlens.streaming.incremental import stream_filing_sentiment
+
+    docs = [(r[0], r[1]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+            .orderBy("doc_id").limit(8).collect()]
+    folder = str(tmp_path / "landing")
+    names = _write_filings(folder, docs[:4])
+    target, ckpt = str(tmp_path / "sent"), str(tmp_path / "ck")
+    stream_filing_sentiment(spark, folder, target, ckpt, demo_scorer()).awaitTermination()
+    assert spark.read.parquet(target).count() == 4
+    more = str(tmp_path / "landing" / "later")
+    _write_filings(more, docs[4:])
+    stream_filing_sentiment(spark, folder, target, ckpt, demo_scorer()).awaitTermination()
+    stream_filing_sentiment(spark, folder, target, ckpt, demo_scorer()).awaitTermination()   # nothing new
+    out = spark.read.parquet(target)
+    assert out.count() == 8 and out.select("cik", "filename").distinct().count() == 8
+    assert out.filter("n_chunks > 0").count() == 8
+
+
+def test_pending_is_null_safe(spark):
+    from quarterlens.streaming.incremental import pending
+    cand = spark.createDataFrame([(None, "a"), ("1", "b"), ("2", "c")], "cik string, f string")
+    done = spark.createDataFrame([(None, "a"), ("1", "b")], "cik string, f string")
+    assert rows(pending(cand, done, ["cik", "f"])) == [("2", "c")]
