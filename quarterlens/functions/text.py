@@ -33,8 +33,33 @@ MIN_TEXT_CHARS = 20       # I25: shorter stripped text has no paragraphs
 MIN_PARAGRAPH_CHARS = 50  # I19: keep paragraphs strictly longer than this
 
 # Java regex flags giving Python semantics: case-insensitive with Unicode case and
-# classes (\s, \d as in Python 3 str patterns), and only \n ends a line for '.'.
+# classes (\d as in Python 3 str patterns), and only \n ends a line for '.'.
 PY_FLAGS = "(?iUd)"
+_PY_WS_CLASS_BODY = "".join(f"\\x{{{ord(c):04X}}}" for c in PY_WHITESPACE)
+
+
+def python_regex(pattern: str) -> str:
+    r"""Java form of a Python ``re`` pattern: ``\s`` becomes exactly the characters
+    Python's ``\s`` matches in a str pattern (Java's Unicode ``\s`` lacks U+001C-1F),
+    inside and outside character classes. Other syntax used here is shared."""
+    out, i, in_class = [], 0, False
+    while i < len(pattern):
+        ch = pattern[i]
+        if ch == "\\" and i + 1 < len(pattern):
+            nxt = pattern[i + 1]
+            if nxt == "s":
+                out.append(_PY_WS_CLASS_BODY if in_class else f"[{_PY_WS_CLASS_BODY}]")
+            else:
+                out.append(pattern[i:i + 2])
+            i += 2
+            continue
+        if ch == "[" and not in_class:
+            in_class = True
+        elif ch == "]" and in_class:
+            in_class = False
+        out.append(ch)
+        i += 1
+    return PY_FLAGS + "".join(out)
 
 
 def py_strip(c) -> Column:
@@ -70,7 +95,7 @@ def header_period(c, header_chars: int = HEADER_CHARS) -> Column:
     Missing key or an impossible date (e.g. month 13) gives null, never an error.
     """
     head = F.substring(col_of(c), 1, header_chars)
-    digits = F.regexp_extract(head, PERIOD_PATTERN, 1)
+    digits = F.regexp_extract(head, python_regex(PERIOD_PATTERN), 1)
     return F.try_to_date(F.nullif(digits, F.lit("")), "yyyyMMdd")
 
 
@@ -82,9 +107,9 @@ def _section(text, start_re: str, end_re: str, skip: int) -> Column:
     is stripped and an empty cut is null (L19).
     """
     rest = F.substring(col_of(text), skip + 1, 2147483647)
-    s = F.regexp_instr(rest, F.lit(PY_FLAGS + start_re))
+    s = F.regexp_instr(rest, F.lit(python_regex(start_re)))
     tail = F.substring(rest, s, 2147483647)
-    e = F.regexp_instr(tail, F.lit(PY_FLAGS + end_re))
+    e = F.regexp_instr(tail, F.lit(python_regex(end_re)))
     cut = F.when((s > 0) & (e > 0), F.substring(tail, F.lit(1), e - 1))
     return F.nullif(py_strip(cut), F.lit(""))
 
