@@ -37,3 +37,14 @@ def earnings_session(ts, cutoff: str = "15:00:00", inclusive: bool = True) -> Co
 def year_between(ts, first: int, last: int) -> Column:
     """C14: inclusive year range."""
     return F.year(col_of(ts)).between(first, last)
+
+
+def exchange_wall_clock(ts, zone: str = "America/New_York", source_zone: str = "UTC") -> Column:
+    """I16: wall-clock time at the exchange (TIMESTAMP_NTZ) of an instant recorded in
+    ``source_zone``; session time zone independent."""
+    return F.convert_timezone(F.lit(source_zone), F.lit(zone), col_of(ts).cast("timestamp_ntz"))
+
+
+def day_start(ts) -> Column:
+    """I16: midnight of the timestamp's day (keeps the type)."""
+    return F.date_trunc("DAY", col_of(ts))

@@ -133,6 +133,12 @@ def evaluate(model, test: DataFrame, all_rows: DataFrame) -> DataFrame:
                  F.greatest(up_share, 1 - up_share).alias("baseline"))
 
 
+def industry_for(sector: DataFrame, ticker: str) -> DataFrame:
+    """The industry of one ticker; the equality filter reaches the scan, and of
+    several rows the smallest industry is returned (deterministic "first row")."""
+    return sector.filter(F.col("ticker") == F.lit(ticker)).agg(F.min("industry").alias("industry"))
+
+
 def score_documents(requests: DataFrame, stats: DataFrame, sector: DataFrame, model,
                     keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Requests (doc_id, ticker, q_num) + their sentiment statistics + the

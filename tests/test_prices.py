@@ -91,3 +91,18 @@ def test_sentiment_train_without_chunks(spark):
                                   "count_negative_chunks long, count_neutral_chunks long, net_sentiment double")
     keys = spark.createDataFrame([(1, "A", "Q1-24")], "doc_id long, ticker string, quarter string")
     assert rows(sentiment_train(stats, keys), "count_neut_over_total_count") == [(None,)]
+
+
+def test_exchange_wall_clock(spark):
+    from quarterlens.functions.timefns import day_start, exchange_wall_clock
+    df = spark.createDataFrame([(T(2024, 1, 2, 21, 30),), (T(2024, 7, 2, 20, 30),)], "ts timestamp_ntz")
+    got = rows(df.select(exchange_wall_clock("ts"), day_start("ts")))
+    assert got[0] == (T(2024, 1, 2, 16, 30), T(2024, 1, 2))      # EST, UTC-5
+    assert got[1][0] == T(2024, 7, 2, 16, 30)                      # EDT, UTC-4
+
+
+def test_industry_for(spark):
+    from quarterlens.plans.training import industry_for
+    sec = spark.createDataFrame([("A", "Z-ind"), ("A", "B-ind"), ("C", "x")], "ticker string, industry string")
+    assert rows(industry_for(sec, "A")) == [("B-ind",)]
+    assert rows(industry_for(sec, "Q")) == [(None,)]
