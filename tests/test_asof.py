@@ -88,3 +88,26 @@ def test_plan_has_no_nested_loop_or_cartesian(data):
     for tol in (None, dt.timedelta(days=1)):
         plan = asof_join(ldf, rdf, ["k"], "lt", "rt", tolerance=tol)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_hot_key_is_spread_over_tasks(spark):
+    """One key with half of all rows: its time buckets land in different tasks."""
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(3)
+    L = [(i, "HOT" if i % 2 else f"K{i % 97}", BASE + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 60)))
+         for i in range(4000)]
+    R = [(j, "HOT" if j % 2 else f"K{j % 97}", BASE + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 60)), 1.0)
+         for j in range(4000)]
+    ldf = spark.createDataFrame(L, "id long, k string, lt timestamp")
+    rdf = spark.createDataFrame(R, "rid long, k string, rt timestamp, v double")
+    prev = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = asof_join(ldf, rdf, ["k"], "lt", "rt", tolerance=dt.timedelta(days=1))
+        per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", prev)
+    hot = sum(1 for r in L if r[1] == "HOT")
+    assert max(r["count"] for r in per_task) < hot * 0.5        # the hot key is split, not one task
+    assert sum(r["count"] for r in per_task) == len(L)
