@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarterlens.functions import ids, quarters as Q
@@ -176,12 +175,14 @@ def q_label_map(spark, sf):
 def value_counts(df, column: str, normalise: bool = True):
     """Counts per value (nulls excluded, as pandas does) and their share.
 
-    The share divides by the total over the aggregated rows - one row per
-    distinct value - so the window runs on a handful of rows, not the input.
+    The total is a scalar subquery over the per-value counts: a partial + final
+    global sum, whatever the number of distinct values (an unpartitioned window
+    would move every group into one task). Spark reuses the counts' shuffle for
+    it, so the input is scanned once.
     """
     c = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     if normalise:
-        c = c.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+        c = c.withColumn("share", F.col("n") / c.agg(F.sum("n")).scalar())
     return c
 
 

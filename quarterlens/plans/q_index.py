@@ -47,22 +47,25 @@ def q_index_snapshot(spark, sf):
 
 
 @register("member_explode", """
-SELECT l_orderkey AS line_id, min(l_shipdate::DATE) OVER (PARTITION BY l_orderkey) AS date,
-       l_partkey::VARCHAR AS ticker
+SELECT l_orderkey, l_linenumber, l_shipdate::DATE AS date,
+       unnest(CASE WHEN l_returnflag = 'R'
+                   THEN [l_partkey::VARCHAR, l_suppkey::VARCHAR, l_orderkey::VARCHAR]
+                   ELSE [l_partkey::VARCHAR, l_suppkey::VARCHAR] END) AS ticker
 FROM lineitem""")
 def q_member_explode(spark, sf):
-    """A7 + I13 + I14 + J1: snapshot text lines ``date,"t1,t2"`` parsed back to rows.
+    """A7 + I13 + I14 + J1: snapshot text lines ``date,"t1,t2[,t3]"`` parsed back to rows.
 
-    Lines are built per order from its line items (at most seven per order).
+    One line per line item (two or three listed ids), built and parsed in the scan
+    stage: no grouping, so no list is ever collected and nothing is shuffled.
     """
-    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_partkey", "l_shipdate"])
-    lines = li.groupBy("l_orderkey").agg(
-        F.min(F.to_date("l_shipdate")).alias("d"),
-        F.concat_ws(",", F.collect_list(F.col("l_partkey").cast("string"))).alias("lst"))
-    lines = lines.select(F.col("l_orderkey").alias("line_id"),
-                         F.concat(F.date_format("d", "yyyy-MM-dd"), F.lit(',"'), F.col("lst"),
-                                  F.lit('"')).alias("value"))
-    return parse_membership_lines(lines, "value", keep=("line_id",))
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                            "l_returnflag", "l_shipdate"])
+    listed = F.concat_ws(",", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
+                         F.when(F.col("l_returnflag") == "R", F.col("l_orderkey").cast("string")))
+    lines = li.select("l_orderkey", "l_linenumber",
+                      F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit(',"'), listed,
+                               F.lit('"')).alias("value"))
+    return parse_membership_lines(lines, "value", keep=("l_orderkey", "l_linenumber"))
 
 
 def _conversion(spark, sf):
