@@ -1,9 +1,11 @@
 """Distributed global row index.
 
 A window ``row_number()`` without a partition sends every row to one task. Here
-rows are range-partitioned and sorted on the order key, each partition numbers its
-own rows (Arrow batches through ``mapInPandas``), the per-partition counts (one
-number per partition) give offsets, and index = offset + local number.
+rows are range-partitioned and sorted on the order key; after the sort,
+``monotonically_increasing_id()`` holds (partition id << 33) + position within
+the partition, computed in the JVM inside the sort's stage. The per-partition
+counts (one number per partition, never per row) give offsets, and index =
+offset + position.
 """
 
 from __future__ import annotations
@@ -12,34 +14,27 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quarterlens.session import cut_lineage
 
-
-def _number_rows(batches):
-    from pyspark import TaskContext
-
-    pid = TaskContext.get().partitionId()
-    start = 0
-    for pdf in batches:
-        n = len(pdf)
-        yield pdf.assign(_pid=pid, _local=range(start, start + n))
-        start += n
+_POSITION_BITS = 33  # low bits of monotonically_increasing_id: row position in its partition
 
 
 def global_row_index(df: DataFrame, order_cols: Sequence[str], index_col: str = "row_index",
                      num_partitions: int | None = None) -> tuple[DataFrame, int]:
     """Return (df with a 0-based ``index_col`` in ``order_cols`` order, total row count).
 
-    The numbered rows are checkpointed to the shared checkpoint folder, so the
-    offsets and the data they apply to come from one materialisation.
+    ``order_cols`` should identify a row; rows tied on them are numbered in an
+    arbitrary but fixed order. The numbered rows are checkpointed to the shared
+    checkpoint folder, so the offsets and the data they apply to come from one
+    materialisation (a recomputation could otherwise renumber ties).
     """
     n_parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n_parts, *order_cols).sortWithinPartitions(*order_cols)
-    schema = T.StructType(ranged.schema.fields + [T.StructField("_pid", T.IntegerType()),
-                                                  T.StructField("_local", T.LongType())])
-    numbered = cut_lineage(ranged.mapInPandas(_number_rows, schema))
+    mid = F.monotonically_increasing_id()
+    numbered = cut_lineage(ranged.select(
+        *df.columns, F.shiftright(mid, _POSITION_BITS).alias("_pid"),
+        mid.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_local")))
     counts = {r["_pid"]: r["n"] for r in numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
     offsets, total = [], 0
     for pid in range(max(counts, default=-1) + 1):
@@ -47,7 +42,7 @@ def global_row_index(df: DataFrame, order_cols: Sequence[str], index_col: str =
         total += counts.get(pid, 0)
     if not offsets:
         return numbered.drop("_pid", "_local").withColumn(index_col, F.lit(None).cast("long")), 0
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_pid") + 1)
+    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_pid").cast("int") + 1)
     out = numbered.withColumn(index_col, offset + F.col("_local")).drop("_pid", "_local")
     return out, total
 

@@ -33,11 +33,15 @@ PUNCTUATION = r"[.,;:!?()\"']"
 
 
 def _token_pattern(words: Sequence[str]) -> str:
-    """Regex matching any of ``words`` as a whole space-delimited token."""
+    """Regex counting the tokens equal to one of ``words`` in a space-padded text.
+
+    A hit is a space followed by the word and another space; only the leading
+    space is consumed, so adjacent hits (``" a the "``) are all counted.
+    """
     import re
 
     alternatives = "|".join(re.escape(w) for w in sorted(set(words), key=lambda w: (-len(w), w)))
-    return f"(?<![^ ])(?:{alternatives})(?![^ ])"
+    return f" (?=(?:{alternatives}) )"
 
 
 class LexiconScorer:
@@ -59,21 +63,32 @@ class LexiconScorer:
         self.mode = mode
 
     @staticmethod
-    def tokens(paragraph) -> Column:
-        cleaned = F.regexp_replace(F.lower(col_of(paragraph)), PUNCTUATION, "")
-        return F.split(cleaned, " ")
+    def cleaned(paragraph) -> Column:
+        """Lower-cased paragraph without punctuation."""
+        return F.regexp_replace(F.lower(col_of(paragraph)), PUNCTUATION, "")
 
-    def counts(self, paragraph) -> Column:
-        """``struct<positive, negative, neutral>`` of hit counts (bigint).
+    @classmethod
+    def tokens(cls, paragraph) -> Column:
+        return F.split(cls.cleaned(paragraph), " ")
+
+    @classmethod
+    def padded(cls, paragraph) -> Column:
+        """The cleaned paragraph between two spaces (input of :meth:`counts_padded`)."""
+        return F.concat(F.lit(" "), cls.cleaned(paragraph), F.lit(" "))
+
+    def counts_padded(self, padded) -> Column:
+        """``struct<positive, negative, neutral>`` of hit counts (bigint) on :meth:`padded`.
 
         A word counts when it is a whole space-separated token of the cleaned,
         lower-cased paragraph - the same rule as splitting on spaces and comparing
         - written as one compiled regex per class instead of a per-token lambda.
         """
-        cleaned = F.regexp_replace(F.lower(col_of(paragraph)), PUNCTUATION, "")
-        return F.struct(*[F.regexp_count(cleaned, F.lit(_token_pattern(ws))).cast("long").alias(k)
+        return F.struct(*[F.regexp_count(col_of(padded), F.lit(_token_pattern(ws))).cast("long").alias(k)
                           for k, ws in self.words.items()])
 
+    def counts(self, paragraph) -> Column:
+        return self.counts_padded(self.padded(paragraph))
+
     def probabilities(self, counts) -> Column:
         c = col_of(counts)
         p, n, u = (c[f] for f in SCORE_FIELDS)
@@ -88,10 +103,11 @@ class LexiconScorer:
         return self.probabilities(self.counts(paragraph))
 
     def score(self, df: DataFrame, paragraph_col: str = "paragraph") -> DataFrame:
-        # Counts first in their own projection: the probabilities read each count
-        # several times, and the optimiser keeps an expensive column shared rather
-        # than inlining it into every use.
-        c = df.withColumn("_c", self.counts(paragraph_col))
+        # The cleaned text, then the counts, each in its own projection: later
+        # expressions read them several times, and the optimiser keeps an expensive
+        # column shared rather than inlining it into every use.
+        t = df.withColumn("_t", self.padded(paragraph_col))
+        c = t.withColumn("_c", self.counts_padded("_t"))
         s = c.withColumn("_s", self.probabilities("_c"))
         return s.select(*df.columns, *[F.col("_s")[f].alias(f) for f in SCORE_FIELDS])
 
