@@ -16,7 +16,7 @@ row never lets an older row's value leak through. Equal right timestamps resolve
 to the largest ``right_tie`` value (pass a unique column for determinism).
 
 Time columns may be DATE (units: days) or TIMESTAMP / TIMESTAMP_NTZ (units:
-microseconds; NTZ values are read in the session time zone, UTC by default).
+microseconds; NTZ values as wall clock, independent of the session time zone).
 """
 
 from __future__ import annotations
@@ -24,10 +24,12 @@ from __future__ import annotations
 import datetime as dt
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarterlens.operators.latest import time_units
+
 MICROS_PER_DAY = 86_400_000_000
 
 
@@ -35,14 +37,6 @@ def _is_date(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, T.DateType)
 
 
-def _numeric_time(df: DataFrame, c: str) -> Column:
-    if _is_date(df, c):
-        return F.unix_date(F.col(c)).cast("long")
-    if isinstance(df.schema[c].dataType, T.TimestampNTZType):
-        return F.unix_micros(F.col(c).cast("timestamp"))
-    return F.unix_micros(F.col(c))
-
-
 def _units(delta: dt.timedelta | int | None, is_date: bool) -> int | None:
     if delta is None:
         return None
@@ -94,10 +88,10 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     # Right side: drop null keys / times (they never match in SQL), add numeric time.
     r = right.dropna(subset=on + [right_time])
     r = r.select(*[F.col(k).cast(key_types[k]).alias(k) for k in on],
-                 _numeric_time(right, right_time).alias("_n"),
+                 time_units(right, right_time).alias("_n"),
                  F.col(tie_col).alias("_tie"),
                  F.struct(*[F.col(c) for c in payload_cols]).alias("_r"))
-    l = left.select(*[F.col(k) for k in on], _numeric_time(left, left_time).alias("_n"),
+    l = left.select(*[F.col(k) for k in on], time_units(left, left_time).alias("_n"),
                     F.struct(*[F.col(c) for c in left_cols]).alias("_l"))
 
     # Side order at equal time: inclusive -> right first, strict -> left first.

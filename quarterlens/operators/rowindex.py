@@ -25,12 +25,16 @@ def global_row_index(df: DataFrame, order_cols: Sequence[str], index_col: str =
     """Return (df with a 0-based ``index_col`` in ``order_cols`` order, total row count).
 
     ``order_cols`` should identify a row; rows tied on them are numbered in an
-    arbitrary but fixed order. The numbered rows are checkpointed to the shared
-    checkpoint folder, so the offsets and the data they apply to come from one
-    materialisation (a recomputation could otherwise renumber ties).
+    arbitrary but fixed order. The input and the numbered rows are checkpointed to
+    the shared checkpoint folder: the upstream plan runs once, and the offsets and
+    the data they apply to come from one materialisation (a recomputation could
+    otherwise renumber ties).
     """
     n_parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n_parts, *order_cols).sortWithinPartitions(*order_cols)
+    # Range partitioning samples its input in a job of its own before the shuffle;
+    # reading a written copy keeps an expensive upstream plan from running twice.
+    base = cut_lineage(df)
+    ranged = base.repartitionByRange(n_parts, *order_cols).sortWithinPartitions(*order_cols)
     mid = F.monotonically_increasing_id()
     numbered = cut_lineage(ranged.select(
         *df.columns, F.shiftright(mid, _POSITION_BITS).alias("_pid"),

@@ -12,17 +12,17 @@ from quarterlens.functions.numeric import round_half_even
 from quarterlens.functions.quarters import quarter_label, quarter_start
 from quarterlens.functions.timefns import earnings_session, time_text, year_between
 from quarterlens.operators.asof import asof_join
+from quarterlens.operators.latest import latest_by
 
 DAY = dt.timedelta(days=1)
 
 
 def daily_last(events: DataFrame, key: str, ts: str, value: str, tie: str,
                date_name: str = "date", value_name: str = "close") -> DataFrame:
-    """One value per (key, day): the day's last row by (ts, tie). Mergeable max of a
-    struct, so partial aggregation absorbs a hot key before the shuffle."""
+    """One value per (key, day): the day's last row by (ts, tie). A mergeable
+    hash aggregate, so partial aggregation absorbs a hot key before the shuffle."""
     return (events.groupBy(key, F.to_date(ts).alias(date_name))
-            .agg(F.max(F.struct(F.col(ts), F.col(tie), F.col(value))).alias("_last"))
-            .select(key, date_name, F.col(f"_last.{value}").alias(value_name)))
+            .agg(latest_by(events, value, ts, tie).alias(value_name)))
 
 
 def with_quarter_end(index: DataFrame) -> DataFrame:
@@ -167,9 +167,9 @@ def market_caps(events: DataFrame, daily: DataFrame, shares: DataFrame,
 def latest_caps(prices: DataFrame, info: DataFrame) -> DataFrame:
     """Latest close per ticker (ties by the tie column) and market cap; names and
     sector default to ``N/A``."""
-    last = prices.groupBy("ticker").agg(F.max(F.struct("ts", "event_id", "close")).alias("_l"))
+    last = prices.groupBy("ticker").agg(latest_by(prices, "close", "ts", "event_id").alias("_close"))
     j = last.join(info, "ticker", "left")
-    price = F.col("_l.close")
+    price = F.col("_close")
     return j.select(
         "ticker",
         F.coalesce("short_name", F.lit("N/A")).alias("short_name"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quarterlens.functions.quarters import quarter_label, quarter_start
 from quarterlens.functions.timefns import earnings_session
 from quarterlens.operators.asof import asof_join
+from quarterlens.operators.latest import latest_by
 from quarterlens.operators.reshape import wide_to_long
 from quarterlens.plans import prices as P
 from quarterlens.plans import stand_ins
@@ -219,8 +220,8 @@ def quarterly_prices(spark, sf):
     """Per (customer, quarter): the quarter's last order total, as the quarter-end price."""
     p = stand_ins.order_prices(spark, sf)
     q = p.groupBy("ticker", quarter_label("ts").alias("quarter"), quarter_start("ts").alias("quarter_start")) \
-         .agg(F.max(F.struct("ts", "event_id", "close")).alias("_l"))
-    return q.select("ticker", "quarter", "quarter_start", F.col("_l.close").alias("q_end_price"))
+         .agg(latest_by(p, "close", "ts", "event_id").alias("q_end_price"))
+    return q.select("ticker", "quarter", "quarter_start", "q_end_price")
 
 
 QOQ_SQL = f"""

@@ -40,18 +40,6 @@ def views(spark: SparkSession, sf: str) -> DataFrame:
             .select("event_id", F.col("user_id").alias("ticker"), "ts"))
 
 
-def daily_closes(spark: SparkSession, sf: str) -> DataFrame:
-    """One close per (ticker, day): the last purchase of the day (ties by event id).
-
-    ``max`` of a struct ordered (ts, event_id) is a mergeable aggregate, so this is
-    a partial + final hash aggregation, safe for a hot ticker.
-    """
-    p = prices(spark, sf)
-    last = (p.groupBy("ticker", F.to_date("ts").alias("date"))
-            .agg(F.max(F.struct("ts", "event_id", "close")).alias("_last")))
-    return last.select("ticker", "date", F.col("_last.close").alias("close"))
-
-
 def membership(spark: SparkSession, sf: str) -> DataFrame:
     """Index snapshots (date, ticker): each order is 'customer listed on that day'."""
     o = read_table(spark, sf, "orders", ["o_orderdate", "o_custkey"])
