@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarterlens.functions import ids, quarters as Q
 from quarterlens.functions.numeric import percent_text_to_double, up_down_to_label
 from quarterlens.functions.text import header_period, normalise_newlines
-from quarterlens.functions.timefns import earnings_session, time_text
+from quarterlens.functions.timefns import day_start, earnings_session, exchange_wall_clock, time_text
 from quarterlens.plans import stand_ins
 from quarterlens.plans.registry import register, rounded
 from quarterlens.sources.tables import read_table
@@ -221,3 +221,21 @@ def q_session_a(spark, sf):
 def q_session_b(spark, sf):
     """I15 rule B: strictly after 12:00:00 -> AMC, else BMO; null time -> null."""
     return _sessions(spark, sf, "12:00:00", False)
+
+
+@register("session_exchange", """
+WITH l AS (SELECT event_id, user_id AS ticker, timezone('America/New_York', timezone('UTC', ts)) AS local_ts
+           FROM events WHERE event_type = 'signup')
+SELECT event_id, ticker, local_ts, local_ts::DATE AS local_date, date_trunc('day', local_ts) AS local_day_start,
+  CASE WHEN local_ts IS NULL THEN NULL
+       WHEN date_diff('microsecond', date_trunc('day', local_ts), local_ts) >= 54000000000 THEN 'AMC'
+       ELSE 'BMO' END AS session
+FROM l""")
+def q_session_exchange(spark, sf):
+    """I16 + I15: event instants (recorded in UTC) as New York wall clock, the local
+    day and its midnight, and the session rule applied to the local time of day."""
+    e = stand_ins.earnings(spark, sf)
+    local = e.select("event_id", "ticker", exchange_wall_clock("earnings_ts").alias("local_ts"))
+    return local.select("event_id", "ticker", "local_ts", F.to_date("local_ts").alias("local_date"),
+                        day_start("local_ts").alias("local_day_start"),
+                        earnings_session("local_ts", "15:00:00", True).alias("session"))
