@@ -3,12 +3,18 @@
 Spark has no public as-of join and the private one plans a nested-loop join.
 Here both sides are tagged and unioned, and a window keeps the last right row
 seen before each left row. To keep one hot key (say a third of all rows) from
-landing in a single task, the window is partitioned by (key, time bucket):
+landing in a single task, the window is partitioned by (key, time bucket), and
+each bucket learns about right rows before it in one of two ways:
 
-* bounded tolerance - a right row is copied into every bucket it can still serve
-  (``tolerance / bucket_width + 1`` copies at most), so each bucket is complete;
-* unbounded - the best right row of all earlier buckets is carried in from a
-  small per-(key, bucket) aggregate (one row per key and bucket, not per event).
+* copy - when the tolerance is at most one bucket wide, a right row is copied
+  into the (at most two) buckets it can serve, so each bucket is complete;
+* carry - otherwise (a wider tolerance, or none) the best right row of all
+  earlier buckets is carried in from a small per-(key, bucket) aggregate (one row
+  per key and bucket, not per event), and the tolerance is checked on the match:
+  the nearest earlier row is out of tolerance exactly when every earlier row is.
+
+So the bucket width is a pure skew knob: narrower buckets spread a hot key over
+more tasks and never multiply rows.
 
 Left rows are never de-duplicated or dropped (L33); a left row without a match
 gets nulls. Right payload travels as one struct, so a null value in the matched
@@ -98,7 +104,7 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     right_side, left_side = (0, 1) if allow_exact else (1, 0)
     bucket = lambda n: F.floor(n / F.lit(width)).cast("long")
 
-    if tol is not None:
+    if tol is not None and tol <= width:
         lo = F.col("_n") if back else F.col("_n") - F.lit(tol)
         hi = F.col("_n") + F.lit(tol) if back else F.col("_n")
         r_rows = r.withColumn("_b", F.explode(F.sequence(bucket(lo), bucket(hi))))

@@ -41,7 +41,7 @@ def data(spark):
 @pytest.mark.parametrize("direction", ["backward", "forward"])
 @pytest.mark.parametrize("exact", [True, False])
 @pytest.mark.parametrize("tol", [None, dt.timedelta(days=2)])
-@pytest.mark.parametrize("width", [None, dt.timedelta(hours=9)])
+@pytest.mark.parametrize("width", [None, dt.timedelta(hours=9), dt.timedelta(days=3)])
 def test_matches_brute_force(data, direction, exact, tol, width):
     L, R, ldf, rdf = data
     res = asof_join(ldf, rdf, ["k"], "lt", "rt", direction, exact, tol, "rid", width)
@@ -83,6 +83,14 @@ def test_dates_strict_and_forward(spark):
     assert fwd_strict["v"] == 3.0
 
 
+def test_narrow_buckets_do_not_copy_right_rows(data):
+    """A tolerance wider than the bucket uses the carried row, not copies."""
+    _L, _R, ldf, rdf = data
+    plan = asof_join(ldf, rdf, ["k"], "lt", "rt", tolerance=dt.timedelta(days=2),
+                     bucket_width=dt.timedelta(hours=1))._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence" not in plan
+
+
 def test_plan_has_no_nested_loop_or_cartesian(data):
     _L, _R, ldf, rdf = data
     for tol in (None, dt.timedelta(days=1)):
