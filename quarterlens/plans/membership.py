@@ -49,13 +49,23 @@ def base_index(index: DataFrame, conversion: DataFrame, patch: DataFrame) -> Dat
 
 
 def core_table(members: DataFrame, filings: DataFrame, conversion: DataFrame) -> DataFrame:
-    """Filings -> ticker via cik (left), then inner join with members on
-    (month label, ticker): the company was an index member that month (D1, D3, I2)."""
+    """Filings -> ticker via cik (left), then inner join with the members of the
+    report month on (month label, ticker): the company was an index member that
+    month (D1, D3, I2).
+
+    The member side is first reduced to one row per (month, ticker) - first and
+    last snapshot date and the number of snapshots - with a partial (map-side)
+    aggregate, so a filing matches at most once per ticker. Joining raw snapshots
+    would emit every (filing, snapshot) pair of a month: a hot ticker's group
+    would grow as the product of both sides.
+    """
     f = filings.withColumn("cik", ids.pad_cik("cik"))
     conv = dimension(conversion.select(ids.pad_cik("cik").alias("cik"), "ticker", "company_name"))
     f = f.join(conv, "cik", "left").withColumn("date_clean", month_label("period"))
-    m = ids.fix_tickers(members.select(F.col("date").alias("member_date"), "ticker")) \
-        .withColumn("date_clean", month_label("member_date"))
+    m = ids.fix_tickers(members.select("date", "ticker"))
+    m = (m.groupBy(month_label("date").alias("date_clean"), "ticker")
+         .agg(F.min("date").alias("first_member_date"), F.max("date").alias("last_member_date"),
+              F.count(F.lit(1)).alias("member_snapshots")))
     return f.join(m, ["date_clean", "ticker"], "inner")
 
 

@@ -108,10 +108,13 @@ WITH f AS (SELECT o_orderkey, {_pad('o_custkey::VARCHAR')} AS cik, o_orderdate::
 conv AS (SELECT {_pad('c_custkey::VARCHAR')} AS cik, c_custkey::VARCHAR AS ticker, c_name AS company_name FROM customer),
 fj AS (SELECT f.*, conv.ticker, conv.company_name, strftime(f.period, '%Y-%m') AS date_clean
        FROM f LEFT JOIN conv ON f.cik = conv.cik),
-m AS (SELECT o_orderdate::DATE AS member_date, o_custkey::VARCHAR AS ticker,
-             strftime(o_orderdate, '%Y-%m') AS date_clean
-      FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderdate::DATE > DATE '1995-12-31')
-SELECT fj.date_clean, fj.ticker, fj.o_orderkey, fj.cik, fj.period, fj.company_name, m.member_date
+m AS (SELECT strftime(o_orderdate, '%Y-%m') AS date_clean, o_custkey::VARCHAR AS ticker,
+             min(o_orderdate::DATE) AS first_member_date, max(o_orderdate::DATE) AS last_member_date,
+             count(*) AS member_snapshots
+      FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderdate::DATE > DATE '1995-12-31'
+      GROUP BY 1, 2)
+SELECT fj.date_clean, fj.ticker, fj.o_orderkey, fj.cik, fj.period, fj.company_name,
+       m.first_member_date, m.last_member_date, m.member_snapshots
 FROM fj JOIN m ON fj.date_clean = m.date_clean AND fj.ticker = m.ticker""")
 def q_core_join(spark, sf):
     """Filings joined to the member list of their report month."""
@@ -125,7 +128,8 @@ def q_core_join(spark, sf):
                .select(F.to_date("o_orderdate").alias("date"), F.col("o_custkey").cast("string").alias("ticker"))
                .filter(F.col("date") > F.lit(INDEX_AFTER)))
     return M.core_table(members, filings, conv).select(
-        "date_clean", "ticker", "o_orderkey", "cik", "period", "company_name", "member_date")
+        "date_clean", "ticker", "o_orderkey", "cik", "period", "company_name",
+        "first_member_date", "last_member_date", "member_snapshots")
 
 
 @register("wanted_semi", """

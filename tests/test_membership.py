@@ -55,14 +55,18 @@ def test_left_dim_default_and_missing(spark):
     assert sorted(rows(rows_with_nulls(dim))) == [("B", None, "Banks")]
 
 
-def test_core_table_fan_out(spark):
-    filings = spark.createDataFrame([("f1", "123", D(2022, 3, 31))], "filename string, cik string, period date")
+def test_core_table_one_row_per_filing_and_ticker(spark):
+    filings = spark.createDataFrame([("f1", "123", D(2022, 3, 31)), ("f2", "123", D(2022, 5, 2))],
+                                    "filename string, cik string, period date")
     conv = spark.createDataFrame([("0000000123", "X", "Co"), ("0000000123", "Y", "Co")],
                                  "cik string, ticker string, company_name string")   # one cik, two tickers (L7)
     members = spark.createDataFrame([(D(2022, 3, 1), "X"), (D(2022, 3, 15), "X"), (D(2022, 3, 2), "Y"),
                                      (D(2022, 4, 1), "X")], "date date, ticker string")
-    got = sorted(rows(core_table(members, filings, conv), "ticker", "member_date"))
-    assert got == [("X", D(2022, 3, 1)), ("X", D(2022, 3, 15)), ("Y", D(2022, 3, 2))]
+    got = sorted(rows(core_table(members, filings, conv), "filename", "ticker", "first_member_date",
+                      "last_member_date", "member_snapshots"))
+    # the cik fans out to both tickers; two March snapshots of X give one row, not two;
+    # f2 (May) has no member snapshot that month and is dropped by the inner join
+    assert got == [("f1", "X", D(2022, 3, 1), D(2022, 3, 15), 2), ("f1", "Y", D(2022, 3, 2), D(2022, 3, 2), 1)]
 
 
 def test_wanted_paths(spark):
