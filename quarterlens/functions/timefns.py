@@ -10,10 +10,23 @@ from quarterlens.functions.util import col_of
 MICROS_PER_SECOND = 1_000_000
 
 
+MICROS_PER_DAY = 86_400 * MICROS_PER_SECOND
+
+
 def time_of_day_micros(ts) -> Column:
-    """Microseconds since local midnight (works for TIMESTAMP and TIMESTAMP_NTZ)."""
+    """Wall-clock microseconds since midnight, from the clock fields (TIMESTAMP: in
+    the session time zone; TIMESTAMP_NTZ: as stored). A DST switch does not shift
+    the clock reading, as elapsed time since midnight would."""
+    ts = col_of(ts)
+    hm = (F.hour(ts) * 3600 + F.minute(ts) * 60).cast("long") * MICROS_PER_SECOND
+    return hm + (F.date_part(F.lit("SECOND"), ts) * MICROS_PER_SECOND).cast("long")
+
+
+def wall_clock_micros(ts) -> Column:
+    """Microseconds from 1970-01-01 00:00 to the wall-clock reading of ``ts``; for a
+    TIMESTAMP_NTZ this is exact and independent of the session time zone."""
     ts = col_of(ts)
-    return F.timestamp_diff("MICROSECOND", F.date_trunc("DAY", ts), ts)
+    return F.unix_date(F.to_date(ts)).cast("long") * MICROS_PER_DAY + time_of_day_micros(ts)
 
 
 def time_text(ts) -> Column:

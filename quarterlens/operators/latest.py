@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarterlens.functions.timefns import wall_clock_micros
+
 # A bigint tie shifted by 2^63 is in [0, 2^64) < 10^20: the time takes the digits
 # above. Time units: days (DATE) or microseconds; |micros| < 10^18 (about years
 # -29,000 to 33,000) keeps the key within 38 digits, beyond that ANSI mode raises.
@@ -31,7 +33,7 @@ def time_units(df: DataFrame, time: str) -> Column:
     if isinstance(t, T.DateType):
         return F.unix_date(c).cast("long")
     if isinstance(t, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+        return wall_clock_micros(c)
     if isinstance(t, T.TimestampType):
         return F.unix_micros(c)
     raise TypeError(f"{time}: DATE or TIMESTAMP expected, got {t.simpleString()}")
