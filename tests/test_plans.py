@@ -5,12 +5,38 @@ import pytest
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
-# Queries whose plan legitimately runs Python: the per-partition row numbering of the
-# distributed row index (Arrow batches).
-PYTHON_ALLOWED = {"positional_split", "standardize"}
+# Queries whose plan legitimately runs Python (none: model scoring is in MODEL).
+PYTHON_ALLOWED: set = set()
 MODEL = {"gbt_accuracy", "mlp_accuracy", "score_documents"}
 
 
+def unpartitioned_window(plan: str) -> bool:
+    """True when a Window (possibly over its Sort) reads an ``Exchange SinglePartition``:
+    the whole input in one task."""
+    lines = plan.splitlines()
+
+    def depth(line):
+        return len(line) - len(line.lstrip(" :+-"))
+
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" not in line:
+            continue
+        d, j = depth(line), i
+        for _ in range(2):                       # parent, and grandparent through a Sort
+            j -= 1
+            while j >= 0 and depth(lines[j]) >= d:
+                j -= 1
+            if j < 0:
+                break
+            op = lines[j].lstrip(" :+-")
+            if op.startswith("Window"):
+                return True
+            if not op.startswith("Sort"):
+                break
+            d = depth(lines[j])
+    return False
+
+
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - MODEL))
 def test_no_cartesian_and_no_stray_python(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
@@ -19,6 +45,8 @@ def test_no_cartesian_and_no_stray_python(spark, name):
     python_nodes = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
     if name not in PYTHON_ALLOWED:
         assert not any(p in plan for p in python_nodes), name
+    # no window over the whole input in one task
+    assert not unpartitioned_window(plan), name
 
 
 def _formatted(df):
@@ -36,3 +64,35 @@ def test_scans_are_pruned_and_filters_pushed(spark):
     schemas = [line for line in text.splitlines() if line.startswith("ReadSchema")]
     assert schemas and all("props" not in s for s in schemas)          # unused column never read
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,signup)]" in text
+
+
+def test_unpartitioned_window_pattern_is_detected(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    df = spark.range(10).withColumn("s", F.sum("id").over(Window.partitionBy()))
+    assert unpartitioned_window(df._jdf.queryExecution().executedPlan().toString())
+    ordered = spark.range(10).withColumn("r", F.row_number().over(Window.orderBy("id")))
+    assert unpartitioned_window(ordered._jdf.queryExecution().executedPlan().toString())
+    ok = spark.range(10).withColumn("s", F.sum("id").over(Window.partitionBy(F.col("id") % 2)))
+    assert not unpartitioned_window(ok._jdf.queryExecution().executedPlan().toString())
+
+
+def test_broadcast_only_after_the_size_check(spark):
+    from quarterlens.operators.joins import broadcast_if_small
+
+    big, small = spark.range(1000), spark.range(10)
+    probe = spark.range(100)
+    joined_small = probe.join(broadcast_if_small(small, max_rows=100), "id")
+    joined_big = probe.join(broadcast_if_small(big, max_rows=100), "id")
+    assert "ResolvedHint (strategy=broadcast)" in joined_small._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" not in joined_big._jdf.queryExecution().analyzed().toString()
+
+
+def test_spread_only_when_few_partitions(spark):
+    from quarterlens.operators.partitioning import spread_if_few_partitions
+
+    one = spark.range(0, 100, 1, 1)
+    many = spark.range(0, 100, 1, 16)
+    assert spread_if_few_partitions(one, 4).rdd.getNumPartitions() == 4
+    assert spread_if_few_partitions(many, 4) is many
