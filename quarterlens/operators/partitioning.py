@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame
 
 
-def spread_if_few_partitions(df: DataFrame, min_tasks: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_tasks`` partitions only when it has fewer.
+def spread_if_few_partitions(df: DataFrame, min_tasks: int | None = None,
+                             keys: Sequence[str] = ()) -> DataFrame:
+    """Spread ``df`` over ``min_tasks`` partitions only when it has fewer.
 
     Text parsing and scoring cost CPU per row. A large table arrives in many file
     splits and is left alone (no shuffle); a table stored as one file / row group
     would otherwise be processed by a single task while the other cores idle.
     The partition count is known from planning, no job runs.
+
+    With ``keys`` (a unique or well-spread row key) rows are hash-partitioned on
+    them: deterministic on retry without the per-task sort a round-robin shuffle
+    needs, and a later aggregation on the same keys reuses the partitioning
+    instead of shuffling again.
     """
     target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
+        return df.repartition(target, *keys) if keys else df.repartition(target)
     return df

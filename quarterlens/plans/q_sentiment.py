@@ -64,7 +64,8 @@ def q_sentiment_incremental(spark, sf):
 
     The union must equal a full recompute (``sentiment_stats``).
     """
-    docs = spread_if_few_partitions(read_table(spark, sf, "documents", ["doc_id", "text", "lang"]))
+    docs = spread_if_few_partitions(read_table(spark, sf, "documents", ["doc_id", "text", "lang"]),
+                                    keys=["doc_id"])
     scorer = demo_scorer()
     existing = sentiment_stats(docs.filter(F.col("lang") == "en").select("doc_id", "text"), scorer)
     full = union_incremental(existing, docs.select("doc_id", "text"), ["doc_id"],
@@ -105,7 +106,8 @@ def _filing_text_sql(layout) -> str:
 
 
 def _filing_docs(spark, sf, layout):
-    docs = spread_if_few_partitions(read_table(spark, sf, "documents", ["doc_id", "text", "lang"]))
+    docs = spread_if_few_partitions(read_table(spark, sf, "documents", ["doc_id", "text", "lang"]),
+                                    keys=["doc_id"])
     return docs.select("doc_id", F.expr(_filing_text_sql(layout)).alias("filing_text"))
 
 

@@ -14,8 +14,8 @@ from quarterlens.sources.tables import read_table
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    """MD&A texts: (doc_id, text), spread over the cores when stored as few splits."""
-    return spread_if_few_partitions(read_table(spark, sf, "documents", ["doc_id", "text"]))
+    """MD&A texts: (doc_id, text), hash-spread on doc_id over the cores when stored as few splits."""
+    return spread_if_few_partitions(read_table(spark, sf, "documents", ["doc_id", "text"]), keys=["doc_id"])
 
 
 def prices(spark: SparkSession, sf: str) -> DataFrame:
