@@ -32,16 +32,18 @@ K_SKIP = 18000
 MIN_TEXT_CHARS = 20       # I25: shorter stripped text has no paragraphs
 MIN_PARAGRAPH_CHARS = 50  # I19: keep paragraphs strictly longer than this
 
-# Java regex flags giving Python semantics: case-insensitive with Unicode case and
-# classes (\d as in Python 3 str patterns), and only \n ends a line for '.'.
-PY_FLAGS = "(?iUd)"
+# Java regex flags giving Python semantics: Unicode classes (\d as in Python 3 str
+# patterns) and only \n ends a line for '.'; ``i`` adds Unicode-aware IGNORECASE.
+PY_FLAGS = "(?Ud)"
+PY_FLAGS_IGNORECASE = "(?iUd)"
 _PY_WS_CLASS_BODY = "".join(f"\\x{{{ord(c):04X}}}" for c in PY_WHITESPACE)
 
 
-def python_regex(pattern: str) -> str:
-    r"""Java form of a Python ``re`` pattern: ``\s`` becomes exactly the characters
-    Python's ``\s`` matches in a str pattern (Java's Unicode ``\s`` lacks U+001C-1F),
-    inside and outside character classes. Other syntax used here is shared."""
+def python_regex(pattern: str, ignore_case: bool = False) -> str:
+    r"""Java form of a Python ``re`` pattern (``re.IGNORECASE`` when ``ignore_case``):
+    ``\s`` becomes exactly the characters Python's ``\s`` matches in a str pattern
+    (Java's Unicode ``\s`` lacks U+001C-1F), inside and outside character classes.
+    Other syntax used here is shared."""
     out, i, in_class = [], 0, False
     while i < len(pattern):
         ch = pattern[i]
@@ -59,7 +61,7 @@ def python_regex(pattern: str) -> str:
             in_class = False
         out.append(ch)
         i += 1
-    return PY_FLAGS + "".join(out)
+    return (PY_FLAGS_IGNORECASE if ignore_case else PY_FLAGS) + "".join(out)
 
 
 def py_strip(c) -> Column:
@@ -68,9 +70,14 @@ def py_strip(c) -> Column:
 
 
 def normalise_newlines(c) -> Column:
-    """Local text reads turn CRLF / CR into LF and drop undecodable bytes (U+FFFD)."""
-    s = F.regexp_replace(col_of(c), "\r\n?", "\n")
-    return F.regexp_replace(s, "\\x{FFFD}", "")
+    """Local text reads turn CRLF / CR into LF and drop undecodable bytes (U+FFFD).
+
+    Literal replacements (CRLF first, then a lone CR), not regexes: each is one scan
+    that returns the input untouched when there is nothing to replace.
+    """
+    s = F.replace(col_of(c), F.lit("\r\n"), F.lit("\n"))
+    s = F.replace(s, F.lit("\r"), F.lit("\n"))
+    return F.replace(s, F.lit("\ufffd"), F.lit(""))
 
 
 def text_is_usable(c) -> Column:
@@ -107,9 +114,9 @@ def _section(text, start_re: str, end_re: str, skip: int) -> Column:
     is stripped and an empty cut is null (L19).
     """
     rest = F.substring(col_of(text), skip + 1, 2147483647)
-    s = F.regexp_instr(rest, F.lit(python_regex(start_re)))
+    s = F.regexp_instr(rest, F.lit(python_regex(start_re, ignore_case=True)))
     tail = F.substring(rest, s, 2147483647)
-    e = F.regexp_instr(tail, F.lit(python_regex(end_re)))
+    e = F.regexp_instr(tail, F.lit(python_regex(end_re, ignore_case=True)))
     cut = F.when((s > 0) & (e > 0), F.substring(tail, F.lit(1), e - 1))
     return F.nullif(py_strip(cut), F.lit(""))
 

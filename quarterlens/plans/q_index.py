@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from quarterlens.functions import ids
 from quarterlens.operators.enrich import left_dim_with_default, null_tokens, rows_with_nulls
 from quarterlens.operators.joins import bounded_broadcast
+from quarterlens.operators.partitioning import spread_if_few_partitions
 from quarterlens.plans import membership as M
 from quarterlens.plans import stand_ins
 from quarterlens.plans.q_calendar import filing_names
@@ -58,8 +59,10 @@ def q_member_explode(spark, sf):
     One line per line item (two or three listed ids), built and parsed in the scan
     stage: no grouping, so no list is ever collected and nothing is shuffled.
     """
-    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                            "l_returnflag", "l_shipdate"])
+    li = spread_if_few_partitions(
+        read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                           "l_returnflag", "l_shipdate"]),
+        keys=["l_orderkey", "l_linenumber"])
     listed = F.concat_ws(",", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
                          F.when(F.col("l_returnflag") == "R", F.col("l_orderkey").cast("string")))
     lines = li.select("l_orderkey", "l_linenumber",

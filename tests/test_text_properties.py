@@ -58,3 +58,42 @@ def test_sections_match_python(spark):
         assert got[i][1] == _py_section(t, T.K_START, T.K_END, 10), (i, t)
         hits += got[i][0] is not None
     assert hits > 20
+
+
+def _py_period(text, n=5000):
+    m = re.search(r"CONFORMED PERIOD OF REPORT:\s*(\d{8})", text[:n])
+    return m.group(1) if m else None
+
+
+def test_header_period_matches_python(spark):
+    """Case-sensitive key, Python's \\s and Unicode \\d, first 5,000 characters only."""
+    import datetime as dt
+
+    rnd = random.Random(13)
+    keys = ["CONFORMED PERIOD OF REPORT:", "conformed period of report:", "CONFORMED PERIOD OF REPORT"]
+    gaps = ["", " ", "\t", "\x1c", "\xa0", "\n \n", "  x"]
+    digits = ["20240331", "2024033", "20241399", "２０２４０３３１", "19991231"]
+    texts = []
+    for _ in range(300):
+        pad = " " * rnd.choice([0, 10, 4970, 4990, 6000])
+        texts.append(pad + rnd.choice(keys) + rnd.choice(gaps) + rnd.choice(digits) + "\nTAIL")
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r["i"]: r["p"] for r in df.select("i", T.header_period("t").alias("p")).collect()}
+    for i, t in enumerate(texts):
+        want = _py_period(t)
+        if want is not None:
+            try:
+                want = dt.datetime.strptime(want, "%Y%m%d").date()
+            except ValueError:
+                want = None
+        assert got[i] == want, (i, t[-60:])
+
+
+def test_normalise_newlines_matches_universal_newlines(spark):
+    rnd = random.Random(17)
+    pieces = ["a", "\r", "\n", "\r\n", "\r\r\n", "�", " ", "é"]
+    texts = ["".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 30))) for _ in range(300)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r["i"]: r["n"] for r in df.select("i", T.normalise_newlines("t").alias("n")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == re.sub(r"\r\n?", "\n", t).replace("�", ""), repr(t)
