@@ -18,6 +18,7 @@ from quarterlens.plans.q_prices import QLAB, QOQ_SQL, quarterly_prices
 from quarterlens.plans.q_sentiment import STATS_SQL
 from quarterlens.plans.registry import register, rounded
 from quarterlens.plans.sentiment import sentiment_export
+from quarterlens.session import cut_lineage
 from quarterlens.plans import prices as P
 from quarterlens.sources.tables import read_table
 
@@ -105,7 +106,7 @@ SELECT ticker, quarter, quarter_start, split,
 FROM h, m""")
 def q_minmax(spark, sf):
     """K1: min-max scaling fitted on the training split, applied to every row."""
-    h = hash_split(training_rows(spark, sf), ["ticker", "quarter"])
+    h = cut_lineage(hash_split(training_rows(spark, sf), ["ticker", "quarter"]))  # fit + transform read it
     sc = MinMaxScaling(["net_sentiment"]).fit(h.filter(F.col("split") == "train"))
     return rounded(sc.transform(h).select("ticker", "quarter", "quarter_start", "split",
                                           "net_sentiment_scaled"))
@@ -135,7 +136,7 @@ FROM t, c""")
 def q_onehot(spark, sf):
     """K3: one-hot of industry and quarter number (sorted categories, first dropped
     when a column has exactly two)."""
-    t = training_rows(spark, sf)
+    t = cut_lineage(training_rows(spark, sf))  # one category job per column, then the transform
     enc = OneHotEncoding(["industry", "q_num"]).fit(t)
     v = enc.transform(t)
     return v.select("ticker", "quarter", "quarter_start", "industry", "q_num",
@@ -169,7 +170,7 @@ def q_sentiment_export(spark, sf):
 
 
 def _fit(spark, sf):
-    rows = hash_split(training_rows(spark, sf), ["ticker", "quarter"])
+    rows = cut_lineage(hash_split(training_rows(spark, sf), ["ticker", "quarter"]))
     model = TR.fit_model(rows.filter(F.col("split") == "train"))
     return rows, model
 
@@ -194,6 +195,6 @@ def q_score_documents(spark, sf):
 @register("mlp_accuracy")
 def q_mlp_accuracy(spark, sf):
     """The small dense network on the same split; accuracy and baseline. Rows-only."""
-    rows_ = hash_split(training_rows(spark, sf), ["ticker", "quarter"])
+    rows_ = cut_lineage(hash_split(training_rows(spark, sf), ["ticker", "quarter"]))
     model = TR.fit_mlp(rows_.filter(F.col("split") == "train"))
     return TR.evaluate(model, rows_.filter(F.col("split") == "test"), rows_)
