@@ -128,15 +128,39 @@ class PandasModelScorer:
     ``model_factory`` is a picklable zero-argument callable returning an object
     with ``logits(texts: list[str]) -> ndarray[n, 3]`` (order positive, negative,
     neutral). It runs once per Python worker process, not per batch or row.
+
+    ``on_error='raise'`` fails the task (and, after Spark's retries, the job) when
+    the model raises. ``on_error='skip'`` (B5) retries a failing Arrow batch row by
+    row and gives the rows that still fail null scores; the statistics step can
+    then leave their documents out of an append and report them (see
+    :func:`quarterlens.operators.sentiment.sentiment_stats`).
     """
 
     native = False
 
-    def __init__(self, model_factory: Callable[[], object]):
+    def __init__(self, model_factory: Callable[[], object], on_error: str = "raise"):
+        if on_error not in ("raise", "skip"):
+            raise ValueError(on_error)
         self.model_factory = model_factory
+        self.on_error = on_error
 
     def _udf(self):
-        factory = self.model_factory
+        factory, skip = self.model_factory, self.on_error == "skip"
+
+        def probabilities(model, texts: list) -> np.ndarray:
+            return _softmax_rows(np.asarray(model.logits(texts), dtype="float64"))
+
+        def guarded(model, texts: list) -> np.ndarray:
+            try:
+                return probabilities(model, texts)
+            except Exception:  # noqa: BLE001 - isolate the failing rows of the batch
+                out = np.full((len(texts), len(SCORE_FIELDS)), np.nan)
+                for i, t in enumerate(texts):
+                    try:
+                        out[i] = probabilities(model, [t])[0]
+                    except Exception:  # noqa: BLE001 - this row stays unscored
+                        pass
+                return out
 
         @F.pandas_udf(SCORE_TYPE)
         def score_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -148,8 +172,8 @@ class PandasModelScorer:
                 if len(texts) == 0:
                     yield pd.DataFrame({f: pd.Series([], dtype="float64") for f in SCORE_FIELDS})
                     continue
-                probs = _softmax_rows(np.asarray(model.logits(texts.fillna("").tolist()),
-                                                 dtype="float64"))
+                values = texts.fillna("").tolist()
+                probs = guarded(model, values) if skip else probabilities(model, values)
                 out = pd.DataFrame(probs, columns=list(SCORE_FIELDS))
                 out[texts.isna().to_numpy()] = np.nan
                 yield out

@@ -57,12 +57,15 @@ def top_class(p: Column, n: Column, u: Column) -> Column:
             .otherwise(F.lit("neutral")))
 
 
-def aggregate_stats(scored: DataFrame, keys: Sequence[str], empty: str = "sentinel") -> DataFrame:
+def aggregate_stats(scored: DataFrame, keys: Sequence[str], empty: str = "sentinel",
+                    failures: bool = False) -> DataFrame:
     """E5-E10 per document.
 
     ``empty='sentinel'``: no chunk -> counts 0 and scores -1 (offline table form);
     ``empty='null'``: no chunk -> counts 0 and every score null (E10).
     Derived metrics (net, dominance, entropy) are null without chunks in both modes.
+    ``failures`` adds ``failed_chunks``: paragraphs a skipping scorer left unscored
+    (B5); such a document's other statistics are incomplete.
     """
     if empty not in ("sentinel", "null"):
         raise ValueError(empty)
@@ -75,6 +78,8 @@ def aggregate_stats(scored: DataFrame, keys: Sequence[str], empty: str = "sentin
         F.count_if(F.col("paragraph").isNotNull() & (top == "neutral")).alias("count_neutral_chunks"),
         F.max(p).alias("_max_p"), F.max(n).alias("_max_n"), F.max(u).alias("_max_u"),
         F.sum(p).alias("_sum_p"), F.sum(n).alias("_sum_n"), F.sum(u).alias("_sum_u"),
+        *([F.count_if(F.col("paragraph").isNotNull() & p.isNull()).alias("failed_chunks")]
+          if failures else []),
     )
     has = F.col("n_chunks") > 0
     fill = F.lit(SENTINEL) if empty == "sentinel" else F.lit(None).cast("double")
@@ -100,17 +105,26 @@ def aggregate_stats(scored: DataFrame, keys: Sequence[str], empty: str = "sentin
         F.when(has, avg["u"] > NEUTRAL_DOMINANCE).alias("neutral_dominance_score"),
         F.when(has, F.col("count_neutral_chunks") / cnt > NEUTRAL_DOMINANCE).alias("neutral_dominance_count"),
         F.when(has, entropy).alias("sentiment_entropy"),
+        *(["failed_chunks"] if failures else []),
     )
 
 
 def sentiment_stats(docs: DataFrame, scorer, keys: Sequence[str] = ("doc_id",),
                     text_col: str = "text", empty: str = "sentinel",
-                    balance_partitions: int | None = None) -> DataFrame:
-    """Documents -> one statistics row per document (sentinel rows included)."""
+                    balance_partitions: int | None = None, failures: bool = False) -> DataFrame:
+    """Documents -> one statistics row per document (sentinel rows included).
+
+    ``failures`` adds the ``failed_chunks`` column (see :func:`aggregate_stats`).
+    """
     keys = list(keys)
     par = explode_paragraphs(docs, keys, text_col, outer=True)
     scored = score_paragraphs(par, scorer, keys, balance_partitions)
-    return aggregate_stats(scored, keys, empty)
+    return aggregate_stats(scored, keys, empty, failures)
+
+
+def skips_failures(scorer) -> bool:
+    """True for a scorer that leaves failing paragraphs unscored instead of raising."""
+    return getattr(scorer, "on_error", "raise") == "skip"
 
 
 def averages_only(docs: DataFrame, scorer, keys: Sequence[str] = ("doc_id",),

@@ -8,9 +8,9 @@ filings and stops; the checkpoint location makes progress survive restarts).
 
 from __future__ import annotations
 
-from typing import Callable, Sequence
+from typing import Callable, NamedTuple, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
 
@@ -41,13 +41,21 @@ def _read_existing(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def append_new(spark: SparkSession, candidates: DataFrame, target_path: str,
-               keys: Sequence[str], process: Callable[[DataFrame], DataFrame],
-               partition_by: Sequence[str] = ()) -> int:
-    """M1: process rows whose key is absent from ``target_path`` and append them.
+class AppendReport(NamedTuple):
+    appended: int
+    rejected: int
 
-    Returns the number of appended rows (counted with an ``Observation`` during
-    the write, no second pass).
+
+def append_new_checked(spark: SparkSession, candidates: DataFrame, target_path: str,
+                       keys: Sequence[str], process: Callable[[DataFrame], DataFrame],
+                       partition_by: Sequence[str] = (), reject: Column | None = None,
+                       drop: Sequence[str] = ()) -> AppendReport:
+    """Process rows whose key is absent from ``target_path`` and append them.
+
+    Processed rows matching ``reject`` (e.g. a document the model could not fully
+    score) are not appended but counted; their keys stay pending, so the next run
+    tries them again. ``drop`` removes helper columns before writing. Both counts
+    are observed during the single write (``Observation``), no second pass.
     """
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
@@ -55,13 +63,49 @@ def append_new(spark: SparkSession, candidates: DataFrame, target_path: str,
     existing = _read_existing(spark, target_path)
     todo = candidates if existing is None else pending(candidates, existing, keys)
     out = process(todo)
+    bad = F.coalesce(reject, F.lit(False)) if reject is not None else F.lit(False)
     obs = Observation("appended")
-    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer = out.write.mode("append")
+    out = out.observe(obs, F.count_if(~bad).alias("appended"), F.count_if(bad).alias("rejected"))
+    if reject is not None:
+        out = out.filter(~bad)
+    writer = out.drop(*drop).write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(target_path)
-    return int(obs.get.get("rows", 0))
+    got = obs.get
+    return AppendReport(int(got.get("appended") or 0), int(got.get("rejected") or 0))
+
+
+def append_new(spark: SparkSession, candidates: DataFrame, target_path: str,
+               keys: Sequence[str], process: Callable[[DataFrame], DataFrame],
+               partition_by: Sequence[str] = ()) -> int:
+    """M1: process rows whose key is absent from ``target_path`` and append them.
+
+    Returns the number of appended rows (counted with an ``Observation`` during
+    the write, no second pass).
+    """
+    return append_new_checked(spark, candidates, target_path, keys, process, partition_by).appended
+
+
+def append_sentiment(spark: SparkSession, docs: DataFrame, target_path: str, scorer,
+                     keys: Sequence[str] = ("doc_id",), text_col: str = "text") -> AppendReport:
+    """N7 + M1 + B5: statistics of documents not yet in ``target_path``, appended once.
+
+    With a skipping scorer, documents that have an unscored paragraph are left out
+    and reported (``rejected``) instead of failing the job or being stored with
+    incomplete numbers; a later run retries them.
+    """
+    from pyspark.sql import functions as F
+
+    from quarterlens.operators.sentiment import sentiment_stats, skips_failures
+
+    keys = list(keys)
+    if not skips_failures(scorer):
+        return append_new_checked(spark, docs, target_path, keys,
+                                  lambda d: sentiment_stats(d, scorer, keys, text_col))
+    return append_new_checked(spark, docs, target_path, keys,
+                              lambda d: sentiment_stats(d, scorer, keys, text_col, failures=True),
+                              reject=F.col("failed_chunks") > 0, drop=["failed_chunks"])
 
 
 def stream_new_files(spark: SparkSession, source_dir: str, schema, target_path: str,
@@ -94,7 +138,7 @@ def stream_filing_sentiment(spark: SparkSession, folder: str, target_path: str,
 
     from quarterlens.functions.ids import cik_from_name
     from quarterlens.functions.text import normalise_newlines
-    from quarterlens.operators.sentiment import sentiment_stats
+    from quarterlens.operators.sentiment import sentiment_stats, skips_failures
     from quarterlens.plans.filings import extract_mda
     from quarterlens.sources.filings import FILING_NAME_GLOB, FILING_NAME_PATTERN
 
@@ -105,15 +149,19 @@ def stream_filing_sentiment(spark: SparkSession, folder: str, target_path: str,
                        normalise_newlines("value").alias("text")) \
         .filter(F.col("filename").rlike(FILING_NAME_PATTERN))
 
+    skip = skips_failures(scorer)
+
     def process(batch: DataFrame) -> DataFrame:
         mda = extract_mda(batch)
-        stats = sentiment_stats(mda, scorer, keys=["cik", "filename"], text_col="management_discussion")
-        return stats
+        return sentiment_stats(mda, scorer, keys=["cik", "filename"], text_col="management_discussion",
+                               failures=skip)
 
     def each_batch(batch: DataFrame, _epoch: int) -> None:
         keyed = batch.withColumn("cik", cik_from_name("filename"))
-        append_new(batch.sparkSession, keyed, target_path, ["cik", "filename"],
-                   lambda d: process(d.drop("cik")))
+        append_new_checked(batch.sparkSession, keyed, target_path, ["cik", "filename"],
+                           lambda d: process(d.drop("cik")),
+                           reject=(F.col("failed_chunks") > 0) if skip else None,
+                           drop=["failed_chunks"] if skip else ())
 
     return (files.writeStream.foreachBatch(each_batch)
             .option("checkpointLocation", checkpoint_path)

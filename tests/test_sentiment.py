@@ -113,3 +113,59 @@ def test_python_scorer_is_not_in_native_plan(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
     plan = sentiment_stats(docs, demo_scorer())._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
+
+
+class _FlakyModel:
+    """Demo model that raises on any batch holding a paragraph with the word BOOM."""
+
+    def __init__(self):
+        self.base = demo_model()
+
+    def logits(self, texts):
+        if any("BOOM" in t for t in texts):
+            raise RuntimeError("model failure")
+        return self.base.logits(texts)
+
+
+def _flaky():
+    return _FlakyModel()
+
+
+def test_failed_documents_are_skipped_reported_and_retried(spark, tmp_path):
+    """A document the model cannot fully score is not appended, is counted, and is
+    picked up by the next run; the others are stored once."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    from quarterlens.streaming.incremental import append_sentiment
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])   # workers need _flaky by value
+    ok = "the market grew and the outlook is positive with strong demand in every region"
+    docs = spark.createDataFrame([(1, ok), (2, ok + "\n" + "BOOM " * 15), (3, ok + "\n\n" + ok)],
+                                 "doc_id long, text string")
+    target = str(tmp_path / "sentiment")
+    first = append_sentiment(spark, docs, target, PandasModelScorer(_flaky, on_error="skip"))
+    assert tuple(first) == (2, 1)
+    assert sorted(r[0] for r in rows(spark.read.parquet(target), "doc_id")) == [1, 3]
+    assert "failed_chunks" not in spark.read.parquet(target).columns
+    second = append_sentiment(spark, docs, target, PandasModelScorer(demo_model))
+    assert tuple(second) == (1, 0)
+    stored = spark.read.parquet(target)
+    assert sorted(r[0] for r in rows(stored, "doc_id")) == [1, 2, 3]
+    native = sentiment_stats(docs, demo_scorer("softmax"))
+    cols = ["doc_id", "n_chunks", "count_positive_chunks", "sum_positive"]
+    a, b = sorted(rows(native, *cols)), sorted(rows(stored, *cols))
+    for x, y in zip(a, b):
+        assert x[:3] == y[:3] and math.isclose(x[3], y[3], abs_tol=1e-9)
+
+
+def test_raising_scorer_fails_the_job(spark):
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    docs = spark.createDataFrame([(1, "BOOM " * 15)], "doc_id long, text string")
+    with pytest.raises(Exception):
+        sentiment_stats(docs, PandasModelScorer(_flaky)).collect()
