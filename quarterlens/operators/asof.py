@@ -143,21 +143,24 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
 
 def _carry(l_rows: DataFrame, r_rows: DataFrame, on: list[str], back: bool) -> DataFrame:
     """Best right row of all strictly earlier (backward) / later (forward) buckets,
-    one row per (key, bucket) that holds left rows."""
+    one row per (key, bucket) that holds left rows.
+
+    Per key, the per-bucket best right rows and one marker per bucket with left rows
+    are ordered by bucket, a marker before its own bucket's summary; the last
+    summary strictly before a marker is the carried row. Only summary rows (one
+    per key and bucket) reach this window, never events.
+    """
     # Best right row per (key, bucket): a mergeable max over (time, tie).
     rank_n = F.col("_n") if back else -F.col("_n")
     best = (r_rows.groupBy(*on, "_b")
             .agg(F.max(F.struct(rank_n.alias("k"), F.col("_tie").alias("t"),
-                                F.col("_n").alias("n"), F.col("_r").alias("r"))).alias("_best"),
-                 F.lit(False).alias("_has_left")))
-    lb = l_rows.select(*on, "_b").distinct().select(
-        *on, "_b", F.lit(None).cast(best.schema["_best"].dataType).alias("_best"),
-        F.lit(True).alias("_has_left"))
-    per_bucket = (best.unionByName(lb).groupBy(*on, "_b")
-                  .agg(F.max("_best").alias("_best"), F.max("_has_left").alias("_has_left")))
+                                F.col("_n").alias("n"), F.col("_r").alias("r"))).alias("_best")))
+    marks = l_rows.select(*on, "_b").distinct().select(
+        *on, "_b", F.lit(0).alias("_o"), F.lit(None).cast(best.schema["_best"].dataType).alias("_best"))
+    u = best.select(*on, "_b", F.lit(1).alias("_o"), "_best").unionByName(marks)
     order_b = F.col("_b").asc() if back else F.col("_b").desc()
-    w = Window.partitionBy(*on).orderBy(order_b).rowsBetween(Window.unboundedPreceding, -1)
-    c = per_bucket.withColumn("_carry", F.last("_best", ignorenulls=True).over(w))
-    c = c.filter(F.col("_has_left") & F.col("_carry").isNotNull())
+    w = Window.partitionBy(*on).orderBy(order_b, F.col("_o").asc()).rowsBetween(Window.unboundedPreceding, -1)
+    c = u.withColumn("_carry", F.last("_best", ignorenulls=True).over(w))
+    c = c.filter((F.col("_o") == 0) & F.col("_carry").isNotNull())
     return c.select(*on, "_b", F.col("_carry.n").alias("_n"), F.col("_carry.t").alias("_tie"),
                     F.col("_carry.r").alias("_r"))
