@@ -98,8 +98,11 @@ def test_plan_has_no_nested_loop_or_cartesian(data):
         assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_hot_key_is_spread_over_tasks(spark):
-    """One key with half of all rows: its time buckets land in different tasks."""
+@pytest.mark.parametrize("tol, width", [(dt.timedelta(days=1), None), (None, dt.timedelta(days=1)),
+                                        (dt.timedelta(days=7), dt.timedelta(days=1))])
+def test_hot_key_is_spread_over_tasks(spark, tol, width):
+    """One key with half of all rows: its time buckets land in different tasks (copy
+    path, and carry path with and without a tolerance)."""
     from pyspark.sql import functions as F
 
     rnd = random.Random(3)
@@ -112,7 +115,7 @@ def test_hot_key_is_spread_over_tasks(spark):
     prev = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        out = asof_join(ldf, rdf, ["k"], "lt", "rt", tolerance=dt.timedelta(days=1))
+        out = asof_join(ldf, rdf, ["k"], "lt", "rt", tolerance=tol, bucket_width=width)
         # read the matched value, or Catalyst prunes the whole join from a plain count
         per_task = (out.groupBy(F.spark_partition_id().alias("p"))
                     .agg(F.count(F.lit(1)).alias("count"), F.count("v").alias("matched")).collect())
