@@ -74,3 +74,13 @@ def test_wanted_paths(spark):
                                    ("a/20150102_10-Q_edgar_data_55_y.txt",)], "path string")
     wanted = spark.createDataFrame([(1022097,)], "cik long")
     assert [r[0] for r in rows(wanted_paths(paths, wanted), "path")] == ["a/20150102_10-K_edgar_data_0001022097_x.txt"]
+
+
+def test_core_table_null_period_never_matches(spark):
+    """A filing without a report period has no month label and joins nothing."""
+    filings = spark.createDataFrame([("f1", "123", None), ("f2", "123", D(2022, 3, 31))],
+                                    "filename string, cik string, period date")
+    conv = spark.createDataFrame([("0000000123", "X", "Co")], "cik string, ticker string, company_name string")
+    members = spark.createDataFrame([(D(2022, 3, 1), "X"), (None, "X")], "date date, ticker string")
+    got = sorted(rows(core_table(members, filings, conv), "filename", "member_snapshots"))
+    assert got == [("f2", 1)]
