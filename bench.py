@@ -24,10 +24,21 @@ HEADLINE = ["sentiment_stats", "asof_tol7", "index_snapshot", "training_table",
             "change_on_day", "member_explode"]
 
 
+def cpu_calibration() -> float:
+    """Seconds for a fixed pure-Python loop: a yardstick of this machine's speed at
+    bench time (shared machines vary by 2x or more), not part of the metric."""
+    t0 = time.perf_counter()
+    s = 0
+    for i in range(5_000_000):
+        s += i
+    return round(time.perf_counter() - t0, 3)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    calibration = cpu_calibration()
     spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus,
                           extra={"spark.driver.memory": "16g"})
     registry.load_all()
@@ -43,7 +54,8 @@ def main() -> None:
         times[name] = round(statistics.median(runs), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "headline_queries_total_median", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus}))
+                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus,
+                      "cpu_calibration_sec": calibration}))
 
 
 if __name__ == "__main__":
