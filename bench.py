@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEATS (default 3). Each query runs once to warm up, then BENCH_REPEATS
+BENCH_REPEATS (default 5). Each query runs once to warm up, then BENCH_REPEATS
 times; the median wall time is reported. Results are fully computed through the
 ``noop`` sink (no collect to the driver).
 """
@@ -37,7 +37,7 @@ def cpu_calibration() -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "5"))
     calibration = cpu_calibration()
     spark = build_session(f"local[{cpus}]", shuffle_partitions=2 * cpus,
                           extra={"spark.driver.memory": "16g"})
