@@ -37,6 +37,8 @@ from pyspark.sql import types as T
 from quarterlens.operators.latest import time_units
 
 MICROS_PER_DAY = 86_400_000_000
+AUTO_BUCKET_ROWS = 1_000_000  # target rows per (key, bucket) window partition for 'auto'
+BUCKET_WIDTH_CONF = "quarterlens.asof.bucketWidth"  # session setting: "auto" for every as-of join
 
 
 def _is_date(df: DataFrame, c: str) -> bool:
@@ -58,13 +60,20 @@ def _units(delta: dt.timedelta | int | None, is_date: bool) -> int | None:
 def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: str,
               right_time: str, direction: str = "backward", allow_exact: bool = True,
               tolerance: dt.timedelta | int | None = None, right_tie: str | None = None,
-              bucket_width: dt.timedelta | int | None = None) -> DataFrame:
+              bucket_width: dt.timedelta | int | str | None = None,
+              auto_bucket_rows: int = AUTO_BUCKET_ROWS) -> DataFrame:
     """Each left row with the nearest right row by time within equal ``on`` keys.
 
     ``direction='backward'``: latest right time <= left time (< when
     ``allow_exact`` is False); ``'forward'``: earliest right time >= left time.
     ``tolerance`` bounds the gap (inclusive). Output: left columns, then the right
     columns other than ``on`` (``right_time`` included, null when unmatched).
+
+    ``bucket_width``: None uses a fixed default (the tolerance, at least a day; 30
+    days without a tolerance) unless the session sets ``quarterlens.asof.bucketWidth``
+    to ``auto``; ``'auto'`` sizes it from the data with one small aggregate job, so
+    that the densest key holds about ``auto_bucket_rows`` rows per bucket on average
+    (see :func:`auto_bucket_width`).
     """
     if direction not in ("backward", "forward"):
         raise ValueError(direction)
@@ -74,13 +83,17 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
         raise TypeError("left and right time columns must both be DATE or both timestamps")
     tol = _units(tolerance, is_date)
     one_day = 1 if is_date else MICROS_PER_DAY
-    if bucket_width is not None:
-        width = _units(bucket_width, is_date)
+    if bucket_width is None and left.sparkSession.conf.get(BUCKET_WIDTH_CONF, "") == "auto":
+        bucket_width = "auto"
+    auto = bucket_width == "auto"
+    if auto:
+        width = None
+    elif bucket_width is not None:
+        width = max(int(_units(bucket_width, is_date)), 1)
     elif tol is None:
         width = 30 * one_day
     else:
         width = max(tol, one_day)
-    width = max(int(width), 1)
     back = direction == "backward"
 
     payload_cols = [c for c in right.columns if c not in on]
@@ -100,6 +113,9 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     l = left.select(*[F.col(k) for k in on], time_units(left, left_time).alias("_n"),
                     F.struct(*[F.col(c) for c in left_cols]).alias("_l"))
 
+    if auto:
+        width = auto_bucket_width(l, r, on, auto_bucket_rows)
+
     # Side order at equal time: inclusive -> right first, strict -> left first.
     right_side, left_side = (0, 1) if allow_exact else (1, 0)
     bucket = lambda n: F.floor(n / F.lit(width)).cast("long")
@@ -141,6 +157,23 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
                       *[F.when(ok, F.col("_m.r")[c]).alias(c) for c in payload_cols])
 
 
+def auto_bucket_width(l: DataFrame, r: DataFrame, on: list[str], target_rows: int) -> int:
+    """Bucket width (time units) giving the densest key about ``target_rows`` left +
+    right rows per bucket: min over keys of span * target / rows, at least 1.
+
+    One aggregate job (partial per key, then a global minimum): a hot key holding a
+    third of all rows gets narrow buckets and so is spread over many tasks; since
+    a narrow bucket never multiplies rows (the carry path handles any tolerance),
+    the other keys only get more, smaller window partitions.
+    """
+    both = l.select(*on, "_n").unionByName(r.select(*on, "_n"))
+    per_key = both.groupBy(*on).agg(F.count(F.lit(1)).alias("_c"), F.min("_n").alias("_lo"),
+                                    F.max("_n").alias("_hi"))
+    span = (F.col("_hi") - F.col("_lo") + 1).cast("double")
+    w = per_key.agg(F.min(F.floor(span * F.lit(float(target_rows)) / F.col("_c")))).first()[0]
+    return max(int(w), 1) if w is not None else 1
+
+
 def _carry(l_rows: DataFrame, r_rows: DataFrame, on: list[str], back: bool) -> DataFrame:
     """Best right row of all strictly earlier (backward) / later (forward) buckets,
     one row per (key, bucket) that holds left rows.

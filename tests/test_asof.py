@@ -50,6 +50,30 @@ def test_matches_brute_force(data, direction, exact, tol, width):
     assert got == _brute(L, R, direction, exact, tol)
 
 
+@pytest.mark.parametrize("direction", ["backward", "forward"])
+@pytest.mark.parametrize("exact", [True, False])
+@pytest.mark.parametrize("tol", [None, dt.timedelta(days=2)])
+def test_auto_width_matches_brute_force(data, direction, exact, tol):
+    """'auto' with a small row target gives narrow buckets; results stay exact."""
+    L, R, ldf, rdf = data
+    res = asof_join(ldf, rdf, ["k"], "lt", "rt", direction, exact, tol, "rid", "auto", auto_bucket_rows=5)
+    got = dict(rows(res, "id", "rid"))
+    assert len(got) == len(L) and res.count() == len(L)
+    assert got == _brute(L, R, direction, exact, tol)
+
+
+def test_auto_width_follows_the_densest_key(spark):
+    from quarterlens.operators.asof import MICROS_PER_DAY, auto_bucket_width
+    from pyspark.sql import functions as F
+
+    # key A: 100 rows over 99 days; key B: 10 rows over 90 days -> A decides: 99 days * 10 / 100
+    rows_ = [("A", i) for i in range(100)] + [("B", 10 * i) for i in range(10)]
+    df = spark.createDataFrame(rows_, "k string, d int").select(
+        "k", (F.col("d").cast("long") * MICROS_PER_DAY).alias("_n"))
+    w = auto_bucket_width(df.limit(0), df, ["k"], 10)
+    assert w == (99 * MICROS_PER_DAY + 1) * 10 // 100
+
+
 def test_boundaries_and_null_payload(spark):
     t0 = dt.datetime(2024, 3, 31, 16, 0)
     left = spark.createDataFrame([(1, "A", t0), (2, "A", t0 + dt.timedelta(microseconds=1)), (3, "Z", t0)],
@@ -99,7 +123,8 @@ def test_plan_has_no_nested_loop_or_cartesian(data):
 
 
 @pytest.mark.parametrize("tol, width", [(dt.timedelta(days=1), None), (None, dt.timedelta(days=1)),
-                                        (dt.timedelta(days=7), dt.timedelta(days=1))])
+                                        (dt.timedelta(days=7), dt.timedelta(days=1)),
+                                        (dt.timedelta(days=7), "auto")])
 def test_hot_key_is_spread_over_tasks(spark, tol, width):
     """One key with half of all rows: its time buckets land in different tasks (copy
     path, and carry path with and without a tolerance)."""
@@ -115,7 +140,7 @@ def test_hot_key_is_spread_over_tasks(spark, tol, width):
     prev = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        out = asof_join(ldf, rdf, ["k"], "lt", "rt", tolerance=tol, bucket_width=width)
+        out = asof_join(ldf, rdf, ["k"], "lt", "rt", tolerance=tol, bucket_width=width, auto_bucket_rows=100)
         # read the matched value, or Catalyst prunes the whole join from a plain count
         per_task = (out.groupBy(F.spark_partition_id().alias("p"))
                     .agg(F.count(F.lit(1)).alias("count"), F.count("v").alias("matched")).collect())
@@ -124,3 +149,19 @@ def test_hot_key_is_spread_over_tasks(spark, tol, width):
     hot = sum(1 for r in L if r[1] == "HOT")
     assert max(r["count"] for r in per_task) < hot * 0.5        # the hot key is split, not one task
     assert sum(r["count"] for r in per_task) == len(L)
+
+
+def test_session_setting_turns_on_auto_width(spark, data):
+    from quarterlens.operators.asof import BUCKET_WIDTH_CONF
+
+    L, R, ldf, rdf = data
+    spark.conf.set(BUCKET_WIDTH_CONF, "auto")
+    try:
+        res = asof_join(ldf, rdf, ["k"], "lt", "rt", "backward", True, dt.timedelta(days=2), "rid",
+                        auto_bucket_rows=5)
+        plan = res._jdf.queryExecution().optimizedPlan().toString()
+        got = dict(rows(res, "id", "rid"))
+    finally:
+        spark.conf.unset(BUCKET_WIDTH_CONF)
+    assert "sequence" not in plan                     # narrow buckets: the carry path, no copies
+    assert got == _brute(L, R, "backward", True, dt.timedelta(days=2))
