@@ -57,6 +57,14 @@ def top_class(p: Column, n: Column, u: Column) -> Column:
             .otherwise(F.lit("neutral")))
 
 
+def top_flags(p: Column, n: Column, u: Column) -> tuple[Column, Column, Column]:
+    """E6 as three conditions (positive, negative, neutral), same tie order as
+    :func:`top_class`; an unscored paragraph (null scores) is in no class."""
+    pos = (p >= n) & (p >= u)
+    neg = ~pos & (n >= u)
+    return pos, neg, ~pos & ~neg
+
+
 def aggregate_stats(scored: DataFrame, keys: Sequence[str], empty: str = "sentinel",
                     failures: bool = False) -> DataFrame:
     """E5-E10 per document.
@@ -70,12 +78,13 @@ def aggregate_stats(scored: DataFrame, keys: Sequence[str], empty: str = "sentin
     if empty not in ("sentinel", "null"):
         raise ValueError(empty)
     p, n, u = F.col("positive"), F.col("negative"), F.col("neutral")
-    top = top_class(p, n, u)
+    is_pos, is_neg, is_neu = top_flags(p, n, u)
+    present = F.col("paragraph").isNotNull()
     agg = scored.groupBy(*keys).agg(
         F.count("paragraph").alias("n_chunks"),
-        F.count_if(F.col("paragraph").isNotNull() & (top == "positive")).alias("count_positive_chunks"),
-        F.count_if(F.col("paragraph").isNotNull() & (top == "negative")).alias("count_negative_chunks"),
-        F.count_if(F.col("paragraph").isNotNull() & (top == "neutral")).alias("count_neutral_chunks"),
+        F.count_if(present & is_pos).alias("count_positive_chunks"),
+        F.count_if(present & is_neg).alias("count_negative_chunks"),
+        F.count_if(present & is_neu).alias("count_neutral_chunks"),
         F.max(p).alias("_max_p"), F.max(n).alias("_max_n"), F.max(u).alias("_max_u"),
         F.sum(p).alias("_sum_p"), F.sum(n).alias("_sum_n"), F.sum(u).alias("_sum_u"),
         *([F.count_if(F.col("paragraph").isNotNull() & p.isNull()).alias("failed_chunks")]

@@ -169,3 +169,10 @@ def test_raising_scorer_fails_the_job(spark):
     docs = spark.createDataFrame([(1, "BOOM " * 15)], "doc_id long, text string")
     with pytest.raises(Exception):
         sentiment_stats(docs, PandasModelScorer(_flaky)).collect()
+
+
+def test_unscored_paragraph_is_in_no_class(spark):
+    chunks = spark.createDataFrame([("d", "p1", 0.2, 0.2, 0.6), ("d", "p2", None, None, None)], CHUNK_SCHEMA)
+    r = aggregate_stats(chunks, ["doc"], failures=True).first()
+    assert (r["n_chunks"], r["failed_chunks"]) == (2, 1)
+    assert (r["count_positive_chunks"], r["count_negative_chunks"], r["count_neutral_chunks"]) == (0, 0, 1)
