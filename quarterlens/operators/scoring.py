@@ -122,6 +122,17 @@ def _softmax_rows(logits: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+def _factory_key(factory) -> str:
+    """Cache key of a model factory that is stable across tasks of one Python worker:
+    module-level functions and classes by qualified name (a copy unpickled per task
+    has a new address, so ``repr`` would reload the model every task); lambdas,
+    nested functions and other objects by ``repr``."""
+    name = getattr(factory, "__qualname__", None)
+    if name and "<" not in name:
+        return f"{factory.__module__}.{name}"
+    return repr(factory)
+
+
 class PandasModelScorer:
     """Score with any Python model through an iterator pandas UDF.
 
@@ -162,9 +173,10 @@ class PandasModelScorer:
                         pass
                 return out
 
+        key = _factory_key(factory)
+
         @F.pandas_udf(SCORE_TYPE)
         def score_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            key = repr(factory)
             model = _MODEL_CACHE.get(key)
             if model is None:
                 model = _MODEL_CACHE[key] = factory()
