@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarterlens.operators.joins import bounded_broadcast
 from quarterlens.operators.partitioning import spread_if_few_partitions
 from quarterlens.sources.tables import read_table
 
@@ -54,7 +55,7 @@ def company_info(spark: SparkSession, sf: str) -> DataFrame:
     """
     c = read_table(spark, sf, "customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
     n = read_table(spark, sf, "nation", ["n_nationkey", "n_name"])
-    j = c.join(F.broadcast(n), c["c_nationkey"] == n["n_nationkey"], "left")  # 25 nations: bounded
+    j = c.join(bounded_broadcast(n), c["c_nationkey"] == n["n_nationkey"], "left")  # 25 nations
     return j.select(F.col("c_custkey").alias("ticker"), F.col("c_name").alias("short_name"),
                     F.when(F.col("c_acctbal") > 0, F.col("c_name")).alias("long_name"),
                     (F.abs("c_acctbal") * 1000 + 1).alias("shares_outstanding"),
