@@ -142,10 +142,14 @@ def industry_for(sector: DataFrame, ticker: str) -> DataFrame:
 def score_documents(requests: DataFrame, stats: DataFrame, sector: DataFrame, model,
                     keys: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Requests (doc_id, ticker, q_num) + their sentiment statistics + the
-    ticker's industry (one per ticker, A9) -> prediction and probability of Up."""
+    ticker's industry (one per ticker, A9) -> prediction and probability of Up, with
+    the fields the single-document response reports (dominance as fed to the
+    model, net sentiment, industry, entropy)."""
     ind = sector.groupBy("ticker").agg(F.min("industry").alias("industry"))
     feats = (requests.join(stats, list(keys), "left")
              .join(dimension(ind), "ticker", "left")
-             .select(*keys, "ticker", "q_num", "industry", "net_sentiment",
+             .select(*keys, "ticker", "q_num", "industry", "net_sentiment", "sentiment_entropy",
                      F.col("neutral_dominance_count").alias("neutral_dominance")))
-    return predict(model, feats).select(*keys, "ticker", "prediction", "probability_up")
+    return predict(model, feats).select(*keys, "ticker", "prediction", "probability_up",
+                                        "neutral_dominance", "net_sentiment", "industry",
+                                        "sentiment_entropy")

@@ -78,6 +78,20 @@ def test_model_save_load_and_mlp(spark, tmp_path):
     assert TR.predict(m, df).count() == 60
     ev = TR.evaluate(model, df, df).first()
     assert ev["n_test"] == 60 and 0 <= ev["accuracy"] <= 1 and ev["baseline"] == 0.5
+    # One row per request with the single-document response fields; a ticker with
+    # two industry rows takes one of them (A9), a document without statistics still scores
+    req = spark.createDataFrame([(1, "T1", "2"), (2, "T2", "2"), (3, "T9", "1")],
+                                "doc_id long, ticker string, q_num string")
+    stats = spark.createDataFrame([(1, 0.1, 1.2, True), (2, -0.3, 0.9, False)],
+                                  "doc_id long, net_sentiment double, sentiment_entropy double, "
+                                  "neutral_dominance_count boolean")
+    sector = spark.createDataFrame([("T1", "ind1"), ("T1", "ind0"), ("T2", "ind2")], "ticker string, industry string")
+    out = TR.score_documents(req, stats, sector, model)
+    assert out.columns == ["doc_id", "ticker", "prediction", "probability_up", "neutral_dominance",
+                           "net_sentiment", "industry", "sentiment_entropy"]
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert sorted(got) == [1, 2, 3] and got[1]["industry"] == "ind0" and got[3]["industry"] is None
+    assert all(0 <= r["probability_up"] <= 1 and r["prediction"] in (0, 1) for r in got.values())
 
 
 def test_reshape(spark):
