@@ -108,14 +108,23 @@ def append_sentiment(spark: SparkSession, docs: DataFrame, target_path: str, sco
                               reject=F.col("failed_chunks") > 0, drop=["failed_chunks"])
 
 
+# Files per micro-batch: ``availableNow`` splits a backlog into batches of this size,
+# each committed to the stream checkpoint on its own (B5: chunked progress).
+MAX_FILES_PER_TRIGGER = 10_000
+
+
 def stream_new_files(spark: SparkSession, source_dir: str, schema, target_path: str,
                      checkpoint_path: str, keys: Sequence[str],
-                     process: Callable[[DataFrame], DataFrame], file_format: str = "parquet"):
+                     process: Callable[[DataFrame], DataFrame], file_format: str = "parquet",
+                     max_files_per_trigger: int = MAX_FILES_PER_TRIGGER):
     """M1 as a stream: new files in ``source_dir`` are processed once each.
 
-    Uses ``availableNow`` so a scheduled run drains the backlog and stops.
+    Uses ``availableNow`` so a scheduled run drains the backlog and stops; the
+    backlog is cut into micro-batches of at most ``max_files_per_trigger`` files,
+    so a failure late in a large backfill keeps the batches already committed.
     """
-    stream = spark.readStream.schema(schema).format(file_format).load(source_dir)
+    stream = (spark.readStream.schema(schema).format(file_format)
+              .option("maxFilesPerTrigger", max_files_per_trigger).load(source_dir))
 
     def each_batch(batch: DataFrame, _epoch: int) -> None:
         append_new(batch.sparkSession, batch, target_path, keys, process)
@@ -126,7 +135,8 @@ def stream_new_files(spark: SparkSession, source_dir: str, schema, target_path:
 
 
 def stream_filing_sentiment(spark: SparkSession, folder: str, target_path: str,
-                            checkpoint_path: str, scorer) -> "object":
+                            checkpoint_path: str, scorer,
+                            max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> "object":
     """M1 end to end: filing text files arriving in ``folder`` -> MD&A section ->
     per-filing sentiment statistics appended once per (cik, filename).
 
@@ -143,6 +153,7 @@ def stream_filing_sentiment(spark: SparkSession, folder: str, target_path: str,
     from quarterlens.sources.filings import FILING_NAME_GLOB, FILING_NAME_PATTERN
 
     raw = (spark.readStream.option("pathGlobFilter", FILING_NAME_GLOB)
+           .option("maxFilesPerTrigger", max_files_per_trigger)
            .option("recursiveFileLookup", "true").text(folder, wholetext=True))
     files = raw.select(F.col("_metadata.file_path").alias("path"),
                        F.col("_metadata.file_name").alias("filename"),

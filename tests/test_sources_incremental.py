@@ -122,8 +122,10 @@ def test_stream_new_files_once_each(spark, tmp_path):
     q.awaitTermination()
     docs.filter("doc_id >= 50").write.parquet(src + "/batch2")
     docs.filter("doc_id < 10").write.parquet(src + "/batch3")      # re-delivered rows are skipped
-    q = stream_new_files(spark, src + "/*", **kw)
+    q = stream_new_files(spark, src + "/*", max_files_per_trigger=1, **kw)
     q.awaitTermination()
+    n_files = len([f for d in ("batch2", "batch3") for f in os.listdir(f"{src}/{d}") if f.endswith(".parquet")])
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == n_files   # one file per batch
     out = spark.read.parquet(target)
     assert out.count() == docs.count() == out.select("doc_id").distinct().count()
 
