@@ -28,9 +28,10 @@ microseconds; NTZ values as wall clock, independent of the session time zone).
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,12 +105,12 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     tie_t = right.schema[tie_col].dataType
     key_types = {k: left.schema[k].dataType for k in on}
 
-    # Right side: drop null keys / times (they never match in SQL), add numeric time.
-    r = right.dropna(subset=on + [right_time])
-    r = r.select(*[F.col(k).cast(key_types[k]).alias(k) for k in on],
-                 time_units(right, right_time).alias("_n"),
-                 F.col(tie_col).alias("_tie"),
-                 F.struct(*[F.col(c) for c in payload_cols]).alias("_r"))
+    # Right side: null keys / times never match in SQL; numeric time once per side.
+    r_ok = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on + [right_time]])
+    r = right.where(r_ok).select(*[F.col(k).cast(key_types[k]).alias(k) for k in on],
+                                 time_units(right, right_time).alias("_n"),
+                                 F.col(tie_col).alias("_tie"),
+                                 F.struct(*[F.col(c) for c in payload_cols]).alias("_r"))
     l = left.select(*[F.col(k) for k in on], time_units(left, left_time).alias("_n"),
                     F.struct(*[F.col(c) for c in left_cols]).alias("_l"))
 
@@ -119,42 +120,34 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
     # Side order at equal time: inclusive -> right first, strict -> left first.
     right_side, left_side = (0, 1) if allow_exact else (1, 0)
     bucket = lambda n: F.floor(n / F.lit(width)).cast("long")
+    n = F.col("_n")
 
+    def as_right(df: DataFrame, b: Column) -> DataFrame:
+        return df.select(*on, b.alias("_b"), "_n", F.lit(right_side).alias("_side"), "_tie",
+                         F.lit(None).cast(l_struct_t).alias("_l"), "_r")
+
+    u_left = l.select(*on, bucket(n).alias("_b"), "_n", F.lit(left_side).alias("_side"),
+                      F.lit(None).cast(tie_t).alias("_tie"), "_l", F.lit(None).cast(r_struct_t).alias("_r"))
     if tol is not None and tol <= width:
-        lo = F.col("_n") if back else F.col("_n") - F.lit(tol)
-        hi = F.col("_n") + F.lit(tol) if back else F.col("_n")
-        r_rows = r.withColumn("_b", F.explode(F.sequence(bucket(lo), bucket(hi))))
-        carry_rows = None
+        lo, hi = (n, n + F.lit(tol)) if back else (n - F.lit(tol), n)
+        u = u_left.unionByName(as_right(r, F.explode(F.sequence(bucket(lo), bucket(hi)))))
     else:
-        r_rows = r.withColumn("_b", bucket(F.col("_n")))
-        carry_rows = _carry(l.withColumn("_b", bucket(F.col("_n"))), r_rows, on, back)
-
-    l_rows = l.withColumn("_b", bucket(F.col("_n")))
-    u_left = l_rows.select(*on, "_b", "_n", F.lit(left_side).alias("_side"),
-                           F.lit(None).cast(tie_t).alias("_tie"), "_l",
-                           F.lit(None).cast(r_struct_t).alias("_r"))
-    parts = [r_rows]
-    if carry_rows is not None:
-        parts.append(carry_rows)
-    u_right = [p.select(*on, "_b", "_n", F.lit(right_side).alias("_side"), "_tie",
-                        F.lit(None).cast(l_struct_t).alias("_l"), "_r") for p in parts]
-    u = u_left
-    for p in u_right:
-        u = u.unionByName(p)
-
-    order_n = F.col("_n").asc() if back else F.col("_n").desc()
+        r_rows = as_right(r, bucket(n))
+        carry = _carry(u_left, r_rows, on, back, right_side, l_struct_t)
+        u = u_left.unionByName(r_rows).unionByName(carry)
+
+    order_n = n.asc() if back else n.desc()
     w = (Window.partitionBy(*on, "_b").orderBy(order_n, F.col("_side").asc(), F.col("_tie").asc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    matched = F.when(F.col("_r").isNotNull(),
-                     F.struct(F.col("_n").alias("n"), F.col("_r").alias("r")))
-    seen = u.withColumn("_m", F.last(matched, ignorenulls=True).over(w))
-    res = seen.filter(F.col("_l").isNotNull())
+    matched = F.when(F.col("_r").isNotNull(), F.struct(n.alias("n"), F.col("_r").alias("r")))
+    seen = u.select("_n", "_l", F.last(matched, ignorenulls=True).over(w).alias("_m"))
     ok = F.col("_m").isNotNull()
     if tol is not None:
-        gap = (F.col("_n") - F.col("_m.n")) if back else (F.col("_m.n") - F.col("_n"))
+        gap = (n - F.col("_m.n")) if back else (F.col("_m.n") - n)
         ok = ok & (gap <= F.lit(tol))
-    return res.select(*[F.col("_l")[c].alias(c) for c in left_cols],
-                      *[F.when(ok, F.col("_m.r")[c]).alias(c) for c in payload_cols])
+    return seen.where(F.col("_l").isNotNull()).select(
+        *[F.col("_l")[c].alias(c) for c in left_cols],
+        *[F.when(ok, F.col("_m.r")[c]).alias(c) for c in payload_cols])
 
 
 def auto_bucket_width(l: DataFrame, r: DataFrame, on: list[str], target_rows: int) -> int:
@@ -174,9 +167,11 @@ def auto_bucket_width(l: DataFrame, r: DataFrame, on: list[str], target_rows: in
     return max(int(w), 1) if w is not None else 1
 
 
-def _carry(l_rows: DataFrame, r_rows: DataFrame, on: list[str], back: bool) -> DataFrame:
+def _carry(l_rows: DataFrame, r_rows: DataFrame, on: list[str], back: bool, right_side: int,
+           l_struct_t: T.StructType) -> DataFrame:
     """Best right row of all strictly earlier (backward) / later (forward) buckets,
-    one row per (key, bucket) that holds left rows.
+    one row per (key, bucket) that holds left rows, shaped like the right rows of the
+    union (side ``right_side``, no left payload).
 
     Per key, the per-bucket best right rows and one marker per bucket with left rows
     are ordered by bucket, a marker before its own bucket's summary; the last
@@ -194,6 +189,7 @@ def _carry(l_rows: DataFrame, r_rows: DataFrame, on: list[str], back: bool) -> D
     order_b = F.col("_b").asc() if back else F.col("_b").desc()
     w = Window.partitionBy(*on).orderBy(order_b, F.col("_o").asc()).rowsBetween(Window.unboundedPreceding, -1)
     c = u.withColumn("_carry", F.last("_best", ignorenulls=True).over(w))
-    c = c.filter((F.col("_o") == 0) & F.col("_carry").isNotNull())
-    return c.select(*on, "_b", F.col("_carry.n").alias("_n"), F.col("_carry.t").alias("_tie"),
+    c = c.where((F.col("_o") == 0) & F.col("_carry").isNotNull())
+    return c.select(*on, "_b", F.col("_carry.n").alias("_n"), F.lit(right_side).alias("_side"),
+                    F.col("_carry.t").alias("_tie"), F.lit(None).cast(l_struct_t).alias("_l"),
                     F.col("_carry.r").alias("_r"))

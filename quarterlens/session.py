@@ -16,6 +16,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # small Arrow batches keep model-scoring memory flat
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+    # Python call sites in error messages cost a JVM round trip per column operation
+    # while a plan is built (Spark documents the overhead); plans here are long.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
