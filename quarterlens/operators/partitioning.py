@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 
 
 def spread_if_few_partitions(df: DataFrame, min_tasks: int | None = None,
-                             keys: Sequence[str] = ()) -> DataFrame:
+                             keys: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
     """Spread ``df`` over ``min_tasks`` partitions only when it has fewer.
 
     Text parsing and scoring cost CPU per row. A large table arrives in many file
@@ -19,9 +19,11 @@ def spread_if_few_partitions(df: DataFrame, min_tasks: int | None = None,
     With ``keys`` (a unique or well-spread row key) rows are hash-partitioned on
     them: deterministic on retry without the per-task sort a round-robin shuffle
     needs, and a later aggregation on the same keys reuses the partitioning
-    instead of shuffling again.
+    instead of shuffling again. ``partitions`` passes a known input partition count
+    (e.g. :func:`quarterlens.sources.tables.scan_partitions`) to skip planning ``df``.
     """
     target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    current = partitions if partitions is not None else df._jdf.rdd().getNumPartitions()
+    if current < target:
         return df.repartition(target, *keys) if keys else df.repartition(target)
     return df

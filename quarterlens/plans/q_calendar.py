@@ -11,7 +11,7 @@ from quarterlens.functions.timefns import day_start, earnings_session, exchange_
 from quarterlens.operators.partitioning import spread_if_few_partitions
 from quarterlens.plans import stand_ins
 from quarterlens.plans.registry import register, rounded
-from quarterlens.sources.tables import read_table
+from quarterlens.sources.tables import read_table, scan_partitions
 
 
 @register("quarter_labels", """
@@ -77,7 +77,7 @@ def filing_names(spark, sf):
     """Filing file names and folder paths derived from orders (one filing per order)."""
     o = spread_if_few_partitions(
         read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"]),
-        keys=["o_orderkey"])
+        keys=["o_orderkey"], partitions=scan_partitions(spark, sf, "orders"))
     named = o.select("o_orderkey", "o_custkey", "o_orderdate",
                      F.expr(_FNAME_SPARK).alias("filename"))
     return named.withColumn("path", ids.join_path(
@@ -141,7 +141,7 @@ def q_period_parse(spark, sf):
     """A2 + I9: report period from the first 5,000 characters; bad or late -> null."""
     o = spread_if_few_partitions(
         read_table(spark, sf, "orders", ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate"]),
-        keys=["o_orderkey"])
+        keys=["o_orderkey"], partitions=scan_partitions(spark, sf, "orders"))
     h = o.select("o_orderkey", normalise_newlines(F.expr(_HEADER_SPARK)).alias("header"))
     p = h.select("o_orderkey", header_period("header").alias("period"))
     return p.select("o_orderkey", "period", Q.quarter_label("period").alias("quarter"))

@@ -15,7 +15,7 @@ from quarterlens.plans import stand_ins
 from quarterlens.plans.q_calendar import filing_names
 from quarterlens.plans.registry import register
 from quarterlens.sources.membership_lines import parse_membership_lines
-from quarterlens.sources.tables import read_table
+from quarterlens.sources.tables import read_table, scan_partitions
 from quarterlens.streaming.incremental import pending
 
 INDEX_AFTER = dt.date(1995, 12, 31)
@@ -62,7 +62,7 @@ def q_member_explode(spark, sf):
     li = spread_if_few_partitions(
         read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                            "l_returnflag", "l_shipdate"]),
-        keys=["l_orderkey", "l_linenumber"])
+        keys=["l_orderkey", "l_linenumber"], partitions=scan_partitions(spark, sf, "lineitem"))
     listed = F.concat_ws(",", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
                          F.when(F.col("l_returnflag") == "R", F.col("l_orderkey").cast("string")))
     lines = li.select("l_orderkey", "l_linenumber",

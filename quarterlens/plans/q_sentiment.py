@@ -12,7 +12,7 @@ from quarterlens.operators.sentiment import (averages_only, explode_paragraphs,
 from quarterlens.plans import sql_snippets as S
 from quarterlens.plans import stand_ins
 from quarterlens.plans.registry import register, rounded
-from quarterlens.sources.tables import read_table
+from quarterlens.sources.tables import read_table, scan_partitions
 from quarterlens.streaming.incremental import union_incremental
 
 STATS_SQL = S.stats_sql()
@@ -65,7 +65,8 @@ def q_sentiment_incremental(spark, sf):
     The union must equal a full recompute (``sentiment_stats``).
     """
     docs = spread_if_few_partitions(read_table(spark, sf, "documents", ["doc_id", "text", "lang"]),
-                                    keys=["doc_id"])
+                                    keys=["doc_id"],
+                                    partitions=scan_partitions(spark, sf, "documents"))
     scorer = demo_scorer()
     existing = sentiment_stats(docs.filter(F.col("lang") == "en").select("doc_id", "text"), scorer)
     full = union_incremental(existing, docs.select("doc_id", "text"), ["doc_id"],
@@ -107,7 +108,8 @@ def _filing_text_sql(layout) -> str:
 
 def _filing_docs(spark, sf, layout):
     docs = spread_if_few_partitions(read_table(spark, sf, "documents", ["doc_id", "text", "lang"]),
-                                    keys=["doc_id"])
+                                    keys=["doc_id"],
+                                    partitions=scan_partitions(spark, sf, "documents"))
     return docs.select("doc_id", F.expr(_filing_text_sql(layout)).alias("filing_text"))
 
 

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from quarterlens.operators.joins import bounded_broadcast
 from quarterlens.operators.partitioning import spread_if_few_partitions
-from quarterlens.sources.tables import read_table
+from quarterlens.sources.tables import read_table, scan_partitions
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
     """MD&A texts: (doc_id, text), hash-spread on doc_id over the cores when stored as few splits."""
-    return spread_if_few_partitions(read_table(spark, sf, "documents", ["doc_id", "text"]), keys=["doc_id"])
+    return spread_if_few_partitions(read_table(spark, sf, "documents", ["doc_id", "text"]), keys=["doc_id"],
+                                    partitions=scan_partitions(spark, sf, "documents"))
 
 
 def prices(spark: SparkSession, sf: str) -> DataFrame:

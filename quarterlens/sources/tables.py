@@ -37,5 +37,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     return df.select(*columns) if columns else df
 
 
+_SCAN_PARTITIONS: dict = {}
+
+
+def scan_partitions(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Number of input partitions a scan of the table yields (file splits / row
+    groups), planned once per session and path: it depends on the files only."""
+    key = (spark, table_path(sf_dir, name))
+    n = _SCAN_PARTITIONS.get(key)
+    if n is None:
+        n = _SCAN_PARTITIONS[key] = read_table(spark, sf_dir, name)._jdf.rdd().getNumPartitions()
+    return n
+
+
 def forget_tables() -> None:
     _RELATIONS.clear()
+    _SCAN_PARTITIONS.clear()
