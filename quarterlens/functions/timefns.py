@@ -58,6 +58,13 @@ def exchange_wall_clock(ts, zone: str = "America/New_York", source_zone: str = "
     return F.convert_timezone(F.lit(source_zone), F.lit(zone), col_of(ts).cast("timestamp_ntz"))
 
 
-def day_start(ts) -> Column:
-    """I16: midnight of the timestamp's day (keeps the type)."""
-    return F.date_trunc("DAY", col_of(ts))
+def day_start(ts, wall_clock: bool = True) -> Column:
+    """I16: midnight of the timestamp's day.
+
+    ``wall_clock=True`` for a TIMESTAMP_NTZ (e.g. :func:`exchange_wall_clock`): the
+    NTZ midnight of its date, whatever the session time zone (``date_trunc`` would
+    first read the value in the session zone). ``False`` for a TIMESTAMP instant:
+    midnight in the session time zone.
+    """
+    ts = col_of(ts)
+    return F.to_date(ts).cast("timestamp_ntz") if wall_clock else F.date_trunc("DAY", ts)

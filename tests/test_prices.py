@@ -99,6 +99,13 @@ def test_exchange_wall_clock(spark):
     got = rows(df.select(exchange_wall_clock("ts"), day_start("ts")))
     assert got[0] == (T(2024, 1, 2, 16, 30), T(2024, 1, 2))      # EST, UTC-5
     assert got[1][0] == T(2024, 7, 2, 16, 30)                      # EDT, UTC-4
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    try:                                                            # wall clock ignores the session zone
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        again = rows(df.select(exchange_wall_clock("ts"), day_start(exchange_wall_clock("ts"))))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert again == [(T(2024, 1, 2, 16, 30), T(2024, 1, 2)), (T(2024, 7, 2, 16, 30), T(2024, 7, 2))]
 
 
 def test_industry_for(spark):
