@@ -91,7 +91,9 @@ def paragraphs(c) -> Column:
     Returns ``array<string>``; unusable text (null, blank, < 20 chars) gives ``[]``.
     """
     c = col_of(c)
-    parts = F.transform(F.split(c, "\n+"), py_strip)
+    # Splitting on each newline (a plain, non-regex split) gives the same paragraphs as
+    # splitting on runs of them: the empty pieces between newlines fail the length test.
+    parts = F.transform(F.split(c, "\n"), py_strip)
     kept = F.filter(parts, lambda p: F.length(p) > MIN_PARAGRAPH_CHARS)
     return F.when(text_is_usable(c), kept).otherwise(F.array().cast("array<string>"))
 
