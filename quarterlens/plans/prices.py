@@ -140,14 +140,11 @@ def quarter_over_quarter(quarterly: DataFrame, price_col: str = "q_end_price") -
     and ticker, whatever the raw data volume.
     """
     w = Window.partitionBy("ticker").orderBy("quarter_start")
-    q = quarterly.withColumn("_prev_start", F.lag("quarter_start").over(w)) \
-                 .withColumn("_prev", F.lag(price_col).over(w))
-    adjacent = F.col("_prev_start") == F.add_months("quarter_start", -3)
-    prev = F.when(adjacent, F.col("_prev"))
-    chg = F.try_divide(F.col(price_col) - prev, prev) * 100
-    return (q.withColumn("prev_price", prev).withColumn("coq_pct", chg)
-            .withColumn("up_or_down", F.when(chg > 0, "Up").when(chg.isNotNull(), "Down"))
-            .drop("_prev_start", "_prev"))
+    adjacent = F.lag("quarter_start").over(w) == F.add_months("quarter_start", -3)
+    q = quarterly.select("*", F.when(adjacent, F.lag(price_col).over(w)).alias("prev_price"))
+    chg = F.try_divide(F.col(price_col) - F.col("prev_price"), F.col("prev_price")) * 100
+    return q.select("*", chg.alias("coq_pct"),
+                    F.when(chg > 0, "Up").when(chg.isNotNull(), "Down").alias("up_or_down"))
 
 
 def market_caps(events: DataFrame, daily: DataFrame, shares: DataFrame,
