@@ -134,6 +134,38 @@ def stream_new_files(spark: SparkSession, source_dir: str, schema, target_path:
             .trigger(availableNow=True).start())
 
 
+def _append_filings(spark: SparkSession, files: DataFrame, target_path: str, scorer) -> AppendReport:
+    """(path, filename, text) filings -> MD&A -> statistics of the ones not yet in
+    ``target_path``, appended once per (cik, filename); with a skipping scorer a
+    filing with an unscored paragraph is rejected (counted, left pending)."""
+    from pyspark.sql import functions as F
+
+    from quarterlens.functions.ids import cik_from_name
+    from quarterlens.operators.sentiment import sentiment_stats, skips_failures
+    from quarterlens.plans.filings import extract_mda
+
+    skip = skips_failures(scorer)
+
+    def process(batch: DataFrame) -> DataFrame:
+        mda = extract_mda(batch.drop("cik"))
+        return sentiment_stats(mda, scorer, keys=["cik", "filename"], text_col="management_discussion",
+                               failures=skip)
+
+    keyed = files.withColumn("cik", cik_from_name("filename"))
+    return append_new_checked(spark, keyed, target_path, ["cik", "filename"], process,
+                              reject=(F.col("failed_chunks") > 0) if skip else None,
+                              drop=["failed_chunks"] if skip else ())
+
+
+def append_filing_sentiment(spark: SparkSession, folder: str, target_path: str, scorer) -> AppendReport:
+    """M1 / B5 as a batch job over the whole filings folder: every filing missing from
+    ``target_path`` is scored and appended once. It also catches up filings a stream
+    run rejected (the stream checkpoint does not deliver a file twice)."""
+    from quarterlens.sources.filings import read_filings
+
+    return _append_filings(spark, read_filings(spark, folder), target_path, scorer)
+
+
 def stream_filing_sentiment(spark: SparkSession, folder: str, target_path: str,
                             checkpoint_path: str, scorer,
                             max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> "object":
@@ -142,14 +174,12 @@ def stream_filing_sentiment(spark: SparkSession, folder: str, target_path: str,
 
     Whole files are streamed (``wholetext``), ``availableNow`` drains what is there
     and stops, and the stream checkpoint plus the keyed append make re-runs and
-    re-delivered files add nothing.
+    re-delivered files add nothing. Filings a skipping scorer rejects are consumed by
+    the stream but not stored; :func:`append_filing_sentiment` picks them up.
     """
     from pyspark.sql import functions as F
 
-    from quarterlens.functions.ids import cik_from_name
     from quarterlens.functions.text import normalise_newlines
-    from quarterlens.operators.sentiment import sentiment_stats, skips_failures
-    from quarterlens.plans.filings import extract_mda
     from quarterlens.sources.filings import FILING_NAME_GLOB, FILING_NAME_PATTERN
 
     raw = (spark.readStream.option("pathGlobFilter", FILING_NAME_GLOB)
@@ -160,19 +190,8 @@ def stream_filing_sentiment(spark: SparkSession, folder: str, target_path: str,
                        normalise_newlines("value").alias("text")) \
         .filter(F.col("filename").rlike(FILING_NAME_PATTERN))
 
-    skip = skips_failures(scorer)
-
-    def process(batch: DataFrame) -> DataFrame:
-        mda = extract_mda(batch)
-        return sentiment_stats(mda, scorer, keys=["cik", "filename"], text_col="management_discussion",
-                               failures=skip)
-
     def each_batch(batch: DataFrame, _epoch: int) -> None:
-        keyed = batch.withColumn("cik", cik_from_name("filename"))
-        append_new_checked(batch.sparkSession, keyed, target_path, ["cik", "filename"],
-                           lambda d: process(d.drop("cik")),
-                           reject=(F.col("failed_chunks") > 0) if skip else None,
-                           drop=["failed_chunks"] if skip else ())
+        _append_filings(batch.sparkSession, batch, target_path, scorer)
 
     return (files.writeStream.foreachBatch(each_batch)
             .option("checkpointLocation", checkpoint_path)

@@ -154,3 +154,48 @@ def test_pending_is_null_safe(spark):
     cand = spark.createDataFrame([(None, "a"), ("1", "b"), ("2", "c")], "cik string, f string")
     done = spark.createDataFrame([(None, "a"), ("1", "b")], "cik string, f string")
     assert rows(pending(cand, done, ["cik", "f"])) == [("2", "c")]
+
+
+class _FlakyModel:
+    """Demo model that raises on any batch holding a paragraph with the word BOOM."""
+
+    def __init__(self):
+        from quarterlens.operators.scoring import demo_model
+
+        self.base = demo_model()
+
+    def logits(self, texts):
+        if any("BOOM" in t for t in texts):
+            raise RuntimeError("model failure")
+        return self.base.logits(texts)
+
+
+def _flaky():
+    return _FlakyModel()
+
+
+def test_rejected_filing_is_caught_up_by_the_batch_job(spark, tmp_path):
+    """B5 with a stream: a filing the model cannot score is consumed by the stream but
+    not stored; the batch job over the folder appends exactly the missing one."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    from quarterlens.operators.scoring import PandasModelScorer, demo_model
+    from quarterlens.streaming.incremental import append_filing_sentiment, stream_filing_sentiment
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    docs = [(r[0], r[1]) for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+            .orderBy("doc_id").limit(3).collect()]
+    docs[1] = (docs[1][0], docs[1][1] + "\n" + "BOOM " * 15)
+    folder = str(tmp_path / "landing")
+    _write_filings(folder, docs)
+    target, ckpt = str(tmp_path / "sent"), str(tmp_path / "ck")
+    flaky = PandasModelScorer(_flaky, on_error="skip")
+    stream_filing_sentiment(spark, folder, target, ckpt, flaky).awaitTermination()
+    assert spark.read.parquet(target).count() == 2
+    report = append_filing_sentiment(spark, folder, target, PandasModelScorer(demo_model))
+    assert tuple(report) == (1, 0)
+    out = spark.read.parquet(target)
+    assert out.count() == 3 and out.select("cik", "filename").distinct().count() == 3
+    assert tuple(append_filing_sentiment(spark, folder, target, PandasModelScorer(demo_model))) == (0, 0)
