@@ -96,3 +96,18 @@ def test_spread_only_when_few_partitions(spark):
     many = spark.range(0, 100, 1, 16)
     assert spread_if_few_partitions(one, 4).rdd.getNumPartitions() == 4
     assert spread_if_few_partitions(many, 4) is many
+
+
+def test_plan_report_counts(spark):
+    """tools/plan_report.py reads shuffles, broadcasts and pruned scans off a real plan."""
+    import importlib.util
+    import os
+
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools", "plan_report.py")
+    spec = importlib.util.spec_from_file_location("plan_report", path)
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    plan = E.queries()["index_snapshot"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    s = mod.summarise(plan)
+    assert (s["hash"], s["broadcast"], s["sort_agg"], s["python"]) == (2, 1, 0, 0)
+    assert s["scans"] == "orders(o_custkey, o_orderdate)"
