@@ -11,8 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarterlens.llm import simhash
-from quarterlens.llm.common import table
+import public_tokenizers
+
+from quarterlens.llm import (bpe, chat, hnsw, langid, mixing, pq, simhash, substring, toxicity,
+                             urls)
+from quarterlens.llm.common import sha256_hex, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,3 +35,93 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"),
                                    shingle=4, max_bits=4) \
         .select("doc_id", "fingerprint", "component_id")
+
+
+@register("op2_hnsw_nearest")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"),
+                        F.col("vec_id") % 100 == 0, k=10)
+
+
+@register("op3_substring_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                    window=13) \
+        .select("doc_id", "n_words", "n_removed", sha256_hex(F.col("text")).alias("kept_sha256"))
+
+
+# (verdict, rule): the longest rule that fits decides.
+URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+             ("allow", "com/fr/"), ("block", "com/de/"))
+
+
+@register("op4_url_filter")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages", "page_id", "url", "html"), URL_RULES) \
+        .select("page_id", "host", "path", "rule", "verdict")
+
+
+@register("op5_source_mix", mixing.SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents", "doc_id", "source", "text")).select(
+        "doc_id", "size", "source_size", "target",
+        (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@register("op6_byte_bpe")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), "text", ranks,
+                         public_tokenizers.PATTERN).drop("text")
+    return bpe.decode(encoded, ranks).select(
+        "doc_id", "n_tokens", sha256_hex(F.col("token_ids")).alias("ids_sha256"),
+        sha256_hex(F.col("decoded")).alias("decoded_sha256"))
+
+
+@register("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents (their source stands for the host) and pages; the other table's id is null."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    none = F.lit(None)
+    items = docs.select("doc_id", none.cast("long").alias("page_id"), "text",
+                        none.cast("string").alias("declared"), F.col("source").alias("host")) \
+        .union(pages.select(none.cast("long"), "page_id",
+                            langid.markup_text(F.col("html")),
+                            langid.declared_language(F.col("html")),
+                            urls.host_of(F.col("url"))))
+    return langid.identify(items, langid.train_text(docs), ["doc_id", "page_id"])
+
+
+@register("op8_pq_near_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq.near_duplicates(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"),
+                              cosine=0.98)
+
+
+@register("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.with_score(docs, model).select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op10_chat_format", chat.SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one (-1) whose texts are control strings."""
+    planted = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(chat.PLANTED).alias("text"))
+    rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").union(planted)
+    done = chat.read_back(chat.format_chat(rows.withColumn("parts", chat.text_part("text"))))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(
+        t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return done.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        sha256_hex(said).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"),
+        sha256_hex(F.col("loss_text")).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
