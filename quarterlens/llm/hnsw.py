@@ -189,9 +189,10 @@ def build(vectors: np.ndarray, seed: int) -> tuple[np.ndarray, list[np.ndarray]]
 
 def search(vectors: np.ndarray, graph: list[np.ndarray], q: np.ndarray) -> np.ndarray:
     """Node ids of each query's beam on level 0 (-1 pads)."""
-    low = vectors.astype(np.float32)
+    scale = np.abs(vectors).max()           # single precision must hold the squares
+    low = (vectors / scale).astype(np.float32)
     norms = (low ** 2).sum(1)
-    q = q.astype(np.float32)
+    q = (np.clip(q / scale, -1, 1)).astype(np.float32)
     out = []
     for i in range(0, len(q), BATCH):
         part = q[i:i + BATCH]
@@ -208,7 +209,7 @@ def _build_shard(group: pa.Table) -> pa.Table:
     first = sorted(range(len(packed)), key=packed.__getitem__)   # whatever order rows came in
     vectors = np.frombuffer(b"".join(packed), "<f8").reshape(len(packed), -1)[first]
     ids = group.column("ids").to_pylist()
-    order, graph = build(vectors.astype(np.float32), shard)
+    order, graph = build((vectors / np.abs(vectors).max()).astype(np.float32), shard)
     ids = [ids[first[i]] for i in order]
     return pa.table({
         "shard": pa.array([shard], pa.int32()), "dim": pa.array([dim], pa.int32()),

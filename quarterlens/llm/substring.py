@@ -32,9 +32,9 @@ from pyspark.sql import types as T
 
 from quarterlens.llm.common import fresh, text_bytes
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 RANGE_BYTES = 16 << 20       # text bytes whose keys share a range
-CHUNK = 4 << 20              # text bytes hashed at a time
+CHUNK = 1 << 20              # text bytes hashed at a time
 LAST = (1 << 63) - 1         # a null id sorts after all others
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)

@@ -1,0 +1,116 @@
+import random
+
+import numpy as np
+
+from quarterlens.llm import simhash
+from tests.llm.helpers import SMALL, components, fingerprint, near_dup_ids, read
+
+
+def test_fingerprint_of_awkward_texts(monkeypatch):
+    texts = ["", " \t\n\x0b\f\r ", "one", "One two THREE", "a b c d", "a b c d a b c d a b c d",
+             "Ünï Çödé ÀB\x1cc d e f", "x" * 500, " ".join(str(i % 97) for i in range(5000))]
+    for piece in (1 << 20, 50):
+        monkeypatch.setattr(simhash, "PIECE", piece)
+        assert [simhash.fingerprint(t.encode(), 4) for t in texts] == list(map(fingerprint, texts))
+
+
+def test_close_fingerprints_share_an_anchor():
+    rng = random.Random(2)
+    for max_bits in (0, 1, 3, 4, 5, 7):
+        x = [rng.getrandbits(64) for _ in range(150)]
+        y = [v ^ sum(1 << b for b in rng.sample(range(64), max_bits)) for v in x]
+        at = []
+        for side in (x, y):
+            key, owner = simhash.anchors(np.array(side, np.uint64), max_bits)
+            near = [set() for _ in side]
+            for k, o in zip(key.tolist(), owner.tolist()):
+                near[o].add(k)
+            at.append(near)
+        assert all(a & b for a, b in zip(*at))
+
+
+def test_anchor_copies_are_few():
+    key, _ = simhash.anchors(np.random.default_rng(0).integers(0, 1 << 63, 1000, np.uint64), 4)
+    assert len(key) <= 32 * 1000
+
+
+def _rows():
+    rng = random.Random(3)
+    base = [" ".join(rng.choice("abcdefghij") * rng.randint(1, 4) for _ in range(60))
+            for _ in range(6)]
+    rows = []
+    for t in base:
+        for n in range(6):
+            w = t.split()
+            for _ in range(n % 3):
+                w[rng.randrange(len(w))] = "zz"
+            rows.append(" ".join(w))
+    rows += ["", None, " \n ", "hello", "Hello", "one two three", " ".join(["long"] * 30000)]
+    rng.shuffle(rows)
+    return [(i * 3 + 5, t) for i, t in enumerate(rows)] + [(5, rows[0])]
+
+
+def test_near_duplicates_match_all_pairs(spark, monkeypatch):
+    rows = _rows()
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows],
+                               "doc_id long, text string, component_id string")
+    fp, comp = near_dup_ids([i for i, _ in rows], [t for _, t in rows])
+    want = sorted((i, f"{f:016x}", c) for (i, _), f, c in zip(rows, fp, comp))
+    got = simhash.near_duplicates(df).select("doc_id", "fingerprint", "component_id")
+    assert sorted(map(tuple, got.collect())) == want
+    # the same where anchors are cut into blocks
+    monkeypatch.setattr(simhash, "BLOCK", 3)
+    monkeypatch.setattr(simhash, "PAIRWISE", 2)
+    got = simhash.near_duplicates(df).select("doc_id", "fingerprint", "component_id")
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_query_matches_all_pairs(spark):
+    from quarterlens.llm.queries import QUERIES
+
+    docs = read(SMALL, "documents", "doc_id")
+    fp, comp = near_dup_ids(list(docs.doc_id), list(docs.text))
+    got = QUERIES["op1_simhash_near_dedup"](spark, SMALL).collect()
+    assert sorted(map(tuple, got)) == sorted(
+        (i, f"{f:016x}", c) for i, f, c in zip(docs.doc_id, fp, comp))
+
+
+def test_hot_anchor_is_passed_on_across_batches():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    key = np.sort(np.r_[np.full(20000, 7), np.full(3, 9), np.arange(20, 400)]).astype(np.int64)
+    fp = rng.integers(0, 1 << 62, len(key)).astype(np.int64)
+    batches = [pa.RecordBatch.from_arrays([pa.array(key[i:i + 997]), pa.array(fp[i:i + 997])],
+                                          names=["anchor", "fp"]) for i in range(0, len(key), 997)]
+    out = pa.Table.from_batches(list(simhash.compare_anchors(4)(iter(batches)))).to_pandas()
+    hot = out[out.block >= 0]
+    assert set(hot.a) == {7} and sorted(hot.b) == sorted(fp[key == 7])
+    assert hot.block.max() == 20000 // simhash.BLOCK and hot.block.value_counts().max() <= \
+        simhash.BLOCK
+
+
+def test_forest_spans_the_links():
+    rng = random.Random(5)
+    fps = np.unique(np.array([rng.getrandbits(8) | rng.getrandbits(3) << 40 for _ in range(300)],
+                             np.uint64))
+    a, b = simhash.forest(fps, 2)
+    at = {int(f): i for i, f in enumerate(fps)}
+    edges = [(at[int(x)], at[int(y)]) for p, q in zip(a, b) for x, y in zip(p, q)]
+    every = [(i, j) for i in range(len(fps)) for j in range(i)
+             if (int(fps[i]) ^ int(fps[j])).bit_count() <= 2]
+    assert components(len(fps), edges) == components(len(fps), every)
+    assert len(edges) == len(fps) - len(set(components(len(fps), every)))
+
+
+def test_keep_one_keeps_columns_and_the_smallest_id(spark):
+    rows = _rows() + [(None, "only here and nowhere else at all"), (None, "hello")]
+    df = spark.createDataFrame([(i, t, "h", 1) for i, t in rows],
+                               "doc_id long, text string, fingerprint string, nth int")
+    got = simhash.keep_one(df)
+    assert got.columns == df.columns
+    _, comp = near_dup_ids([i for i, _ in rows], [t for _, t in rows])
+    kept = [r.doc_id for r in got.collect()]
+    assert sorted(kept, key=str) == sorted(set(comp), key=str)
+    assert simhash.keep_one(df.limit(0)).count() == 0
+    assert simhash.near_duplicates(df.limit(0)).count() == 0

@@ -1,0 +1,96 @@
+import itertools
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from quarterlens.llm import urls
+from tests.llm.helpers import SMALL, read
+
+RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+         ("allow", "com/fr/"), ("block", "com/de/"))
+URLS = [
+    (None, "", ""), ("", "", ""), ("no scheme/at.all", "", ""), ("http://", "", ""),
+    ("HTTP://WWW.Example.ORG/ES/x", "www.example.org", "/ES/x"),
+    ("https://a.com?x=/fr/", "a.com", ""), ("x://a.com#y/z", "a.com", ""),
+    ("x://h/p?q://z/y", "h", "/p"), ("x://É.org/a b\nc#", "É.org", "/a b\nc"),
+    ("a://b://c/d", "b:", "//c/d"),
+]
+
+
+def test_host_and_path(spark):
+    df = spark.createDataFrame([(u,) for u, _, _ in URLS], "u string")
+    got = df.select(urls.host_of(F.col("u")), urls.path_of(F.col("u"))).collect()
+    assert list(map(tuple, got)) == [(h, p) for _, h, p in URLS]
+
+
+@pytest.mark.parametrize("host,path,rule", [
+    ("a.org", "/x", "org/"), ("org", "/", "org/"), ("a.org", "", None), ("borg", "/", None),
+    ("x.example.org", "/es/1", "example.org/es/"), ("example.org", "/es", "org/"),
+    ("example.org", "/en/15", "example.org/en/1"), ("xexample.org", "/en/15", "org/"),
+    ("b.com", "/fr/", "com/fr/"), ("b.com", "/de/x", "com/de/"), ("b.com", "/en/", None)])
+def test_longest_rule_that_fits(spark, host, path, rule):
+    df = spark.createDataFrame([(host, path)], "h string, p string")
+    assert df.select(urls.rule_for(F.col("h"), F.col("p"), RULES)).first()[0] == rule
+
+
+def test_viterbi_is_the_best_cut():
+    rng = random.Random(6)
+    counts = {"".join(rng.choice("ab") for _ in range(rng.randint(1, 4))): rng.randint(1, 50)
+              for _ in range(14)}
+    total = 4000
+
+    def cost(ws):
+        return round(sum(math.log(total) - (math.log(counts[w]) if w in counts else
+                                            math.log(10) - len(w) * math.log(10)) for w in ws), 6)
+
+    for part in ("a", "abba", "babab", "aabbaab"):
+        cuts = [[part[i:j] for i, j in zip((0, *c), (*c, len(part)))]
+                for n in range(len(part)) for c in itertools.combinations(range(1, len(part)), n)]
+        assert cost(urls.viterbi(part, counts, total)) == min(map(cost, cuts))
+
+
+def test_judges_concatenated_names(spark):
+    html = "<html><style>casino{}</style><p>win big garden tools lovely casino flowers</p></html>"
+    rows = [(i, f"http://{h}.net/en/{i}", html, "x") for i, h in enumerate(
+        ["casino-win", "casinowin", "wincasino", "winbig", "garden-tools", "gardenflowers",
+         "lovelygarden", "lovely-tools", "toolsgarden"] * 4)]
+    rows += [(100, None, None, ""), (101, "bad", html, ""), (102, "http://x.org/casino", "", ""),
+             (102, "http://x.org/casino", "", ""), (None, "http://casino.com/fr/", None, ""),
+             (103, "http://" + "casino" * 200 + ".net/", None, ""), (104, "http://.../", "", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, verdict string")
+    got = urls.judge(df, RULES).collect()
+    assert len(got) == len(rows)
+    verdict = {r.page_id: (r.rule, r.verdict) for r in got}
+    for i, name in enumerate(["casino-win", "casinowin", "wincasino"]):
+        assert verdict[i] == (None, "block"), name
+    for i in range(4, 9):
+        assert verdict[i] == (None, "allow")
+    assert verdict[100] == verdict[101] == (None, "allow")
+    assert verdict[102] == ("org/", "allow") and verdict[None] == ("com/fr/", "allow")
+    assert verdict[103] == (None, "block")
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], "page_id long, url string, html string")
+    assert urls.judge(df, RULES).count() == 0
+
+
+def test_query_matches_a_plain_version(spark):
+    """Rules and naive Bayes recomputed from the operator's own segmentation."""
+    from quarterlens.llm.queries import QUERIES
+
+    pages = read(SMALL, "pages", "page_id")
+    got = {r.page_id: r for r in QUERIES["op4_url_filter"](spark, SMALL).collect()}
+    assert sorted(got) == list(pages.page_id)
+    verdicts = {r: v for v, r in RULES}
+    for i, url in zip(pages.page_id, pages.url):
+        host, _, rest = url.split("://", 1)[1].partition("/")
+        path = "/" + rest.partition("#")[0].partition("?")[0]
+        fits = [r for _, r in RULES if f".{host.lower()}".endswith("." + r.split("/", 1)[0])
+                and path.startswith("/" + r.split("/", 1)[1])]
+        rule = max(fits, key=len, default=None)
+        assert (got[i].host, got[i].path, got[i].rule) == (host.lower(), path, rule)
+        seeded = any(s in host.replace("-", ".").split(".") for s in urls.SEEDS)
+        assert got[i].verdict == (verdicts[rule] if rule else "block" if seeded else "allow")
