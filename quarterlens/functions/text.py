@@ -7,7 +7,7 @@ removes spaces, so stripping uses the explicit character set below with
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarterlens.functions.util import col_of
@@ -133,9 +133,36 @@ def section_10k(text, skip: int = K_SKIP) -> Column:
     return _section(text, K_START, K_END, skip)
 
 
-def section_by_type(text, filing_type) -> Column:
-    """10-K filings use the annual rule, everything else the quarterly one."""
-    return F.when(col_of(filing_type) == "10-K", section_10k(text)).otherwise(section_10q(text))
+# (skip, start, end) by filing type; any type but 10-K has the quarterly rule.
+SECTION_RULES = {"10-K": (K_SKIP, K_START, K_END), "10-Q": (Q_SKIP, Q_START, Q_END)}
+
+
+def with_section(df: DataFrame, text: str, filing_type: Column, out: str) -> DataFrame:
+    """``df`` plus the section of ``text`` that its filing type's rule cuts out.
+
+    Each type sees its own texts only (null for the others, on which a regex costs nothing), and
+    every step is a column of its own under a projection, so a marker is searched once per
+    filing. A single nested expression would repeat the search for each use of its position.
+    """
+    own = {"10-K": filing_type == "10-K", "10-Q": ~F.coalesce(filing_type == "10-K", F.lit(False))}
+    rest = {t: f"_rest_{i}" for i, t in enumerate(SECTION_RULES)}
+    for t, (skip, _, _) in SECTION_RULES.items():
+        df = df.withColumn(rest[t], F.when(own[t], F.substring(col_of(text), skip + 1, 2147483647)))
+    for t, (_, start, _) in SECTION_RULES.items():
+        at = F.regexp_instr(F.col(rest[t]), F.lit(python_regex(start, ignore_case=True)))
+        df = df.withColumn(f"{rest[t]}_s", at)
+    for t in SECTION_RULES:
+        s = F.col(f"{rest[t]}_s")
+        df = df.withColumn(f"{rest[t]}_tail", F.when(s > 0, F.substring(F.col(rest[t]), s, F.lit(2147483647))))
+    for t, (_, _, end) in SECTION_RULES.items():
+        tail = F.col(f"{rest[t]}_tail")
+        df = df.withColumn(f"{rest[t]}_e", F.regexp_instr(tail, F.lit(python_regex(end, ignore_case=True))))
+    cuts = []
+    for t in SECTION_RULES:
+        e = F.col(f"{rest[t]}_e")
+        cuts.append(F.when(e > 0, F.substring(F.col(f"{rest[t]}_tail"), F.lit(1), e - 1)))
+    df = df.withColumn(out, F.nullif(py_strip(F.coalesce(*cuts)), F.lit("")))
+    return df.drop(*[c for r in rest.values() for c in (r, f"{r}_s", f"{r}_tail", f"{r}_e")])
 
 
 def first_sentence_with(c, keyword: str) -> Column:

@@ -1,7 +1,7 @@
 """Feature preparation with scikit-learn-compatible semantics.
 
 Estimators follow Spark ML's fit / transform split: ``fit`` runs one aggregate job
-and keeps a few numbers per column (or a bounded category list); ``transform`` is
+and keeps a few numbers per column (or its category list); ``transform`` is
 plain column arithmetic. Spark ML's own scalers differ from the reference on a
 constant column (MinMaxScaler gives 0.5) and on the deviation (sample, not
 population), hence these versions.
@@ -81,27 +81,26 @@ class StandardScaling:
         return out
 
 
-MAX_CATEGORIES = 10_000
-
-
 @dataclass
 class OneHotEncoding:
     """K3: one 0/1 column per category, categories sorted ascending, null last.
 
     ``drop_if_binary`` drops the first category of a two-category column. A value
-    not seen by ``fit`` raises at transform time (scikit-learn's default).
+    not seen by ``fit`` raises at transform time (scikit-learn's default). The encoding
+    itself has one column per category, so the categories are held by the driver.
     """
     columns: Sequence[str]
     drop_if_binary: bool = True
     categories: dict = field(default_factory=dict)
 
     def fit(self, df: DataFrame) -> "OneHotEncoding":
+        """One distributed pass for all columns (distinct values are found in each task
+        first); no cap on their number."""
+        aggs = [x for c in self.columns for x in (F.collect_set(c).alias(f"v_{c}"),
+                                                  F.count_if(F.col(c).isNull()).alias(f"n_{c}"))]
+        row = df.agg(*aggs).first()
         for c in self.columns:
-            vals = [r[0] for r in df.select(c).distinct().limit(MAX_CATEGORIES + 1).collect()]
-            if len(vals) > MAX_CATEGORIES:
-                raise ValueError(f"{c}: more than {MAX_CATEGORIES} categories")
-            cats = sorted(v for v in vals if v is not None) + ([None] if None in vals else [])
-            self.categories[c] = cats
+            self.categories[c] = sorted(row[f"v_{c}"]) + ([None] if row[f"n_{c}"] else [])
         return self
 
     def kept(self, c: str) -> list:

@@ -1,36 +1,15 @@
-"""Join helpers: broadcast only behind a proven size bound."""
+"""Join helper: an explicit broadcast only behind a size bound by construction.
+
+Every other join side carries no hint: the planner broadcasts below
+``spark.sql.autoBroadcastJoinThreshold``, AQE plans anew from measured sizes, and beyond
+that the join stays sort-merge or shuffled hash.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension tables up to this many rows are broadcast when their size is checked.
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a limit-count job on the
-    dimension, never the fact side). Larger tables stay unhinted and the join
-    shuffles; AQE may still switch it to a broadcast from runtime sizes.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def dimension(df: DataFrame) -> DataFrame:
-    """Join side whose size is not bounded by construction (ticker lists, sectors).
-
-    No hint: the size check is Spark's own. The planner broadcasts when the
-    estimated size is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE
-    re-plans from the measured shuffle size at runtime; above it the join stays a
-    sort-merge / shuffled hash join. No extra job runs (use
-    :func:`broadcast_if_small` for an explicit row-count guarantee).
-    """
-    return df
-
 
 def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a table whose row count is bounded by construction.

@@ -1,4 +1,4 @@
-"""Partition-count adaptation for CPU-heavy row work."""
+"""Spreading CPU-heavy row work over more tasks than the input has file splits."""
 
 from __future__ import annotations
 
@@ -6,24 +6,18 @@ from typing import Sequence
 
 from pyspark.sql import DataFrame
 
+SPREAD_CONF = "quarterlens.spreadPartitions"
 
-def spread_if_few_partitions(df: DataFrame, min_tasks: int | None = None,
-                             keys: Sequence[str] = (), partitions: int | None = None) -> DataFrame:
-    """Spread ``df`` over ``min_tasks`` partitions only when it has fewer.
 
-    Text parsing and scoring cost CPU per row. A large table arrives in many file
-    splits and is left alone (no shuffle); a table stored as one file / row group
-    would otherwise be processed by a single task while the other cores idle.
-    The partition count is known from planning, no job runs.
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` hash-partitioned on ``keys`` if the session asks for it, else ``df`` as it is.
 
-    With ``keys`` (a unique or well-spread row key) rows are hash-partitioned on
-    them: deterministic on retry without the per-task sort a round-robin shuffle
-    needs, and a later aggregation on the same keys reuses the partitioning
-    instead of shuffling again. ``partitions`` passes a known input partition count
-    (e.g. :func:`quarterlens.sources.tables.scan_partitions`) to skip planning ``df``.
+    Text parsing and scoring cost CPU per row. A table in many file splits needs nothing: the
+    setting ``quarterlens.spreadPartitions`` is off (0) by default, so the plan is the same at
+    every size. For tables stored as one file or row group, whose scan is one task,
+    set it to the number of tasks wanted; rows are then hash-partitioned on a unique or
+    well-spread key, which is deterministic on retry, and a later aggregation on the same keys
+    reuses the partitioning.
     """
-    target = min_tasks or df.sparkSession.sparkContext.defaultParallelism
-    current = partitions if partitions is not None else df._jdf.rdd().getNumPartitions()
-    if current < target:
-        return df.repartition(target, *keys) if keys else df.repartition(target)
-    return df
+    n = int(df.sparkSession.conf.get(SPREAD_CONF, "0"))
+    return df.repartition(n, *keys) if n > 0 else df

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterlens.session import cut_lineage
@@ -39,16 +39,14 @@ def global_row_index(df: DataFrame, order_cols: Sequence[str], index_col: str =
     numbered = cut_lineage(ranged.select(
         *df.columns, F.shiftright(mid, _POSITION_BITS).alias("_pid"),
         mid.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_local")))
-    counts = {r["_pid"]: r["n"] for r in numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
-    offsets, total = [], 0
-    for pid in range(max(counts, default=-1) + 1):
-        offsets.append(total)
-        total += counts.get(pid, 0)
-    if not offsets:
-        return numbered.drop("_pid", "_local").withColumn(index_col, F.lit(None).cast("long")), 0
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("_pid").cast("int") + 1)
-    out = numbered.withColumn(index_col, offset + F.col("_local")).drop("_pid", "_local")
-    return out, total
+    # One row per partition: a table that cannot outgrow the number of partitions.
+    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("_pid").alias("_part"),
+                            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    out = numbered.join(F.broadcast(offsets), F.col("_pid") == F.col("_part")) \
+        .withColumn(index_col, F.col("_offset") + F.col("_local"))
+    return out.select(*df.columns, index_col), int(counts.agg(F.sum("_rows")).first()[0] or 0)
 
 
 def positional_split(df: DataFrame, order_cols: Sequence[str], train: float = 0.6,

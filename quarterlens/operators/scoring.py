@@ -15,6 +15,8 @@ from __future__ import annotations
 
 from typing import Callable, Iterator, Sequence
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -67,10 +69,6 @@ class LexiconScorer:
         """Lower-cased paragraph without punctuation."""
         return F.regexp_replace(F.lower(col_of(paragraph)), PUNCTUATION, "")
 
-    @classmethod
-    def tokens(cls, paragraph) -> Column:
-        return F.split(cls.cleaned(paragraph), " ")
-
     @classmethod
     def padded(cls, paragraph) -> Column:
         """The cleaned paragraph between two spaces (input of :meth:`counts_padded`)."""
@@ -123,14 +121,22 @@ def _softmax_rows(logits: np.ndarray) -> np.ndarray:
 
 
 def _factory_key(factory) -> str:
-    """Cache key of a model factory that is stable across tasks of one Python worker:
-    module-level functions and classes by qualified name (a copy unpickled per task
-    has a new address, so ``repr`` would reload the model every task); lambdas,
-    nested functions and other objects by ``repr``."""
-    name = getattr(factory, "__qualname__", None)
-    if name and "<" not in name:
-        return f"{factory.__module__}.{name}"
-    return repr(factory)
+    """Identity of a model factory: the hash of its serialised form. Equal in every task that
+    gets the same factory, different for a redefined one; no address or name is part of it."""
+    from pyspark import cloudpickle
+
+    return hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
+
+
+def model_for(key: str, factory):
+    """The model of this Python worker, loaded by its first task.
+
+    Imported by name in the worker (a function sent by value would bring an empty cache of its
+    own with every task), so all tasks of a worker share one cache.
+    """
+    if key not in _MODEL_CACHE:
+        _MODEL_CACHE[key] = factory()
+    return _MODEL_CACHE[key]
 
 
 class PandasModelScorer:
@@ -177,9 +183,7 @@ class PandasModelScorer:
 
         @F.pandas_udf(SCORE_TYPE)
         def score_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            model = _MODEL_CACHE.get(key)
-            if model is None:
-                model = _MODEL_CACHE[key] = factory()
+            model = model_for(key, factory)
             for texts in batches:
                 if len(texts) == 0:
                     yield pd.DataFrame({f: pd.Series([], dtype="float64") for f in SCORE_FIELDS})

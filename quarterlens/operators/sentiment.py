@@ -50,16 +50,9 @@ def score_paragraphs(par: DataFrame, scorer, keys: Sequence[str],
     return scorer.score(par, "paragraph")
 
 
-def top_class(p: Column, n: Column, u: Column) -> Column:
-    """Arg-max class; ties go to positive, then negative, then neutral."""
-    return (F.when((p >= n) & (p >= u), F.lit("positive"))
-            .when(n >= u, F.lit("negative"))
-            .otherwise(F.lit("neutral")))
-
-
 def top_flags(p: Column, n: Column, u: Column) -> tuple[Column, Column, Column]:
-    """E6 as three conditions (positive, negative, neutral), same tie order as
-    :func:`top_class`; an unscored paragraph (null scores) is in no class."""
+    """E6 as three conditions (positive, negative, neutral): ties go to positive, then negative,
+    then neutral; an unscored paragraph (null scores) is in no class."""
     pos = (p >= n) & (p >= u)
     neg = ~pos & (n >= u)
     return pos, neg, ~pos & ~neg

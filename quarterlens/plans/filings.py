@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterlens.functions import ids
-from quarterlens.functions.text import section_by_type
+from quarterlens.functions.text import with_section
 from quarterlens.sources.filings import filings_metadata, read_filings
 
 __all__ = ["read_filings", "filings_metadata", "extract_mda"]
@@ -26,5 +26,5 @@ def extract_mda(filings: DataFrame, quarter: str | None = None,
         df = df.filter(F.col("quarter") == quarter)
     ftype = ids.filing_type_from_path("path") if type_from == "path" else \
         F.coalesce(ids.filing_type_from_name("filename"), F.lit("10-Q"))
-    return df.select(ids.cik_from_name("filename").alias("cik"), "filename", "path",
-                     section_by_type("text", ftype).alias("management_discussion"))
+    df = df.select(ids.cik_from_name("filename").alias("cik"), "filename", "path", "text")
+    return with_section(df, "text", ftype, "management_discussion").drop("text")

@@ -12,7 +12,7 @@ from quarterlens.functions import ids
 from quarterlens.functions.quarters import (month_label, quarter_label,
                                             quarter_label_bounded, quarter_start)
 from quarterlens.operators.enrich import enrich_with_fallback
-from quarterlens.operators.joins import bounded_broadcast, dimension
+from quarterlens.operators.joins import bounded_broadcast
 
 QUARTER_END_MONTHS = (3, 6, 9, 12)
 
@@ -36,15 +36,20 @@ def historical_index(snapshots: DataFrame, after: dt.date = dt.date(2018, 12, 31
         q, qs = quarter_label("date"), quarter_start("date")
     s = ids.fix_tickers(s.select("date", "ticker", q.alias("quarter"), qs.alias("quarter_start")))
     s = s.filter(F.month("date").isin(list(months)))
-    latest = s.groupBy("quarter").agg(F.max("date").alias("_max_date"))
-    hit = s.join(bounded_broadcast(latest), "quarter").filter(F.col("date") == F.col("_max_date"))
-    return hit.select("quarter", "quarter_start", "ticker").distinct()
+    # A ticker's latest day in the quarter is a partial aggregate; the quarter's latest day is
+    # the maximum over those rows (the same exchange, so the snapshots are scanned once). The key
+    # is the quarter's first day: a label's two-digit year is ambiguous.
+    last = s.groupBy("quarter", "quarter_start", "ticker").agg(F.max("date").alias("_last"))
+    top = last.groupBy(F.col("quarter_start").alias("_qs")).agg(F.max("_last").alias("_max_date"))
+    hit = last.join(bounded_broadcast(top), F.col("quarter_start").eqNullSafe(F.col("_qs"))
+                    & (F.col("_last") == F.col("_max_date")))
+    return hit.select("quarter", "quarter_start", "ticker")
 
 
 def base_index(index: DataFrame, conversion: DataFrame, patch: DataFrame) -> DataFrame:
     """Index rows with (cik, company_name); incomplete rows take both from ``patch``."""
-    conv = dimension(conversion.select("ticker", "cik", "company_name"))
-    fix = dimension(patch.select("ticker", ids.pad_cik("cik").alias("cik"), "company_name"))
+    conv = conversion.select("ticker", "cik", "company_name")
+    fix = patch.select("ticker", ids.pad_cik("cik").alias("cik"), "company_name")
     return enrich_with_fallback(index, conv, fix, "ticker", ["cik", "company_name"])
 
 
@@ -60,7 +65,7 @@ def core_table(members: DataFrame, filings: DataFrame, conversion: DataFrame) ->
     would grow as the product of both sides.
     """
     f = filings.withColumn("cik", ids.pad_cik("cik"))
-    conv = dimension(conversion.select(ids.pad_cik("cik").alias("cik"), "ticker", "company_name"))
+    conv = conversion.select(ids.pad_cik("cik").alias("cik"), "ticker", "company_name")
     f = f.join(conv, "cik", "left").withColumn("date_clean", month_label("period"))
     m = ids.fix_tickers(members.select("date", "ticker"))
     m = (m.groupBy(month_label("date").alias("date_clean"), "ticker")
@@ -74,6 +79,6 @@ def wanted_paths(paths: DataFrame, wanted_ciks: DataFrame, name_col: str = "path
 
     A name without a cik gives null and simply fails the semi join (L26).
     """
-    w = dimension(wanted_ciks.select(F.col("cik").cast("long").alias("_wanted")).distinct())
+    w = wanted_ciks.select(F.col("cik").cast("long").alias("_wanted")).distinct()
     p = paths.withColumn("cik", ids.cik_from_name(F.col(name_col)))
     return p.join(w, p["cik"].cast("long") == w["_wanted"], "left_semi")

@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarterlens.functions.numeric import round_half_even
-from quarterlens.functions.quarters import quarter_label, quarter_start
+from quarterlens.functions.quarters import quarter_start
 from quarterlens.functions.timefns import earnings_session, time_text, year_between
 from quarterlens.operators.asof import asof_join
 from quarterlens.operators.latest import latest_by
@@ -72,13 +72,13 @@ def earnings_prev_close(quarterly: DataFrame, earnings: DataFrame, daily: DataFr
 def first_event_in_quarter(index: DataFrame, events: DataFrame, ts: str = "earnings_ts") -> DataFrame:
     """Earliest event of the same (ticker, quarter); left rows kept as they are.
 
-    An equi-join on the event's quarter label (quarters tile the calendar, so no
-    range join), after a partial ``min`` per (ticker, quarter). The whole last day of
-    the quarter counts (L31).
+    An equi-join on the first day of the event's quarter (quarters tile the calendar, so no
+    range join; a label's two-digit year would be ambiguous), after a partial ``min`` per
+    (ticker, quarter). The whole last day of the quarter counts (L31).
     """
-    first = (events.groupBy("ticker", quarter_label(ts).alias("quarter"))
+    first = (events.groupBy("ticker", quarter_start(ts).alias("quarter_start"))
              .agg(F.min(ts).alias(ts)))
-    return index.join(first, ["ticker", "quarter"], "left")
+    return index.join(first, ["ticker", "quarter_start"], "left").select(*index.columns, ts)
 
 
 def event_dates_in_quarter(index: DataFrame, events: DataFrame, ts: str = "earnings_ts") -> DataFrame:
@@ -86,10 +86,11 @@ def event_dates_in_quarter(index: DataFrame, events: DataFrame, ts: str = "earni
 
     ``collect_set`` runs per (ticker, quarter): at most 92 distinct dates per group.
     """
-    dates = (events.groupBy("ticker", quarter_label(ts).alias("quarter"))
+    dates = (events.groupBy("ticker", quarter_start(ts).alias("quarter_start"))
              .agg(F.array_join(F.sort_array(F.collect_set(F.date_format(ts, "yyyy-MM-dd"))), ", ")
                   .alias("earnings_dates")))
-    return index.join(dates, ["ticker", "quarter"], "left")
+    return index.join(dates, ["ticker", "quarter_start"], "left") \
+        .select(*index.columns, "earnings_dates")
 
 
 def change_on_day(events: DataFrame, daily: DataFrame, date_col: str = "earnings_date",
@@ -111,24 +112,54 @@ def change_on_day(events: DataFrame, daily: DataFrame, date_col: str = "earnings
             .drop("_base_date", "_target_date")
 
 
+def closes_around(events: DataFrame, daily: DataFrame, date_col: str,
+                  offsets: Sequence[int]) -> DataFrame:
+    """``events`` plus (_has_i, _close_i) of the day ``date_col`` + offsets[i], for each i.
+
+    Each event asks for its few days in one equi-join on (ticker, date), so the daily closes are
+    read and shuffled once however many days are needed. Rows equal in every column
+    come out once.
+    """
+    asked = events.withColumn("_i", F.explode(F.sequence(F.lit(0), F.lit(len(offsets) - 1))))
+    shift = F.element_at(F.array(*map(F.lit, offsets)), F.col("_i") + 1)
+    asked = asked.withColumn("_day", F.date_add(date_col, shift))
+    c = daily.select(F.col("ticker").alias("_t"), F.col("date").alias("_d"), F.col("close").alias("_c"))
+    got = asked.join(c, (F.col("ticker") == F.col("_t")) & (F.col("_day") == F.col("_d")), "left")
+    aggs = []
+    for i in range(len(offsets)):
+        aggs += [F.max((F.col("_i") == i) & F.col("_d").isNotNull()).alias(f"_has_{i}"),
+                 F.max(F.when(F.col("_i") == i, F.col("_c"))).alias(f"_close_{i}")]
+    return got.groupBy(*events.columns).agg(*aggs)
+
+
 def earnings_features(index: DataFrame, earnings: DataFrame, daily: DataFrame,
-                      info: DataFrame, cutoff: str = "15:00:00", inclusive: bool = True) -> DataFrame:
+                      sectors: DataFrame, cutoff: str = "15:00:00", inclusive: bool = True) -> DataFrame:
     """First earnings of the quarter, its date / time / session, the close used
     for it (BMO: that day, AMC: the next day, first available within a day), the
-    change on day and the sector (``N/A`` when unknown)."""
+    change on day (as :func:`change_on_day`) and the sector (``N/A`` when unknown).
+
+    All closes of an event, from the day before to two days after, come from one join.
+    """
     f = first_event_in_quarter(index, earnings)
     f = f.select(*index.columns, F.to_date("earnings_ts").alias("earnings_date"),
                  time_text("earnings_ts").alias("earnings_time"),
                  earnings_session("earnings_ts", cutoff, inclusive).alias("session"))
-    f = f.withColumn("_price_day", F.when(F.col("session") == "AMC", F.date_add("earnings_date", 1))
-                     .when(F.col("session") == "BMO", F.col("earnings_date")))
-    f = close_on_or_after(f, daily, "_price_day", 1, "price")
-    f = change_on_day(f, daily).drop("base_close", "target_close")
-    s = info.select("ticker", "sector")
-    return (f.join(s, "ticker", "left")
+    f = closes_around(f, daily, "earnings_date", [-1, 0, 1, 2])
+    amc = F.col("session") == "AMC"
+
+    def first_of(i: int, j: int) -> Column:
+        return F.when(F.col(f"_has_{i}"), F.col(f"_close_{i}")).otherwise(F.col(f"_close_{j}"))
+
+    base = F.when(amc, F.col("_close_1")).otherwise(F.col("_close_0"))
+    target = F.when(amc, F.col("_close_2")).otherwise(F.col("_close_1"))
+    cod = F.try_divide(target - base, base) * 100
+    f = f.withColumn("close_price_earnings", F.when(amc, first_of(2, 3)).otherwise(
+        F.when(F.col("session") == "BMO", first_of(1, 2)))) \
+        .withColumn("cod", F.when(F.col("session").isNotNull(), round_half_even(cod, 2)))
+    return (f.join(sectors.select("ticker", "sector"), "ticker", "left")
             .withColumn("sector", F.coalesce("sector", F.lit("N/A")))
             .select(*index.columns, "earnings_date", "earnings_time", "session",
-                    F.col("price_close").alias("close_price_earnings"), "cod", "sector"))
+                    "close_price_earnings", "cod", "sector"))
 
 
 def quarter_over_quarter(quarterly: DataFrame, price_col: str = "q_end_price") -> DataFrame:
@@ -177,8 +208,20 @@ def latest_caps(prices: DataFrame, info: DataFrame) -> DataFrame:
         F.coalesce("industry", F.lit("N/A")).alias("industry"))
 
 
-def close_matrix(daily: DataFrame, tickers: Sequence[str], ticker_col: str = "ticker",
-                 date_col: str = "date", value_col: str = "close") -> DataFrame:
-    """One row per date, one column per listed ticker (explicit list: no extra
-    pass to discover values, and a fixed schema)."""
+def close_matrix(daily: DataFrame, tickers: Sequence[str] | None = None,
+                 ticker_col: str = "ticker", date_col: str = "date",
+                 value_col: str = "close") -> DataFrame:
+    """One row per date, one column per ticker.
+
+    Without ``tickers`` every series of the data gets a column (a job finds them; the columns are
+    in name order). A list fixes the schema and must cover the data: a series outside of it
+    is an error, not a lost column.
+    """
+    if tickers is None:
+        found = daily.select(ticker_col).distinct().orderBy(ticker_col)
+        tickers = [r[0] for r in found.collect() if r[0] is not None]
+    else:
+        known = F.col(ticker_col).isin(list(tickers)) | F.col(ticker_col).isNull()
+        daily = daily.withColumn(ticker_col, F.when(known, F.col(ticker_col)).otherwise(
+            F.raise_error(F.concat(F.lit("series not listed: "), F.col(ticker_col)))))
     return daily.groupBy(date_col).pivot(ticker_col, list(tickers)).agg(F.first(value_col))

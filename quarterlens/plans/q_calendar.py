@@ -8,10 +8,10 @@ from quarterlens.functions import ids, quarters as Q
 from quarterlens.functions.numeric import percent_text_to_double, up_down_to_label
 from quarterlens.functions.text import header_period, normalise_newlines
 from quarterlens.functions.timefns import day_start, earnings_session, exchange_wall_clock, time_text
-from quarterlens.operators.partitioning import spread_if_few_partitions
+from quarterlens.operators.partitioning import spread
 from quarterlens.plans import stand_ins
 from quarterlens.plans.registry import register, rounded
-from quarterlens.sources.tables import read_table, scan_partitions
+from quarterlens.sources.tables import read_table
 
 
 @register("quarter_labels", """
@@ -75,9 +75,7 @@ _FNAME_DUCK = """CASE WHEN o_orderstatus = 'P'
 
 def filing_names(spark, sf):
     """Filing file names and folder paths derived from orders (one filing per order)."""
-    o = spread_if_few_partitions(
-        read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"]),
-        keys=["o_orderkey"], partitions=scan_partitions(spark, sf, "orders"))
+    o = spread(read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"]), ["o_orderkey"])
     named = o.select("o_orderkey", "o_custkey", "o_orderdate",
                      F.expr(_FNAME_SPARK).alias("filename"))
     return named.withColumn("path", ids.join_path(
@@ -139,9 +137,7 @@ p AS (SELECT o_orderkey, try_strptime(nullif(regexp_extract(substr(header, 1, 50
 SELECT o_orderkey, period, 'Q' || quarter(period) || '-' || strftime(period, '%y') AS quarter FROM p""")
 def q_period_parse(spark, sf):
     """A2 + I9: report period from the first 5,000 characters; bad or late -> null."""
-    o = spread_if_few_partitions(
-        read_table(spark, sf, "orders", ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate"]),
-        keys=["o_orderkey"], partitions=scan_partitions(spark, sf, "orders"))
+    o = spread(read_table(spark, sf, "orders", ["o_orderkey", "o_orderstatus", "o_orderpriority", "o_orderdate"]), ["o_orderkey"])
     h = o.select("o_orderkey", normalise_newlines(F.expr(_HEADER_SPARK)).alias("header"))
     p = h.select("o_orderkey", header_period("header").alias("period"))
     return p.select("o_orderkey", "period", Q.quarter_label("period").alias("quarter"))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from quarterlens.functions.quarters import quarter_label
+from quarterlens.functions.quarters import quarter_start
 from quarterlens.operators.features import (MinMaxScaling, OneHotEncoding, StandardScaling,
                                             hash_split)
 from quarterlens.operators.profile import column_profile
@@ -14,11 +18,11 @@ from quarterlens.operators.sentiment import sentiment_stats
 from quarterlens.plans import stand_ins
 from quarterlens.plans import training as TR
 from quarterlens.plans.q_index import SECTOR_SQL, sector_dim
-from quarterlens.plans.q_prices import QLAB, QOQ_SQL, quarterly_prices
+from quarterlens.plans.q_prices import QOQ_SQL, quarterly_prices
 from quarterlens.plans.q_sentiment import STATS_SQL
 from quarterlens.plans.registry import register, rounded
 from quarterlens.plans.sentiment import sentiment_export
-from quarterlens.session import cut_lineage
+from quarterlens.session import cut_lineage, ensure_checkpoint_dir
 from quarterlens.plans import prices as P
 from quarterlens.sources.tables import read_table
 
@@ -27,7 +31,7 @@ def _doc_keys(spark, sf):
     """Each document is the filing of one order's customer in that order's quarter."""
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     return o.select(F.col("o_orderkey").alias("doc_id"), F.col("o_custkey").cast("string").alias("ticker"),
-                    quarter_label("o_orderdate").alias("quarter"),
+                    quarter_start("o_orderdate").alias("quarter_start"),
                     F.concat(F.lit("Q"), F.quarter("o_orderdate").cast("string")).alias("q"),
                     F.year("o_orderdate").alias("year"))
 
@@ -39,18 +43,19 @@ def _stats(spark, sf):
 def training_rows(spark, sf):
     """N15 on the stand-ins, rounded once so every downstream query sees the same values."""
     stock = P.quarter_over_quarter(quarterly_prices(spark, sf)).filter(F.col("up_or_down").isNotNull())
-    sent = TR.sentiment_train(_stats(spark, sf), _doc_keys(spark, sf).select("doc_id", "ticker", "quarter"))
+    sent = TR.sentiment_train(_stats(spark, sf), _doc_keys(spark, sf).select("doc_id", "ticker", "quarter_start"))
     return rounded(TR.training_table(stock, sector_dim(spark, sf), sent))
 
 
 TRAIN_SQL = f"""
 WITH st AS ({STATS_SQL}),
-dk AS (SELECT o_orderkey AS doc_id, o_custkey::VARCHAR AS ticker, {QLAB.format('o_orderdate')} AS quarter FROM orders),
-sent AS (SELECT dk.ticker, dk.quarter, st.net_sentiment,
+dk AS (SELECT o_orderkey AS doc_id, o_custkey::VARCHAR AS ticker,
+              date_trunc('quarter', o_orderdate)::DATE AS quarter_start FROM orders),
+sent AS (SELECT dk.ticker, dk.quarter_start, st.net_sentiment,
                 count_positive_chunks + count_negative_chunks + count_neutral_chunks AS total,
                 count_neutral_chunks / (count_positive_chunks + count_negative_chunks + count_neutral_chunks) AS share
          FROM st JOIN dk ON st.doc_id = dk.doc_id),
-s2 AS (SELECT DISTINCT ticker, quarter, share > 0.6 AS neutral_dominance, net_sentiment
+s2 AS (SELECT DISTINCT ticker, quarter_start, share > 0.6 AS neutral_dominance, net_sentiment
        FROM sent WHERE coalesce(total <> 0, true)),
 qoq AS ({QOQ_SQL}),
 stock AS (SELECT ticker, quarter, quarter_start, up_or_down FROM qoq WHERE up_or_down IS NOT NULL),
@@ -59,7 +64,7 @@ p AS (SELECT stock.*, sec.industry, nullif(regexp_extract(stock.quarter, 'Q([1-4
       FROM stock LEFT JOIN sec ON stock.ticker = sec.ticker)
 SELECT p.ticker, p.quarter, p.quarter_start, p.q_num, p.industry, round(s2.net_sentiment, 6) AS net_sentiment,
        s2.neutral_dominance, CASE p.up_or_down WHEN 'Up' THEN 1 WHEN 'Down' THEN 0 END AS label
-FROM p LEFT JOIN s2 ON p.quarter = s2.quarter AND p.ticker = s2.ticker
+FROM p LEFT JOIN s2 ON p.quarter_start = s2.quarter_start AND p.ticker = s2.ticker
 WHERE s2.net_sentiment IS NOT NULL"""
 
 
@@ -162,10 +167,10 @@ def q_profile_nonnull(spark, sf):
 WITH st AS ({STATS_SQL})
 SELECT o_custkey::VARCHAR AS ticker, 'Q' || quarter(o_orderdate) || '-' || right(year(o_orderdate)::VARCHAR, 2)
        AS quarter_year, st.net_sentiment
-FROM st JOIN orders ON st.doc_id = orders.o_orderkey""")
+FROM st LEFT JOIN orders ON st.doc_id = orders.o_orderkey""")
 def q_sentiment_export(spark, sf):
     """(ticker, quarter, year) statistics exported as (ticker, quarter_year, net)."""
-    s = _stats(spark, sf).join(_doc_keys(spark, sf), "doc_id")
+    s = _stats(spark, sf).join(_doc_keys(spark, sf), "doc_id", "left")
     return rounded(sentiment_export(s.select("ticker", F.col("q").alias("quarter"), "year", "net_sentiment")))
 
 
@@ -183,13 +188,78 @@ def q_gbt_accuracy(spark, sf):
     return TR.evaluate(model, rows.filter(F.col("split") == "test"), rows)
 
 
+def _requests(spark, sf):
+    """One request per document; a document without an order has no ticker and quarter."""
+    keys = _doc_keys(spark, sf).select("doc_id", "ticker", F.substring("q", 2, 1).alias("q_num"))
+    return read_table(spark, sf, "documents", ["doc_id"]).join(keys, "doc_id", "left")
+
+
 @register("score_documents")
 def q_score_documents(spark, sf):
-    """Every document scored: sentiment -> features -> model -> Up probability."""
-    _, model = _fit(spark, sf)
-    keys = _doc_keys(spark, sf).select("doc_id", "ticker", F.substring("q", 2, 1).alias("q_num"))
-    requests = stand_ins.documents(spark, sf).select("doc_id").join(keys, "doc_id")
-    return TR.score_documents(requests, _stats(spark, sf), sector_dim(spark, sf), model)
+    """Every document scored: sentiment -> features -> model -> Up probability. The model
+    is fitted once per input and kept, with its preprocessing, in the checkpoint folder (K11)."""
+    return TR.score_documents(_requests(spark, sf), _stats(spark, sf), sector_dim(spark, sf),
+                              _saved_model(spark, sf))
+
+
+def _saved_model(spark, sf):
+    """The fitted pipeline of this session's input, loaded if it was saved before."""
+    name = hashlib.sha256(sf.encode()).hexdigest()[:16]
+    path = f"{ensure_checkpoint_dir(spark)}/models/{name}"
+    try:
+        return TR.load_model(path)
+    except (Py4JJavaError, AnalysisException) as e:
+        if "does not exist" not in str(e) and "PATH_NOT_FOUND" not in str(e):
+            raise
+    TR.save_model(_fit(spark, sf)[1], path)
+    return TR.load_model(path)
+
+
+@register("score_features", f"""
+WITH st AS ({STATS_SQL}),
+dk AS (SELECT o_orderkey AS doc_id, o_custkey::VARCHAR AS ticker, quarter(o_orderdate)::VARCHAR AS q_num FROM orders),
+sec AS (SELECT ticker, min(industry) AS industry FROM ({SECTOR_SQL}) GROUP BY ticker)
+SELECT d.doc_id, dk.ticker, dk.q_num, sec.industry, st.net_sentiment, st.sentiment_entropy,
+       st.neutral_dominance_count AS neutral_dominance
+FROM documents d LEFT JOIN dk ON d.doc_id = dk.doc_id LEFT JOIN st ON d.doc_id = st.doc_id
+LEFT JOIN sec ON dk.ticker = sec.ticker""")
+def q_score_features(spark, sf):
+    """N17 before the model (A9, K4, K12): the inputs of every document's request."""
+    return rounded(TR.score_features(_requests(spark, sf), _stats(spark, sf), sector_dim(spark, sf)))
+
+
+@register("split_counts", f"SELECT split, count(*) AS n_rows, count(label) AS n_labelled FROM ({HASH_SQL}) GROUP BY split")
+def q_split_counts(spark, sf):
+    """K6: rows and labelled rows of each part of the hash split."""
+    h = hash_split(training_rows(spark, sf), ["ticker", "quarter"])
+    return h.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.count("label").alias("n_labelled"))
+
+
+@register("label_baseline", f"""
+SELECT count(*) AS n_rows, round(greatest(avg(label), 1 - avg(label)), 6) AS baseline
+FROM ({TRAIN_SQL}) WHERE label IS NOT NULL""")
+def q_label_baseline(spark, sf):
+    """K9: the majority-class share that a model has to beat."""
+    return rounded(TR.label_baseline(training_rows(spark, sf)))
+
+
+# A fixed linear model for the deterministic part of evaluation.
+FIXED_MODEL = {"net_sentiment": 2.5, "q_num=1": 0.4, "q_num=3": -0.7, "neutral_dominance=true": 0.9}
+FIXED_INTERCEPT = -0.15
+
+
+@register("fixed_model_accuracy", f"""
+WITH h AS ({HASH_SQL}),
+z AS (SELECT label, 2.5 * net_sentiment + CASE WHEN q_num = '1' THEN 0.4 ELSE 0 END
+        - CASE WHEN q_num = '3' THEN 0.7 ELSE 0 END + CASE WHEN neutral_dominance THEN 0.9 ELSE 0 END
+        - 0.15 AS z FROM h WHERE split = 'test' AND label IS NOT NULL)
+SELECT count(*) AS n_test, round(avg(CASE WHEN (CASE WHEN 1 / (1 + exp(-z)) > 0.5 THEN 1 ELSE 0 END) = label
+                                     THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM z""")
+def q_fixed_model_accuracy(spark, sf):
+    """K8 + E13: prediction by given coefficients and its accuracy on the test part."""
+    h = hash_split(training_rows(spark, sf), ["ticker", "quarter"])
+    return rounded(TR.accuracy(TR.predict_fixed(h.filter(F.col("split") == "test"), FIXED_MODEL,
+                                                FIXED_INTERCEPT)))
 
 
 @register("mlp_accuracy")

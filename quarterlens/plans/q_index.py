@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from quarterlens.functions import ids
 from quarterlens.operators.enrich import left_dim_with_default, null_tokens, rows_with_nulls
 from quarterlens.operators.joins import bounded_broadcast
-from quarterlens.operators.partitioning import spread_if_few_partitions
+from quarterlens.operators.partitioning import spread
 from quarterlens.plans import membership as M
 from quarterlens.plans import stand_ins
 from quarterlens.plans.q_calendar import filing_names
 from quarterlens.plans.registry import register
 from quarterlens.sources.membership_lines import parse_membership_lines
-from quarterlens.sources.tables import read_table, scan_partitions
+from quarterlens.sources.tables import read_table
 from quarterlens.streaming.incremental import pending
 
 INDEX_AFTER = dt.date(1995, 12, 31)
@@ -32,9 +32,9 @@ l AS (SELECT date, 'Q' || quarter(date) || '-' || strftime(date, '%y') AS quarte
              date_trunc('quarter', date)::DATE AS quarter_start,
              CASE ticker WHEN 'BF.B' THEN 'BF-B' WHEN 'BRK.B' THEN 'BRK-B' ELSE ticker END AS ticker
       FROM m WHERE month(date) IN (3, 6, 9, 12)),
-mx AS (SELECT quarter, max(date) AS max_date FROM l GROUP BY quarter)
+mx AS (SELECT quarter_start, max(date) AS max_date FROM l GROUP BY quarter_start)
 SELECT DISTINCT l.quarter, l.quarter_start, l.ticker
-FROM l JOIN mx ON l.quarter = mx.quarter AND l.date = mx.max_date"""
+FROM l JOIN mx ON l.quarter_start = mx.quarter_start AND l.date = mx.max_date"""
 
 
 def index_of(spark, sf):
@@ -48,8 +48,11 @@ def q_index_snapshot(spark, sf):
 
 
 @register("member_explode", """
-SELECT l_orderkey, l_linenumber, l_shipdate::DATE AS date,
-       unnest(CASE WHEN l_returnflag = 'R'
+SELECT l_orderkey, l_linenumber, CASE WHEN l_linestatus = 'F' AND l_linenumber = 6 THEN NULL
+                                 ELSE l_shipdate::DATE END AS date,
+       unnest(CASE WHEN l_linenumber = 7 THEN []
+                   WHEN l_linenumber = 5 THEN [l_partkey::VARCHAR]
+                   WHEN l_returnflag = 'R'
                    THEN [l_partkey::VARCHAR, l_suppkey::VARCHAR, l_orderkey::VARCHAR]
                    ELSE [l_partkey::VARCHAR, l_suppkey::VARCHAR] END) AS ticker
 FROM lineitem""")
@@ -57,43 +60,65 @@ def q_member_explode(spark, sf):
     """A7 + I13 + I14 + J1: snapshot text lines ``date,"t1,t2[,t3]"`` parsed back to rows.
 
     One line per line item (two or three listed ids), built and parsed in the scan
-    stage: no grouping, so no list is ever collected and nothing is shuffled.
+    stage: no grouping, so no list is ever collected and nothing is shuffled. By line
+    number some lines are unquoted single tickers (5), have an impossible date (6, where
+    finished) or no list at all (7).
     """
-    li = spread_if_few_partitions(
-        read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                           "l_returnflag", "l_shipdate"]),
-        keys=["l_orderkey", "l_linenumber"], partitions=scan_partitions(spark, sf, "lineitem"))
+    li = spread(read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey",
+                                                   "l_suppkey", "l_returnflag", "l_linestatus",
+                                                   "l_shipdate"]), ["l_orderkey", "l_linenumber"])
     listed = F.concat_ws(",", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"),
                          F.when(F.col("l_returnflag") == "R", F.col("l_orderkey").cast("string")))
-    lines = li.select("l_orderkey", "l_linenumber",
-                      F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit(',"'), listed,
-                               F.lit('"')).alias("value"))
+    day = F.when((F.col("l_linestatus") == "F") & (F.col("l_linenumber") == 6), F.lit("2019-02-30")) \
+        .otherwise(F.date_format("l_shipdate", "yyyy-MM-dd"))
+    tail = F.when(F.col("l_linenumber") == 7, F.lit(" no list")) \
+        .when(F.col("l_linenumber") == 5, F.concat(F.lit(","), F.col("l_partkey").cast("string"))) \
+        .otherwise(F.concat(F.lit(',"'), listed, F.lit('"')))
+    lines = li.select("l_orderkey", "l_linenumber", F.concat(day, tail).alias("value"))
     return parse_membership_lines(lines, "value", keep=("l_orderkey", "l_linenumber"))
 
 
+@register("ticker_fix", """
+WITH t AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'BF.B' WHEN 1 THEN 'BRK.B' WHEN 2 THEN 'BRK.B.'
+                                    ELSE c_custkey || '.' || c_nationkey END AS raw FROM customer)
+SELECT c_custkey, raw, CASE raw WHEN 'BF.B' THEN 'BF-B' WHEN 'BRK.B' THEN 'BRK-B' ELSE raw END AS ticker,
+       replace(raw, '.', '-') AS dashed FROM t""")
+def q_ticker_fix(spark, sf):
+    """The two share-class spellings are rewritten as whole cells, others only look alike."""
+    c = read_table(spark, sf, "customer", ["c_custkey", "c_nationkey"])
+    raw = F.expr("CASE c_custkey % 4 WHEN 0 THEN 'BF.B' WHEN 1 THEN 'BRK.B' WHEN 2 THEN 'BRK.B.' "
+                 "ELSE c_custkey || '.' || c_nationkey END")
+    t = c.select("c_custkey", raw.alias("raw"), raw.alias("ticker"))
+    return ids.fix_tickers(t).withColumn("dashed", ids.dots_to_dashes("raw"))
+
+
 def _conversion(spark, sf):
     c = read_table(spark, sf, "customer", ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"])
-    return c.filter(F.col("c_acctbal") > 0).select(
+    return c.select(
         F.col("c_custkey").cast("string").alias("ticker"),
-        ids.pad_cik((F.col("c_custkey") * 7).cast("string")).alias("cik"),
+        F.when(F.col("c_acctbal") > 0, ids.pad_cik((F.col("c_custkey") * 7).cast("string"))).alias("cik"),
         F.when(F.col("c_mktsegment") == "BUILDING", F.lit(None).cast("string"))
         .otherwise(F.col("c_name")).alias("company_name"))
 
 
 def _patch(spark, sf):
     c = read_table(spark, sf, "customer", ["c_custkey", "c_name", "c_mktsegment"])
-    return c.filter(F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE")).select(
+    named = F.col("c_mktsegment").isin("BUILDING", "AUTOMOBILE")
+    return c.select(
         F.col("c_custkey").cast("string").alias("ticker"),
-        F.col("c_custkey").cast("string").alias("cik"), F.col("c_name").alias("company_name"))
+        F.col("c_custkey").cast("string").alias("cik"),
+        F.when(named, F.col("c_name")).alias("company_name"))
 
 
 @register("enrich_fallback", f"""
 WITH idx AS ({INDEX_SQL}),
-conv AS (SELECT c_custkey::VARCHAR AS ticker, {_pad('(c_custkey * 7)::VARCHAR')} AS cik,
+conv AS (SELECT c_custkey::VARCHAR AS ticker,
+                CASE WHEN c_acctbal > 0 THEN {_pad('(c_custkey * 7)::VARCHAR')} END AS cik,
                 CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_name END AS company_name
-         FROM customer WHERE c_acctbal > 0),
-patch AS (SELECT c_custkey::VARCHAR AS ticker, {_pad('c_custkey::VARCHAR')} AS cik, c_name AS company_name
-          FROM customer WHERE c_mktsegment IN ('BUILDING', 'AUTOMOBILE')),
+         FROM customer),
+patch AS (SELECT c_custkey::VARCHAR AS ticker, {_pad('c_custkey::VARCHAR')} AS cik,
+                 CASE WHEN c_mktsegment IN ('BUILDING', 'AUTOMOBILE') THEN c_name END AS company_name
+          FROM customer),
 j AS (SELECT i.quarter, i.quarter_start, i.ticker, c.cik, c.company_name
       FROM idx i LEFT JOIN conv c ON i.ticker = c.ticker)
 SELECT * FROM j WHERE cik IS NOT NULL AND company_name IS NOT NULL
@@ -114,21 +139,19 @@ fj AS (SELECT f.*, conv.ticker, conv.company_name, strftime(f.period, '%Y-%m') A
 m AS (SELECT strftime(o_orderdate, '%Y-%m') AS date_clean, o_custkey::VARCHAR AS ticker,
              min(o_orderdate::DATE) AS first_member_date, max(o_orderdate::DATE) AS last_member_date,
              count(*) AS member_snapshots
-      FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderdate::DATE > DATE '1995-12-31'
-      GROUP BY 1, 2)
+      FROM orders WHERE o_orderdate::DATE > DATE '1995-12-31' GROUP BY 1, 2)
 SELECT fj.date_clean, fj.ticker, fj.o_orderkey, fj.cik, fj.period, fj.company_name,
        m.first_member_date, m.last_member_date, m.member_snapshots
 FROM fj JOIN m ON fj.date_clean = m.date_clean AND fj.ticker = m.ticker""")
 def q_core_join(spark, sf):
     """Filings joined to the member list of their report month."""
-    o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"])
+    o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
     filings = o.select("o_orderkey", F.col("o_custkey").cast("string").alias("cik"),
                        F.to_date("o_orderdate").alias("period"))
     c = read_table(spark, sf, "customer", ["c_custkey", "c_name"])
     conv = c.select(F.col("c_custkey").cast("string").alias("cik"),
                     F.col("c_custkey").cast("string").alias("ticker"), F.col("c_name").alias("company_name"))
-    members = (o.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
-               .select(F.to_date("o_orderdate").alias("date"), F.col("o_custkey").cast("string").alias("ticker"))
+    members = (o.select(F.to_date("o_orderdate").alias("date"), F.col("o_custkey").cast("string").alias("ticker"))
                .filter(F.col("date") > F.lit(INDEX_AFTER)))
     return M.core_table(members, filings, conv).select(
         "date_clean", "ticker", "o_orderkey", "cik", "period", "company_name",
@@ -154,13 +177,13 @@ def q_wanted_semi(spark, sf):
 
 @register("resume_anti", f"""
 WITH idx AS ({INDEX_SQL}),
-done AS (SELECT DISTINCT quarter FROM idx WHERE quarter_start < DATE '1998-01-01')
-SELECT * FROM idx WHERE quarter NOT IN (SELECT quarter FROM done)""")
+done AS (SELECT DISTINCT quarter_start FROM idx WHERE quarter_start < DATE '1998-01-01')
+SELECT * FROM idx WHERE quarter_start NOT IN (SELECT quarter_start FROM done)""")
 def q_resume_anti(spark, sf):
     """Quarters already in the master result (before 1998) are skipped."""
     idx = index_of(spark, sf)
-    done = idx.filter(F.col("quarter_start") < F.lit(dt.date(1998, 1, 1))).select("quarter")
-    return pending(idx, done, ["quarter"])
+    done = idx.filter(F.col("quarter_start") < F.lit(dt.date(1998, 1, 1))).select("quarter_start")
+    return pending(idx, done, ["quarter_start"])
 
 
 def sector_dim(spark, sf):

@@ -135,36 +135,37 @@ def q_earnings_prev_close(spark, sf):
                                          _daily(spark, sf)))
 
 
-def _urgent_orders(spark, sf):
-    o = read_table(spark, sf, "orders", ["o_custkey", "o_orderdate", "o_orderpriority"])
-    return o.filter(F.col("o_orderpriority") == "1-URGENT").select(
-        F.col("o_custkey").cast("string").alias("ticker"), F.col("o_orderdate").alias("earnings_ts"))
+def _order_events(spark, sf):
+    o = read_table(spark, sf, "orders", ["o_custkey", "o_orderdate"])
+    return o.select(F.col("o_custkey").cast("string").alias("ticker"),
+                    F.col("o_orderdate").alias("earnings_ts"))
 
 
-URGENT = f"""ev AS (SELECT o_custkey::VARCHAR AS ticker, {QLAB.format('o_orderdate')} AS quarter, o_orderdate AS earnings_ts
-               FROM orders WHERE o_orderpriority = '1-URGENT')"""
+ORDER_EVENTS = """ev AS (SELECT o_custkey::VARCHAR AS ticker,
+                      date_trunc('quarter', o_orderdate)::DATE AS quarter_start,
+                      o_orderdate AS earnings_ts FROM orders)"""
 
 
 @register("first_in_quarter", f"""
-WITH idx AS ({INDEX_SQL}), {URGENT},
-f AS (SELECT ticker, quarter, min(earnings_ts) AS earnings_ts FROM ev GROUP BY ticker, quarter)
+WITH idx AS ({INDEX_SQL}), {ORDER_EVENTS},
+f AS (SELECT ticker, quarter_start, min(earnings_ts) AS earnings_ts FROM ev GROUP BY ALL)
 SELECT idx.ticker, idx.quarter, idx.quarter_start, f.earnings_ts
-FROM idx LEFT JOIN f ON idx.ticker = f.ticker AND idx.quarter = f.quarter""")
+FROM idx LEFT JOIN f ON idx.ticker = f.ticker AND idx.quarter_start = f.quarter_start""")
 def q_first_in_quarter(spark, sf):
-    """Earliest event of each member's quarter (urgent orders as events)."""
-    return P.first_event_in_quarter(index_of(spark, sf), _urgent_orders(spark, sf))
+    """Earliest event of each member's quarter (orders as events)."""
+    return P.first_event_in_quarter(index_of(spark, sf), _order_events(spark, sf))
 
 
 @register("dates_in_quarter", f"""
-WITH idx AS ({INDEX_SQL}), {URGENT},
-f AS (SELECT ticker, quarter, string_agg(DISTINCT strftime(earnings_ts, '%Y-%m-%d'), ', '
+WITH idx AS ({INDEX_SQL}), {ORDER_EVENTS},
+f AS (SELECT ticker, quarter_start, string_agg(DISTINCT strftime(earnings_ts, '%Y-%m-%d'), ', '
                                ORDER BY strftime(earnings_ts, '%Y-%m-%d')) AS earnings_dates
-      FROM ev GROUP BY ticker, quarter)
+      FROM ev GROUP BY ticker, quarter_start)
 SELECT idx.ticker, idx.quarter, idx.quarter_start, f.earnings_dates
-FROM idx LEFT JOIN f ON idx.ticker = f.ticker AND idx.quarter = f.quarter""")
+FROM idx LEFT JOIN f ON idx.ticker = f.ticker AND idx.quarter_start = f.quarter_start""")
 def q_dates_in_quarter(spark, sf):
     """All distinct event dates of each member's quarter, ascending, comma-joined."""
-    return P.event_dates_in_quarter(index_of(spark, sf), _urgent_orders(spark, sf))
+    return P.event_dates_in_quarter(index_of(spark, sf), _order_events(spark, sf))
 
 
 def _cod_sql(date: str, session: str, alias: str = "x") -> str:
@@ -194,9 +195,9 @@ def q_change_on_day(spark, sf):
 
 @register("earnings_features", f"""
 WITH {VIEW_Q}, {DC},
-ev AS (SELECT user_id AS ticker, {QLAB.format('ts')} AS quarter, min(ts) AS earnings_ts
+ev AS (SELECT user_id AS ticker, date_trunc('quarter', ts)::DATE AS quarter_start, min(ts) AS earnings_ts
        FROM events WHERE event_type = 'signup' GROUP BY ALL),
-f AS (SELECT vq.*, ev.earnings_ts FROM vq LEFT JOIN ev ON vq.ticker = ev.ticker AND vq.quarter = ev.quarter),
+f AS (SELECT vq.*, ev.earnings_ts FROM vq LEFT JOIN ev ON vq.ticker = ev.ticker AND vq.quarter_start = ev.quarter_start),
 g AS (SELECT *, earnings_ts::DATE AS earnings_date, strftime(earnings_ts, '%H:%M:%S') AS earnings_time,
              {SESSION_A.format('earnings_ts')} AS session FROM f),
 h AS (SELECT *, CASE WHEN session = 'AMC' THEN earnings_date + 1 WHEN session = 'BMO' THEN earnings_date END AS price_day FROM g),
@@ -211,9 +212,8 @@ SELECT y.ticker, quarter, quarter_start, earnings_date, earnings_time, session,
 FROM y LEFT JOIN s ON y.ticker = s.ticker""")
 def q_earnings_features(spark, sf):
     """First earnings per quarter, session, close used, change on day, sector."""
-    info = stand_ins.company_info(spark, sf)
     return rounded(P.earnings_features(_view_quarters(spark, sf), stand_ins.earnings(spark, sf),
-                                       _daily(spark, sf), info))
+                                       _daily(spark, sf), stand_ins.sectors(spark, sf)))
 
 
 def quarterly_prices(spark, sf):
@@ -259,20 +259,25 @@ def q_topk_change(spark, sf):
 
 
 @register("market_cap", f"""
-WITH {DC},
-e AS (SELECT event_id, user_id AS ticker, ts::DATE AS date FROM events
-      WHERE event_type = 'signup' AND year(ts) BETWEEN 2024 AND 2024),
-c AS (SELECT e.*, dc.date AS close_date, dc.close,
-        row_number() OVER (PARTITION BY e.event_id ORDER BY dc.date DESC) AS rn
-      FROM e LEFT JOIN dc ON dc.ticker = e.ticker AND dc.date <= e.date),
-sh AS (SELECT c_custkey AS ticker, abs(c_acctbal) * 1000 + 1 AS shares_outstanding FROM customer)
+WITH {DCO},
+e AS (SELECT o_orderkey AS event_id, o_custkey::VARCHAR AS ticker, o_orderdate::DATE AS date FROM orders
+      WHERE year(o_orderdate) BETWEEN 1996 AND 1997),
+c AS (SELECT e.*, dco.date AS close_date, dco.close,
+        row_number() OVER (PARTITION BY e.event_id ORDER BY dco.date DESC) AS rn
+      FROM e LEFT JOIN dco ON dco.ticker = e.ticker AND dco.date <= e.date),
+sh AS (SELECT c_custkey::VARCHAR AS ticker, abs(c_acctbal) * 1000 + 1 AS shares_outstanding FROM customer)
 SELECT event_id, c.ticker, date, close_date, round(round_even(close * 100, 0) / 100, 6) AS close_price,
-       round(round_even(close * shares_outstanding, 0), 6) AS market_cap
+       round_even(close * shares_outstanding, 0) AS market_cap
 FROM c LEFT JOIN sh ON c.ticker = sh.ticker WHERE rn = 1""")
 def q_market_cap(spark, sf):
-    """Market cap at each earnings date of 2024 from the last close on or before it."""
-    shares = stand_ins.company_info(spark, sf).select("ticker", "shares_outstanding")
-    return rounded(P.market_caps(stand_ins.earnings(spark, sf), _daily(spark, sf), shares, 2024, 2024))
+    """N12 / D9 + C14: market cap at each order of 1996 and 1997 (orders as events; the years
+    before and after are left out), from the last close on or before it."""
+    p = stand_ins.order_prices(spark, sf)
+    daily = P.daily_last(p, "ticker", "ts", "close", "event_id")
+    events = p.select("event_id", "ticker", F.col("ts").alias("earnings_ts"))
+    shares = stand_ins.company_info(spark, sf).select(F.col("ticker").cast("string").alias("ticker"),
+                                                      "shares_outstanding")
+    return rounded(P.market_caps(events, daily, shares, 1996, 1997))
 
 
 @register("latest_cap", """
@@ -293,6 +298,7 @@ def q_latest_cap(spark, sf):
     return rounded(P.latest_caps(stand_ins.prices(spark, sf), stand_ins.company_info(spark, sf)))
 
 
+# The columns that the oracle SQL spells out; the query takes its series from the data.
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
@@ -304,10 +310,10 @@ x AS (SELECT * FROM d WHERE rn = 1)
 SELECT date, """ + ", ".join(f"round(max(value) FILTER (WHERE event_type = '{t}'), 6) AS {t}" for t in EVENT_TYPES)
           + " FROM x GROUP BY date")
 def q_close_matrix(spark, sf):
-    """Long -> wide, one column per listed series (event types stand in for tickers)."""
+    """Long -> wide, one column per series of the data (event types stand in for tickers)."""
     e = read_table(spark, sf, "events", ["event_id", "ts", "event_type", "value"])
     daily = P.daily_last(e, "event_type", "ts", "value", "event_id", value_name="close")
-    return rounded(P.close_matrix(daily, EVENT_TYPES, ticker_col="event_type"))
+    return rounded(P.close_matrix(daily, ticker_col="event_type"))
 
 
 @register("wide_to_long", """
@@ -317,4 +323,5 @@ WITH d AS (SELECT event_type, ts::DATE AS date, value,
 SELECT date, event_type AS ticker, round(value, 6) AS close FROM d WHERE rn = 1""")
 def q_wide_to_long(spark, sf):
     """The wide close matrix back to long (date, series, value) rows."""
-    return rounded(wide_to_long(q_close_matrix(spark, sf), ["date"], EVENT_TYPES))
+    wide = q_close_matrix(spark, sf)
+    return rounded(wide_to_long(wide, ["date"], [c for c in wide.columns if c != "date"]))

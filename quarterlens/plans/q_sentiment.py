@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarterlens.functions.text import first_sentence_with, section_10k, section_10q
-from quarterlens.operators.partitioning import spread_if_few_partitions
+from quarterlens.operators.partitioning import spread
 from quarterlens.operators.scoring import demo_scorer
 from quarterlens.operators.sentiment import (averages_only, explode_paragraphs,
                                              sentiment_stats)
 from quarterlens.plans import sql_snippets as S
+from quarterlens.plans.filings import extract_mda
 from quarterlens.plans import stand_ins
 from quarterlens.plans.registry import register, rounded
-from quarterlens.sources.tables import read_table, scan_partitions
+from quarterlens.sources.tables import read_table
 from quarterlens.streaming.incremental import union_incremental
 
 STATS_SQL = S.stats_sql()
@@ -64,13 +65,12 @@ def q_sentiment_incremental(spark, sf):
 
     The union must equal a full recompute (``sentiment_stats``).
     """
-    docs = spread_if_few_partitions(read_table(spark, sf, "documents", ["doc_id", "text", "lang"]),
-                                    keys=["doc_id"],
-                                    partitions=scan_partitions(spark, sf, "documents"))
+    docs = spread(read_table(spark, sf, "documents", ["doc_id", "text", "lang"]), ["doc_id"])
     scorer = demo_scorer()
-    existing = sentiment_stats(docs.filter(F.col("lang") == "en").select("doc_id", "text"), scorer)
+    done = docs.filter(F.col("lang") == "en")
+    existing = sentiment_stats(done.select("doc_id", "text"), scorer)
     full = union_incremental(existing, docs.select("doc_id", "text"), ["doc_id"],
-                             lambda todo: sentiment_stats(todo, scorer))
+                             lambda todo: sentiment_stats(todo, scorer), done_keys=done)
     return rounded(full)
 
 
@@ -103,13 +103,12 @@ K_LAYOUT = {
 def _filing_text_sql(layout) -> str:
     cases = " ".join(f"WHEN '{lang}' THEN {pre} || {start} || text || {end}"
                      for lang, (pre, start, end) in layout.items())
-    return f"CASE lang {cases} END"
+    pre, start, end = layout["en"]          # any other language, and none, has the English layout
+    return f"CASE lang {cases} ELSE {pre} || {start} || text || {end} END"
 
 
 def _filing_docs(spark, sf, layout):
-    docs = spread_if_few_partitions(read_table(spark, sf, "documents", ["doc_id", "text", "lang"]),
-                                    keys=["doc_id"],
-                                    partitions=scan_partitions(spark, sf, "documents"))
+    docs = spread(read_table(spark, sf, "documents", ["doc_id", "text", "lang"]), ["doc_id"])
     return docs.select("doc_id", F.expr(_filing_text_sql(layout)).alias("filing_text"))
 
 
@@ -132,6 +131,44 @@ def q_section_10q(spark, sf):
     return f.select("doc_id", section_10q("filing_text").alias("section"))
 
 
+def _dispatch_text_sql() -> str:
+    """Every third document is laid out as a 10-K, the others as a 10-Q."""
+    return (f"CASE WHEN doc_id % 3 = 0 THEN {_filing_text_sql(K_LAYOUT)} "
+            f"ELSE {_filing_text_sql(Q_LAYOUT)} END")
+
+
+DISPATCH_TYPE = "CASE WHEN doc_id % 3 = 0 THEN '10-K' ELSE '10-Q' END"
+DISPATCH_NAME = f"'20220101_' || {DISPATCH_TYPE} || '_edgar_data_' || doc_id || '_0000-22-1.txt'"
+
+
+def _cut_sql(source: str, skip: int, start_re: str, end_re: str) -> str:
+    return f"""
+SELECT doc_id, name, nullif({S.strip("CASE WHEN me <> '' THEN substr(tail, 1, strpos(tail, me) - 1) END")}, '') AS section
+FROM (SELECT *, regexp_extract(tail, '(?i){end_re}') AS me
+FROM (SELECT *, CASE WHEN ms <> '' THEN substr(rest, strpos(rest, ms)) END AS tail
+FROM (SELECT *, regexp_extract(rest, '(?i){start_re}') AS ms
+FROM (SELECT doc_id, name, substr(t, {skip + 1}) AS rest FROM {source}))))"""
+
+
+Q_RE = (r"item[\s\.]*2[\s\.\:-]+", r"item[\s\.]*3[\s\.\:-]+")
+K_RE = (r"Item\s*7\.*\s*Management.*?Discussion.*?Analysis", r"Item\s*7A\.|Item\s*8\.")
+
+
+@register("section_dispatch", f"""
+WITH f AS (SELECT doc_id, {DISPATCH_NAME} AS name, {_dispatch_text_sql()} AS t FROM documents),
+s AS ({_cut_sql("(SELECT * FROM f WHERE contains(name, '10-K'))", 18000, *K_RE)}
+UNION ALL {_cut_sql("(SELECT * FROM f WHERE NOT contains(name, '10-K'))", 20000, *Q_RE)})
+SELECT regexp_extract(name, 'edgar_data_([0-9]+)_', 1) AS cik, name AS filename,
+       'filings/' || name AS path, section AS management_discussion FROM s""")
+def q_section_dispatch(spark, sf):
+    """The section rule follows the filing type, over mixed 10-K and 10-Q filings."""
+    docs = spread(read_table(spark, sf, "documents", ["doc_id", "text", "lang"]), ["doc_id"])
+    f = docs.select(F.expr(DISPATCH_NAME).alias("filename"),
+                    F.concat(F.lit("filings/"), F.expr(DISPATCH_NAME)).alias("path"),
+                    F.expr(_dispatch_text_sql()).alias("text"))
+    return extract_mda(f)
+
+
 @register("section_10k", _section_sql(K_LAYOUT, 18000,
                                       r"Item\s*7\.*\s*Management.*?Discussion.*?Analysis",
                                       r"Item\s*7A\.|Item\s*8\."))

@@ -10,14 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarterlens.operators.joins import bounded_broadcast
-from quarterlens.operators.partitioning import spread_if_few_partitions
-from quarterlens.sources.tables import read_table, scan_partitions
+from quarterlens.operators.partitioning import spread
+from quarterlens.sources.tables import read_table
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    """MD&A texts: (doc_id, text), hash-spread on doc_id over the cores when stored as few splits."""
-    return spread_if_few_partitions(read_table(spark, sf, "documents", ["doc_id", "text"]), keys=["doc_id"],
-                                    partitions=scan_partitions(spark, sf, "documents"))
+    """MD&A texts: (doc_id, text)."""
+    return spread(read_table(spark, sf, "documents", ["doc_id", "text"]), ["doc_id"])
 
 
 def prices(spark: SparkSession, sf: str) -> DataFrame:
@@ -63,6 +62,12 @@ def company_info(spark: SparkSession, sf: str) -> DataFrame:
                     F.col("c_mktsegment").alias("sector"), F.col("n_name").alias("industry"))
 
 
+def sectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Sector per ticker (customer key)."""
+    c = read_table(spark, sf, "customer", ["c_custkey", "c_mktsegment"])
+    return c.select(F.col("c_custkey").alias("ticker"), F.col("c_mktsegment").alias("sector"))
+
+
 def order_prices(spark: SparkSession, sf: str) -> DataFrame:
     """Order totals as a price feed: (ticker = customer key as text, ts, close, event_id)."""
     o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"])

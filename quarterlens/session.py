@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,8 @@ DEFAULT_CONF = {
     # Python call sites in error messages cost a JVM round trip per column operation
     # while a plan is built (Spark documents the overhead); plans here are long.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # checkpoint files of frames that are no longer used are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -51,16 +54,20 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster setting always wins. Only when it is unset (tests, a laptop) do we
-    set one ourselves, from ``fallback`` or a folder under the working directory.
+    The cluster setting always wins. Only when it is unset and the master is local (tests, a
+    laptop) do we set one ourselves, from ``fallback`` or a folder under the working directory;
+    on a cluster that would be a folder of the driver alone, so it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+    target = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
-    target = configured or fallback or os.path.join(os.getcwd(), "checkpoints")
+    if not target:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        target = fallback or os.path.join(os.getcwd(), "checkpoints")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir() or target
 

@@ -1,6 +1,7 @@
 """Index membership snapshot text.
 
-Each line holds a date and a quoted comma list of tickers: ``2019-03-29,"A,B,C"``.
+Each line holds a date and a quoted comma list of tickers, ``2019-03-29,"A,B,C"``, or one
+unquoted ticker, ``2019-06-28,A``.
 Lines are parsed independently (the reference pairs dates and lists over the whole
 file, so one malformed line shifts every later pair; we keep the intent), which
 keeps the read fully parallel.
@@ -21,14 +22,19 @@ def parse_membership_lines(lines: DataFrame, line_col: str = "value",
     """(keep..., date DATE, ticker STRING), one row per ticker of each line.
 
     Dates and quoted lists of a line are paired by position; pairing stops at the
-    shorter list (zip semantics). Tickers are split on ``,`` without trimming.
+    shorter list (zip semantics). A line without a quoted list lists what follows its
+    first date and a comma (a single ticker needs no quotes in CSV). Tickers are split
+    on ``,`` without trimming. An impossible date (30 February) gives a null date.
     """
-    dates = F.regexp_extract_all(F.col(line_col), F.lit(DATE_PATTERN), 0)
-    lists = F.regexp_extract_all(F.col(line_col), F.lit(QUOTED_PATTERN), 1)
+    line = F.col(line_col)
+    dates = F.regexp_extract_all(line, F.lit(DATE_PATTERN), 0)
+    lists = F.regexp_extract_all(line, F.lit(QUOTED_PATTERN), 1)
+    bare = F.nullif(F.regexp_extract(line, DATE_PATTERN + r",([^\"\r\n]+)", 1), F.lit(""))
+    lists = F.when((F.size(lists) == 0) & bare.isNotNull(), F.array(bare)).otherwise(lists)
     pairs = F.arrays_zip(dates.alias("d"), lists.alias("l"))
     x = lines.select(*keep, F.explode(pairs).alias("p"))
     x = x.filter(F.col("p.d").isNotNull() & F.col("p.l").isNotNull())
-    return x.select(*keep, F.to_date(F.col("p.d")).alias("date"),
+    return x.select(*keep, F.try_to_date(F.col("p.d"), "yyyy-MM-dd").alias("date"),
                     F.explode(F.split(F.col("p.l"), ",")).alias("ticker"))
 
 

@@ -19,37 +19,8 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-_RELATIONS: dict = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: Sequence[str] | None = None) -> DataFrame:
-    """Parquet table, pruned to ``columns``.
-
-    The relation (file listing, footer schema) is resolved once per session and
-    path and reused by later queries; call :func:`forget_tables` after the files
-    of a path change within a long-lived session.
-    """
-    key = (spark, table_path(sf_dir, name))
-    df = _RELATIONS.get(key)
-    if df is None:
-        df = _RELATIONS[key] = spark.read.parquet(key[1])
+    """Parquet table, pruned to ``columns``; its files are listed anew by each call."""
+    df = spark.read.parquet(table_path(sf_dir, name))
     return df.select(*columns) if columns else df
-
-
-_SCAN_PARTITIONS: dict = {}
-
-
-def scan_partitions(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Number of input partitions a scan of the table yields (file splits / row
-    groups), planned once per session and path: it depends on the files only."""
-    key = (spark, table_path(sf_dir, name))
-    n = _SCAN_PARTITIONS.get(key)
-    if n is None:
-        n = _SCAN_PARTITIONS[key] = read_table(spark, sf_dir, name)._jdf.rdd().getNumPartitions()
-    return n
-
-
-def forget_tables() -> None:
-    _RELATIONS.clear()
-    _SCAN_PARTITIONS.clear()

@@ -28,17 +28,41 @@ def pending(candidates: DataFrame, done_keys: DataFrame, keys: Sequence[str]) ->
 
 
 def union_incremental(existing: DataFrame, candidates: DataFrame, keys: Sequence[str],
-                      process: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Lazy form: existing results plus ``process`` over the pending rows only."""
-    new = process(pending(candidates, existing, keys))
+                      process: Callable[[DataFrame], DataFrame],
+                      done_keys: DataFrame | None = None) -> DataFrame:
+    """Lazy form: existing results plus ``process`` over the pending rows only.
+
+    ``done_keys``: rows with the keys of ``existing``, where these are cheaper to get
+    than from ``existing`` itself (a lazy result would be computed a second time).
+    """
+    new = process(pending(candidates, existing if done_keys is None else done_keys, keys))
     return existing.unionByName(new)
 
 
+def one_per_key(candidates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row of each key (null-safe), the same one in every run: the smallest hash of
+    the whole row. Equal rows are interchangeable. The limit of one row is applied in
+    each task before the shuffle, so a key that repeats without end sends few rows."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    first = Window.partitionBy(*keys).orderBy("_order")
+    return (candidates.withColumn("_order", F.xxhash64(*candidates.columns))
+            .withColumn("_nth", F.row_number().over(first)).filter(F.col("_nth") == 1)
+            .drop("_order", "_nth"))
+
+
+# A target that was never written: nothing there, or a folder without files.
+_NO_TARGET = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+
+
 def _read_existing(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in _NO_TARGET:
+            return None
+        raise
 
 
 class AppendReport(NamedTuple):
@@ -52,7 +76,8 @@ def append_new_checked(spark: SparkSession, candidates: DataFrame, target_path:
                        drop: Sequence[str] = ()) -> AppendReport:
     """Process rows whose key is absent from ``target_path`` and append them.
 
-    Processed rows matching ``reject`` (e.g. a document the model could not fully
+    Several candidates of one key count as one (:func:`one_per_key`), so a key is appended
+    once even if a run delivers it twice. Processed rows matching ``reject`` (e.g. a document the model could not fully
     score) are not appended but counted; their keys stay pending, so the next run
     tries them again. ``drop`` removes helper columns before writing. Both counts
     are observed during the single write (``Observation``), no second pass.
@@ -62,7 +87,7 @@ def append_new_checked(spark: SparkSession, candidates: DataFrame, target_path:
 
     existing = _read_existing(spark, target_path)
     todo = candidates if existing is None else pending(candidates, existing, keys)
-    out = process(todo)
+    out = process(one_per_key(todo, keys))
     bad = F.coalesce(reject, F.lit(False)) if reject is not None else F.lit(False)
     obs = Observation("appended")
     out = out.observe(obs, F.count_if(~bad).alias("appended"), F.count_if(bad).alias("rejected"))
@@ -180,12 +205,12 @@ def stream_filing_sentiment(spark: SparkSession, folder: str, target_path: str,
     from pyspark.sql import functions as F
 
     from quarterlens.functions.text import normalise_newlines
-    from quarterlens.sources.filings import FILING_NAME_GLOB, FILING_NAME_PATTERN
+    from quarterlens.sources.filings import FILING_NAME_GLOB, FILING_NAME_PATTERN, plain_path
 
     raw = (spark.readStream.option("pathGlobFilter", FILING_NAME_GLOB)
            .option("maxFilesPerTrigger", max_files_per_trigger)
            .option("recursiveFileLookup", "true").text(folder, wholetext=True))
-    files = raw.select(F.col("_metadata.file_path").alias("path"),
+    files = raw.select(plain_path("_metadata.file_path").alias("path"),
                        F.col("_metadata.file_name").alias("filename"),
                        normalise_newlines("value").alias("text")) \
         .filter(F.col("filename").rlike(FILING_NAME_PATTERN))

@@ -53,25 +53,80 @@ def test_matches_brute_force(data, direction, exact, tol, width):
 @pytest.mark.parametrize("direction", ["backward", "forward"])
 @pytest.mark.parametrize("exact", [True, False])
 @pytest.mark.parametrize("tol", [None, dt.timedelta(days=2)])
-def test_auto_width_matches_brute_force(data, direction, exact, tol):
-    """'auto' with a small row target gives narrow buckets; results stay exact."""
+def test_split_groups_match_brute_force(data, direction, exact, tol):
+    """A small target splits nearly every bucket; results stay exact."""
     L, R, ldf, rdf = data
-    res = asof_join(ldf, rdf, ["k"], "lt", "rt", direction, exact, tol, "rid", "auto", auto_bucket_rows=5)
+    res = asof_join(ldf, rdf, ["k"], "lt", "rt", direction, exact, tol, "rid", max_group_rows=5)
     got = dict(rows(res, "id", "rid"))
     assert len(got) == len(L) and res.count() == len(L)
     assert got == _brute(L, R, direction, exact, tol)
 
 
-def test_auto_width_follows_the_densest_key(spark):
-    from quarterlens.operators.asof import MICROS_PER_DAY, auto_bucket_width
+def _burst(spark, n=3000):
+    """A third of all rows is one key within one day, a part of that at one instant."""
+    rnd = random.Random(5)
+    L, R = [], []
+    for i in range(n):
+        day = dt.timedelta(days=rnd.randint(0, 50), seconds=rnd.randint(0, 86000))
+        t = BASE + (dt.timedelta(days=20, seconds=rnd.randint(0, 40000)) if i % 3 == 0 else day)
+        if i % 15 == 0:
+            t = BASE + dt.timedelta(days=20, seconds=777)
+        L.append((i, 7 if i % 3 == 0 else i % 11 + 100, t))
+    for j in range(n):
+        t = BASE + (dt.timedelta(days=20, seconds=rnd.randint(0, 40000)) if j % 3 == 0 else
+                    dt.timedelta(days=rnd.randint(0, 50)))
+        if j % 15 == 0:
+            t = BASE + dt.timedelta(days=20, seconds=777)
+        R.append((j, 7 if j % 3 == 0 else j % 11 + 100, t, float(j)))
+    return (L, R, spark.createDataFrame(L, "id long, k int, lt timestamp"),
+            spark.createDataFrame(R, "rid long, k int, rt timestamp, v double"))
+
+
+@pytest.mark.parametrize("direction, exact, tol", [
+    ("backward", True, None), ("backward", False, dt.timedelta(hours=3)), ("forward", True, None),
+    ("forward", False, dt.timedelta(days=1))])
+def test_burst_at_one_instant_matches_brute_force(spark, direction, exact, tol):
+    L, R, ldf, rdf = _burst(spark, 900)
+    res = asof_join(ldf, rdf, ["k"], "lt", "rt", direction, exact, tol, "rid", max_group_rows=20)
+    assert dict(rows(res, "id", "rid")) == _brute(L, R, direction, exact, tol)
+
+
+def test_no_window_partition_exceeds_the_target(spark):
+    """The left rows of every window partition stay within the target, bursts included."""
     from pyspark.sql import functions as F
 
-    # key A: 100 rows over 99 days; key B: 10 rows over 90 days -> A decides: 99 days * 10 / 100
-    rows_ = [("A", i) for i in range(100)] + [("B", 10 * i) for i in range(10)]
-    df = spark.createDataFrame(rows_, "k string, d int").select(
-        "k", (F.col("d").cast("long") * MICROS_PER_DAY).alias("_n"))
-    w = auto_bucket_width(df.limit(0), df, ["k"], 10)
-    assert w == (99 * MICROS_PER_DAY + 1) * 10 // 100
+    from quarterlens.operators import asof
+
+    _L, _R, ldf, rdf = _burst(spark)
+    target = 150
+    units = lambda df, t: df.select("k", asof.time_units(df, t).alias("_n"),
+                                    F.struct(*df.columns).alias("_l"))
+    l, r = units(ldf, "lt"), units(rdf, "rt")
+    bucket = lambda x: F.floor(x / F.lit(30 * asof.MICROS_PER_DAY)).cast("long")
+    assert l.unionByName(r).groupBy("k", bucket(F.col("_n"))).count().agg(F.max("count")).first()[0] > 1900
+    cuts, deals = asof._splits(l, r, ["k"], bucket, target)
+    left = asof._placed(l, ["k"], bucket, cuts)
+    left = asof._dealt(left, ["k"], deals, F.pmod(F.xxhash64("_l"), F.coalesce("_m", F.lit(1))).cast("int"))
+    assert left.groupBy("k", "_b", "_deal").count().agg(F.max("count")).first()[0] <= 1.4 * target
+    best = asof._placed(r, ["k"], bucket, cuts).select("k", "_b", "_n").distinct()
+    assert best.groupBy("k", "_b").count().agg(F.max("count")).first()[0] <= target
+
+
+def test_unbounded_join_scans_each_side_once(spark, tmp_path):
+    import contextlib
+    import io
+
+    _L, _R, ldf, rdf = _burst(spark, 300)
+    ldf.write.parquet(str(tmp_path / "l"))
+    rdf.write.parquet(str(tmp_path / "r"))
+    out = asof_join(spark.read.parquet(str(tmp_path / "l")), spark.read.parquet(str(tmp_path / "r")),
+                    ["k"], "lt", "rt")
+    out.collect()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain()
+    final = buf.getvalue().split("Initial Plan")[0]
+    assert final.count("FileScan parquet") == 2
 
 
 def test_boundaries_and_null_payload(spark):
@@ -124,7 +179,7 @@ def test_plan_has_no_nested_loop_or_cartesian(data):
 
 @pytest.mark.parametrize("tol, width", [(dt.timedelta(days=1), None), (None, dt.timedelta(days=1)),
                                         (dt.timedelta(days=7), dt.timedelta(days=1)),
-                                        (dt.timedelta(days=7), "auto")])
+                                        (dt.timedelta(days=7), None), (None, None)])
 def test_hot_key_is_spread_over_tasks(spark, tol, width):
     """One key with half of all rows: its time buckets land in different tasks (copy
     path, and carry path with and without a tolerance)."""
@@ -140,7 +195,7 @@ def test_hot_key_is_spread_over_tasks(spark, tol, width):
     prev = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        out = asof_join(ldf, rdf, ["k"], "lt", "rt", tolerance=tol, bucket_width=width, auto_bucket_rows=100)
+        out = asof_join(ldf, rdf, ["k"], "lt", "rt", tolerance=tol, bucket_width=width, max_group_rows=100)
         # read the matched value, or Catalyst prunes the whole join from a plain count
         per_task = (out.groupBy(F.spark_partition_id().alias("p"))
                     .agg(F.count(F.lit(1)).alias("count"), F.count("v").alias("matched")).collect())
@@ -149,19 +204,3 @@ def test_hot_key_is_spread_over_tasks(spark, tol, width):
     hot = sum(1 for r in L if r[1] == "HOT")
     assert max(r["count"] for r in per_task) < hot * 0.5        # the hot key is split, not one task
     assert sum(r["count"] for r in per_task) == len(L)
-
-
-def test_session_setting_turns_on_auto_width(spark, data):
-    from quarterlens.operators.asof import BUCKET_WIDTH_CONF
-
-    L, R, ldf, rdf = data
-    spark.conf.set(BUCKET_WIDTH_CONF, "auto")
-    try:
-        res = asof_join(ldf, rdf, ["k"], "lt", "rt", "backward", True, dt.timedelta(days=2), "rid",
-                        auto_bucket_rows=5)
-        plan = res._jdf.queryExecution().optimizedPlan().toString()
-        got = dict(rows(res, "id", "rid"))
-    finally:
-        spark.conf.unset(BUCKET_WIDTH_CONF)
-    assert "sequence" not in plan                     # narrow buckets: the carry path, no copies
-    assert got == _brute(L, R, "backward", True, dt.timedelta(days=2))

@@ -25,12 +25,25 @@ def test_historical_index_bounded_form(spark):
     assert got == [("Unknown", None, "Y")]                   # both map to Unknown; its latest date wins (L1)
 
 
+def test_centuries_are_not_mixed(spark):
+    """1920 and 2020 share the label Q1-20; both keep their own last snapshot."""
+    df = spark.createDataFrame([(D(1920, 3, 31), "OLD"), (D(2020, 3, 31), "NEW"), (D(2020, 3, 2), "GONE")],
+                               "date date, ticker string")
+    got = sorted(rows(historical_index(df, after=D(1900, 1, 1)), "quarter", "quarter_start", "ticker"))
+    assert got == [("Q1-20", D(1920, 1, 1), "OLD"), ("Q1-20", D(2020, 1, 1), "NEW")]
+
+
 def test_parse_membership_lines(spark):
-    lines = spark.createDataFrame([(1, '2019-03-29,"A,B,C"'), (2, "2019-03-30,D"), (3, '2019-04-01,"E"')],
+    lines = spark.createDataFrame([(1, '2019-03-29,"A,B,C"'), (2, "2019-03-30,D"), (3, '2019-04-01,"E"'),
+                                   (4, '2019-02-30,"F"'), (5, "2019-06-28 no list"), (6, "no date,G"),
+                                   (7, '2019-01-01,"H,I" 2019-01-02,"J"'), (8, None), (9, "2019-07-01,")],
                                   "id int, value string")
     got = rows(parse_membership_lines(lines, keep=("id",)), "id", "date", "ticker")
     assert got == [(1, D(2019, 3, 29), "A"), (1, D(2019, 3, 29), "B"), (1, D(2019, 3, 29), "C"),
-                   (3, D(2019, 4, 1), "E")]                  # unquoted line yields nothing, shifts nothing
+                   (2, D(2019, 3, 30), "D"),                 # one ticker needs no quotes
+                   (3, D(2019, 4, 1), "E"),
+                   (4, None, "F"),                           # impossible date: null, the job goes on
+                   (7, D(2019, 1, 1), "H"), (7, D(2019, 1, 1), "I"), (7, D(2019, 1, 2), "J")]
 
 
 def test_enrich_with_fallback(spark):

@@ -78,24 +78,16 @@ def test_unpartitioned_window_pattern_is_detected(spark):
     assert not unpartitioned_window(ok._jdf.queryExecution().executedPlan().toString())
 
 
-def test_broadcast_only_after_the_size_check(spark):
-    from quarterlens.operators.joins import broadcast_if_small
-
-    big, small = spark.range(1000), spark.range(10)
-    probe = spark.range(100)
-    joined_small = probe.join(broadcast_if_small(small, max_rows=100), "id")
-    joined_big = probe.join(broadcast_if_small(big, max_rows=100), "id")
-    assert "ResolvedHint (strategy=broadcast)" in joined_small._jdf.queryExecution().analyzed().toString()
-    assert "strategy=broadcast" not in joined_big._jdf.queryExecution().analyzed().toString()
-
-
-def test_spread_only_when_few_partitions(spark):
-    from quarterlens.operators.partitioning import spread_if_few_partitions
+def test_spread_only_where_the_session_asks_for_it(spark):
+    from quarterlens.operators.partitioning import SPREAD_CONF, spread
 
     one = spark.range(0, 100, 1, 1)
-    many = spark.range(0, 100, 1, 16)
-    assert spread_if_few_partitions(one, 4).rdd.getNumPartitions() == 4
-    assert spread_if_few_partitions(many, 4) is many
+    assert spread(one, ["id"]) is one
+    spark.conf.set(SPREAD_CONF, "5")
+    try:
+        assert spread(one, ["id"]).rdd.getNumPartitions() == 5
+    finally:
+        spark.conf.unset(SPREAD_CONF)
 
 
 def test_plan_report_counts(spark):

@@ -68,6 +68,85 @@ def test_listing_and_missing_objects(spark, tmp_path):
     assert [v for k, v in texts.items() if k != "file:/missing.txt"][0].startswith("CONFORMED")
 
 
+def test_paths_that_need_escaping(spark, tmp_path):
+    """Listing, whole texts (both readers) and headers agree on the form of a path."""
+    folder = str(tmp_path / "odd names")
+    os.makedirs(folder)
+    names = ["2015 b_10-Q_x%20y_edgar_data_7_a+b.txt", "2016é_10-K_edgar_data_8_#.txt"]
+    for name in names:
+        with open(os.path.join(folder, name), "w", encoding="utf-8") as fh:
+            fh.write("CONFORMED PERIOD OF REPORT: 20141231\n" + name)
+    listing = list_objects(spark, folder)
+    assert sorted(rows(listing, "filename")) == sorted((n,) for n in names)
+    for through_spark in (False, True):
+        f = read_filings(spark, folder, through_spark=through_spark)
+        got = dict(rows(fetch_texts(listing, f), "filename", "text"))
+        assert {n: got[n].endswith(n) for n in names} == dict.fromkeys(names, True)
+
+
+def test_unreadable_file_stays_as_a_null_row(spark, tmp_path):
+    from quarterlens.sources.filings import read_headers, unreadable_filings
+
+    folder = str(tmp_path / "f")
+    os.makedirs(folder)
+    good, bad = "20150101_10-Q_edgar_data_1_a.txt", "20150102_10-K_edgar_data_2_b.txt"
+    for n in (good, bad):
+        with open(os.path.join(folder, n), "w") as fh:
+            fh.write("CONFORMED PERIOD OF REPORT: 20141231\n")
+    listed = read_filings(spark, folder)                    # listed now, opened by the tasks later
+    heads = read_headers(spark, folder)
+    os.remove(os.path.join(folder, bad))
+    for f in (listed, heads):
+        meta = {r["filename"]: r for r in filings_metadata(f).collect()}
+        assert meta[good]["quarter"] == "Q4-14"
+        assert meta[bad]["conformed_period_of_report"] is None and meta[bad]["cik"] == "2"
+        assert rows(unreadable_filings(f)) == [(2, 1)]
+
+
+def test_headers_read_only_the_head(spark, tmp_path, monkeypatch):
+    from quarterlens.sources import filings as module
+
+    folder = str(tmp_path / "long")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a_10-Q_edgar_data_1_a.txt"), "w", encoding="utf-8") as fh:
+        fh.write("é\r\n" * 6000 + "CONFORMED PERIOD OF REPORT: 20141231\n" + "x" * 3_000_000)
+    head = module.read_headers(spark, folder)
+    assert rows(head.select(F.length("text"))) == [(5000,)]
+    opened, = list(module._open_files(8 * 5000)(iter([__import__("pyarrow").RecordBatch.from_pydict(
+        {"path": [os.path.join(folder, "a_10-Q_edgar_data_1_a.txt")]})])))
+    assert len(opened.column("text")[0].as_py().encode()) <= 40_000
+
+
+def test_one_row_per_key_in_one_run(spark, tmp_path):
+    """A key that a run delivers twice is appended once, and always the same row of it."""
+    from quarterlens.streaming.incremental import append_sentiment
+
+    docs = spark.createDataFrame([(1, "A text that is long enough to be a paragraph, the first of two."),
+                                  (1, "A text that is long enough to be a paragraph, the other of two."),
+                                  (2, "Another document with a paragraph that is long enough for it."),
+                                  (None, "x"), (None, "y")], "doc_id long, text string")
+    seen = set()
+    for i in range(3):
+        target = str(tmp_path / f"t{i}")
+        report = append_sentiment(spark, docs.repartition(i + 1), target, demo_scorer())
+        assert report.appended == 3
+        out = spark.read.parquet(target)
+        assert sorted(rows(out.where("doc_id IS NOT NULL"), "doc_id", "n_chunks")) == [(1, 1), (2, 1)]
+        seen.add(tuple(out.where("doc_id = 1").first()))
+    assert len(seen) == 1
+
+
+def test_unreadable_target_is_an_error(spark, tmp_path):
+    import pytest
+
+    target = tmp_path / "bad"
+    target.mkdir()
+    (target / "part-0.parquet").write_text("not parquet")
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    with pytest.raises(Exception):
+        append_new(spark, docs, str(target), ["doc_id"], lambda d: d)
+
+
 def test_json_column_array_and_csv(spark, tmp_path):
     p = tmp_path / "tickers.json"
     p.write_text(json.dumps({"fields": ["cik", "name", "ticker", "exchange"],

@@ -82,10 +82,19 @@ def test_section_10k_end_inside_start(spark):
 def test_section_by_type(spark):
     q = "." * 20000 + "Item 2. quarterly Item 3. x"
     k = "." * 18000 + "Item 7 Management Discussion Analysis annual Item 8. y"
-    df = spark.createDataFrame([("10-Q", q), ("10-K", k)], "ft string, t string")
-    got = dict(rows(df.select("ft", T.section_by_type("t", "ft"))))
-    assert got["10-Q"] == "Item 2. quarterly"
-    assert got["10-K"] == "Item 7 Management Discussion Analysis annual"
+    df = spark.createDataFrame([("10-Q", q), ("10-K", k), (None, q), ("8-K", q), ("none", None)],
+                               "ft string, t string")
+    out = T.with_section(df, "t", df.ft, "section")
+    assert out.columns == ["ft", "t", "section"]
+    got = dict(rows(out.select("ft", "section")))
+    assert got["10-Q"] == got[None] == got["8-K"] == "Item 2. quarterly"
+    assert got["10-K"] == "Item 7 Management Discussion Analysis annual" and got["none"] is None
+
+
+def test_section_by_type_searches_each_marker_once(spark):
+    df = spark.createDataFrame([("10-Q", "x")], "ft string, t string")
+    plan = T.with_section(df, "t", df.ft, "section")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_instr") == 4                   # two markers for each of two types
 
 
 def test_header_period(spark):
