@@ -1,10 +1,12 @@
-"""Byte-level BPE encoding and decoding with a segment tree over byte positions.
+"""Byte-level BPE encoding and decoding with segment trees over byte positions.
 
 A text is cut by the vocabulary's pattern and each piece is merged on its own. The leaves of a
 piece's segment tree are its byte positions; the leaf of a live position holds the rank of the
 pair it begins (with its position in the low bits, so the root is the leftmost minimum). A merge
 removes one live neighbour and updates three leaves, each in logarithmic time, so a piece of n
-bytes costs O(n log n) even if it has no white space at all.
+bytes costs O(n log n) even if it has no white space at all. Pieces of up to ``TOGETHER`` bytes are
+merged many at a time: one row of a matrix is one tree, and each step merges the best
+pair of every row.
 
 Words repeat, so each Python worker keeps the ids of the last ones it met (two generations of at
 most ``CACHE``). What it keeps are runs that the pattern never joins: with ``cut`` (by default the
@@ -18,6 +20,7 @@ import base64
 import hashlib
 import re
 import sys
+from itertools import chain, islice
 from types import ModuleType
 
 import numpy as np
@@ -28,9 +31,11 @@ from pyspark.sql import types as T
 
 from quarterlens.llm.common import with_python_columns
 
-CACHE = 300_000              # runs of one generation
-CACHED_CHARS = 64            # longer pieces are not kept
-WHOLE_CHARS = 1 << 20        # longer texts are cut piece by piece, not into one list
+CACHE = 150_000              # runs of one generation
+CACHED_CHARS = 64            # longer runs are not kept
+GROUP_CHARS = 1 << 20        # text that is held as a list of runs
+TOGETHER = 64                # bytes of pieces that are merged many at a time
+TREE_CELLS = 1 << 18         # leaves of the trees merged together
 # A space goes with the word after it; other white space stands alone, its last character apart.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 CUT = rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
@@ -100,41 +105,189 @@ def merge(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[int]:
     return out
 
 
+class Pairs:
+    """Hash table (token, token) -> rank of the two together, looked up for whole arrays."""
+
+    BITS = 20
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        if len(ranks) > 1 << self.BITS:
+            raise ValueError("too many tokens")
+        keys, values = [], []
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                a, b = ranks.get(token[:i]), ranks.get(token[i:])
+                if a is not None and b is not None:
+                    keys.append(a << self.BITS | b)
+                    values.append(rank)
+        left, value = np.array(keys, np.int64), np.array(values, np.int64)
+        self.mask = (4 << max(1, len(keys)).bit_length()) - 1
+        self.keys = np.full(self.mask + 1, -1, np.int64)
+        self.values = np.full(self.mask + 1, NONE, np.int64)
+        at, self.probes = self._slot(left), 0
+        while len(left):
+            self.probes += 1
+            free = self.keys[at] < 0
+            first = np.zeros(len(at), bool)
+            first[np.unique(at, return_index=True)[1]] = True
+            put = free & first
+            self.keys[at[put]], self.values[at[put]] = left[put], value[put]
+            left, value, at = left[~put], value[~put], (at[~put] + 1) & self.mask
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        key = key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (key >> np.uint64(40)).astype(np.int64) & self.mask
+
+    def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank of each pair, ``NONE`` where there is no such token."""
+        key = a << self.BITS | b
+        at = self._slot(key)
+        out = np.full(len(key), NONE, np.int64)
+        todo = np.arange(len(key))
+        for _ in range(self.probes):
+            here = self.keys[at]
+            hit = here == key[todo]
+            out[todo[hit]] = self.values[at[hit]]
+            more = ~hit & (here >= 0)
+            todo, at = todo[more], (at[more] + 1) & self.mask
+            if not len(todo):
+                break
+        return out
+
+
+def merge_many(pieces: list[bytes], width: int, pairs: Pairs, singles: np.ndarray) -> list[bytes]:
+    """Packed ids of pieces of 2 to ``width`` bytes (a power of two), one tree a row."""
+    n_rows, shift = len(pieces), width.bit_length()
+    n = np.array([len(p) for p in pieces])
+    raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8)
+    ids = np.full((n_rows, width + 1), -1, np.int64)
+    ids[:, :width] = singles[raw.reshape(n_rows, width)]
+    place = np.arange(width + 1)
+    ids[place >= n[:, None]] = -1
+    after = np.broadcast_to(place + 1, (n_rows, width + 1)).copy()
+    before = np.broadcast_to(place - 1, (n_rows, width + 1)).copy()
+
+    def leaf(rows, i, k):
+        """Value of the leaf of live position i whose next live position is k."""
+        out = np.full(len(rows), NONE, np.int64)
+        some = np.flatnonzero(k < n[rows])
+        rank = pairs.rank(ids[rows[some], i[some]], ids[rows[some], k[some]])
+        out[some] = np.where(rank < NONE, rank << shift | i[some], NONE)
+        return out
+
+    tree = np.full((n_rows, 2 * width), NONE, np.int64)
+    rows, cols = np.nonzero(place[None, :width] < n[:, None] - 1)
+    tree[rows, width + cols] = leaf(rows, cols, cols + 1)
+    level = width
+    while level > 1:
+        level >>= 1
+        low = tree[:, 2 * level:4 * level]
+        tree[:, level:2 * level] = np.minimum(low[:, ::2], low[:, 1::2])
+    live = np.arange(n_rows)
+    while True:
+        live = live[tree[live, 1] < NONE]
+        if not len(live):
+            break
+        best = tree[live, 1]
+        i = best & ((1 << shift) - 1)
+        j = after[live, i]
+        k = after[live, j]
+        ids[live, i], ids[live, j] = best >> shift, -1
+        after[live, i], before[live, k] = k, i
+        h = before[live, i]
+        has = np.flatnonzero(h >= 0)
+        tree[live, width + j] = NONE
+        tree[live, width + i] = leaf(live, i, k)
+        tree[live[has], width + h[has]] = leaf(live[has], h[has], i[has])
+        paths = [(live, width + j), (live, width + i), (live[has], width + h[has])]
+        for _ in range(shift - 1):
+            paths = [(r, p >> 1) for r, p in paths]
+            for r, p in paths:
+                tree[r, p] = np.minimum(tree[r, 2 * p], tree[r, 2 * p + 1])
+    kept = ids >= 0
+    packed = ids[kept].astype("<u4").tobytes()
+    ends = (4 * np.cumsum(kept.sum(1))).tolist()
+    return [packed[a:b] for a, b in zip([0, *ends], ends)]
+
+
 class Pieces:
-    """Ids of runs of text, merged on demand; a full generation becomes the old one."""
+    """Ids of runs of text; new ones are merged together, a full generation becomes the old one."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.ranks, self.longest = ranks, max(map(len, ranks))
-        self.pattern = regex.compile(pattern)
+        self.pattern, self.pairs = regex.compile(pattern), Pairs(ranks)
+        self.singles = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.runs: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            ids = np.array(merge(piece.encode(), self.ranks, self.longest), "<u4").tobytes()
-            if len(piece) <= CACHED_CHARS:
-                if len(self.pieces) >= CACHE:
-                    self.pieces.clear()
-                self.pieces[piece] = ids
-        return ids
-
-    def _run(self, run: str) -> bytes:
-        ids = self.runs.get(run) or self.old.get(run)
-        if ids is None:
-            ids = b"".join(map(self._piece, self.pattern.findall(run)))
-        if len(run) <= CACHED_CHARS:
-            if len(self.runs) >= CACHE:
-                self.runs, self.old = {}, self.runs
-            self.runs[run] = ids
-        return ids
-
-    def encode(self, runs: list[str]) -> bytes:
-        ids = list(map(self.runs.get, runs))
-        if None in ids:
-            ids = [x or self._run(r) for x, r in zip(ids, runs)]
-        return b"".join(ids)
+
+    def merged(self, pieces: set[str]) -> dict[str, bytes]:
+        """The packed ids of each piece."""
+        out, by_width = {}, {}
+        for piece in pieces:
+            raw = piece.encode()
+            whole = self.ranks.get(raw)
+            if whole is not None:
+                out[piece] = whole.to_bytes(4, "little")
+            elif len(raw) > TOGETHER:
+                out[piece] = np.array(merge(raw, self.ranks, self.longest), "<u4").tobytes()
+            else:
+                by_width.setdefault(1 << (len(raw) - 1).bit_length(), []).append((piece, raw))
+        for width, some in by_width.items():
+            step = max(1, TREE_CELLS // width)
+            for i in range(0, len(some), step):
+                part = some[i:i + step]
+                ids = merge_many([raw for _, raw in part], width, self.pairs, self.singles)
+                out.update(zip((piece for piece, _ in part), ids))
+        return out
+
+    def known(self, runs: set[str]) -> dict[str, bytes]:
+        """The packed ids of each run."""
+        out, new = {}, {}
+        for run in runs:
+            ids = self.runs.get(run)
+            if ids is None:
+                ids = self.old.get(run)
+                if ids is None:
+                    new[run] = self.pattern.findall(run)
+                    continue
+                self.runs[run] = ids
+            out[run] = ids
+        pieces = self.merged({p for found in new.values() for p in found})
+        for run, found in new.items():
+            ids = out[run] = b"".join([pieces[p] for p in found])
+            if len(run) <= CACHED_CHARS:
+                self.runs[run] = ids
+        if len(self.runs) > CACHE:
+            self.runs, self.old = {}, self.runs
+        return out
+
+    def encode(self, texts: list[str], cut: re.Pattern | None) -> list[bytes]:
+        """The packed ids of each text; about ``GROUP_CHARS`` of text are held as runs at a time."""
+        out, group, size = [], [], 0
+
+        def settle() -> None:
+            ids = self.known(set(chain.from_iterable(group)))
+            out.extend(b"".join(map(ids.__getitem__, runs)) for runs in group)
+            group.clear()
+
+        for text in texts:
+            if cut is None or len(text) > GROUP_CHARS:
+                settle()
+                found = (m.group() for m in (cut or self.pattern).finditer(text))
+                parts = []
+                while block := list(islice(found, GROUP_CHARS // 4)):
+                    ids = self.known(set(block))
+                    parts.append(b"".join(map(ids.__getitem__, block)))
+                out.append(b"".join(parts))
+                size = 0
+                continue
+            group.append(cut.findall(text))
+            size += len(text)
+            if size > GROUP_CHARS:
+                settle()
+                size = 0
+        settle()
+        return out
 
 
 def _kept(name: str, make):
@@ -145,14 +298,6 @@ def _kept(name: str, make):
     return getattr(shelf, name)
 
 
-def encode_text(text: str, pieces: Pieces, cut: re.Pattern | None) -> bytes:
-    if cut is None:
-        return b"".join(pieces._piece(m.group()) for m in pieces.pattern.finditer(text))
-    if len(text) <= WHOLE_CHARS:
-        return pieces.encode(cut.findall(text))
-    return b"".join(pieces._run(m.group()) for m in cut.finditer(text))
-
-
 def encode(docs: DataFrame, text: str, rank_file: str, pattern: str, cut: str | None = CUT,
            ids: str = "token_ids", n_tokens: str = "n_tokens") -> DataFrame:
     """``docs`` plus the packed ids of its texts and their number.
@@ -173,7 +318,7 @@ def encode(docs: DataFrame, text: str, rank_file: str, pattern: str, cut: str |
 
     def work(cols: list[pa.Array]) -> list[pa.Array]:
         pieces, runs = _kept(key, make), cut and re.compile(cut)
-        out = [encode_text(t or "", pieces, runs) for t in cols[0].to_pylist()]
+        out = pieces.encode([t or "" for t in cols[0].to_pylist()], runs)
         return [pa.array(out, pa.binary()), pa.array([len(x) // 4 for x in out], pa.int64())]
 
     return with_python_columns(docs, [text], [T.StructField(ids, T.BinaryType()),

@@ -34,18 +34,31 @@ def _texts():
 @pytest.mark.parametrize("cut", [None, re.compile(bpe.CUT)])
 def test_same_ids_as_the_library(both, cut):
     pieces, library = both
-    for t in _texts():
-        assert bpe.unpack(bpe.encode_text(t, pieces, cut)) == library.encode_ordinary(t)
+    texts = _texts()
+    for t, ids in zip(texts, pieces.encode(texts, cut)):
+        assert bpe.unpack(ids) == library.encode_ordinary(t)
+
+
+def test_trees_side_by_side_equal_one_tree(both):
+    rng = random.Random(8)
+    pieces = {"".join(rng.choice("abcdeinorst é😀#") for _ in range(rng.randint(2, 60)))
+              for _ in range(3000)}
+    short = {p for p in pieces if len(p.encode()) <= bpe.TOGETHER}
+    got = both[0].merged(short)
+    for p in short:
+        assert bpe.unpack(got[p]) == bpe.merge(p.encode(), both[0].ranks, both[0].longest)
 
 
 def test_long_text_and_full_caches(both, monkeypatch):
     monkeypatch.setattr(bpe, "CACHE", 50)
-    monkeypatch.setattr(bpe, "WHOLE_CHARS", 100)
+    monkeypatch.setattr(bpe, "GROUP_CHARS", 100)
+    monkeypatch.setattr(bpe, "TREE_CELLS", 64)
     pieces = bpe.Pieces(both[0].ranks, public_tokenizers.PATTERN)
     text = " ".join(str(i * i) + "thing" * (i % 3) for i in range(3000)) + "x" * 20000
-    assert bpe.unpack(bpe.encode_text(text, pieces, re.compile(bpe.CUT))) == \
-        both[1].encode_ordinary(text)
-    assert len(pieces.runs) <= 50 and len(pieces.old) <= 50 and len(pieces.pieces) <= 50
+    texts = [text, *text.split()[:500], ""]
+    for t, ids in zip(texts, pieces.encode(texts, re.compile(bpe.CUT))):
+        assert bpe.unpack(ids) == both[1].encode_ordinary(t)
+    assert len(pieces.runs) <= 100 and len(pieces.old) <= 100
 
 
 def test_round_trip_nulls_and_clashing_columns(spark):
