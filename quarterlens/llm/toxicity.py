@@ -39,8 +39,9 @@ REACH = 80                  # characters of context on each side
 QUOTES = "\"“”„«»‘’"
 REPORTING = {"said", "says", "called", "wrote", "quote", "quoted", "quoting", "word", "words",
              "term", "insult", "insults", "slur", "reported", "according"}
-# intercept; exact, misspelled and quoted hits (log(1 + n)) before anything is learned
-PRIOR = np.array([-3.0, 4.0, 2.0, 0.8])
+# intercept; exact, misspelled and quoted hits (n / (n + 1/2) each: most is said by the first
+# one), before anything is learned
+PRIOR = np.array([-3.0, 6.0, 4.0, 1.0])
 PRIOR_STRENGTH = np.array([0.01, 0.05, 0.2, 0.5])
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -163,7 +164,7 @@ def quoted(text: str, start: int, end: int) -> bool:
 
 
 def features(text: str, lexicon: Lexicon, known: dict[str, int]) -> tuple[float, float, float]:
-    """log(1 + n) of exact, misspelled and quoted hits. ``known`` keeps words already met."""
+    """n / (n + 1/2) of exact, misspelled and quoted hits. ``known`` keeps words already met."""
     low = text.lower()
     if len(known) > 500_000:
         known.clear()
@@ -181,7 +182,7 @@ def features(text: str, lexicon: Lexicon, known: dict[str, int]) -> tuple[float,
         e = found.get(m.group())
         if e is not None:
             n[2 if quoted(low, *m.span()) else e > 0] += 1
-    return tuple(math.log1p(x) for x in n)
+    return tuple(x / (x + 0.5) for x in n)
 
 
 def _terms_of(text: str) -> set[str]:

@@ -29,6 +29,7 @@ SEEDS = ("ads", "adult", "bet", "bets", "betting", "casino", "escort", "gambling
          "malware", "pharma", "phishing", "pills", "poker", "porn", "sex", "slots", "spam",
          "track", "tracker", "viagra", "warez", "xxx")
 LONGEST = 24                # letters of a word
+PRIOR_PAGES = 10            # pages of each class assumed before any is seen
 _MARKUP = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
 _LETTERS = re.compile(r"[a-z]+")
 
@@ -147,7 +148,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], seeds: Sequence[st
     """
     rows = pages.select(F.col(id_col).alias("id"), host_of(F.col(url)).alias("host"),
                         path_of(F.col(url)).alias("path"))
-    keyed = rows.withColumn("site", F.concat_ws(" ", F.col("host"), _path_words(F.col("path"))))
+    keyed = rows.withColumn("site", F.concat(F.col("host"), F.lit("/"),     # no host has a "/"
+                                             F.array_join(_path_words(F.col("path")), "/")))
     sites = checkpointed(keyed.groupBy("site").agg(F.min("host").alias("host"),
                                                    F.min("path").alias("path"),
                                                    F.count("*").alias("n"))
@@ -176,7 +178,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], seeds: Sequence[st
     weight = F.log((F.col("b") + 1) / F.lit(float((in_b or 0) + size + 1))) \
         - F.log((F.col("a") + 1) / F.lit(float((in_a or 0) + size + 1)))
     odds = checkpointed(counts.select(F.col("t").alias("token"), weight.alias("w")))
-    prior = math.log(((blocked or 0) + 1) / ((allowed or 0) + 1))
+    prior = math.log(((blocked or 0) + PRIOR_PAGES) / ((allowed or 0) + PRIOR_PAGES))
     scores = checkpointed(tokens.join(odds, F.col("t") == F.col("token"))
                           .groupBy("site").agg(F.round(F.sum("w"), 9).alias("w"))
                           .select(F.col("site").alias("s"), "w"))
