@@ -145,13 +145,16 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
             F.sequence(F.lit(0), F.coalesce("_m", F.lit(1)) - 1)))
         # one exchange, read by the window and by the summaries
         u = as_left(l).unionByName(as_right(r)).repartition(*group)
-        found = _carry(u, on, back, left_side, right_side)
+        found = _carry(u, on, back, left_side)
 
     w = (Window.partitionBy(*group).orderBy(order_n, F.col("_side").asc(), F.col("_tie").asc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     matched = F.when(F.col("_r").isNotNull(), F.struct(n.alias("n"), F.col("_r").alias("r")))
     if found is not None:
-        cond = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_c_{c.lstrip('_')}") for c in group])
+        # coalesce keeps Catalyst from inferring a not-null filter for the summaries' input alone,
+        # which would make their exchange differ from the window's
+        theirs = {c: F.col(f"_c_{c.lstrip('_')}") for c in group}
+        cond = reduce(lambda a, b: a & b, [F.col(c) == F.coalesce(t, t) for c, t in theirs.items()])
         u = u.join(found, cond, "left")
         seen = u.select("_n", "_l", F.coalesce(F.last(matched, ignorenulls=True).over(w),
                                                F.col("_carried")).alias("_m"))
@@ -223,7 +226,7 @@ def _dealt(df: DataFrame, on: list[str], deals: DataFrame | None, deal: Column)
     return df.join(d, same, "left").withColumn("_deal", deal).select(*df.columns, "_deal")
 
 
-def _carry(u: DataFrame, on: list[str], back: bool, left_side: int, right_side: int) -> DataFrame:
+def _carry(u: DataFrame, on: list[str], back: bool, left_side: int) -> DataFrame:
     """Best right row of all strictly earlier (backward) / later (forward) buckets, for every
     group of ``u`` that holds left rows: (_c_* group columns, _carried).
 
@@ -232,20 +235,24 @@ def _carry(u: DataFrame, on: list[str], back: bool, left_side: int, right_side:
     summary strictly before a marker is the carried row. Only summary rows (one
     per key and bucket) reach this window, never events.
     """
+    # One aggregate for both, which reads every column of ``u``: nothing can be pruned below the
+    # exchange, so it is the one that the join's own window reads.
     n = F.col("_n") if back else -F.col("_n")
-    best = u.where(F.col("_r").isNotNull()).groupBy(*on, "_b").agg(
-        F.max(F.struct(n.alias("k"), F.col("_tie").alias("t"), F.col("_n").alias("n"),
-                       F.col("_r").alias("r"))).alias("_best"))
-    marks = u.where(F.col("_l").isNotNull()).select(*on, "_b", "_deal").distinct().select(
-        *on, "_b", F.lit(0).alias("_o"), "_deal",
-        F.lit(None).cast(best.schema["_best"].dataType).alias("_best"))
-    rows = best.select(*on, "_b", F.lit(1).alias("_o"), F.lit(0).alias("_deal"), "_best") \
-        .unionByName(marks)
+    best = F.max(F.when(F.col("_r").isNotNull(), F.struct(
+        n.alias("k"), F.col("_tie").alias("t"), F.col("_n").alias("n"), F.col("_r").alias("r"))))
+    is_left = (F.col("_side") == left_side) & F.col("_l").isNotNull()
+    groups = u.groupBy(*on, "_b", "_deal").agg(best.alias("_best"),
+                                               F.max(F.when(is_left, 1)).alias("_left"))
+    none = F.lit(None).cast(groups.schema["_best"].dataType)
+    rows = groups.select(*on, "_b", "_deal", F.explode(F.array(
+        F.struct(F.when(F.col("_left") == 1, 0).alias("o"), none.alias("best")),
+        F.struct(F.when(F.col("_best").isNotNull(), 1).alias("o"), F.col("_best").alias("best"))))
+        .alias("_x")).select(*on, "_b", "_deal", "_x.o", "_x.best").where(F.col("o").isNotNull())
     order_b = F.col("_b").asc() if back else F.col("_b").desc()
-    w = Window.partitionBy(*on).orderBy(order_b, F.col("_o").asc()) \
+    w = Window.partitionBy(*on).orderBy(order_b, F.col("o").asc()) \
         .rowsBetween(Window.unboundedPreceding, -1)
-    c = rows.withColumn("_last", F.last("_best", ignorenulls=True).over(w))
-    c = c.where((F.col("_o") == 0) & F.col("_last").isNotNull())
+    c = rows.withColumn("_last", F.last("best", ignorenulls=True).over(w))
+    c = c.where((F.col("o") == 0) & F.col("_last").isNotNull())
     return c.select(*[F.col(x).alias(f"_c_{x.lstrip('_')}") for x in [*on, "_b", "_deal"]],
                     F.struct(F.col("_last.n").alias("n"), F.col("_last.r").alias("r"))
                     .alias("_carried"))

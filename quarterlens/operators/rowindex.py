@@ -10,9 +10,10 @@ offset + position.
 
 from __future__ import annotations
 
+from itertools import accumulate
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarterlens.session import cut_lineage
@@ -39,14 +40,14 @@ def global_row_index(df: DataFrame, order_cols: Sequence[str], index_col: str =
     numbered = cut_lineage(ranged.select(
         *df.columns, F.shiftright(mid, _POSITION_BITS).alias("_pid"),
         mid.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_local")))
-    # One row per partition: a table that cannot outgrow the number of partitions.
-    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(F.col("_pid").alias("_part"),
-                            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+    # One number per partition comes to the driver and goes back as a table of as many rows.
+    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).orderBy("_pid").collect()
+    ends = list(accumulate(r["n"] for r in counts))
+    offsets = df.sparkSession.createDataFrame(
+        [(r["_pid"], end - r["n"]) for r, end in zip(counts, ends)], "_part long, _offset long")
     out = numbered.join(F.broadcast(offsets), F.col("_pid") == F.col("_part")) \
         .withColumn(index_col, F.col("_offset") + F.col("_local"))
-    return out.select(*df.columns, index_col), int(counts.agg(F.sum("_rows")).first()[0] or 0)
+    return out.select(*df.columns, index_col), ends[-1] if ends else 0
 
 
 def positional_split(df: DataFrame, order_cols: Sequence[str], train: float = 0.6,

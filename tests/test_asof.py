@@ -103,7 +103,7 @@ def test_no_window_partition_exceeds_the_target(spark):
                                     F.struct(*df.columns).alias("_l"))
     l, r = units(ldf, "lt"), units(rdf, "rt")
     bucket = lambda x: F.floor(x / F.lit(30 * asof.MICROS_PER_DAY)).cast("long")
-    assert l.unionByName(r).groupBy("k", bucket(F.col("_n"))).count().agg(F.max("count")).first()[0] > 1900
+    assert l.select("k", "_n").union(r.select("k", "_n")).groupBy("k", bucket(F.col("_n"))).count().agg(F.max("count")).first()[0] > 1900
     cuts, deals = asof._splits(l, r, ["k"], bucket, target)
     left = asof._placed(l, ["k"], bucket, cuts)
     left = asof._dealt(left, ["k"], deals, F.pmod(F.xxhash64("_l"), F.coalesce("_m", F.lit(1))).cast("int"))

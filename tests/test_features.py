@@ -91,7 +91,39 @@ def test_model_save_load_and_mlp(spark, tmp_path):
                            "net_sentiment", "industry", "sentiment_entropy"]
     got = {r["doc_id"]: r for r in out.collect()}
     assert sorted(got) == [1, 2, 3] and got[1]["industry"] == "ind0" and got[3]["industry"] is None
-    assert all(0 <= r["probability_up"] <= 1 and r["prediction"] in (0, 1) for r in got.values())
+    assert all(0 <= got[i]["probability_up"] <= 1 and got[i]["prediction"] in (0, 1) for i in (1, 2))
+    assert got[3]["prediction"] is None and got[3]["probability_up"] is None   # industry never seen
+    unseen = df.limit(1).withColumn("industry", F.lit("other"))
+    with pytest.raises(Exception, match="unknown category"):
+        TR.predict(again, unseen).collect()
+
+
+def test_pipeline_features_equal_scaling_and_encoding(spark):
+    """The fitted pipeline's features are K1 next to K3, binary columns dropped to one."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    from quarterlens.plans import training as TR
+
+    data = [("T%d" % i, str(i % 4 + 1) if i % 9 else None, "ind%d" % (i % 3), (i % 7) / 7.0 - 0.5,
+             bool(i % 2), i % 2) for i in range(60)]
+    df = TR.model_input(spark.createDataFrame(
+        data, "ticker string, q_num string, industry string, net_sentiment double, "
+              "neutral_dominance boolean, label int"))
+    got = Pipeline(stages=TR.preprocessing(df)).fit(df).transform(df)
+    scaled = MinMaxScaling(["net_sentiment"]).fit(df).transform(df)
+    # one column (the binary one) first, then the encoded ones, as the assembler puts them
+    want = OneHotEncoding(["industry_s", "q_num_s", "neutral_dominance_s"]).fit(df).transform(scaled)
+    enc = {r["ticker"]: r for r in want.collect()}
+    order = [c for c in TR.FEATURES_CATEGORICAL]
+    width = {"industry": 3, "q_num": 5, "neutral_dominance": 1}
+    at = {"industry": 0, "q_num": 3, "neutral_dominance": 8}
+    for r in got.withColumn("f", vector_to_array("features")).collect():
+        e = enc[r["ticker"]]
+        expect = [e["net_sentiment_scaled"]]
+        for c in order:
+            expect += e["onehot"][at[c]:at[c] + width[c]]
+        assert r["f"] == pytest.approx(expect)
 
 
 def test_reshape(spark):

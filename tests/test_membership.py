@@ -100,12 +100,12 @@ def test_core_table_null_period_never_matches(spark):
 
 
 def test_read_membership_text_file(spark, tmp_path):
-    """A7 from a file: one record per line, parsed line by line, so an unquoted
-    one-ticker line (L3) yields nothing and does not shift the lines after it."""
+    """A7 from a file: one record per line, parsed line by line; an unquoted one-ticker
+    line counts and shifts nothing after it (L3)."""
     from quarterlens.sources.membership_lines import read_membership_text
 
     path = tmp_path / "snapshots.txt"
     path.write_text('date,tickers\n2019-03-29,"AAPL,BF.B,MSFT"\n2019-06-28,XOM\n2019-09-30,"GE"\n')
     got = sorted(rows(read_membership_text(spark, str(path)), "date", "ticker"))
     assert got == [(D(2019, 3, 29), "AAPL"), (D(2019, 3, 29), "BF.B"), (D(2019, 3, 29), "MSFT"),
-                   (D(2019, 9, 30), "GE")]
+                   (D(2019, 6, 28), "XOM"), (D(2019, 9, 30), "GE")]

@@ -1,10 +1,13 @@
 """Plan checks over every registered query."""
 
+import re
+
 import pytest
 
-import __spark_entry__ as E
+from quarterlens.plans import registry
 from tests.conftest import SF_SMALL
 
+registry.load_all()
 # Queries whose plan legitimately runs Python (none: model scoring is in MODEL).
 PYTHON_ALLOWED: set = set()
 MODEL = {"gbt_accuracy", "mlp_accuracy", "score_documents"}
@@ -37,9 +40,9 @@ def unpartitioned_window(plan: str) -> bool:
     return False
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - MODEL))
+@pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - MODEL))
 def test_no_cartesian_and_no_stray_python(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = registry.QUERIES[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan, name
     python_nodes = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
@@ -60,7 +63,7 @@ def _formatted(df):
 
 
 def test_scans_are_pruned_and_filters_pushed(spark):
-    text = _formatted(E.queries()["asof_tol7"](spark, SF_SMALL))
+    text = _formatted(registry.QUERIES["asof_tol7"](spark, SF_SMALL))
     schemas = [line for line in text.splitlines() if line.startswith("ReadSchema")]
     assert schemas and all("props" not in s for s in schemas)          # unused column never read
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,signup)]" in text
@@ -99,7 +102,20 @@ def test_plan_report_counts(spark):
     spec = importlib.util.spec_from_file_location("plan_report", path)
     mod = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(mod)
-    plan = E.queries()["index_snapshot"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
-    s = mod.summarise(plan)
-    assert (s["hash"], s["broadcast"], s["sort_agg"], s["python"]) == (2, 1, 0, 0)
-    assert s["scans"] == "orders(o_custkey, o_orderdate)"
+    df = registry.QUERIES["index_snapshot"](spark, SF_SMALL)
+    df.collect()
+    s = mod.summarise(df._jdf.queryExecution().executedPlan().toString())
+    assert (s["broadcast"], s["sort_agg"], s["python"], s["n_scans"]) == (1, 0, 0, 1)
+    assert s["reused"] >= 1 and s["scans"] == "orders(o_custkey, o_orderdate)"
+
+
+@pytest.mark.parametrize("name, scans", [("earnings_features", 4), ("index_snapshot", 1), ("asof_unbounded", 2),
+                                         ("sentiment_incremental", 3), ("market_cap", 4)])
+def test_each_input_is_scanned_once(spark, name, scans):
+    """sentiment_incremental: scored rows, pending rows and the keys of the scored rows."""
+    df = registry.QUERIES[name](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") <= scans
+    if name == "sentiment_incremental":
+        assert len(re.findall(r"Generate posexplode", final)) == 2

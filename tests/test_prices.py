@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from quarterlens.functions.timefns import earnings_session
@@ -45,14 +47,16 @@ def test_quarter_over_quarter_adjacency(spark):
 
 
 def test_first_and_all_events_in_quarter_keep_duplicates(spark):
-    idx = spark.createDataFrame([("AAPL", "Q1-19"), ("AAPL", "Q1-19"), ("AAPL", "Q2-19")],
-                                "ticker string, quarter string")
+    idx = spark.createDataFrame([("AAPL", "Q1-19", D(2019, 1, 1)), ("AAPL", "Q1-19", D(2019, 1, 1)),
+                                 ("AAPL", "Q2-19", D(2019, 4, 1)), ("AAPL", "Q1-19", D(1919, 1, 1))],
+                                "ticker string, quarter string, quarter_start date")
     ev = spark.createDataFrame([("AAPL", T(2019, 1, 30, 16, 30)), ("AAPL", T(2019, 3, 31, 20, 0)),
                                 ("AAPL", T(2019, 1, 30, 9, 0))], "ticker string, earnings_ts timestamp")
-    first = sorted(rows(P.first_event_in_quarter(idx, ev), "quarter", "earnings_ts"))
-    assert first == [("Q1-19", T(2019, 1, 30, 9, 0))] * 2 + [("Q2-19", None)]
-    alld = sorted(rows(P.event_dates_in_quarter(idx, ev), "quarter", "earnings_dates"))
-    assert alld[0] == ("Q1-19", "2019-01-30, 2019-03-31")     # whole last day counts (L31)
+    first = sorted(rows(P.first_event_in_quarter(idx, ev), "quarter_start", "earnings_ts"))
+    assert first == [(D(1919, 1, 1), None)] + [(D(2019, 1, 1), T(2019, 1, 30, 9, 0))] * 2 + \
+        [(D(2019, 4, 1), None)]                                # another century, the same label
+    alld = sorted(rows(P.event_dates_in_quarter(idx, ev), "quarter_start", "earnings_dates"))
+    assert alld[1] == (D(2019, 1, 1), "2019-01-30, 2019-03-31")     # whole last day counts (L31)
 
 
 def test_market_caps_and_latest(spark):
@@ -67,6 +71,14 @@ def test_market_caps_and_latest(spark):
     assert got[3]["close_date"] is None
 
 
+def test_close_matrix_loses_no_series(spark):
+    daily = spark.createDataFrame([(D(2024, 1, 2), "A", 1.0), (D(2024, 1, 2), "Z", 2.0)],
+                                  "date date, ticker string, close double")
+    assert rows(P.close_matrix(daily), "date", "A", "Z") == [(D(2024, 1, 2), 1.0, 2.0)]
+    with pytest.raises(Exception, match="series not listed: Z"):
+        P.close_matrix(daily, ["A", "B"]).collect()
+
+
 def test_close_matrix(spark):
     daily = spark.createDataFrame([("A", D(2024, 1, 2), 1.0), ("B", D(2024, 1, 2), 2.0), ("A", D(2024, 1, 3), 3.0)],
                                   "ticker string, date date, close double")
@@ -89,7 +101,7 @@ def test_sentiment_train_without_chunks(spark):
     from quarterlens.plans.training import sentiment_train
     stats = spark.createDataFrame([(1, 0, 0, 0, None)], "doc_id long, count_positive_chunks long, "
                                   "count_negative_chunks long, count_neutral_chunks long, net_sentiment double")
-    keys = spark.createDataFrame([(1, "A", "Q1-24")], "doc_id long, ticker string, quarter string")
+    keys = spark.createDataFrame([(1, "A", D(2024, 1, 1))], "doc_id long, ticker string, quarter_start date")
     assert rows(sentiment_train(stats, keys), "count_neut_over_total_count") == [(None,)]
 
 

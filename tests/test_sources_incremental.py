@@ -85,22 +85,23 @@ def test_paths_that_need_escaping(spark, tmp_path):
 
 
 def test_unreadable_file_stays_as_a_null_row(spark, tmp_path):
-    from quarterlens.sources.filings import read_headers, unreadable_filings
-
-    folder = str(tmp_path / "f")
-    os.makedirs(folder)
-    good, bad = "20150101_10-Q_edgar_data_1_a.txt", "20150102_10-K_edgar_data_2_b.txt"
-    for n in (good, bad):
-        with open(os.path.join(folder, n), "w") as fh:
-            fh.write("CONFORMED PERIOD OF REPORT: 20141231\n")
-    listed = read_filings(spark, folder)                    # listed now, opened by the tasks later
-    heads = read_headers(spark, folder)
-    os.remove(os.path.join(folder, bad))
-    for f in (listed, heads):
-        meta = {r["filename"]: r for r in filings_metadata(f).collect()}
-        assert meta[good]["quarter"] == "Q4-14"
-        assert meta[bad]["conformed_period_of_report"] is None and meta[bad]["cik"] == "2"
-        assert rows(unreadable_filings(f)) == [(2, 1)]
+    """The tasks open listed files; one that cannot be opened is a row, not a failed job."""
+    from quarterlens.functions.ids import base_name
+    from quarterlens.sources.filings import _open_files, unreadable_filings
+
+    good, bad = (str(tmp_path / n) for n in ("20150101_10-Q_edgar_data_1_a.txt",
+                                             "20150102_10-K_edgar_data_2_b.txt"))
+    with open(good, "w") as fh:
+        fh.write("CONFORMED PERIOD OF REPORT: 20141231\n")
+    os.mkdir(bad)                                            # listed as a name, no readable file
+    paths = spark.createDataFrame([(f"file:{good}",), (f"file:{bad}",)], "path string")
+    f = paths.mapInArrow(_open_files(None), "path string, text string, read_error string") \
+        .withColumn("filename", base_name("path"))
+    meta = {r["cik"]: r for r in filings_metadata(f).collect()}
+    assert meta["1"]["quarter"] == "Q4-14"
+    assert meta["2"]["conformed_period_of_report"] is None and meta["2"]["filing_type"] == "10-K"
+    assert rows(unreadable_filings(f)) == [(2, 1)]
+    assert rows(f.where("read_error IS NOT NULL"), "text") == [(None,)]
 
 
 def test_headers_read_only_the_head(spark, tmp_path, monkeypatch):

@@ -1,9 +1,9 @@
 """Physical-plan summary of every registered query, as a Markdown table.
 
 Usage: python tools/plan_report.py [sf_dir] > PLANS.md
-Reads the initial adaptive plan (before runtime re-planning) of each query and
-counts shuffles by kind, broadcasts, sort-based aggregates and Python nodes, and
-lists the columns each Parquet scan reads.
+Runs each query and reads its final adaptive plan: shuffles by kind, exchanges reused,
+broadcasts, sort-based aggregates, Python nodes, Parquet scans that ran and the columns
+they read.
 """
 
 from __future__ import annotations
@@ -14,62 +14,72 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from quarterlens.plans import registry  # noqa: E402
 from quarterlens.session import build_session  # noqa: E402
 
 SHUFFLES = {"hash": "Exchange hashpartitioning", "range": "Exchange rangepartitioning",
             "single": "Exchange SinglePartition", "round-robin": "Exchange RoundRobinPartitioning"}
-PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
+PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "MapInArrow",
+          "FlatMapGroupsInArrow", "FlatMapCoGroupsInArrow")
 SCAN = re.compile(r"FileScan parquet \[([^\]]*)\].*?Location: \w+\([^)]*\)\[file:[^\]]*/(\w+)\.parquet\]")
 
 
 HEADER = """# Physical plans of the registered queries
 
-Generated by `python tools/plan_report.py` on `{sf}` (initial adaptive plans, before runtime
-re-planning; the counts do not depend on the data size). Columns: shuffle exchanges by
-partitioning (`single` is the final step of a global aggregate or a scalar subquery after its
-partial step), broadcast exchanges, sort-based aggregates, Python evaluation nodes, and the
-columns each Parquet scan reads (`ReadSchema`). Queries that checkpoint their input first
-(`minmax`, `onehot`, `positional_split`, `standardize`) plan against the checkpoint, so their
-upstream (the training table) is listed under `training_table`; the three model queries fit a
-model while planning and are left out.
-
-Reading guide: no query has a round-robin shuffle, a single-partition window, a nested-loop or
-cartesian join, or Python outside model scoring. Broadcasts are either tables bounded by
-construction (nations, one row per calendar quarter) or Spark's own size-checked decision on a
-dimension (`spark.sql.autoBroadcastJoinThreshold` at planning, AQE at runtime). Sort-based
-aggregates remain only in the as-of carry: the best right row per (key, time bucket) is a
-`max` over a struct holding the whole right row.
+Generated by `python tools/plan_report.py` on `{sf}`: final adaptive plans, as they ran. Columns:
+shuffle exchanges by partitioning (`single` is the final step of a global aggregate or a scalar
+subquery after its partial step), exchanges that were reused instead of run again, broadcast
+exchanges, sort-based aggregates, Python evaluation nodes, Parquet scans that ran, and the
+columns each table's scans read. Runtime re-planning turns joins with a small side into broadcast
+joins, so at a larger size some broadcasts are shuffles. Queries that checkpoint their input first
+plan against the checkpoint, so their upstream is not listed with them; as-of joins count their
+groups in a small aggregate of their own while they are built. The three queries that fit a model
+are left out, and so are those of `quarterlens.llm`, whose stages the README describes.
 """
 
 
+def final_part(plan: str) -> str:
+    """The final plan out of an adaptive plan's text (all of it if the plan is not adaptive)."""
+    return plan.split("== Initial Plan ==")[0]
+
+
 def summarise(plan: str) -> dict:
-    out = {k: plan.count(v) for k, v in SHUFFLES.items()}
-    out["broadcast"] = plan.count("BroadcastExchange")
-    out["sort_agg"] = plan.count("SortAggregate(")
-    out["python"] = sum(plan.count(p) for p in PYTHON)
+    plan = final_part(plan)
+    reused = len(re.findall(r"ReusedExchange \[", plan))
+    ran = re.sub(r"ReusedExchange \[[^\n]*", "", plan)
+    out = {k: ran.count(v) for k, v in SHUFFLES.items()}
+    out["reused"] = reused
+    out["broadcast"] = ran.count("BroadcastExchange")
+    out["sort_agg"] = ran.count("SortAggregate(")
+    out["python"] = sum(ran.count(f" {p} ") + ran.count(f" {p}\n") for p in PYTHON)
     scans = {}
-    for cols, table in SCAN.findall(plan):
+    found = SCAN.findall(ran)
+    for cols, table in found:
         names = sorted({re.sub(r"#\d+L?$", "", c.strip()) for c in cols.split(",") if c.strip()})
         scans.setdefault(table, set()).update(names)
+    out["n_scans"] = len(found)
     out["scans"] = "; ".join(f"{t}({', '.join(sorted(c))})" for t, c in sorted(scans.items()))
     return out
 
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
-
     spark = build_session("local[8]", 8)
     models = {"gbt_accuracy", "mlp_accuracy", "score_documents"}   # they fit a model while planning
     print(HEADER.format(sf=os.path.basename(sf.rstrip("/"))))
-    print("| query | hash | range | single | round-robin | broadcast | sort agg | python | scans (columns read) |")
-    print("|---|---|---|---|---|---|---|---|---|")
-    for name, q in sorted(E.queries().items()):
+    print("| query | hash | range | single | round-robin | reused | broadcast | sort agg | python | "
+          "scans | columns read |")
+    print("|---|---|---|---|---|---|---|---|---|---|---|")
+    registry.load_all()
+    for name, q in sorted(registry.QUERIES.items()):
         if name in models:
             continue
-        s = summarise(q(spark, sf)._jdf.queryExecution().executedPlan().toString())
-        print(f"| {name} | {s['hash']} | {s['range']} | {s['single']} | {s['round-robin']} | "
-              f"{s['broadcast']} | {s['sort_agg']} | {s['python']} | {s['scans']} |")
+        df = q(spark, sf)
+        df.collect()                                     # small results at the report's size
+        s = summarise(df._jdf.queryExecution().executedPlan().toString())
+        print(f"| {name} | " + " | ".join(str(s[k]) for k in (
+            "hash", "range", "single", "round-robin", "reused", "broadcast", "sort_agg", "python",
+            "n_scans", "scans")) + " |")
 
 
 if __name__ == "__main__":
