@@ -183,11 +183,11 @@ def _splits(l: DataFrame, r: DataFrame, on: list[str], bucket, target: int):
     """
     both = l.select(*on, "_n").unionByName(r.select(*on, "_n")) \
         .withColumn("_b", bucket(F.col("_n"))).where(F.col("_b").isNotNull())
-    hot = cut_lineage(both.groupBy(*on, "_b").agg(F.count(F.lit(1)).alias("_rows"))
-                      .where(F.col("_rows") > target))
-    top = hot.agg(F.max("_rows")).first()[0]
-    if top is None:
+    counts = both.groupBy(*on, "_b").agg(F.count(F.lit(1)).alias("_rows"))
+    top = counts.agg(F.max("_rows")).first()[0]
+    if top is None or top <= target:
         return None, None
+    hot = cut_lineage(counts.where(F.col("_rows") > target))
     k = min(MAX_CUTS, -(-int(top) // max(1, target // 2)))
     key = hot.select(*[F.col(c).alias(f"_h_{c}") for c in [*on, "_b"]])
     same = reduce(lambda a, b: a & b, [F.col(c) == F.col(f"_h_{c}") for c in [*on, "_b"]])

@@ -37,50 +37,75 @@ def hash_split(df: DataFrame, key_cols: Sequence[str], test: float = 0.15,
 
 @dataclass
 class MinMaxScaling:
-    """K1: (x - min) / (max - min); a constant column maps to 0 (scikit-learn)."""
+    """K1: (x - min) / (max - min); a constant column maps to 0 (scikit-learn).
+
+    ``fit`` runs one aggregate; ``fit_lazy`` keeps it as scalar subqueries, so nothing runs before
+    the transformed rows do.
+    """
     columns: Sequence[str]
     stats: dict = field(default_factory=dict)
 
     def fit(self, df: DataFrame) -> "MinMaxScaling":
-        aggs = [F.min(c).alias(f"min_{c}") for c in self.columns] + [F.max(c).alias(f"max_{c}") for c in self.columns]
-        row = df.agg(*aggs).first()
-        self.stats = {c: (row[f"min_{c}"], row[f"max_{c}"]) for c in self.columns}
+        self.stats = _numbers(df, self.columns, F.min, F.max)
+        return self
+
+    def fit_lazy(self, df: DataFrame) -> "MinMaxScaling":
+        self.stats = _subqueries(df, self.columns, F.min, F.max)
         return self
 
     def transform(self, df: DataFrame, suffix: str = "_scaled") -> DataFrame:
         out = df
         for c, (lo, hi) in self.stats.items():
-            if lo is None or hi is None:
-                expr = F.lit(None).cast("double")
-            elif hi == lo:
-                expr = F.when(F.col(c).isNotNull(), F.lit(0.0))
-            else:
-                expr = (F.col(c) - F.lit(lo)) / F.lit(hi - lo)
-            out = out.withColumn(c + suffix, expr)
+            lo, hi = _as_column(lo), _as_column(hi)
+            constant = F.when(F.col(c).isNotNull(), F.lit(0.0))
+            out = out.withColumn(c + suffix, F.when(hi == lo, constant).otherwise(
+                (F.col(c) - lo) / (hi - lo)))
         return out
 
 
 @dataclass
 class StandardScaling:
-    """K2: (x - mean) / population std; a zero deviation divides by 1 (scikit-learn)."""
+    """K2: (x - mean) / population std; a zero deviation divides by 1 (scikit-learn).
+    ``fit`` and ``fit_lazy`` as in :class:`MinMaxScaling`."""
     columns: Sequence[str]
     stats: dict = field(default_factory=dict)
 
     def fit(self, df: DataFrame) -> "StandardScaling":
-        aggs = [F.avg(c).alias(f"mean_{c}") for c in self.columns] + \
-               [F.stddev_pop(c).alias(f"std_{c}") for c in self.columns]
-        row = df.agg(*aggs).first()
-        self.stats = {c: (row[f"mean_{c}"], row[f"std_{c}"]) for c in self.columns}
+        self.stats = _numbers(df, self.columns, F.avg, F.stddev_pop)
+        return self
+
+    def fit_lazy(self, df: DataFrame) -> "StandardScaling":
+        self.stats = _subqueries(df, self.columns, F.avg, F.stddev_pop)
         return self
 
     def transform(self, df: DataFrame, suffix: str = "_std") -> DataFrame:
         out = df
         for c, (mean, std) in self.stats.items():
-            scale = std if std else 1.0
-            out = out.withColumn(c + suffix, (F.col(c) - F.lit(mean)) / F.lit(scale))
+            mean, std = _as_column(mean), _as_column(std)
+            scale = F.when(std == 0, 1.0).otherwise(F.coalesce(std, F.lit(1.0)))
+            out = out.withColumn(c + suffix, (F.col(c) - mean) / scale)
         return out
 
 
+def _numbers(df: DataFrame, columns: Sequence[str], a, b) -> dict:
+    """{column: (a, b)} of two aggregates, by one job for all columns."""
+    row = df.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("a", a), ("b", b))]).first()
+    return {c: (row[f"a_{c}"], row[f"b_{c}"]) for c in columns}
+
+
+def _subqueries(df: DataFrame, columns: Sequence[str], a, b) -> dict:
+    """The same as scalar subqueries (one scan: equal subqueries are planned once)."""
+    one = df.agg(F.struct(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("a", a), ("b", b))])
+                 .alias("s")).scalar()
+    return {c: (one[f"a_{c}"], one[f"b_{c}"]) for c in columns}
+
+
+def _as_column(x) -> Column:
+    if isinstance(x, Column):
+        return x
+    return F.lit(None).cast("double") if x is None else F.lit(x)
+
+
 @dataclass
 class OneHotEncoding:
     """K3: one 0/1 column per category, categories sorted ascending, null last.

@@ -111,8 +111,8 @@ SELECT ticker, quarter, quarter_start, split,
 FROM h, m""")
 def q_minmax(spark, sf):
     """K1: min-max scaling fitted on the training split, applied to every row."""
-    h = cut_lineage(hash_split(training_rows(spark, sf), ["ticker", "quarter"]))  # fit + transform read it
-    sc = MinMaxScaling(["net_sentiment"]).fit(h.filter(F.col("split") == "train"))
+    h = hash_split(training_rows(spark, sf), ["ticker", "quarter"])
+    sc = MinMaxScaling(["net_sentiment"]).fit_lazy(h.filter(F.col("split") == "train"))
     return rounded(sc.transform(h).select("ticker", "quarter", "quarter_start", "split",
                                           "net_sentiment_scaled"))
 
@@ -126,7 +126,7 @@ FROM p, m""")
 def q_standardize(spark, sf):
     """K2: standard scaling (population deviation) fitted on the positional training split."""
     p = positional_split(training_rows(spark, sf), ORDER)
-    sc = StandardScaling(["net_sentiment"]).fit(p.filter(F.col("split") == "train"))
+    sc = StandardScaling(["net_sentiment"]).fit_lazy(p.filter(F.col("split") == "train"))
     return rounded(sc.transform(p).select("ticker", "quarter", "quarter_start", "split", "net_sentiment_std"))
 
 

@@ -12,7 +12,11 @@ def test_scalers_constant_column(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0), (2.0, 5.0)], "x double, c double")
     mm = MinMaxScaling(["x", "c"]).fit(df).transform(df)
     assert sorted(rows(mm, "x_scaled", "c_scaled")) == [(0.0, 0.0), (0.5, 0.0), (1.0, 0.0)]
+    lazy = MinMaxScaling(["x", "c"]).fit_lazy(df).transform(df)
+    assert sorted(rows(lazy, "x_scaled", "c_scaled")) == [(0.0, 0.0), (0.5, 0.0), (1.0, 0.0)]
+    lazy = StandardScaling(["x", "c"]).fit_lazy(df).transform(df)
     st = StandardScaling(["x", "c"]).fit(df).transform(df)
+    assert sorted(rows(lazy)) == sorted(rows(st))
     import numpy as np
     xs = np.array([1.0, 3.0, 2.0])
     want = sorted((xs - xs.mean()) / xs.std())
