@@ -47,10 +47,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the text that they decode to."""
-    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), "text", ranks,
-                         public_tokenizers.PATTERN).drop("text")
-    return bpe.decode(encoded, ranks).select(
+    encoded = bpe.encode(docs.select("doc_id", "lang", "source", "text"), "text",
+                         public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                         public_tokenizers.PATTERN, decoded="decoded")
+    return encoded.select(
         "doc_id", "lang", "source", F.col("decoded").cast("string").alias("text"), "n_tokens",
         "token_ids")
 

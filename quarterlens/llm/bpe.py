@@ -26,7 +26,7 @@ from types import ModuleType
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from quarterlens.llm.common import with_python_columns
@@ -298,49 +298,61 @@ def _kept(name: str, make):
     return getattr(shelf, name)
 
 
-def encode(docs: DataFrame, text: str, rank_file: str, pattern: str, cut: str | None = CUT,
-           ids: str = "token_ids", n_tokens: str = "n_tokens") -> DataFrame:
-    """``docs`` plus the packed ids of its texts and their number.
+def _decode(ids: bytes, tokens: dict[int, bytes]) -> bytes:
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
-    Null and empty texts: no ids. Special tokens are ordinary text. The rank file is read once on
-    the driver and broadcast (its size is fixed). Every row is encoded by itself, so repeated
-    rows, ties and other columns play no part; an empty table gives an empty result. cut: a pattern
-    (of ``re``) for runs across whose bounds ``pattern`` never matches; None: no such runs.
-    """
+
+def _vocabulary(spark: SparkSession, rank_file: str):
+    """(name, ranks, tokens): the rank file, read once on the driver and broadcast (its size is
+    fixed), and what workers make of it."""
     with open(rank_file, "rb") as f:
         raw = f.read()
-    ranks = docs.sparkSession.sparkContext.broadcast(raw)
-    key = "pieces_" + hashlib.md5(raw + pattern.encode()).hexdigest()
+    sent = spark.sparkContext.broadcast(raw)
 
-    def make() -> Pieces:
-        return Pieces({base64.b64decode(a): int(b)
-                       for a, b in map(bytes.split, ranks.value.splitlines())}, pattern)
+    def ranks() -> dict[bytes, int]:
+        return {base64.b64decode(a): int(b)
+                for a, b in map(bytes.split, sent.value.splitlines())}
+
+    return hashlib.md5(raw).hexdigest(), ranks, lambda: {b: a for a, b in ranks().items()}
+
+
+def encode(docs: DataFrame, text: str, rank_file: str, pattern: str, cut: str | None = CUT,
+           ids: str = "token_ids", n_tokens: str = "n_tokens",
+           decoded: str | None = None) -> DataFrame:
+    """``docs`` plus the packed ids of its texts, their number and, if ``decoded`` names a column,
+    the bytes that the ids decode to.
+
+    Null and empty texts: no ids. Special tokens are ordinary text. Every row is encoded by itself,
+    so repeated rows, ties and other columns play no part; an empty table gives an empty result.
+    cut: a pattern (of ``re``) for runs across whose bounds ``pattern`` never matches; None: no
+    such runs.
+    """
+    name, ranks, tokens = _vocabulary(docs.sparkSession, rank_file)
+    key = hashlib.md5(pattern.encode()).hexdigest()
 
     def work(cols: list[pa.Array]) -> list[pa.Array]:
-        pieces, runs = _kept(key, make), cut and re.compile(cut)
-        out = pieces.encode([t or "" for t in cols[0].to_pylist()], runs)
-        return [pa.array(out, pa.binary()), pa.array([len(x) // 4 for x in out], pa.int64())]
+        pieces = _kept(f"pieces_{name}_{key}", lambda: Pieces(ranks(), pattern))
+        out = pieces.encode([t or "" for t in cols[0].to_pylist()], cut and re.compile(cut))
+        made = [pa.array(out, pa.binary()), pa.array([len(x) // 4 for x in out], pa.int64())]
+        if decoded:
+            known = _kept(f"tokens_{name}", tokens)
+            made.append(pa.array([_decode(x, known) for x in out], pa.binary()))
+        return made
 
-    return with_python_columns(docs, [text], [T.StructField(ids, T.BinaryType()),
-                                              T.StructField(n_tokens, T.LongType())], work)
+    fields = [T.StructField(ids, T.BinaryType()), T.StructField(n_tokens, T.LongType())]
+    if decoded:
+        fields.append(T.StructField(decoded, T.BinaryType()))
+    return with_python_columns(docs, [text], fields, work)
 
 
 def decode(encoded: DataFrame, rank_file: str, ids: str = "token_ids",
            out: str = "decoded") -> DataFrame:
     """``encoded`` plus the bytes of its ids (null ids: none). An unknown id is an error."""
-    with open(rank_file, "rb") as f:
-        raw = f.read()
-    ranks = encoded.sparkSession.sparkContext.broadcast(raw)
-    key = "tokens_" + hashlib.md5(raw).hexdigest()
-
-    def make() -> dict[int, bytes]:
-        return {int(b): base64.b64decode(a)
-                for a, b in map(bytes.split, ranks.value.splitlines())}
+    name, _, tokens = _vocabulary(encoded.sparkSession, rank_file)
 
     def work(cols: list[pa.Array]) -> list[pa.Array]:
-        tokens = _kept(key, make)
-        return [pa.array([b"".join(map(tokens.__getitem__, np.frombuffer(x or b"", "<u4").tolist()))
-                          for x in cols[0].to_pylist()], pa.binary())]
+        known = _kept(f"tokens_{name}", tokens)
+        return [pa.array([_decode(x or b"", known) for x in cols[0].to_pylist()], pa.binary())]
 
     return with_python_columns(encoded, [ids], [T.StructField(out, T.BinaryType())], work)
 

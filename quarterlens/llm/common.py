@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from quarterlens.session import ensure_checkpoint_dir
 from quarterlens.sources.tables import table_path
 
+SLICE_ROWS = 1024      # rows that Python works on at a time
 # A word is a run of bytes that are not ASCII white space; bytes.split() uses the same set.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -45,16 +46,18 @@ def with_python_columns(df: DataFrame, inputs: Sequence[str], fields: Sequence[T
                         work: Callable[[list[pa.Array]], list[pa.Array]]) -> DataFrame:
     """``df`` plus ``fields``, computed from its columns ``inputs`` one Arrow batch at a time.
 
-    ``work`` gets the input columns of a batch and returns one array per field. All other
+    ``work`` gets the input columns of at most ``SLICE_ROWS`` rows and returns one array per field. All other
     columns pass through unchanged, so no join is needed to bring a result back to its row.
     """
     at = [df.columns.index(c) for c in inputs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            made = work([b.column(i) for i in at])
-            yield pa.RecordBatch.from_arrays([*b.columns, *made],
-                                             names=[*b.schema.names, *(f.name for f in fields)])
+        for batch in batches:
+            for start in range(0, len(batch), SLICE_ROWS):
+                b = batch.slice(start, SLICE_ROWS)
+                made = work([b.column(i) for i in at])
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns, *made], names=[*b.schema.names, *(f.name for f in fields)])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))
 

@@ -70,10 +70,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op6_byte_bpe")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), "text", ranks,
-                         public_tokenizers.PATTERN).drop("text")
-    return bpe.decode(encoded, ranks).select(
+    return bpe.encode(table(spark, sf_dir, "documents", "doc_id", "text"), "text",
+                      public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                      decoded="decoded").select(
         "doc_id", "n_tokens", sha256_hex(F.col("token_ids")).alias("ids_sha256"),
         sha256_hex(F.col("decoded")).alias("decoded_sha256"))
 

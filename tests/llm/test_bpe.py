@@ -70,6 +70,8 @@ def test_round_trip_nulls_and_clashing_columns(spark):
     assert sorted((r.doc_id or -1, bytes(r.back).decode()) for r in got) == \
         sorted((i or -1, t or "") for i, t, _ in rows)
     assert all(r.n_tokens * 4 == len(r.token_ids) for r in got)
+    once = bpe.encode(df.drop("decoded"), "text", RANKS, public_tokenizers.PATTERN, decoded="back")
+    assert sorted(bytes(r.back) for r in once.collect()) == sorted(bytes(r.back) for r in got)
     empty = bpe.encode(df.limit(0), "text", RANKS, public_tokenizers.PATTERN)
     assert bpe.decode(empty, RANKS, out="back").count() == 0
 
