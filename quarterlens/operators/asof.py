@@ -66,7 +66,7 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
               right_time: str, direction: str = "backward", allow_exact: bool = True,
               tolerance: dt.timedelta | int | None = None, right_tie: str | None = None,
               bucket_width: dt.timedelta | int | None = None,
-              max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+              max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Each left row with the nearest right row by time within equal ``on`` keys.
 
     ``direction='backward'``: latest right time <= left time (< when
@@ -76,7 +76,8 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
 
     ``bucket_width``: the tolerance (at least a day), or 30 days without one. One aggregate over
     the keys and times counts the rows of each (key, bucket); those with more than
-    ``max_group_rows`` are split (see the module text).
+    ``max_group_rows`` are split (see the module text). None leaves the count out, for sides whose
+    groups are bounded by construction (such as one row per key and day on both).
     """
     if direction not in ("backward", "forward"):
         raise ValueError(direction)
@@ -110,7 +111,8 @@ def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: s
                                  F.struct(*[F.col(c) for c in payload_cols]).alias("_r"))
     l = left.select(*[F.col(k) for k in on], time_units(left, left_time).alias("_n"),
                     F.struct(*[F.col(c) for c in left_cols]).alias("_l"))
-    cuts, deals = _splits(l, r, on, bucket, max_group_rows)
+    cuts, deals = (None, None) if max_group_rows is None else \
+        _splits(l, r, on, bucket, max_group_rows)
 
     # Side order at equal time: inclusive -> right first, strict -> left first.
     right_side, left_side = (0, 1) if allow_exact else (1, 0)

@@ -30,11 +30,15 @@ def with_quarter_end(index: DataFrame) -> DataFrame:
 
 
 def quarter_end_prices(index: DataFrame, daily: DataFrame, days: int = 7) -> DataFrame:
-    """Last close in [quarter_end - days, quarter_end]; null closes dropped first."""
+    """Last close in [quarter_end - days, quarter_end]; null closes dropped first.
+
+    Both sides have at most one row per ticker and day (a member per quarter, a close per day), so
+    the join's groups are bounded by its bucket of days and need no counting.
+    """
     closes = daily.filter(F.col("close").isNotNull()).select(
         "ticker", F.col("date").alias("price_date"), F.col("close").alias("q_end_price"))
     return asof_join(with_quarter_end(index), closes, ["ticker"], "quarter_end", "price_date",
-                     "backward", True, dt.timedelta(days=days))
+                     "backward", True, dt.timedelta(days=days), max_group_rows=None)
 
 
 def latest_event_before(left: DataFrame, events: DataFrame, left_date: str,

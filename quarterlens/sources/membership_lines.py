@@ -34,7 +34,7 @@ def parse_membership_lines(lines: DataFrame, line_col: str = "value",
     pairs = F.arrays_zip(dates.alias("d"), lists.alias("l"))
     x = lines.select(*keep, F.explode(pairs).alias("p"))
     x = x.filter(F.col("p.d").isNotNull() & F.col("p.l").isNotNull())
-    return x.select(*keep, F.try_to_date(F.col("p.d"), "yyyy-MM-dd").alias("date"),
+    return x.select(*keep, F.col("p.d").try_cast("date").alias("date"),
                     F.explode(F.split(F.col("p.l"), ",")).alias("ticker"))
 
 
