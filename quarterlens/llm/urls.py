@@ -1,7 +1,8 @@
 """URL filters: host rules first, then naive Bayes over segmented host names and path words.
 
 * Rules name a host and a path prefix; a rule fits its host and all subdomains, the longest wins.
-* Word model: a unigram count of the words of all pages and of the parts of all hosts and paths.
+* Word model: a unigram count of the words of all pages and paths. A host part is what is to be
+  cut, so it is evidence of a word only if it is a seed word; any other adds to the total alone.
 * Segmentation: each distinct host part is cut by Viterbi into the most probable words (an unknown
   string of n letters has probability 10 / (N 10^n); ties: fewer words, then order of letters).
   The counts come to a part by a join on its substrings, so the model is never broadcast.
@@ -115,22 +116,30 @@ def _segment(total: int):
     return run
 
 
-def unigrams(sites: DataFrame, pages: DataFrame, html: str) -> DataFrame:
-    """(word, n): words of all page texts, and of host parts and paths (once a page)."""
-    named = sites.select(F.explode(F.concat("parts", "path_words")).alias("word"), "n") \
-        .where(F.length("word") <= LONGEST)
+def unigrams(sites: DataFrame, pages: DataFrame, html: str, seeds: Sequence[str]) -> DataFrame:
+    """(word, n, all): words of all page texts, and of host parts and paths (once a page).
+
+    n is without the host parts that are no seed words, ``all`` is with them.
+    """
+    def named(words: str) -> DataFrame:
+        return sites.select(F.explode(words).alias("word"), "n").where(
+            F.length("word") <= LONGEST)
+
     text = pages.select(F.col(html).alias("html")).mapInArrow(_count_words, "word string, n long")
-    return text.union(named).groupBy("word").agg(F.sum("n").alias("n"))
+    known = text.union(named("path_words")).select("word", "n", F.col("n").alias("all"))
+    hosts = named("parts").select(
+        "word", F.when(F.col("word").isin(*seeds), F.col("n")).otherwise(0), "n")
+    return known.union(hosts).groupBy("word").agg(F.sum("n").alias("n"), F.sum("all").alias("all"))
 
 
 def segment_parts(parts: DataFrame, words: DataFrame) -> DataFrame:
     """(part, words) of every distinct ``part``, by the counts of ``words``."""
-    total = words.agg(F.sum("n")).first()[0] or 0
+    total = words.agg(F.sum("all")).first()[0] or 0
     spans = parts.select("part", F.explode(F.sequence(F.lit(1), F.length("part"))).alias("s")) \
         .select("part", F.explode(F.expr(
             f"transform(sequence(1, least({LONGEST}, length(part) - s + 1)), "
             "l -> substring(part, s, l))")).alias("word")).distinct()
-    known = spans.join(words, "word").groupBy("part").agg(
+    known = spans.join(words.where("n > 0"), "word").groupBy("part").agg(
         F.collect_list(F.struct("word", "n")).alias("known"))
     return parts.join(known, "part", "left").select("part", "known") \
         .mapInArrow(_segment(total), "part string, words array<string>")
@@ -155,7 +164,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], seeds: Sequence[st
                                                    F.count("*").alias("n"))
                          .withColumn("parts", _host_parts(F.col("host")))
                          .withColumn("path_words", _path_words(F.col("path"))))
-    words = checkpointed(unigrams(sites, pages, html))
+    words = checkpointed(unigrams(sites, pages, html, seeds))
     parts = sites.select(F.explode("parts").alias("part")).distinct()
     cut = checkpointed(segment_parts(parts, words))
     from_host = sites.select("site", "n", F.explode("parts").alias("p")) \

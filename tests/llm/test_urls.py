@@ -74,6 +74,32 @@ def test_judges_concatenated_names(spark):
     assert verdict[103] == (None, "block")
 
 
+def test_cuts_concatenated_names_at_a_million_words(spark):
+    """Names that many pages have are no words for that, however many words the pages have."""
+    filler = "<p>" + "garden tools lovely flowers " * 4000 + "</p>"
+    hosts = ["casino-win", "casinowin", "wincasino", "casinowinbig", "garden-tools",
+             "gardenflowers", "lovelygarden", "poker", "pokerflowers"]
+    rows = [(100 * k + i, f"http://{h}.net/en/{k}",
+             filler + ("win big casino" if "casino" in h else "")) for i, h in enumerate(hosts)
+            for k in range(10)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sum(len(r[2].split()) for r in rows) > 1_000_000
+    got = {(r.host, r.verdict) for r in urls.judge(df, RULES).collect()}
+    assert got == {(f"{h}.net", "block" if "casino" in h or "poker" in h else "allow")
+                   for h in hosts}
+
+
+def test_names_stay_whole_without_page_text(spark):
+    rows = [(i, f"http://{h}.net/", None) for i, h in enumerate(["garden", "flowers", "poker"])]
+    df = spark.createDataFrame(rows * 5, "page_id long, url string, html string")
+    sites = df.select(urls.host_of(F.col("url")).alias("host")).groupBy("host").agg(
+        F.count("*").alias("n")).select("n", urls._host_parts(F.col("host")).alias("parts"),
+                                        F.array().cast("array<string>").alias("path_words"))
+    parts = sites.select(F.explode("parts").alias("part")).distinct()
+    cut = urls.segment_parts(parts, urls.unigrams(sites, df, "html", urls.SEEDS)).collect()
+    assert {r.part: r.words for r in cut} == {w: [w] for w in ("garden", "flowers", "poker", "net")}
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert urls.judge(df, RULES).count() == 0
