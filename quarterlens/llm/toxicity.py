@@ -3,7 +3,8 @@
 * Lexicon: on a bounded sample of labelled rows (``SAMPLE`` rows of smallest id hash, near copies
   counted once) words and word beginnings are counted per class. Terms are those whose toxic
   count cannot be chance (``EVIDENCE``); a beginning stays a term only as far as no longer
-  one has nearly its count, so a word is learned as a word and a stem as a stem.
+  one has nearly its count, so a word is learned as a word and a stem as a stem. Words of
+  sufficient evidence stay beside the stem they begin with, for the edits that they allow.
 * Misspellings: the terms form a trie; its Levenshtein automaton (pairs of trie node and edits) is
   made deterministic while words run through it, so most words end after a few characters.
 * Context: a hit inside quotation marks, or near a reporting word, counts as quoted, any other
@@ -215,11 +216,24 @@ def _first_shingle(text: str) -> int:
                default=0)
 
 
+def evident(toxic: dict[str, int], clean: dict[str, int], n_toxic: int,
+            n_clean: int) -> dict[str, int]:
+    """The terms of sufficient evidence and their toxic counts."""
+    base = math.log((n_toxic + n_clean) / max(1, n_toxic))
+    return {t: n for t, n in toxic.items() if n * base - 4 * clean.get(t, 0) >= EVIDENCE}
+
+
+def forms(good: dict[str, int], chosen: list[str]) -> list[str]:
+    """The whole words of ``good`` that begin with a chosen stem: they allow edits it does not."""
+    stems = {t for t in chosen if not t.endswith("$")}
+    return sorted(t for t in good if t.endswith("$")
+                  and any(t[:n] in stems for n in range(1, len(t))))
+
+
 def choose_terms(toxic: dict[str, int], clean: dict[str, int], n_toxic: int,
                  n_clean: int) -> list[str]:
-    """The lexicon: terms of sufficient evidence, closed, no term under another."""
-    base = math.log((n_toxic + n_clean) / max(1, n_toxic))
-    good = {t: n for t, n in toxic.items() if n * base - 4 * clean.get(t, 0) >= EVIDENCE}
+    """Stems and words for the lexicon: of sufficient evidence, closed, no term under another."""
+    good = evident(toxic, clean, n_toxic, n_clean)
     longer: dict[str, int] = {}
     for t, n in good.items():
         parent = t[:-1]
@@ -298,6 +312,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     in_toxic = {r["term"]: r["n"] for r in counted(1, None).where(F.col("n") >= need).collect()}
     in_clean = {r["term"]: r["n"] for r in counted(0, frozenset(in_toxic)).collect()}
     terms = choose_terms(in_toxic, in_clean, n_toxic, n_clean)
+    terms += forms(evident(in_toxic, in_clean, n_toxic, n_clean), terms)
     found = _with_features(sample, "text", terms, ["a", "b", "c"]) \
         .select("toxic", "a", "b", "c").toArrow()
     x = np.stack([found.column(c).to_numpy() for c in "abc"], axis=1)

@@ -95,6 +95,21 @@ def test_rejects_misspelled_keeps_clean_and_quoted(spark):
     assert kept.where("doc_id IS NULL").count() == 0
 
 
+def test_misspelled_forms_of_a_stem(spark):
+    """Singular and plural share a short stem, which allows no edits; the words still do."""
+    rows, labels = [], []
+    for i, text, _ in _corpus(spark)[0]:
+        bad = "" if i % 6 else " you loser" if i % 18 else " you losers"
+        rows.append((i, text.partition(" you ")[0] + bad))
+        labels.append((i, int(not i % 6)))
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"),
+                           spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert "loser" in model.terms and toxicity.edits(5, True) == 0
+    match = Lexicon(model.terms).match
+    assert [match(w) for w in ("loser", "losers", "looser", "lozer", "lozers", "lsoers")] \
+        == [0, 0, 1, 1, 1, -1]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a text")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
