@@ -31,7 +31,6 @@ from pyspark.sql import types as T
 from quarterlens.llm.common import checkpointed, fresh, with_python_columns
 
 SAMPLE = 20_000             # labelled rows that the model is fitted on
-SUPPORT = 0.01              # share of the toxic rows that must have a term
 EVIDENCE = 14.0             # log odds that a term's counts are not chance
 STEM = range(4, 13)         # lengths of word beginnings
 CLOSED = 0.8                # a longer term with this share of the count stands for the shorter
@@ -195,18 +194,25 @@ def _terms_of(text: str) -> set[str]:
     return out
 
 
-def _count_terms(batches: Iterator[pa.RecordBatch], only: frozenset | None):
-    count: Counter = Counter()
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, toxic, clean): rows of each class that have the term."""
+    count: tuple[Counter, Counter] = Counter(), Counter()
+
+    def out() -> pa.RecordBatch:
+        terms = list(count[0].keys() | count[1].keys())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(terms, pa.string()),
+             *(pa.array([count[x][t] for t in terms], pa.int64()) for x in (1, 0))],
+            names=["term", "toxic", "clean"])
+
     for b in batches:
-        for text in b.column(0).to_pylist():
-            terms = _terms_of(text or "")
-            count.update(terms if only is None else terms & only)
-            if len(count) > 300_000:
-                yield pa.RecordBatch.from_pydict({"term": list(count), "n": list(count.values())})
-                count.clear()
-    yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()),
-                                      pa.array(list(count.values()), pa.int64())],
-                                     names=["term", "n"])
+        for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            count[toxic].update(_terms_of(text or ""))
+            if len(count[0]) + len(count[1]) > 300_000:
+                yield out()
+                for c in count:
+                    c.clear()
+    yield out()
 
 
 def _first_shingle(text: str) -> int:
@@ -301,16 +307,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     if not n_toxic:
         return Model([], PRIOR.copy())
 
-    def counted(value: int, only: frozenset | None) -> DataFrame:
-        rows = sample.where(F.col("toxic") == value).select("text")
-        return rows.mapInArrow(lambda b: _count_terms(b, only), "term string, n long") \
-            .groupBy("term").agg(F.sum("n").alias("n"))
-
-    # at most (terms a text) / SUPPORT terms can have the support
-    need = max(EVIDENCE / math.log((n_toxic + n_clean) / n_toxic) if n_clean else 3,
-               SUPPORT * n_toxic)
-    in_toxic = {r["term"]: r["n"] for r in counted(1, None).where(F.col("n") >= need).collect()}
-    in_clean = {r["term"]: r["n"] for r in counted(0, frozenset(in_toxic)).collect()}
+    # only terms of sufficient evidence reach the driver
+    base = math.log((n_toxic + n_clean) / n_toxic)
+    passed = sample.select("text", "toxic").mapInArrow(
+        _count_terms, "term string, toxic long, clean long").groupBy("term").agg(
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")) \
+        .where(F.col("toxic") * base - 4 * F.col("clean") >= EVIDENCE).collect()
+    in_toxic = {r["term"]: r["toxic"] for r in passed}
+    in_clean = {r["term"]: r["clean"] for r in passed}
     terms = choose_terms(in_toxic, in_clean, n_toxic, n_clean)
     terms += forms(evident(in_toxic, in_clean, n_toxic, n_clean), terms)
     found = _with_features(sample, "text", terms, ["a", "b", "c"]) \

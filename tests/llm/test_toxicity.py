@@ -110,6 +110,25 @@ def test_misspelled_forms_of_a_stem(spark):
         == [0, 0, 1, 1, 1, -1]
 
 
+def test_evidence_counts_the_same_among_many_labels(spark):
+    """A word of 25 toxic rows and no clean one is learned from 100 toxic rows and from 3,000."""
+    rng = random.Random(11)
+    for n_toxic in (100, 3000):
+        rows = [(i, " ".join("".join(rng.choice("tnhesdl") for _ in range(5)) for _ in range(6))
+                 + (" numbskull" if i < 2 * 25 and i % 2 else " scumbag" if i % 2 else ""), i % 2)
+                for i in range(2 * n_toxic)]
+        df = spark.createDataFrame([(j, t, y) for j, (_, t, y) in zip(_fitted_ids(len(rows)), rows)],
+                                   "doc_id long, text string, toxic int")
+        terms = toxicity.train(df, df).terms
+        assert {"numbskull$", "scumbag$"} <= set(terms), (n_toxic, terms)
+
+
+def _fitted_ids(n):
+    """n ids that are not held out."""
+    out = (i for i in range(10 * n + 100) if zlib.crc32(str(i).encode()) % 5)
+    return [next(out) for _ in range(n)]
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a text")], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
