@@ -11,9 +11,11 @@ most t = sqrt(2 - 2c), which makes each approximate step safe:
 * candidates are ranked anew by the exact cosine in double precision.
 
 So no pair is missed and none is added. Equal vectors of one label are one node with a
-multiplicity. A list of one label with more than ``BLOCK`` vectors is cut into blocks, each
-searched by its own task, and small lists share tasks. Links never leave a task as pairs: each
-probe brings back its number of links and an edge to the representative of what it links to.
+multiplicity. A list of one label with more than ``BLOCK`` vectors is cut into blocks, and so are
+its probes beyond ``PROBE_BLOCK``; each pair of a block and a probe block is searched by itself, and
+small pairs share tasks, as many as their vectors and probes ask for. Links never leave a task
+as pairs: each probe brings back its number of links and an edge to the representative of what
+it links to.
 """
 
 from __future__ import annotations
@@ -36,9 +38,11 @@ SUBSPACES = 8
 CODES = 64                  # codes a sub-space
 MAX_LISTS = 1024
 BLOCK = 4096                # vectors of one list and label that one task searches
+PROBE_BLOCK = 16384         # probes of one list and label that one task holds
 PROBES = 1024               # probes compared at once
-BUCKET = 16384              # vectors a task holds, about
+BUCKET = 16384              # vectors and probes a task holds, about
 SLACK = 1e-5                # rounding of single-precision table distances
+KEY = ("label", "dim", "list", "block", "probe_block")      # of what is searched by itself
 
 
 def k_means(x: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
@@ -150,7 +154,7 @@ def _match(t: float, cosine: float, model: dict):
             if not p.num_rows:
                 continue
             coarse, books = model.get(int(dim)) or _empty_model(int(dim))
-            key = [np.stack([x.column(c).to_numpy() for c in ("label", "list", "block")], axis=1)
+            key = [np.stack([x.column(c).to_numpy() for c in KEY if c != "dim"], axis=1)
                    for x in (r, p)]
             _, inverse = np.unique(np.concatenate(key), axis=0, return_inverse=True)
             inverse = inverse.ravel()
@@ -197,6 +201,35 @@ def _models(nodes: DataFrame, n: int) -> dict:
     return out
 
 
+def _dealt(refs: DataFrame, probes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides, each row once for every block of the other side of its list, with a bucket.
+
+    A pair of blocks has about ``BLOCK`` vectors and ``PROBE_BLOCK`` probes at most; there are as
+    many buckets as hold ``BUCKET`` of the rows that are dealt.
+    """
+    key = ["label", "dim", "list"]
+    asked = probes.groupBy(*key).agg(F.count("*").alias("asked"))
+    sizes = checkpointed(refs.groupBy(*key).agg(F.count("*").alias("held")).join(asked, key)
+                         .withColumn("blocks", F.ceil(F.col("held") / BLOCK).cast("int"))
+                         .withColumn("probe_blocks",
+                                     F.ceil(F.col("asked") / PROBE_BLOCK).cast("int")))
+    dealt = sizes.agg(F.sum(F.col("held") * F.col("probe_blocks")
+                            + F.col("asked") * F.col("blocks"))).first()[0] or 0
+    held = sizes.agg(F.sum("held")).first()[0] or 0
+    buckets = max(1, math.ceil(held / BUCKET) * 8, math.ceil(dealt / BUCKET))
+    bucket = F.pmod(F.xxhash64(*KEY), F.lit(buckets)).alias("bucket")
+    sizes = sizes.select(*key, "blocks", "probe_blocks")
+
+    def side(rows: DataFrame, own: str, n_own: str, other: str, n_other: str, *columns: str):
+        return rows.join(sizes, key) \
+            .withColumn(own, F.pmod(F.xxhash64("node"), F.col(n_own)).cast("int")) \
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(n_other) - 1))) \
+            .select(bucket, *KEY, "node", "vec", *columns)
+
+    return (side(refs, "block", "blocks", "probe_block", "probe_blocks", "mult", "codes", "err"),
+            side(probes, "probe_block", "probe_blocks", "block", "blocks"))
+
+
 def near_duplicates(vectors: DataFrame, cosine: float = 0.98, id_col: str = "vec_id",
                     vec: str = "embedding", label: str = "label") -> DataFrame:
     """One row per row of ``vectors``: id, n_links, component_id, kept.
@@ -258,17 +291,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98, id_col: str = "vec
                                            "err double"))
     refs = placed.where("home")
     probes = placed.select(*[F.col(c).alias(c) for c in ("label", "dim", "node", "vec", "list")])
-    sizes = checkpointed(refs.groupBy("label", "dim", "list").agg(
-        F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks")))
-    key = ["label", "dim", "list"]
-    buckets = max(1, math.ceil(n / BUCKET) * 8)
-    bucket = F.pmod(F.xxhash64(*key, "block"), F.lit(buckets)).alias("bucket")
-    refs = refs.join(sizes, key).withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")) \
-        .select(bucket, *key, "block", "node", "mult", "vec", "codes", "err")
-    probes = probes.join(sizes, key).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select(bucket, *key, "block", "node", "vec")
+    refs, probes = _dealt(refs, probes)
     found = checkpointed(refs.groupBy("bucket").cogroup(probes.groupBy("bucket")).applyInArrow(
         _match(t, cosine, model), "node long, n long, other long"))
 

@@ -60,6 +60,34 @@ def test_matches_all_pairs(spark, monkeypatch, block, sample):
     assert got == _brute(scaled)
 
 
+def test_probes_of_a_hot_list_are_cut_too(spark, monkeypatch):
+    """No task compares more probes at a time than a block has; all pairs are found, each once."""
+    monkeypatch.setattr(pq, "BLOCK", 64)
+    monkeypatch.setattr(pq, "PROBE_BLOCK", 64, raising=False)
+    monkeypatch.setattr(pq, "BUCKET", 128)
+    match = pq._match
+
+    def bounded(*model):
+        run = match(*model)
+
+        def one_bucket(refs, probes):
+            keys = [c for c in probes.column_names if c not in ("bucket", "node", "vec")]
+            for side in (refs, probes):
+                sizes = side.group_by(keys).aggregate([("node", "count")])["node_count"]
+                assert max(sizes.to_pylist(), default=0) <= 2 * 64, "block too large"
+            return run(refs, probes)
+
+        return one_bucket
+
+    monkeypatch.setattr(pq, "_match", bounded)
+    rng = np.random.default_rng(4)
+    x = np.r_[rng.normal(size=8) + 0.02 * rng.normal(size=(400, 8)), rng.normal(size=(100, 8))]
+    rows = [(i, [float(c) for c in v], 0) for i, v in enumerate(x)]
+    df = spark.createDataFrame([(*r, "n", 1) for r in rows], SCHEMA)
+    got = sorted(map(tuple, pq.near_duplicates(df).collect()), key=repr)
+    assert got == _brute(rows)
+
+
 def test_empty(spark):
     assert pq.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
