@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from quarterlens.llm import (bpe, chat, hnsw, langid, mixing, pq, simhash, substring, toxicity,
-                             urls)
+from quarterlens.llm import (bpe, chat, hnsw, langid, lines, mixing, pq, simhash, substring,
+                             toxicity, urls)
 from quarterlens.llm.common import sha256_hex, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss_text").cast("long").alias("loss_chars"),
         sha256_hex(F.col("loss_text")).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@register("op13_line_dedup", lines.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_repeated_lines(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                     min_chars=10) \
+        .select("doc_id", "n_lines", "n_dropped", sha256_hex(F.col("text")).alias("kept_sha256"))
