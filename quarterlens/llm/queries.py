@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from quarterlens.llm import (bpe, chat, hnsw, langid, lines, mixing, pq, simhash, substring,
-                             toxicity, urls)
+from quarterlens.llm import (bpe, chat, crosstok, hnsw, langid, lines, mixing, pq, simhash,
+                             substring, toxicity, urls)
 from quarterlens.llm.common import sha256_hex, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,6 +126,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+@register("op11_tokenizer_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = crosstok.align(table(spark, sf_dir, "documents", "doc_id", "text"),
+                             public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.PATTERN,
+                             public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") > 0, sha256_hex(F.col("groups"))).otherwise("")
+    return crosstok.with_link_counts(
+        aligned.withColumn("groups_sha256", digest).drop("groups")).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 @register("op13_line_dedup", lines.SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_repeated_lines(table(spark, sf_dir, "documents", "doc_id", "text"),
