@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from quarterlens.llm import (bpe, chat, crosstok, hnsw, langid, lines, mixing, pq, simhash,
-                             substring, toxicity, urls)
+from quarterlens.llm import (bpe, chat, crosstok, hnsw, langid, lines, mixing, pq, repair,
+                             simhash, substring, toxicity, urls)
 from quarterlens.llm.common import sha256_hex, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,6 +138,23 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+@register("op12_conversation_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    done = repair.repair(repair.damage(rows))
+    lines_of = repair.digests(done.rows, "conv_id", "place",
+                              F.concat("role", F.lit(":"), "text"), "repaired_sha256")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    ids = rows.select("conv_id").distinct()
+    for part in (done.conversations, lines_of):
+        own = part.withColumnRenamed("conv_id", "of")
+        ids = ids.join(own, F.col("conv_id").eqNullSafe(F.col("of")), "left").drop("of")
+    return ids.select("conv_id", *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts),
+                      F.coalesce("audit", F.lit("")).alias("audit"),
+                      F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256))
+                      .alias("repaired_sha256"))
+
+
 @register("op13_line_dedup", lines.SQL)
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_repeated_lines(table(spark, sf_dir, "documents", "doc_id", "text"),
