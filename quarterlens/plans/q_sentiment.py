@@ -15,6 +15,7 @@ from quarterlens.plans import stand_ins
 from quarterlens.plans.registry import register, rounded
 from quarterlens.sources.tables import read_table
 from quarterlens.streaming.incremental import union_incremental
+from quarterlens.streaming.ledger import DONE, FAILED, state
 
 STATS_SQL = S.stats_sql()
 
@@ -176,3 +177,23 @@ def q_section_10k(spark, sf):
     """Annual-report MD&A cut (item 7 .. item 7A / 8 after 18,000 skipped chars)."""
     f = _filing_docs(spark, sf, K_LAYOUT)
     return f.select("doc_id", section_10k("filing_text").alias("section"))
+
+
+@register("failure_ledger", """
+WITH log AS (SELECT user_id AS ticker, event_id::VARCHAR AS run, ts AS tried, event_type AS reason,
+                    event_type <> 'purchase' AS failed FROM events),
+f AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY tried DESC, run DESC) AS nth FROM log WHERE failed),
+l AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY tried DESC, failed DESC, run DESC) AS nth FROM log)
+SELECT f.ticker, max(f.reason) FILTER (f.nth = 1) AS reason, count(*) AS attempts, min(f.tried) AS first_at,
+       max(f.tried) AS last_at, bool_or(l.failed) AS is_open
+FROM f JOIN l ON l.nth = 1 AND f.ticker IS NOT DISTINCT FROM l.ticker GROUP BY f.ticker""")
+def q_failure_ledger(spark, sf):
+    """The keyed state of a ledger of failed and finished runs (each event is one run of
+    its user's key; a purchase finishes it): attempts, last reason, open or not."""
+    e = read_table(spark, sf, "events", ["event_id", "ts", "user_id", "event_type"])
+    done = F.col("event_type") == "purchase"
+    log = e.select(F.col("user_id").alias("ticker"), F.lit(None).cast("string").alias("path"),
+                   F.col("event_id").cast("string").alias("run"), F.col("ts").alias("at"),
+                   F.when(done, DONE).otherwise(FAILED).alias("outcome"),
+                   F.when(~done, F.col("event_type")).alias("reason"))
+    return state(log, ["ticker"]).drop("path")

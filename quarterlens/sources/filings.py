@@ -17,6 +17,8 @@ from quarterlens.functions.util import col_of
 # Which names count as filings.
 FILING_NAME_GLOB = "*.txt"
 FILING_NAME_PATTERN = r"10-[QK]"
+# Columns of a ``binaryFile`` listing; ``content`` is never selected.
+LISTING_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 BATCH_BYTES = 16 << 20  # text that a reading task holds before it passes it on
 
 
@@ -101,6 +103,16 @@ def read_filings(spark: SparkSession, folder: str, recursive: bool = True,
                      "read_error")
 
 
+def read_paths(paths: DataFrame, normalise: bool = True) -> DataFrame:
+    """The files of given plain paths in the form of :func:`read_filings`; a path without a file
+    is an unreadable one."""
+    df = paths.select("path").mapInArrow(_open_files(None),
+                                         "path string, text string, read_error string")
+    text = normalise_newlines("text") if normalise else F.col("text")
+    return df.select("path", ids.base_name("path").alias("filename"), text.alias("text"),
+                     "read_error")
+
+
 def read_headers(spark: SparkSession, folder: str, recursive: bool = True,
                  header_chars: int = HEADER_CHARS) -> DataFrame:
     """A2: as :func:`read_filings`, but only the first ``header_chars`` characters of each file

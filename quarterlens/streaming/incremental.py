@@ -8,6 +8,8 @@ filings and stops; the checkpoint location makes progress survive restarts).
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from typing import Callable, NamedTuple, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -159,65 +161,109 @@ def stream_new_files(spark: SparkSession, source_dir: str, schema, target_path:
             .trigger(availableNow=True).start())
 
 
-def _append_filings(spark: SparkSession, files: DataFrame, target_path: str, scorer) -> AppendReport:
-    """(path, filename, text) filings -> MD&A -> statistics of the ones not yet in
-    ``target_path``, appended once per (cik, filename); with a skipping scorer a
-    filing with an unscored paragraph is rejected (counted, left pending)."""
+FILING_KEYS = ["cik", "filename"]
+
+
+def failures_path(target_path: str) -> str:
+    """Where the ledger of a filing target lies unless a caller names another place."""
+    return target_path.rstrip("/") + ".failures"
+
+
+def _append_filings(spark: SparkSession, files: DataFrame, target_path: str, scorer, run: str,
+                    ledger_path: str | None = None, max_attempts: int | None = None
+                    ) -> AppendReport:
+    """(path, filename, text, read_error) filings -> MD&A -> statistics of the ones not yet in
+    ``target_path``, appended once per (cik, filename). A filing that could not be read, or that
+    a skipping scorer could not score, is not appended but recorded with the reason."""
     from pyspark.sql import functions as F
 
     from quarterlens.functions.ids import cik_from_name
     from quarterlens.operators.sentiment import sentiment_stats, skips_failures
     from quarterlens.plans.filings import extract_mda
+    from quarterlens.streaming.ledger import append_with_ledger
 
     skip = skips_failures(scorer)
+    helpers = ["path", "read_error", *(["failed_chunks"] if skip else [])]
 
     def process(batch: DataFrame) -> DataFrame:
-        mda = extract_mda(batch.drop("cik"))
-        return sentiment_stats(mda, scorer, keys=["cik", "filename"], text_col="management_discussion",
-                               failures=skip)
-
+        mda = extract_mda(batch.drop("cik"), keep=["read_error"])
+        return sentiment_stats(mda, scorer, keys=[*FILING_KEYS, "path", "read_error"],
+                               text_col="management_discussion", failures=skip)
+
+    reason = F.when(F.col("read_error").isNotNull(), F.concat(F.lit("unreadable: "), "read_error"))
+    if skip:
+        reason = reason.when(F.col("failed_chunks") > 0, F.concat(
+            F.col("failed_chunks").cast("string"), F.lit(" paragraphs not scored")))
     keyed = files.withColumn("cik", cik_from_name("filename"))
-    return append_new_checked(spark, keyed, target_path, ["cik", "filename"], process,
-                              reject=(F.col("failed_chunks") > 0) if skip else None,
-                              drop=["failed_chunks"] if skip else ())
+    return append_with_ledger(spark, keyed, target_path, ledger_path or failures_path(target_path),
+                              FILING_KEYS, process, reason, run, helpers, max_attempts)
 
 
-def append_filing_sentiment(spark: SparkSession, folder: str, target_path: str, scorer) -> AppendReport:
+def append_filing_sentiment(spark: SparkSession, folder: str, target_path: str, scorer,
+                            ledger_path: str | None = None, max_attempts: int | None = None
+                            ) -> AppendReport:
     """M1 / B5 as a batch job over the whole filings folder: every filing missing from
-    ``target_path`` is scored and appended once. It also catches up filings a stream
-    run rejected (the stream checkpoint does not deliver a file twice)."""
+    ``target_path`` is scored and appended once. Unreadable and unscored filings are counted in
+    ``rejected``, recorded in the ledger with their reason, and tried again by every run (a stream
+    run included) until they are done or were tried ``max_attempts`` times."""
     from quarterlens.sources.filings import read_filings
 
-    return _append_filings(spark, read_filings(spark, folder), target_path, scorer)
+    return _append_filings(spark, read_filings(spark, folder), target_path, scorer,
+                           f"batch-{uuid.uuid4()}", ledger_path, max_attempts)
+
+
+def retry_filing_sentiment(spark: SparkSession, target_path: str, scorer,
+                           ledger_path: str | None = None, max_attempts: int | None = None,
+                           retry_after: int = 0, run: str | None = None,
+                           also: DataFrame | None = None) -> AppendReport:
+    """Opens and scores again the filings that are open in the ledger and due, without listing
+    any folder. ``also``: paths of further filings, appended in the same step."""
+    from quarterlens.sources.filings import read_paths
+    from quarterlens.streaming.ledger import due, open_failures
+
+    open_ = open_failures(spark, ledger_path or failures_path(target_path), FILING_KEYS)
+    paths = also
+    if open_ is not None:
+        again = due(open_, max_attempts, retry_after).select("path")
+        paths = again if also is None else also.select("path").union(again).distinct()
+    if paths is None:
+        return AppendReport(0, 0)
+    return _append_filings(spark, read_paths(paths), target_path, scorer,
+                           run or f"retry-{uuid.uuid4()}", ledger_path, max_attempts)
 
 
 def stream_filing_sentiment(spark: SparkSession, folder: str, target_path: str,
                             checkpoint_path: str, scorer,
-                            max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> "object":
+                            max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
+                            ledger_path: str | None = None, max_attempts: int | None = None,
+                            retry_after: int = 3600) -> "object":
     """M1 end to end: filing text files arriving in ``folder`` -> MD&A section ->
     per-filing sentiment statistics appended once per (cik, filename).
 
-    Whole files are streamed (``wholetext``), ``availableNow`` drains what is there
-    and stops, and the stream checkpoint plus the keyed append make re-runs and
-    re-delivered files add nothing. Filings a skipping scorer rejects are consumed by
-    the stream but not stored; :func:`append_filing_sentiment` picks them up.
+    The stream delivers paths (``binaryFile``, contents pruned) and the tasks open the files, so a
+    file that cannot be read fails neither the micro-batch nor the run: it goes to the ledger, as
+    does a filing that a skipping scorer rejects. What the ledger holds open is delivered again:
+    by a pass before the stream starts, and with every micro-batch if its last try is
+    ``retry_after`` seconds old. ``availableNow`` drains what is there and stops; the stream
+    checkpoint plus the keyed append make re-runs and re-delivered files add nothing.
     """
-    from pyspark.sql import functions as F
-
-    from quarterlens.functions.text import normalise_newlines
-    from quarterlens.sources.filings import FILING_NAME_GLOB, FILING_NAME_PATTERN, plain_path
-
-    raw = (spark.readStream.option("pathGlobFilter", FILING_NAME_GLOB)
-           .option("maxFilesPerTrigger", max_files_per_trigger)
-           .option("recursiveFileLookup", "true").text(folder, wholetext=True))
-    files = raw.select(plain_path("_metadata.file_path").alias("path"),
-                       F.col("_metadata.file_name").alias("filename"),
-                       normalise_newlines("value").alias("text")) \
-        .filter(F.col("filename").rlike(FILING_NAME_PATTERN))
-
-    def each_batch(batch: DataFrame, _epoch: int) -> None:
-        _append_filings(batch.sparkSession, batch, target_path, scorer)
-
-    return (files.writeStream.foreachBatch(each_batch)
+    from quarterlens.functions import ids
+    from quarterlens.sources.filings import (FILING_NAME_GLOB, FILING_NAME_PATTERN,
+                                             LISTING_SCHEMA)
+
+    paths = (spark.readStream.format("binaryFile").schema(LISTING_SCHEMA)
+             .option("pathGlobFilter", FILING_NAME_GLOB)
+             .option("maxFilesPerTrigger", max_files_per_trigger)
+             .option("recursiveFileLookup", "true").load(folder).select("path"))
+    paths = paths.filter(ids.base_name("path").rlike(FILING_NAME_PATTERN))
+    # the same name for a micro-batch that runs again after a crash
+    stream = hashlib.sha256(checkpoint_path.encode()).hexdigest()[:16]
+
+    def each_batch(batch: DataFrame, epoch: int) -> None:
+        retry_filing_sentiment(batch.sparkSession, target_path, scorer, ledger_path, max_attempts,
+                               retry_after, f"stream-{stream}-{epoch}", also=batch)
+
+    retry_filing_sentiment(spark, target_path, scorer, ledger_path, max_attempts)
+    return (paths.writeStream.foreachBatch(each_batch)
             .option("checkpointLocation", checkpoint_path)
             .trigger(availableNow=True).start())
