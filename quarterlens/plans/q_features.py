@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from quarterlens.functions.quarters import quarter_start
+from quarterlens.operators.boosting import (best_splits, binned_rows, fit_boosted_trees,
+                                            quantile_cuts, with_gradients)
 from quarterlens.operators.features import (MinMaxScaling, OneHotEncoding, StandardScaling,
                                             hash_split)
 from quarterlens.operators.profile import column_profile
@@ -215,6 +217,93 @@ def _saved_model(spark, sf):
     return TR.load_model(path)
 
 
+BOOST = dict(rounds=10, rate=0.02, depth=6, max_bins=64)
+
+
+def boost_features(train, rows_):
+    """Numeric features of the trees: sentiment, dominance, and one indicator a category (a null
+    category has none). (rows with the features, their names, with two digits to sort by)."""
+    one = lambda c: F.coalesce(c, F.lit(False)).cast("double")
+    industries = sorted(r[0] for r in train.select("industry").distinct().collect() if r[0] is not None)
+    made = {"net_sentiment": F.col("net_sentiment"),
+            "neutral_dominance": F.col("neutral_dominance").cast("double"),
+            **{f"q_num={q}": one(F.col("q_num") == str(q)) for q in (1, 2, 3, 4)},
+            **{f"industry={i}": one(F.col("industry") == i) for i in industries}}
+    names = [f"f{k}" for k in range(len(made))]
+    return rows_.withColumns(dict(zip(names, made.values()))), names, list(made)
+
+
+@register("boosted_trees")
+def q_boosted_trees(spark, sf):
+    """K5 + K8: second-order boosted trees fitted on the training part, and the probability of Up
+    of every row; the same numbers as a plain version in the tests."""
+    h = cut_lineage(hash_split(training_rows(spark, sf), ["ticker", "quarter"]))
+    train = h.filter(F.col("split") == "train")
+    featured, names, _ = boost_features(train, h)
+    model = fit_boosted_trees(featured.filter(F.col("split") == "train"), names, **BOOST)
+    return rounded(model.transform(featured).select("ticker", "quarter", "quarter_start", "split",
+                                                    "label", "probability_up"))
+
+
+@register("boosted_first_round", f"""
+WITH h AS ({HASH_SQL}),
+t AS (SELECT * FROM h WHERE split = 'train' AND label IS NOT NULL),
+ind AS (SELECT DISTINCT industry FROM h WHERE split = 'train' AND industry IS NOT NULL),
+x AS (SELECT 'net_sentiment' AS feature, 0 AS rank, '' AS name, net_sentiment::DOUBLE AS v, label FROM t
+  UNION ALL SELECT 'neutral_dominance', 1, '', neutral_dominance::INT::DOUBLE, label FROM t
+  UNION ALL SELECT 'q_num=' || q, 1 + q, '', coalesce(q_num = q::VARCHAR, false)::INT::DOUBLE, label
+            FROM t, range(1, 5) r(q)
+  UNION ALL SELECT 'industry=' || ind.industry, 6, ind.industry,
+            coalesce(t.industry = ind.industry, false)::INT::DOUBLE, label FROM t, ind),
+o AS (SELECT feature, v, row_number() OVER (PARTITION BY feature ORDER BY v) AS nth,
+             count(*) OVER (PARTITION BY feature) AS n FROM x WHERE v IS NOT NULL),
+q AS (SELECT DISTINCT o.feature, o.v FROM o, range(0, {BOOST['max_bins'] + 1}) r(i)
+      WHERE o.nth = greatest(1, ceil(i / {BOOST['max_bins']}.0 * o.n))),
+c AS (SELECT feature, v AS cut, row_number() OVER (PARTITION BY feature ORDER BY v) - 1 AS bin FROM q),
+b AS (SELECT x.feature, any_value(x.rank) AS rank, any_value(x.name) AS name, x.v, x.label, count(*) AS w,
+             CASE WHEN x.v IS NULL THEN -1
+                  ELSE (SELECT count(*) FROM c WHERE c.feature = x.feature AND c.bin > 0 AND c.cut <= x.v) END AS bin
+      FROM x GROUP BY x.feature, x.v, x.label),
+s AS (SELECT feature, any_value(rank) AS rank, any_value(name) AS name, bin,
+             sum(w * (0.5 - label))::DOUBLE AS g, sum(w * 0.25)::DOUBLE AS h FROM b GROUP BY feature, bin),
+k AS (SELECT *, sum(g) OVER p AS ga, sum(h) OVER p AS ha,
+             coalesce(sum(g) FILTER (bin >= 0) OVER lo, 0) AS gl, coalesce(sum(h) FILTER (bin >= 0) OVER lo, 0) AS hl,
+             coalesce(sum(g) FILTER (bin < 0) OVER p, 0) AS gm, coalesce(sum(h) FILTER (bin < 0) OVER p, 0) AS hm,
+             coalesce(count(*) FILTER (bin >= 0) OVER lo, 0) AS below
+      FROM s WINDOW p AS (PARTITION BY feature),
+                    lo AS (PARTITION BY feature ORDER BY bin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+side AS (SELECT k.*, d AS default_left, gl + CASE WHEN d THEN gm ELSE 0 END AS g1,
+                hl + CASE WHEN d THEN hm ELSE 0 END AS h1 FROM k, (VALUES (false), (true)) AS v(d)
+         WHERE bin >= 0 AND below > 0),
+gain AS (SELECT *, (g1 * g1 / (h1 + 1) + (ga - g1) * (ga - g1) / (ha - h1 + 1) - ga * ga / (ha + 1)) / 2 AS gain
+         FROM side WHERE h1 >= 1 AND ha - h1 >= 1),
+best AS (SELECT *, row_number() OVER (ORDER BY round(gain, 9) DESC, rank, name, bin, default_left) AS nth
+         FROM gain WHERE gain > 0)
+SELECT best.feature, c.cut, best.default_left, round(best.gain, 6) AS gain, round(best.ga, 6) AS gradient,
+       round(best.ha, 6) AS hessian, round(-g1 / (h1 + 1), 6) AS left_weight,
+       round(-(ga - g1) / (ha - h1 + 1), 6) AS right_weight
+FROM best JOIN c ON c.feature = best.feature AND c.bin = best.bin WHERE nth = 1""")
+def q_boosted_first_round(spark, sf):
+    """K5, first round: the root's best split of all features, bins and sides of missing values,
+    its gain, and the weights that its two sides would have."""
+    h = cut_lineage(hash_split(training_rows(spark, sf), ["ticker", "quarter"]))
+    train = h.filter(F.col("split") == "train")
+    featured, names, full = boost_features(train, train)
+    cuts = quantile_cuts(featured.filter(F.col("label").isNotNull()), names, BOOST["max_bins"])
+    data = cut_lineage(binned_rows(featured, names, "label", cuts))
+    data = with_gradients(data.withColumn("margin", F.lit(0.0))).withColumn("node", F.lit(0))
+    best = best_splits(data, 1.0, 0.0, 1.0).filter(F.col("gain").isNotNull())
+    weight = lambda g, h: -g / (h + 1)
+    cut = F.array(*[F.array(*[F.lit(float(x)) for x in c]) if c else F.array().cast("array<double>")
+                    for c in cuts])
+    return rounded(best.select(
+        F.array(*[F.lit(n) for n in full])[F.col("feature")].alias("feature"),
+        cut[F.col("feature")][F.col("bin") - 1].alias("cut"), "default_left", "gain",
+        F.col("g").alias("gradient"), F.col("h").alias("hessian"),
+        weight(F.col("g_left"), F.col("h_left")).alias("left_weight"),
+        weight(F.col("g") - F.col("g_left"), F.col("h") - F.col("h_left")).alias("right_weight")))
+
+
 @register("score_features", f"""
 WITH st AS ({STATS_SQL}),
 dk AS (SELECT o_orderkey AS doc_id, o_custkey::VARCHAR AS ticker, quarter(o_orderdate)::VARCHAR AS q_num FROM orders),
