@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarterlens.llm.common import fresh, text_bytes
+from quarterlens.llm.common import fresh
 
 BATCH_BYTES = 4 << 20
 RANGE_BYTES = 16 << 20       # text bytes whose keys share a range
@@ -232,11 +232,37 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     document with a smaller id. Words are runs without ASCII white space, compared as they are.
     Null texts have no words and become empty; a text of fewer than ``window`` words has no run.
     A null id counts as larger than any other; rows that share an id are one document in this
-    (none is before the other), each with its own text. Other columns pass through. An empty
-    table gives an empty result. One text must fit in memory; nothing else must.
+    (none is before the other), each with its own text. Equal rows (id and text) that together
+    are longer than a batch are treated once, and each of them gets the result. Other columns pass
+    through. An empty table gives an empty result. One text must fit in memory; nothing else must.
     """
+    size, most = _sizes(docs, id_col, text)
+    if most <= BATCH_BYTES:
+        return _remove(docs, size, id_col, text, window, n_words, n_removed)
+    names = fresh(docs, "id", "row", "text", "words", "gone")
+    id_, row, cut, words, gone = names
+    once = docs.select(F.col(id_col).alias(id_), F.col(text).alias(cut)).distinct() \
+        .withColumn(row, F.xxhash64(cut))
+    done = _remove(once, size, id_, cut, window, words, gone)
+    counts = [F.col(c).alias(f) for c, f in ((words, n_words), (gone, n_removed)) if f]
+    return docs.withColumn(f"{row}_", F.xxhash64(text)).drop(text).join(
+        done, F.col(id_col).eqNullSafe(F.col(id_)) & (F.col(f"{row}_") == F.col(row))) \
+        .select(*[F.col(cut).alias(c) if c == text else c for c in docs.columns], *counts)
+
+
+def _sizes(docs: DataFrame, id_col: str, text: str) -> tuple[int, int]:
+    """Bytes of all texts, and of the largest group of more than one equal row."""
+    size = F.octet_length(F.col(text))
+    equal = docs.groupBy(F.col(id_col), F.xxhash64(text).alias("row")) \
+        .agg(F.sum(size).alias("size"), F.count("*").alias("n"))
+    found = equal.agg(F.sum("size").alias("all"),
+                      F.max(F.when(F.col("n") > 1, F.col("size"))).alias("most")).first()
+    return found["all"] or 0, found["most"] or 0
+
+
+def _remove(docs: DataFrame, size: int, id_col: str, text: str, window: int,
+            n_words: str | None, n_removed: str | None) -> DataFrame:
     block = (window + 1) // 2
-    size = text_bytes(docs, text)
     batches, ranges = math.ceil(size / BATCH_BYTES) or 1, math.ceil(size / RANGE_BYTES) or 1
     batch, = fresh([*docs.columns, "range", "step", "n", "bits"], "batch")
     at = [docs.columns.index(c) for c in (id_col, text)]

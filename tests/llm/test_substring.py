@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarterlens.llm import substring
 from tests.llm.helpers import SMALL, read, remove_repeats
@@ -46,6 +47,29 @@ def test_rows_that_share_an_id(spark):
     assert sorted(got) == [(4, 0), (4, 0), (4, 0), (9, 30)]
 
 
+def test_equal_rows_beyond_a_batch_are_treated_once(spark, monkeypatch):
+    """100,000 equal rows, more than a batch holds together: no batch gets more than one."""
+    passage = " ".join(f"w{i}" for i in range(20))
+    monkeypatch.setattr(substring, "BATCH_BYTES", 1 << 20)
+    held, core = [], substring._remove
+
+    def seen(docs, *rest):
+        held.append(docs.count())
+        return core(docs, *rest)
+
+    monkeypatch.setattr(substring, "_remove", seen)
+    df = spark.range(100_003).selectExpr(
+        "id AS place", f"if(id < 100000, '{passage}', concat('{passage}', ' ', id)) AS text",
+        "if(id < 99990, 7, if(id < 100000, null, 8)) AS doc_id")
+    got = substring.remove_repeats(df)
+    assert got.columns == ["place", "text", "doc_id", "n_words", "n_removed"]
+    want = {(7, passage, 20, 0): 99_990, (None, "", 20, 20): 10}
+    want |= {(8, str(i), 21, 20): 1 for i in (100_000, 100_001, 100_002)}
+    assert {tuple(r)[:4]: r.n for r in got.groupBy("doc_id", "text", "n_words", "n_removed")
+            .agg(F.count("*").alias("n")).collect()} == want
+    assert held == [5] and got.select("place").distinct().count() == 100_003
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert substring.remove_repeats(df).count() == 0
