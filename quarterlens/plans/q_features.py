@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quarterlens.functions.quarters import quarter_start
 from quarterlens.operators.boosting import (best_splits, binned_rows, fit_boosted_trees,
                                             quantile_cuts, with_gradients)
+from quarterlens.operators.dense_net import fit_dense_net
 from quarterlens.operators.features import (MinMaxScaling, OneHotEncoding, StandardScaling,
                                             hash_split)
 from quarterlens.operators.profile import column_profile
@@ -357,3 +358,19 @@ def q_mlp_accuracy(spark, sf):
     rows_ = cut_lineage(hash_split(training_rows(spark, sf), ["ticker", "quarter"]))
     model = TR.fit_mlp(rows_.filter(F.col("split") == "train"))
     return TR.evaluate(model, rows_.filter(F.col("split") == "test"), rows_)
+
+
+NET = dict(epochs=2, batch_rows=256, rate=0.01)
+
+
+@register("dense_net")
+def q_dense_net(spark, sf):
+    """K10 + K8: the ReLU network trained by Adam on the training part, and the probability of Up
+    of every row; the same numbers as a single-process version in the tests."""
+    h = cut_lineage(hash_split(training_rows(spark, sf), ["ticker", "quarter"]))
+    train = h.filter(F.col("split") == "train")
+    featured, names, _ = boost_features(train, h)
+    keys = ["ticker", "quarter", "net_sentiment", "neutral_dominance"]
+    model = fit_dense_net(featured.filter(F.col("split") == "train"), names, keys, **NET)
+    return rounded(model.transform(featured).select("ticker", "quarter", "quarter_start", "split",
+                                                    "label", "probability_up"))
