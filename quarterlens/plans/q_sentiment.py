@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from quarterlens.functions.text import first_sentence_with, section_10k, section_10q
 from quarterlens.operators.partitioning import spread
-from quarterlens.operators.scoring import demo_scorer
+from quarterlens.operators.scoring import DEMO_LEXICON, demo_scorer
 from quarterlens.operators.sentiment import (averages_only, explode_paragraphs,
                                              sentiment_stats)
+from quarterlens.operators.subwords import (JsonVocabulary, SubwordScorer, TokenLexiconModel,
+                                            token_counts)
 from quarterlens.plans import sql_snippets as S
 from quarterlens.plans.filings import extract_mda
 from quarterlens.plans import stand_ins
@@ -197,3 +201,31 @@ def q_failure_ledger(spark, sf):
                    F.when(done, DONE).otherwise(FAILED).alias("outcome"),
                    F.when(~done, F.col("event_type")).alias("reason"))
     return state(log, ["ticker"]).drop("path")
+
+
+def subword_vocabulary():
+    """The public word-level BPE vocabulary, as pieces for longest match."""
+    import public_tokenizers
+
+    return JsonVocabulary(public_tokenizers.path("word_bpe_49k.json"))
+
+
+SUBWORD_LIMIT = 128          # the test documents' paragraphs are short; the model's limit is 512
+
+
+@register("subword_tokens")
+def q_subword_tokens(spark, sf):
+    """Tokens of every paragraph of every document, and whether a model's input is cut; the
+    same numbers as a plain version in the tests."""
+    par = explode_paragraphs(stand_ins.documents(spark, sf), ["doc_id"], "text", outer=False)
+    return token_counts(par, subword_vocabulary(), max_tokens=SUBWORD_LIMIT) \
+        .select("doc_id", "pos", "n_tokens", "n_used", "is_cut")
+
+
+@register("subword_sentiment")
+def q_subword_sentiment(spark, sf):
+    """U2 + N7: per-document statistics of paragraphs scored on their cut sub-words."""
+    vocabulary = subword_vocabulary()
+    scorer = SubwordScorer(vocabulary, partial(TokenLexiconModel, vocabulary, DEMO_LEXICON),
+                           SUBWORD_LIMIT)
+    return rounded(sentiment_stats(stand_ins.documents(spark, sf), scorer))
