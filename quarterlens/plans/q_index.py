@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarterlens.functions import ids
@@ -14,7 +15,8 @@ from quarterlens.plans import membership as M
 from quarterlens.plans import stand_ins
 from quarterlens.plans.q_calendar import filing_names
 from quarterlens.plans.registry import register
-from quarterlens.sources.membership_lines import parse_membership_lines
+from quarterlens.sources.membership_lines import (join_records, parse_membership_lines,
+                                                  parse_membership_records)
 from quarterlens.sources.tables import read_table
 from quarterlens.streaming.incremental import pending
 
@@ -78,6 +80,43 @@ def q_member_explode(spark, sf):
     return parse_membership_lines(lines, "value", keep=("l_orderkey", "l_linenumber"))
 
 
+_LIST_LINES = """
+SELECT o_custkey AS file, o_orderkey, nth,
+       CASE WHEN nth = 1 THEN strftime(o_orderdate, '%Y-%m-%d') || ',"' ELSE '' END
+       || l_partkey || CASE WHEN nth = n THEN '"' ELSE ',' END AS line
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS nth,
+             count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem) l
+JOIN orders ON l_orderkey = o_orderkey"""
+
+
+@register("member_records", f"""
+WITH lines AS ({_LIST_LINES}),
+files AS (SELECT file, string_agg(line, chr(10) ORDER BY o_orderkey, nth) AS text FROM lines GROUP BY file),
+found AS (SELECT file, regexp_extract_all(text, '(\\d{{4}}-\\d{{2}}-\\d{{2}}),"([^"]+)"', 1) AS dates,
+                 regexp_extract_all(text, '(\\d{{4}}-\\d{{2}}-\\d{{2}}),"([^"]+)"', 2) AS lists FROM files),
+r AS (SELECT file, unnest(dates) AS date, unnest(lists) AS list FROM found)
+SELECT file, date::DATE AS date, unnest(string_split(replace(list, chr(10), ''), ',')) AS ticker FROM r""")
+def q_member_records(spark, sf):
+    """A7 with lists that run over lines and splits: an order is a record of as many lines as it
+    has items, a customer's orders are a file, and every third line begins a split."""
+    li = read_table(spark, sf, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
+    o = read_table(spark, sf, "orders", ["o_orderkey", "o_custkey", "o_orderdate"])
+    order = Window.partitionBy("l_orderkey")
+    li = li.withColumns({
+        "nth": F.row_number().over(order.orderBy("l_linenumber", "l_partkey", "l_suppkey")),
+        "n": F.count(F.lit(1)).over(order)})
+    line = F.concat(
+        F.when(F.col("nth") == 1, F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(',"')))
+        .otherwise(""), F.col("l_partkey").cast("string"),
+        F.when(F.col("nth") == F.col("n"), '"').otherwise(","))
+    lines = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("o_custkey").alias("file"), "o_orderkey", "nth",
+        (F.col("o_orderkey") * 10_000 + F.floor(F.col("nth") / 3)).alias("split"),
+        line.alias("value")) \
+        .repartition("file").sortWithinPartitions("file", "o_orderkey", "nth")
+    return parse_membership_records(join_records(lines), keep=("file",))
+
+
 @register("ticker_fix", """
 WITH t AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'BF.B' WHEN 1 THEN 'BRK.B' WHEN 2 THEN 'BRK.B.'
                                     ELSE c_custkey || '.' || c_nationkey END AS raw FROM customer)
