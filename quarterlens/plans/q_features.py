@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from quarterlens.functions.quarters import quarter_start
@@ -20,12 +16,13 @@ from quarterlens.operators.scoring import demo_scorer
 from quarterlens.operators.sentiment import sentiment_stats
 from quarterlens.plans import stand_ins
 from quarterlens.plans import training as TR
+from quarterlens.plans.model_store import ModelStore
 from quarterlens.plans.q_index import SECTOR_SQL, sector_dim
 from quarterlens.plans.q_prices import QOQ_SQL, quarterly_prices
 from quarterlens.plans.q_sentiment import STATS_SQL
 from quarterlens.plans.registry import register, rounded
 from quarterlens.plans.sentiment import sentiment_export
-from quarterlens.session import cut_lineage, ensure_checkpoint_dir
+from quarterlens.session import cut_lineage
 from quarterlens.plans import prices as P
 from quarterlens.sources.tables import read_table
 
@@ -206,16 +203,11 @@ def q_score_documents(spark, sf):
 
 
 def _saved_model(spark, sf):
-    """The fitted pipeline of this session's input, loaded if it was saved before."""
-    name = hashlib.sha256(sf.encode()).hexdigest()[:16]
-    path = f"{ensure_checkpoint_dir(spark)}/models/{name}"
-    try:
-        return TR.load_model(path)
-    except (Py4JJavaError, AnalysisException) as e:
-        if "does not exist" not in str(e) and "PATH_NOT_FOUND" not in str(e):
-            raise
-    TR.save_model(_fit(spark, sf)[1], path)
-    return TR.load_model(path)
+    """The pipeline fitted on this input, loaded if one with the same training rows is stored."""
+    rows = cut_lineage(hash_split(training_rows(spark, sf), ["ticker", "quarter"]))
+    train = rows.filter(F.col("split") == "train")
+    return ModelStore.of_session(spark).get_or_fit("up_down", train, TR.FIT,
+                                                   lambda: TR.fit_model(train, **TR.FIT))
 
 
 BOOST = dict(rounds=10, rate=0.02, depth=6, max_bins=64)

@@ -106,6 +106,9 @@ def _training_input(train: DataFrame) -> DataFrame:
     return cut_lineage(model_input(train).filter(F.col("label").isNotNull()))
 
 
+FIT = dict(num_trees=100, step=0.02, depth=6, seed=42)
+
+
 def fit_model(train: DataFrame, num_trees: int = 100, step: float = 0.02, depth: int = 6, seed: int = 42):
     """Scaling, encoding and boosted trees (logistic) as one fitted pipeline."""
     from pyspark.ml import Pipeline
