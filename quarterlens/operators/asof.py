@@ -16,7 +16,8 @@ each bucket learns about right rows before it in one of two ways:
 Bucket sizes are measured, not assumed: a (key, bucket) with more than ``max_group_rows`` rows is
 cut at quantiles of its times, so a burst is split as finely as its instants allow, and left
 rows that share one instant are dealt over several window partitions, each of which gets that
-instant's few right rows. No window partition grows beyond the target, whatever the skew.
+instant's few right rows. A window partition stays near the target as long as a bucket has at most
+``MAX_CUTS`` times half of it (2e9 rows by default); beyond that its parts grow, and none is dropped.
 
 Left rows are never de-duplicated or dropped (L33); a left row without a match
 gets nulls. Right payload travels as one struct, so a null value in the matched

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quarterlens.functions.numeric import round_half_even
 from quarterlens.functions.quarters import quarter_start
 from quarterlens.functions.timefns import earnings_session, time_text, year_between
-from quarterlens.operators.asof import asof_join
+from quarterlens.operators.asof import MAX_GROUP_ROWS, asof_join
 from quarterlens.operators.latest import latest_by
 
 DAY = dt.timedelta(days=1)
@@ -42,19 +42,20 @@ def quarter_end_prices(index: DataFrame, daily: DataFrame, days: int = 7) -> Dat
 
 
 def latest_event_before(left: DataFrame, events: DataFrame, left_date: str,
-                        event_date: str = "earnings_date") -> DataFrame:
+                        event_date: str = "earnings_date",
+                        max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Latest event date on or before ``left_date`` (unbounded look-back)."""
     ev = events.select("ticker", F.col(event_date))
     return asof_join(left, ev, ["ticker"], left_date, event_date, "backward", True, None,
-                     right_tie=event_date)
+                     right_tie=event_date, max_group_rows=max_group_rows)
 
 
 def close_before(left: DataFrame, daily: DataFrame, left_date: str, days: int = 5,
-                 prefix: str = "prev") -> DataFrame:
+                 prefix: str = "prev", max_group_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Close of the nearest day strictly before ``left_date``, at most ``days`` back."""
     c = daily.select("ticker", F.col("date").alias(f"{prefix}_date"), F.col("close").alias(f"{prefix}_close"))
     return asof_join(left, c, ["ticker"], left_date, f"{prefix}_date", "backward", False,
-                     dt.timedelta(days=days))
+                     dt.timedelta(days=days), max_group_rows=max_group_rows)
 
 
 def close_on_or_after(left: DataFrame, daily: DataFrame, left_date: str, days: int = 1,
@@ -67,10 +68,13 @@ def close_on_or_after(left: DataFrame, daily: DataFrame, left_date: str, days: i
 
 def earnings_prev_close(quarterly: DataFrame, earnings: DataFrame, daily: DataFrame) -> DataFrame:
     """Latest earnings date <= quarter end, then the close of the previous trading
-    day (up to five calendar days back)."""
-    ev = earnings.select("ticker", F.to_date("earnings_ts").alias("earnings_date"))
-    e = latest_event_before(with_quarter_end(quarterly), ev, "quarter_end")
-    return close_before(e, daily, "earnings_date", 5, "prev")
+    day (up to five calendar days back).
+
+    All sides have at most one row per ticker and day (a member per quarter, the distinct
+    earnings dates, a close per day), so the joins' groups need no counting."""
+    ev = earnings.select("ticker", F.to_date("earnings_ts").alias("earnings_date")).distinct()
+    e = latest_event_before(with_quarter_end(quarterly), ev, "quarter_end", max_group_rows=None)
+    return close_before(e, daily, "earnings_date", 5, "prev", max_group_rows=None)
 
 
 def first_event_in_quarter(index: DataFrame, events: DataFrame, ts: str = "earnings_ts") -> DataFrame:

@@ -27,6 +27,12 @@ def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 def write_by_quarter(df: DataFrame, path: str, keys: Sequence[str] = ("year", "quarter")) -> None:
     """One output folder per (year, quarter); rewriting a quarter replaces only
-    that quarter's folder (dynamic partition overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*keys).parquet(path))
+    that quarter's folder (dynamic partition overwrite).
+
+    Rows are first clustered on the keys by a rebalance: adaptive execution splits a quarter that
+    holds much of the data over several tasks and puts small quarters together, so a quarter has
+    as many files as ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` fits into it, instead
+    of one from every task.
+    """
+    (df.hint("rebalance", *keys).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
