@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quarterlens.llm import bpe, mixing, simhash, substring, toxicity
 from quarterlens.llm.common import table
-from quarterlens.session import ensure_checkpoint_dir
+from quarterlens.session import delete_folder, ensure_checkpoint_dir
 
 TOXIC_FROM = 0.5            # documents that score this or more are rejected
 
@@ -65,11 +65,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to ``documents``; what each returns is kept in the shared folder."""
-    docs = table(spark, sf_dir, "documents")
+    """Applies the stages to ``documents``. What a stage returns is written to the shared folder and
+    deleted once the next one's result is; the last result stays."""
+    docs, read = table(spark, sf_dir, "documents"), None
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4()}"
     for k, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{k}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if read is not None:
+            delete_folder(spark, read)
+        read = path
     return docs
