@@ -66,7 +66,6 @@ def test_entry_without_the_training_data_part(spark, tmp_path):
     import os
     import shutil
     import subprocess
-    import sys
 
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     shutil.copytree(os.path.join(root, "quarterlens"), tmp_path / "quarterlens",
@@ -77,3 +76,27 @@ def test_entry_without_the_training_data_part(spark, tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True,
                          text=True, check=True).stdout.split()
     assert list(map(int, out[-2:])) == [len(registry.QUERIES), len(registry.ORACLE)]
+
+
+def test_missing_packages_of_the_optional_part_take_no_other_query(monkeypatch):
+    import importlib
+
+    import __spark_entry__ as entry
+
+    real = importlib.import_module
+
+    def lacks(name, *rest):
+        if name.startswith(("quarterlens.llm", "corpus_pipeline")):
+            raise ModuleNotFoundError("No module named 'xxhash'", name="xxhash")
+        return real(name, *rest)
+
+    monkeypatch.setattr(importlib, "import_module", lacks)
+    assert not [q for q in entry.queries() if q.startswith("op")] and "pipeline" not in entry.queries()
+    assert len(entry.queries()) > 60 and set(entry.oracle_sql()) <= set(entry.queries())
+
+    def broken(name, *rest):
+        raise ModuleNotFoundError("No module named 'quarterlens.session'", name="quarterlens.session")
+
+    monkeypatch.setattr(importlib, "import_module", broken)
+    with pytest.raises(ModuleNotFoundError):
+        entry.queries()
