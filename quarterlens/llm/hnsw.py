@@ -11,22 +11,30 @@ nodes directly, and picks neighbours by the usual diversity rule, filled up with
 Searching runs many queries at once, each with its own beam. A shard's graph is one row of the
 index (entry point, level sizes, neighbours, vectors, ids).
 
-Every block of queries meets every shard; a shard returns each query's ``k`` best with exact
-distances in double precision, and the shards' results are merged.
+Graphs are walked in single precision, so shards are by magnitude too: within one, the largest
+components differ by a factor of 2^``BAND`` at most, and squares neither vanish nor overflow. One
+row that is 10^24 times longer than the others is a shard of its own. A query beyond 2^``FAR`` times
+its shard is drawn in to that distance: from there on only its direction decides.
+
+Every query meets every shard. A shard's index row is read once by its task, and the queries stream
+past it in blocks; it returns each query's ``k`` best with exact distances in double precision,
+and the shards' results are merged.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from quarterlens.llm.common import checkpointed
-from quarterlens.llm.vectors import unpacked, usable
+from quarterlens.llm.common import checkpointed, with_python_columns
+from quarterlens.llm.vectors import usable
 
 M = 16                      # neighbours a node picks on each level; twice that on level 0
 EF_BUILD = 100              # beam while building
@@ -34,8 +42,9 @@ EF_SEARCH = 160             # beam while searching
 EXPAND = 4                  # beam entries expanded in one step
 BATCH = 512                 # nodes inserted, or queries searched, at once
 VISITED = 1 << 26           # cells of the visited table of one search
-QUERY_BLOCK = 1 << 15
-INDEX = ("shard int, dim int, levels array<int>, neighbours binary, vectors binary, "
+QUERY_BLOCK = 1 << 12       # queries searched at a time by a task
+BAND, FAR = 32, 20          # powers of two
+INDEX = ("shard int, dim int, band int, levels array<int>, neighbours binary, vectors binary, "
          "id_ends binary, ids binary")
 
 
@@ -192,7 +201,8 @@ def search(vectors: np.ndarray, graph: list[np.ndarray], q: np.ndarray) -> np.nd
     scale = np.abs(vectors).max()           # single precision must hold the squares
     low = (vectors / scale).astype(np.float32)
     norms = (low ** 2).sum(1)
-    q = (np.clip(q / scale, -1, 1)).astype(np.float32)
+    far = np.abs(q).max(1, keepdims=True) / (scale * 2.0 ** FAR)
+    q = (q / scale / np.maximum(far, 1)).astype(np.float32)
     out = []
     for i in range(0, len(q), BATCH):
         part = q[i:i + BATCH]
@@ -204,7 +214,7 @@ def search(vectors: np.ndarray, graph: list[np.ndarray], q: np.ndarray) -> np.nd
 
 
 def _build_shard(group: pa.Table) -> pa.Table:
-    shard, dim = group.column("shard")[0].as_py(), group.column("dim")[0].as_py()
+    shard, dim, band = (group.column(c)[0].as_py() for c in ("shard", "dim", "band"))
     packed = group.column("vec").to_pylist()
     first = sorted(range(len(packed)), key=packed.__getitem__)   # whatever order rows came in
     vectors = np.frombuffer(b"".join(packed), "<f8").reshape(len(packed), -1)[first]
@@ -213,6 +223,7 @@ def _build_shard(group: pa.Table) -> pa.Table:
     ids = [ids[first[i]] for i in order]
     return pa.table({
         "shard": pa.array([shard], pa.int32()), "dim": pa.array([dim], pa.int32()),
+        "band": pa.array([band], pa.int32()),
         "levels": pa.array([[len(g) for g in graph]], pa.list_(pa.int32())),
         "neighbours": pa.array([b"".join(g.tobytes() for g in graph)], pa.binary()),
         "vectors": pa.array([vectors[order].tobytes()], pa.binary()),
@@ -232,34 +243,59 @@ def read_graph(row: dict) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.
     return vectors, graph, np.frombuffer(row["id_ends"], "<i8"), np.frombuffer(row["ids"], "<i8")
 
 
-def _search_shard(k: int):
-    def run(index: pa.Table, queries: pa.Table) -> pa.Table:
-        schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()),
-                            ("score", pa.float64())])
-        if not index.num_rows or not queries.num_rows:
-            return schema.empty_table()
-        vectors, graph, ends, ids = read_graph(index.to_pylist()[0])
-        starts = np.r_[0, ends[:-1]]
-        q, own = unpacked(queries.column("vec")), queries.column("vec_id").to_numpy()
-        found = search(vectors, graph, q)
-        out = ([], [], [])
-        for i, nodes in enumerate(found):
-            nodes = nodes[nodes >= 0]
-            exact = np.sqrt(((vectors[nodes] - q[i]) ** 2).sum(1))
-            count = ends[nodes] - starts[nodes]
-            cand = np.concatenate([ids[starts[x]:ends[x]] for x in nodes])
-            d = np.repeat(exact, count)
-            other = cand != own[i]
-            cand, d = cand[other], d[other]
-            best = np.lexsort((cand, d))[:k]
-            out[0].append(np.full(len(best), own[i]))
-            out[1].append(cand[best])
-            out[2].append(d[best])
-        return pa.table([np.concatenate(x) for x in out], schema=schema)
-
+_FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+
+def _search_block(index: tuple, q: np.ndarray, own: np.ndarray, k: int) -> pa.RecordBatch:
+    vectors, graph, ends, ids = index
+    starts = np.r_[0, ends[:-1]]
+    found = search(vectors, graph, q)
+    out = ([], [], [])
+    for i, nodes in enumerate(found):
+        nodes = nodes[nodes >= 0]
+        exact = np.sqrt(((vectors[nodes] - q[i]) ** 2).sum(1))
+        count = ends[nodes] - starts[nodes]
+        cand = np.concatenate([ids[starts[x]:ends[x]] for x in nodes])
+        d = np.repeat(exact, count)
+        other = cand != own[i]
+        cand, d = cand[other], d[other]
+        best = np.lexsort((cand, d))[:k]
+        out[0].append(np.full(len(best), own[i]))
+        out[1].append(cand[best])
+        out[2].append(d[best])
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], schema=_FOUND)
+
+
+def _search_shards(k: int):
+    """Rows of whole shards, sorted: the index row, then the queries that stream past it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, key, held = None, None, []
+
+        def answer() -> Iterator[pa.RecordBatch]:
+            if held:
+                q = np.frombuffer(b"".join(v for _, v in held), "<f8").reshape(len(held), -1)
+                yield _search_block(index, q, np.array([i for i, _ in held]), k)
+                held.clear()
+
+        for b in batches:
+            for row in b.to_pylist():
+                if row["vec"] is None:
+                    yield from answer()
+                    index, key = read_graph(row), (row["shard"], row["dim"], row["band"])
+                elif (row["shard"], row["dim"], row["band"]) == key:
+                    held.append((row["vec_id"], row["vec"]))
+                    if len(held) >= QUERY_BLOCK:
+                        yield from answer()
+        yield from answer()
     return run
 
 
+def _bands(cols: list[pa.Array]) -> list[pa.Array]:
+    """The magnitude of packed vectors: their largest component's power of two, in steps."""
+    most = [np.abs(np.frombuffer(v, "<f8")).max() for v in cols[0].to_pylist()]
+    return [pa.array((np.frexp(np.array(most, "f8"))[1] + BAND // 2) // BAND, pa.int32())]
+
+
 def build_index(vectors: DataFrame, k: int, id_col: str = "vec_id",
                 vec: str = "embedding") -> DataFrame:
     """The index (columns ``INDEX``) of every usable vector, for up to ``k`` neighbours."""
@@ -267,14 +303,15 @@ def build_index(vectors: DataFrame, k: int, id_col: str = "vec_id",
                                  F.col(vec).alias("vec")), "vec") \
         .where("vec IS NOT NULL AND vec_id IS NOT NULL").distinct()
     least = Window.partitionBy("vec").orderBy("vec_id")
-    nodes = checkpointed(rows.withColumn("nth", F.row_number().over(least))
-                         .where(F.col("nth") <= k + 1).groupBy("vec")
-                         .agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
+    nodes = rows.withColumn("nth", F.row_number().over(least)).where(F.col("nth") <= k + 1) \
+        .groupBy("vec").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
+    nodes = checkpointed(with_python_columns(nodes, ["vec"], [T.StructField("band", T.IntegerType())],
+                                             _bands))
     shards = max(1, math.ceil(math.sqrt(nodes.count()) / 32))
     return checkpointed(nodes.withColumn("shard", F.pmod(F.xxhash64("vec"), F.lit(shards))
                                          .cast("int"))
                         .withColumn("dim", (F.octet_length("vec") / 8).cast("int"))
-                        .groupBy("shard", "dim").applyInArrow(_build_shard, INDEX))
+                        .groupBy("shard", "dim", "band").applyInArrow(_build_shard, INDEX))
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id",
@@ -284,7 +321,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id",
 
     Vectors that are null, empty, zero or hold null or non-finite components, and rows without
     an id, take no part; vectors of different lengths are never compared. Exact repeats of a row
-    count once. A query's own id is no candidate. Fewer than ``k`` candidates: all of them, as far
+    count once. Rows so far from a query that double precision cannot tell their distances apart
+    are ties, of which those found first in their graphs come. A query's own id is no candidate. Fewer than ``k`` candidates: all of them, as far
     as found. An empty table gives an empty result. Other columns are not read.
     """
     index = build_index(vectors, k, id_col, vec)
@@ -292,18 +330,16 @@ def nearest(vectors: DataFrame, is_query, k: int = 10, id_col: str = "vec_id",
                                                     F.col(vec).alias("vec")), "vec") \
         .where("vec IS NOT NULL AND vec_id IS NOT NULL").distinct() \
         .withColumn("dim", (F.octet_length("vec") / 8).cast("int"))
-    queries = checkpointed(queries)
-    blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-    shards = index.select("shard", F.col("dim").alias("d")).groupBy("d") \
-        .agg(F.collect_set("shard").alias("shards"))
-    asked = queries.join(shards, F.col("dim") == F.col("d")).select(
-        F.explode("shards").alias("shard"), "dim", "block", "vec_id", "vec")
-    served = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                            F.lit(blocks - 1).cast("long"))))
-    found = served.groupBy("shard", "dim", "block").cogroup(
-        asked.groupBy("shard", "dim", "block")).applyInArrow(
-        _search_shard(k), "query_id long, vec_id long, score double")
+    shards = index.select("shard", "band", F.col("dim").alias("d")).groupBy("d") \
+        .agg(F.collect_set(F.struct("shard", "band")).alias("shards"))
+    asked = queries.join(shards, F.col("dim") == F.col("d")) \
+        .select(F.explode("shards").alias("s"), "dim", "vec_id", "vec") \
+        .select("s.shard", "dim", "s.band", "vec_id", "vec")
+    rows = index.unionByName(asked, allowMissingColumns=True)
+    group = ["shard", "dim", "band"]
+    found = rows.withColumn("is_query", F.col("vec").isNotNull()).repartition(*group) \
+        .sortWithinPartitions(*group, "is_query").drop("is_query") \
+        .mapInArrow(_search_shards(k), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k) \
         .select("query_id", "rank", "vec_id", "score")

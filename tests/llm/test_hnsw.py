@@ -50,6 +50,52 @@ def test_large_graph_recall():
     assert hits >= 0.95 * 11 * len(q)
 
 
+def _graph_recall(x, q, k=10):
+    order, graph = hnsw.build((x / np.abs(x).max()).astype("f4"), 3)
+    v = x[order]
+    found, hits = hnsw.search(v, graph, q), 0
+    for i in range(len(q)):
+        d = ((v - q[i]) ** 2).sum(1)
+        mine = found[i][found[i] >= 0]
+        hits += len(set(mine[np.argsort(d[mine])[:k]]) & set(np.argsort(d)[:k]))
+    return hits / (k * len(q))
+
+
+@pytest.mark.parametrize("times", [5, 20, 1e9])
+def test_recall_of_queries_far_from_all(times):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(4000, 32))
+    assert _graph_recall(x, times * rng.normal(size=(60, 32))) >= 0.9
+
+
+def _recall(spark, x):
+    ids = list(range(len(x)))
+    with np.errstate(over="ignore"):
+        want = nearest(ids, x, [i for i in ids if i % 100 == 0])
+    got = _search(spark, [(i, v.tolist(), "") for i, v in zip(ids, x)])
+    hits = {q: len({i for i, _ in want[q]} & {i for _, i, _ in got[q]}) for q in want}
+    return sum(hits.values()) / (10 * len(hits)), hits
+
+
+def test_recall_with_one_huge_row(spark):
+    x = np.random.default_rng(1).normal(size=(4000, 64))
+    x[1234] *= 1e24
+    assert _recall(spark, x)[0] >= 0.9
+
+
+def test_recall_of_spread_lengths_and_long_queries(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(4000, 64)) * rng.lognormal(0, 3, (4000, 1))
+    assert _recall(spark, x)[0] >= 0.9
+    y = rng.normal(size=(4000, 64))
+    y[::100] *= 20
+    # to these all other rows are equally far in double precision: ties, which no search finds
+    y[::500] *= 1e30
+    hits = _recall(spark, y)[1]
+    others = [n for q, n in hits.items() if q % 500]
+    assert sum(others) >= 0.9 * 10 * len(others)
+
+
 def test_repeats_ties_and_unusable_vectors(spark):
     same = [1.0, 2.0, 3.0]
     rows = [(i, same, "s") for i in range(0, 300, 3)]
