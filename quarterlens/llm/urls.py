@@ -5,10 +5,14 @@
   cut, so it is evidence of a word only if it is a seed word; any other adds to the total alone.
 * Segmentation: each distinct host part is cut by Viterbi into the most probable words (an unknown
   string of n letters has probability 10 / (N 10^n); ties: fewer words, then order of letters).
-  The counts come to a part by a join on its substrings, so the model is never broadcast.
-* Naive Bayes (multinomial, add-one): a site (a host with the words of a path, numbers alike) is
-  an example of ``block`` if one of its words is a seed word, else of ``allow``; every page counts.
-  A page no rule decides is blocked if ``block`` is the more probable class of its words.
+  The counts come to a part by a join on its substrings, so the model is never broadcast. Time and
+  memory grow with the length of a part, not with its square.
+* Examples: a site (a host with the words of a path, numbers alike) is one of ``block`` if the texts
+  of its pages say so - at least ``LISTED`` seed words, ``RATIO`` times as many among its words as
+  among those of all pages - or, as a prior, if its own name holds one. All others are ``allow``.
+* Naive Bayes (multinomial, add-one) of the words of hosts and paths; every page counts. A page no
+  rule decides is blocked if ``block`` is the more probable class of its words, so names without
+  any seed word are learned from what their pages are about.
 """
 
 from __future__ import annotations
@@ -25,12 +29,14 @@ from pyspark.sql import functions as F
 
 from quarterlens.llm.common import checkpointed, fresh
 
-# Words of hosts that are known to be unwanted; the classifier learns their neighbours.
+# Words that unwanted pages use; what the names of such sites have in common is learned.
 SEEDS = ("ads", "adult", "bet", "bets", "betting", "casino", "escort", "gambling", "jackpot",
          "malware", "pharma", "phishing", "pills", "poker", "porn", "sex", "slots", "spam",
          "track", "tracker", "viagra", "warez", "xxx")
 LONGEST = 24                # letters of a word
 PRIOR_PAGES = 10            # pages of each class assumed before any is seen
+LISTED, RATIO = 2, 10       # seed words of a site's pages: so many, and so many times the usual share
+SPANS = 20_000              # places of a host part whose substrings are gathered at a time
 _MARKUP = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
 _LETTERS = re.compile(r"[a-z]+")
 
@@ -70,38 +76,75 @@ def _host_parts(host: Column) -> Column:
     return F.filter(F.split(host, r"[^\p{L}0-9]+"), lambda w: w != "")
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    count: Counter = Counter()
+_READ = "word string, n long, site string, listed long"
 
-    def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()),
-                                           pa.array(list(count.values()), pa.int64())],
-                                          names=["word", "n"])
 
-    for b in batches:
-        for html in b.column(0).to_pylist():
-            found = _LETTERS.findall(_MARKUP.sub(" ", html or "").lower())
-            count.update(w for w in found if len(w) <= LONGEST)
-            if len(count) > 300_000:
-                yield out()
-                count.clear()
-    yield out()
+def _read_pages(seeds: Sequence[str]):
+    """(site, html) to counts of words (site null), and for each page (word null) how many words
+    its text has and how many of them are seed words."""
+    listed = frozenset(seeds)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count: Counter = Counter()
+
+        def rows(*columns) -> pa.RecordBatch:
+            types = (pa.string(), pa.int64(), pa.string(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
+                                              names=["word", "n", "site", "listed"])
+
+        def words() -> pa.RecordBatch:
+            none = [None] * len(count)
+            return rows(list(count), list(count.values()), none, none)
+
+        for b in batches:
+            sizes, hits = [], []
+            for html in b.column(1).to_pylist():
+                found = _LETTERS.findall(_MARKUP.sub(" ", html or "").lower())
+                count.update(w for w in found if len(w) <= LONGEST)
+                sizes.append(len(found))
+                hits.append(sum(w in listed for w in found))
+                if len(count) > 300_000:
+                    yield words()
+                    count.clear()
+            yield rows([None] * len(sizes), sizes, b.column(0).to_pylist(), hits)
+        yield words()
+    return run
 
 
 def viterbi(part: str, counts: dict[str, int], total: int) -> list[str]:
-    """The most probable words of ``part`` under unigram ``counts`` out of ``total``."""
-    best: list[tuple] = [(0.0, 0, ())]
-    scale = math.log(max(1, total))
-    for end in range(1, len(part) + 1):
-        options = []
-        for start in range(max(0, end - LONGEST), end):
-            w = part[start:end]
-            n = counts.get(w, 0)
-            cost = scale - (math.log(n) if n else math.log(10) - len(w) * math.log(10))
-            c, k, words = best[start]
-            options.append((round(c + cost, 9), k + 1, (*words, w)))
-        best.append(min(options))
-    return list(best[-1][2])
+    """The most probable words of ``part`` under unigram ``counts`` out of ``total``; ties: fewer
+    words, then the shorter word first. From the last letter back, with the length of the best
+    first word kept at each place."""
+    n, scale = len(part), math.log(max(1, total))
+    best: list[tuple[float, int]] = [(0.0, 0)] * (n + 1)
+    step = [0] * (n + 1)
+    unknown = [math.log(10) - size * math.log(10) for size in range(LONGEST + 1)]
+    for start in range(n - 1, -1, -1):
+        least = None
+        for size in range(1, min(LONGEST, n - start) + 1):
+            seen = counts.get(part[start:start + size], 0)
+            c, k = best[start + size]
+            option = (round(c + scale - (math.log(seen) if seen else unknown[size]), 9), k + 1, size)
+            if least is None or option < least:
+                least = option
+        best[start], step[start] = least[:2], least[2]
+    out, at = [], 0
+    while at < n:
+        out.append(part[at:at + step[at]])
+        at += step[at]
+    return out
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Substrings of parts, up to ``LONGEST`` letters, with the part's key."""
+    for b in batches:
+        for key, part in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for low in range(0, len(part), SPANS):
+                some = {part[i:i + size] for i in range(low, min(low + SPANS, len(part)))
+                        for size in range(1, min(LONGEST, len(part) - i) + 1)}
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key] * len(some), pa.int64()), pa.array(list(some), pa.string())],
+                    names=["key", "word"])
 
 
 def _segment(total: int):
@@ -116,8 +159,9 @@ def _segment(total: int):
     return run
 
 
-def unigrams(sites: DataFrame, pages: DataFrame, html: str, seeds: Sequence[str]) -> DataFrame:
-    """(word, n, all): words of all page texts, and of host parts and paths (once a page).
+def unigrams(sites: DataFrame, read: DataFrame, seeds: Sequence[str]) -> DataFrame:
+    """(word, n, all): words of all page texts (``read``), and of host parts and paths (once a
+    page).
 
     n is without the host parts that are no seed words, ``all`` is with them.
     """
@@ -125,23 +169,31 @@ def unigrams(sites: DataFrame, pages: DataFrame, html: str, seeds: Sequence[str]
         return sites.select(F.explode(words).alias("word"), "n").where(
             F.length("word") <= LONGEST)
 
-    text = pages.select(F.col(html).alias("html")).mapInArrow(_count_words, "word string, n long")
+    text = read.where(F.col("word").isNotNull()).select("word", "n")
     known = text.union(named("path_words")).select("word", "n", F.col("n").alias("all"))
     hosts = named("parts").select(
         "word", F.when(F.col("word").isin(*seeds), F.col("n")).otherwise(0), "n")
     return known.union(hosts).groupBy("word").agg(F.sum("n").alias("n"), F.sum("all").alias("all"))
 
 
+def said_by_texts(read: DataFrame) -> DataFrame:
+    """The sites whose texts are full of seed words."""
+    pages = read.where(F.col("word").isNull())
+    words, listed = pages.agg(F.sum("n"), F.sum("listed")).first()
+    sites = pages.groupBy("site").agg(F.sum("n").alias("n"), F.sum("listed").alias("listed"))
+    much = F.col("listed") * F.lit(float(words or 0)) > F.col("n") * F.lit(float(RATIO * (listed or 0)))
+    return sites.where((F.col("listed") >= LISTED) & much).select("site")
+
+
 def segment_parts(parts: DataFrame, words: DataFrame) -> DataFrame:
     """(part, words) of every distinct ``part``, by the counts of ``words``."""
     total = words.agg(F.sum("all")).first()[0] or 0
-    spans = parts.select("part", F.explode(F.sequence(F.lit(1), F.length("part"))).alias("s")) \
-        .select("part", F.explode(F.expr(
-            f"transform(sequence(1, least({LONGEST}, length(part) - s + 1)), "
-            "l -> substring(part, s, l))")).alias("word")).distinct()
-    known = spans.join(words.where("n > 0"), "word").groupBy("part").agg(
+    # two parts of one key get each other's counts too, which neither uses
+    keyed = parts.select(F.xxhash64("part").alias("key"), "part")
+    spans = keyed.mapInArrow(_spans, "key long, word string").distinct()
+    known = spans.join(words.where("n > 0"), "word").groupBy(F.col("key").alias("of")).agg(
         F.collect_list(F.struct("word", "n")).alias("known"))
-    return parts.join(known, "part", "left").select("part", "known") \
+    return keyed.join(known, F.col("key") == F.col("of"), "left").select("part", "known") \
         .mapInArrow(_segment(total), "part string, words array<string>")
 
 
@@ -153,25 +205,29 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], seeds: Sequence[st
     score: log odds of ``block`` by naive Bayes. A url that is null or has no ``://`` has an empty
     host and path, fits no rule, and is judged by the class shares alone, as is any host without
     words. Null html: no words. Repeated rows repeat and count. An empty table gives an empty
-    result. Other columns are not read.
+    result. Very long urls are taken whole (one without ``/`` is all host). Other columns are not
+    read.
     """
     rows = pages.select(F.col(id_col).alias("id"), host_of(F.col(url)).alias("host"),
-                        path_of(F.col(url)).alias("path"))
-    keyed = rows.withColumn("site", F.concat(F.col("host"), F.lit("/"),     # no host has a "/"
-                                             F.array_join(_path_words(F.col("path")), "/")))
+                        path_of(F.col(url)).alias("path"), F.col(html).alias("html"))
+    # a digest: a site is a key of many rows, and its name may be very long
+    keyed = rows.withColumn("site", F.md5(F.concat(F.col("host"), F.lit("/"),   # no host has a "/"
+                                                   F.array_join(_path_words(F.col("path")), "/"))))
     sites = checkpointed(keyed.groupBy("site").agg(F.min("host").alias("host"),
                                                    F.min("path").alias("path"),
                                                    F.count("*").alias("n"))
                          .withColumn("parts", _host_parts(F.col("host")))
                          .withColumn("path_words", _path_words(F.col("path"))))
-    words = checkpointed(unigrams(sites, pages, html, seeds))
+    read = checkpointed(keyed.select("site", "html").mapInArrow(_read_pages(seeds), _READ))
+    words = checkpointed(unigrams(sites, read, seeds))
     parts = sites.select(F.explode("parts").alias("part")).distinct()
     cut = checkpointed(segment_parts(parts, words))
     from_host = sites.select("site", "n", F.explode("parts").alias("p")) \
         .join(cut, F.col("p") == F.col("part")).select("site", "n", F.explode("words").alias("t"))
     from_path = sites.select("site", "n", F.explode("path_words").alias("t"))
     tokens = checkpointed(from_host.union(from_path))
-    bad = checkpointed(tokens.groupBy("site").agg(F.max(F.col("t").isin(*seeds)).alias("bad")))
+    named = tokens.where(F.col("t").isin(*seeds)).select("site")
+    bad = checkpointed(named.union(said_by_texts(read)).distinct().withColumn("bad", F.lit(True)))
     marked = sites.select("site", "n").join(bad.withColumnRenamed("site", "s"),
                                             F.col("site") == F.col("s"), "left") \
         .select("site", "n", F.coalesce("bad", F.lit(False)).alias("bad"))
@@ -191,7 +247,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]], seeds: Sequence[st
     scores = checkpointed(tokens.join(odds, F.col("t") == F.col("token"))
                           .groupBy("site").agg(F.round(F.sum("w"), 9).alias("w"))
                           .select(F.col("site").alias("s"), "w"))
-    scored = keyed.join(scores, F.col("site") == F.col("s"), "left")
+    scored = keyed.drop("html").join(scores, F.col("site") == F.col("s"), "left")
     verdicts = F.create_map(*[F.lit(x) for v, r in rules for x in (r, v)]) if rules else None
     rule, = fresh(scored, "rule")
     scored = scored.withColumn(rule, rule_for(F.col("host"), F.col("path"), rules)) \

@@ -96,7 +96,8 @@ def test_names_stay_whole_without_page_text(spark):
         F.count("*").alias("n")).select("n", urls._host_parts(F.col("host")).alias("parts"),
                                         F.array().cast("array<string>").alias("path_words"))
     parts = sites.select(F.explode("parts").alias("part")).distinct()
-    cut = urls.segment_parts(parts, urls.unigrams(sites, df, "html", urls.SEEDS)).collect()
+    read_ = df.select("url", "html").mapInArrow(urls._read_pages(urls.SEEDS), urls._READ)
+    cut = urls.segment_parts(parts, urls.unigrams(sites, read_, urls.SEEDS)).collect()
     assert {r.part: r.words for r in cut} == {w: [w] for w in ("garden", "flowers", "poker", "net")}
 
 
@@ -105,26 +106,50 @@ def test_empty(spark):
     assert urls.judge(df, RULES).count() == 0
 
 
-def _plain(pages):
-    """Rules, word counts, segmentation and naive Bayes over all pages, in plain Python."""
-    sites, words, rows = Counter(), Counter(), []
+def _best_cut(part, counts, total, memo):
+    """The cheapest words of a part by trying each first word; ties: fewer, then shorter first."""
+    if not part:
+        return (0.0, 0, ())
+    if part not in memo:
+        ways = []
+        for n in range(1, min(urls.LONGEST, len(part)) + 1):
+            w = part[:n]
+            own = math.log(max(1, total)) - (math.log(counts[w]) if counts.get(w) else
+                                             math.log(10) - n * math.log(10))
+            c, k, rest = _best_cut(part[n:], counts, total, memo)
+            ways.append((round(c + own, 9), k + 1, (w, *rest)))
+        memo[part] = min(ways)
+    return memo[part]
+
+
+def _plain(pages, seeds=urls.SEEDS):
+    """Rules, word counts, segmentation, text evidence and naive Bayes over all pages, in plain
+    Python: a host part counts as a word if it is a seed word only, else towards the total alone."""
+    sites, words, rows, total = Counter(), Counter(), [], 0
+    text_words, text_listed = Counter(), Counter()
     for url, html in zip(pages.url, pages.html):
         host, _, rest = url.split("://", 1)[1].partition("/")
         path = ("/" + rest).partition("#")[0].partition("?")[0]
         parts = tuple(re.findall(r"[a-z0-9]+", host.lower()))
         tail = tuple(re.findall(r"[a-z0-9]+", re.sub("[0-9]+", "0", path.lower())))
-        sites[host.lower(), parts, tail] += 1
-        words.update(w for w in re.findall("[a-z]+", urls._MARKUP.sub(" ", html).lower())
-                     if len(w) <= urls.LONGEST)
-        words.update(parts + tail)
-        rows.append((host.lower(), path, (host.lower(), parts, tail)))
-    total, tokens = sum(words.values()), {}
+        site = (host.lower(), parts, tail)
+        sites[site] += 1
+        found = re.findall("[a-z]+", urls._MARKUP.sub(" ", html or "").lower())
+        text_words[site] += len(found)
+        text_listed[site] += sum(w in seeds for w in found)
+        known = [w for w in (*found, *tail) if len(w) <= urls.LONGEST]
+        total += len(known) + sum(len(w) <= urls.LONGEST for w in parts)
+        words.update(known)
+        words.update(w for w in parts if w in seeds)
+        rows.append((host.lower(), path, site))
+    tokens, memo = {}, {}
     for site in sites:
-        cut = [w for p in site[1] for w in urls.viterbi(p, words, total)]
-        tokens[site] = cut + list(site[2])
+        tokens[site] = [w for p in site[1] for w in _best_cut(p, words, total, memo)[2]] + list(site[2])
+    m, listed = sum(text_words.values()), sum(text_listed.values())
     count, pages_of = {True: Counter(), False: Counter()}, Counter()
     for site, n in sites.items():
-        bad = any(t in urls.SEEDS for t in tokens[site])
+        bad = any(t in seeds for t in tokens[site]) or (
+            text_listed[site] >= urls.LISTED and text_listed[site] * m > urls.RATIO * listed * text_words[site])
         pages_of[bad] += n
         for t in tokens[site]:
             count[bad][t] += n
@@ -142,6 +167,56 @@ def _plain(pages):
         yield host, path, rule, verdicts.get(rule) or ("block" if score[site] > 0 else "allow")
 
 
+def _corpus(seed):
+    """Sites with names joined of words. Unwanted ones tell by their texts, and some by a listed
+    word in the name; a third of the unwanted names hold none. (rows, unwanted ids without one)"""
+    rng = random.Random(seed)
+    shady, fair = ["lucky", "spin", "royal", "vip", "bonus"], ["garden", "tools", "flowers", "lovely", "seeds"]
+    rows, unlisted = [], set()
+    for i in range(400):
+        bad = i % 2 == 0
+        name = rng.sample(shady if bad else fair, 2) + (["casino"] if bad and i % 6 else [])
+        rng.shuffle(name)
+        html = "<p>" + " ".join(rng.choices(shady + ["win"] if bad else fair, k=40)) + (
+            " casino poker jackpot" if bad and rng.random() < 0.8 else "") + " and more text" * 30 + "</p>"
+        rows.append((i, f"http://{''.join(name)}{'-' if i % 5 else ''}{rng.choice(['shop', 'club'])}.net/en/{i}", html))
+        if bad and "casino" not in name:
+            unlisted.add(i)
+    return rows, unlisted
+
+
+def test_learns_names_without_a_listed_word(spark):
+    """Recall and precision on the sites whose names hold no listed word."""
+    rows, unlisted = _corpus(3)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in urls.judge(df, RULES).collect()}
+    assert not any(w in rows[i][1] for i in unlisted for w in urls.SEEDS)
+    caught = sum(got[i] == "block" for i in unlisted)
+    false = sum(got[i] == "block" for i in range(400) if i % 2)
+    assert len(unlisted) > 50 and caught >= 0.95 * len(unlisted) and false <= 0.02 * 200
+
+
+def test_concatenated_hosts_match_the_plain_version(spark):
+    import pandas as pd
+    rows, _ = _corpus(8)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge(df, RULES).collect()}
+    pages = pd.DataFrame(rows, columns=["page_id", "url", "html"])
+    assert got == dict(zip(pages.page_id, _plain(pages)))
+
+
+def test_very_long_hosts(spark):
+    import time
+    t0 = time.time()
+    assert urls.viterbi("casino" * 20_000, {"casino": 5}, 100) == ["casino"] * 20_000
+    assert time.time() - t0 < 20
+    rows = [(1, "http://" + "pokerflowers" * 85_000, "<p>poker flowers garden</p>"), (2, "http://garden.net/", "x")]
+    assert len(rows[0][1]) > 1_000_000
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: (len(r.host), r.verdict) for r in urls.judge(df, RULES).collect()}
+    assert got[1] == (1_020_000, "block")
+
+
 @pytest.mark.parametrize("sf", [SMALL, "/root/testdata/sf0.01"])
 def test_query_matches_a_plain_version(spark, sf):
     from quarterlens.llm.queries import QUERIES
