@@ -6,7 +6,9 @@
   one has nearly its count, so a word is learned as a word and a stem as a stem. Words of
   sufficient evidence stay beside the stem they begin with, for the edits that they allow.
 * Misspellings: the terms form a trie; its Levenshtein automaton (pairs of trie node and edits) is
-  made deterministic while words run through it, so most words end after a few characters.
+  made deterministic while words run through it, so most words end after a few characters. A word
+  with digits or signs inside (``id1ot``, ``st*pid``) runs through it whole, unless a part of it is a
+  hit by itself: each such character is one edit.
 * Context: a hit inside quotation marks, or near a reporting word, counts as quoted, any other
   as abuse. A logistic model over exact, misspelled and quoted hits, fitted on the same sample
   around prior weights, turns them into a score; with nothing to learn from, the priors hold.
@@ -45,6 +47,9 @@ PRIOR = np.array([-3.0, 6.0, 4.0, 1.0])
 PRIOR_STRENGTH = np.array([0.01, 0.05, 0.2, 0.5])
 
 _WORD = re.compile(r"[^\W\d_]+")
+_SIGN = r"(?:[\d_]|[^\w\s'’\"“”„«»‘])"
+_MIXED = re.compile(rf"[^\W\d_]+(?:{_SIGN}{{1,2}}[^\W\d_]+)+")
+_INNER = re.compile(rf"[^\W\d_]{_SIGN}{{1,2}}[^\W\d_]")
 
 
 def held_out(id_col: str) -> Column:
@@ -169,19 +174,27 @@ def features(text: str, lexicon: Lexicon, known: dict[str, int]) -> tuple[float,
     if len(known) > 500_000:
         known.clear()
     found = {}
-    for w in set(words(low)):
-        e = known.get(w)
-        if e is None:
-            e = known[w] = lexicon.match(w)
-        if e >= 0:
+
+    def hit(w: str) -> bool:
+        if w not in found:
+            e = known.get(w)
+            if e is None:
+                e = known[w] = lexicon.match(w)
             found[w] = e
-    if not found:
+        return found[w] >= 0
+
+    some = False
+    for w in set(words(low)):
+        some |= hit(w)
+    spans = [m.span() for m in _WORD.finditer(low) if found[m.group()] >= 0] if some else []
+    if _INNER.search(low):
+        spans += [m.span() for m in _MIXED.finditer(low)
+                  if not any(found[w] >= 0 for w in _WORD.findall(m.group())) and hit(m.group())]
+    if not spans:
         return 0.0, 0.0, 0.0
     n = [0, 0, 0]
-    for m in _WORD.finditer(low):
-        e = found.get(m.group())
-        if e is not None:
-            n[2 if quoted(low, *m.span()) else e > 0] += 1
+    for start, end in spans:
+        n[2 if quoted(low, start, end) else found[low[start:end]] > 0] += 1
     return tuple(x / (x + 0.5) for x in n)
 
 
@@ -339,8 +352,8 @@ def _with_features(docs: DataFrame, text: str, terms: list[str], names: list[str
 def with_score(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` plus the probability that a text is toxic (0 to 1).
 
-    Null text: as empty; both get the score of a text without hits. Other columns pass through,
-    repeated rows repeat. An empty table gives an empty result.
+    Null text: as empty; both get the score of a text without hits. Very long texts are scanned
+    whole. Other columns pass through, repeated rows repeat. An empty table gives an empty result.
     """
     state: list = []
 

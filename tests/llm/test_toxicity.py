@@ -1,4 +1,6 @@
+import math
 import random
+import re
 import zlib
 
 from quarterlens.llm import toxicity
@@ -47,6 +49,59 @@ def test_quotation_is_no_abuse():
     assert f("") == f("a harmless text") == (0, 0, 0)
 
 
+def test_digits_and_signs_inside_words():
+    lexicon = Lexicon(["idiot$", "stupid$", "scum"])
+    f = lambda t: toxicity.features(t, lexicon, {})
+    one = 1 / 1.5
+    for t in ("an id1ot", "so st*pid!", "i_diot", "stup1d,", "id.iot"):
+        assert f(t) == (0, one, 0), t
+    assert f("a stupid-idiot") == (2 / 2.5, 0, 0)               # its parts are hits: not counted again
+    assert f("scum-b4g") == (one, 0, 0)                         # nor is a whole whose part is a hit
+    assert f("“id1ot” was quoted") == (0, 0, one)
+    for t in ("s1u2m", "don't", "x1y", "v1.2.3", "i0i0t st**id", "a.b.c"):
+        assert f(t) == (0, 0, 0), t
+
+
+def _plain_score(model, text, known):
+    """The score of a text by the edit distance of each of its words to each term."""
+    def match(w):
+        if w not in known:
+            best = []
+            for t in model.terms:
+                stem, letters = not t.endswith("$"), t.rstrip("$")
+                limit = toxicity.edits(len(letters), stem)
+                if stem or abs(len(letters) - len(w)) <= limit:
+                    d = _distance(letters, w[:len(letters) + limit] if stem else w, stem)
+                    if d <= limit:
+                        best.append(d)
+            known[w] = min(best, default=-1)
+        return known[w]
+
+    low, n, word = (text or "").lower(), [0, 0, 0], r"[^\W\d_]+"
+    sign = r"(?:[\d_]|[^\w\s'’\"“”„«»‘]){1,2}"
+    hits = [m.span() for m in re.finditer(word, low) if match(m.group()) >= 0]
+    hits += [m.span() for m in re.finditer(f"{word}(?:{sign}{word})+", low)
+             if match(m.group()) >= 0 and all(match(w) < 0 for w in re.findall(word, m.group()))]
+    for a, b in hits:
+        n[2 if toxicity.quoted(low, a, b) else match(low[a:b]) > 0] += 1
+    z = model.weights[0] + sum(w * x / (x + 0.5) for w, x in zip(model.weights[1:], n))
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
+def test_query_matches_a_plain_scorer(spark):
+    from quarterlens.llm.queries import QUERIES
+
+    docs, sf = read(SF, "documents", "doc_id"), SF
+    model = toxicity.train(spark.createDataFrame(
+        [(int(i), t) for i, t in zip(docs.doc_id, docs.text)], "doc_id long, text string"),
+        spark.read.parquet(f"{sf}/labels.parquet"))
+    known = {}
+    want = {i: _plain_score(model, t, known) for i, t in zip(docs.doc_id, docs.text)}
+    got = {r.doc_id: r.score for r in QUERIES["op9_toxicity"](spark, sf).collect()}
+    assert model.terms and got.keys() == want.keys()
+    assert all(abs(got[i] - want[i]) < 1e-9 for i in want)
+
+
 def test_terms_are_closed_and_evident():
     toxic = {"trash$": 40, "tras": 40, "trash": 40, "lowe": 60, "lowei": 60, "loweia$": 20,
              "the$": 90, "rare$": 2}
@@ -66,6 +121,18 @@ def test_query_held_out_accuracy(spark):
     assert sum(p == t for p, t in out) >= 0.9 * len(out)
 
 
+def test_held_out_recall_and_precision(spark):
+    """Of the toxic class, on rows that no label was learned from."""
+    from quarterlens.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.1"
+    got = {r.doc_id: r.predicted for r in QUERIES["op9_toxicity"](spark, sf).where("held_out").collect()}
+    labels = read(sf, "labels", "doc_id")
+    out = [(got[i], t) for i, t in zip(labels.doc_id, labels.toxic) if i in got]
+    caught, true, said = sum(p == t == 1 for p, t in out), sum(t for _, t in out), sum(p for p, _ in out)
+    assert true >= 30 and caught >= 0.85 * true and caught >= 0.9 * said, (caught, true, said)
+
+
 def _corpus(spark):
     rng = random.Random(5)
     rows, labels = [], []
