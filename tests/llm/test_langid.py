@@ -1,9 +1,12 @@
+import math
+import re
 import zlib
+from collections import Counter
 
 import pytest
 
 from quarterlens.llm import langid
-from tests.llm.helpers import read
+from tests.llm.helpers import SMALL, read
 
 SF = "/root/testdata/sf0.01"
 KEY = ["doc_id", "page_id"]
@@ -75,3 +78,76 @@ def test_empty_tables(spark):
     none = langid.train_text(_docs(spark).limit(0))
     one = spark.createDataFrame([(1, "text", "en", "h.org")], items.schema)
     assert langid.identify(one, none, ["id"]).first().lang is None
+
+
+def _plain_likelihood(model, text):
+    """The text's log likelihood of each language, from trigrams counted one by one."""
+    out, last = [], None
+    for x in text:
+        c = x if x >= 128 else x | 32 if 65 <= (x & 0xDF) <= 90 else 32
+        if not (c == 32 and last == 32):
+            out.append(c)
+        last = c
+    counts = Counter()
+    for a, b, c in zip(out, out[1:], out[2:]):
+        counts[((a << 16 | b << 8 | c) * 2654435761 & 0xFFFFFFFF) >> 18] += 1
+    n = sum(counts.values())
+    if not n:
+        return [0.0] * len(model.languages)
+    return [sum(k * float(model.log_p[t, i]) for t, k in counts.items()) * min(n, langid.EVIDENCE) / n
+            for i in range(len(model.languages))]
+
+
+def _plain(items, model):
+    """(lang, score) of each (text, declared, host): every count by a loop over all items."""
+    langs = range(len(model.languages))
+    like = [_plain_likelihood(model, (t or "").encode()) for t, _, _ in items]
+    own = [max(langs, key=lambda i: (ll[i], -i)) if any(ll) else None for ll in like]
+    total, votes = [0.0] * len(langs), {}
+    keys = []
+    for (_, declared, host), o in zip(items, own):
+        host = host.lower() if host is not None else None
+        parts = host.split(".") if host is not None else []
+        k = {"host": host, "domain": ".".join(parts[-2:]) or None, "declared": declared and declared.lower(),
+             "suffix": parts[-1] if len(parts) > 1 else None}
+        keys.append(k)
+        if o is not None:
+            total[o] += 1
+            for name, value in k.items():
+                if value is not None:
+                    votes.setdefault((name, value), [0.0] * len(langs))[o] += 1
+    found = []
+    for ll, o, k in zip(like, own, keys):
+        prior = [(x + 1) / (sum(total) + len(langs)) for x in total]
+        for name, weight in (("domain", langid.SMOOTH_DOMAIN), ("host", langid.SMOOTH_HOST)):
+            v = list(votes.get((name, k[name]), [0.0] * len(langs)))
+            if o is not None:
+                v[o] = max(0.0, v[o] - 1)
+            prior = [(a + weight * p) / (sum(v) + weight) for a, p in zip(v, prior)]
+        post = [a + math.log(p) for a, p in zip(ll, prior)]
+        for name in ("declared", "suffix"):
+            v = votes.get((name, k[name]))
+            if v:
+                post = [p + math.log((a + 0.5) / (s + 1)) for p, a, s in zip(post, v, total)]
+        z = [math.exp(p - max(post)) for p in post]
+        i = max(langs, key=lambda j: (z[j], -j))
+        found.append((model.languages[i], z[i] / sum(z)))
+    return found
+
+
+def test_query_matches_a_plain_version(spark):
+    from quarterlens.llm.queries import QUERIES
+
+    docs, pages = read(SMALL, "documents", "doc_id"), read(SMALL, "pages", "page_id")
+    model = langid.train_text(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    items = [(t, None, s) for t, s in zip(docs.text, docs.source)]
+    for url, html in zip(pages.url, pages.html):
+        tag = re.search(r"""(?i)<html\b[^>]*?\slang\s*=\s*["']?([a-z]+)""", html)
+        host = re.match(r"[^/?#]*", url.split("://", 1)[1])[0]
+        items.append((re.sub(langid._TAGS, " ", html), tag and tag[1], host))
+    ids = [(i, None) for i in docs.doc_id] + [(None, i) for i in pages.page_id]
+    want = dict(zip(ids, _plain(items, model)))
+    got = {(r.doc_id, r.page_id): (r.lang, r.score) for r in QUERIES["op7_language_id"](spark, SMALL).collect()}
+    assert got.keys() == want.keys() and len(want) >= 250
+    for k, (lang, score) in want.items():
+        assert got[k][0] == lang and got[k][1] == pytest.approx(score, abs=1e-6), k
