@@ -8,9 +8,10 @@ from quarterlens.plans import registry
 from tests.conftest import SF_SMALL
 
 registry.load_all()
-# Queries whose plan legitimately runs Python (none: model scoring is in MODEL).
-PYTHON_ALLOWED: set = set()
-MODEL = {"gbt_accuracy", "mlp_accuracy", "score_documents"}
+# Queries whose plan legitimately runs Python: sub-words, and a model that scores them.
+PYTHON_ALLOWED = {"subword_tokens", "subword_sentiment"}
+# Queries that fit a model while they are built, and score with it.
+MODEL = {"gbt_accuracy", "mlp_accuracy", "score_documents", "boosted_trees", "dense_net"}
 
 
 def unpartitioned_window(plan: str) -> bool:
