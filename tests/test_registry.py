@@ -68,6 +68,7 @@ def test_entry_without_the_training_data_part(spark, tmp_path):
     import os
     import shutil
     import subprocess
+    import sys
 
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     shutil.copytree(os.path.join(root, "quarterlens"), tmp_path / "quarterlens",
