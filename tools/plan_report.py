@@ -33,14 +33,23 @@ exchanges, sort-based aggregates, Python evaluation nodes, Parquet scans that ra
 columns each table's scans read. Runtime re-planning turns joins with a small side into broadcast
 joins, so at a larger size some broadcasts are shuffles. Queries that checkpoint their input first
 plan against the checkpoint, so their upstream is not listed with them; as-of joins count their
-groups in a small aggregate of their own while they are built. The five queries that fit a model
+groups in a small aggregate of their own while they are built. A subquery is counted wherever
+Spark prints it, more than once if several expressions read it. The five queries that fit a model
 are left out, and so are those of `quarterlens.llm`, whose stages the README describes.
 """
 
 
 def final_part(plan: str) -> str:
-    """The final plan out of an adaptive plan's text (all of it if the plan is not adaptive)."""
-    return plan.split("== Initial Plan ==")[0]
+    """An adaptive plan's text without its initial plans, those of subqueries included."""
+    out, skip = [], None
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if skip is not None and depth >= skip:
+            continue
+        skip = depth if "== Initial Plan ==" in line else None
+        if skip is None:
+            out.append(line)
+    return "\n".join(out) + "\n"
 
 
 def summarise(plan: str) -> dict:
