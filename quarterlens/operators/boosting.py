@@ -58,6 +58,12 @@ def binned(df: DataFrame, features: Sequence[str], cuts: Sequence[Sequence[float
     return work.select(*df.columns, F.array(*found).alias(out))
 
 
+def _constants(values: Sequence[int | float | bool | None]) -> Column:
+    """An array of the values, made by one call."""
+    said = {float: "{!r}D", int: "{}", bool: "{}", type(None): "NULL"}
+    return F.expr(f"array({', '.join(said[type(v)].format(v) for v in values)})")
+
+
 @dataclass
 class Tree:
     """Nodes by number (children of n: 2n + 1, 2n + 2). ``splits``: (feature, bin, missing goes
@@ -65,22 +71,24 @@ class Tree:
     splits: dict[int, tuple[int, int, bool]] = field(default_factory=dict)
     leaves: dict[int, float] = field(default_factory=dict)
 
-    def step(self, node: Column, bins: str, nodes: Sequence[int]) -> Column:
-        """The node of a row one level down, for the given nodes."""
-        out = None
-        for n in nodes:
-            feature, at, left = self.splits[n]
-            b = F.col(bins)[feature]
-            goes = F.when(b == MISSING_BIN, F.lit(left)).otherwise(b < at)
-            to = F.when(goes, 2 * n + 1).otherwise(2 * n + 2)
-            out = F.when(node == n, to) if out is None else out.when(node == n, to)
-        return node if out is None else out.otherwise(node)
+    def place(self, bins: str) -> Column:
+        """The node that a row has come to: a walk down from the root by its bins. Splits are looked
+        up by node, so the expression does not grow with the levels."""
+        if not self.splits:
+            return F.lit(0)
+        last = max(self.splits)
+        feature, at, left = (_constants(c) for c in zip(
+            *[self.splits.get(n, (-1, 0, False)) for n in range(2 * last + 3)]))
+
+        def down(n: Column, _: Column) -> Column:
+            b = F.get(bins, feature[n])
+            goes = F.when(b == MISSING_BIN, left[n]).otherwise(b < at[n])
+            return F.when(feature[n] < 0, n).when(goes, 2 * n + 1).otherwise(2 * n + 2)
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit((last + 1).bit_length())), F.lit(0), down)
 
     def weight(self, node: Column) -> Column:
-        out = F.lit(None)
-        for n, w in self.leaves.items():
-            out = F.when(node == n, F.lit(w)).otherwise(out)
-        return out
+        return _constants([self.leaves.get(n) for n in range(max(self.leaves) + 1)])[node]
 
 
 @dataclass
@@ -191,10 +199,10 @@ def grow_tree(rows: DataFrame, depth: int, reg_lambda: float, gamma: float,
               min_child_weight: float) -> tuple[Tree, DataFrame]:
     """One tree over rows with ``bins``, ``g``, ``h``, and the rows with their leaf ``node``."""
     tree = Tree()
-    rows = rows.withColumn("node", F.lit(0))
     live = [0]
     for level in range(depth + 1):
-        at = rows.filter(F.col("node").isin(live)) if level else rows
+        at = rows.withColumn("node", tree.place("bins"))
+        at = at.filter(F.col("node").isin(live)) if level else at
         if level == depth:           # no further cut: only the sums of the last nodes
             found = at.groupBy("node").agg(*[(F.sum(c) / F.lit(float(FIXED))).alias(c)
                                              for c in "gh"]).collect()
@@ -211,9 +219,8 @@ def grow_tree(rows: DataFrame, depth: int, reg_lambda: float, gamma: float,
                 tree.leaves[n] = -g / (h + reg_lambda)
         if not split:
             break
-        rows = rows.withColumn("node", tree.step(F.col("node"), "bins", split))
         live = [c for n in split for c in (2 * n + 1, 2 * n + 2)]
-    return tree, rows
+    return tree, rows.withColumn("node", tree.place("bins"))
 
 
 def binned_rows(df: DataFrame, features: Sequence[str], label: str,

@@ -100,6 +100,22 @@ def test_equals_the_plain_version(spark, depth, max_bins, parts):
     assert B.BoostedTrees.from_json(model.to_json()) == model
 
 
+def test_deep_trees_equal_the_plain_version_and_keep_plans_small(spark):
+    data, labels = _data(600, 5)
+    df = spark.createDataFrame([(*r, y) for r, y in zip(data, labels)],
+                               "x double, y double, z double, c double, label int")
+    cuts, trees, _ = plain_fit(data, labels, 1, 0.3, 6, 64, mcw=0.1)
+    model = B.fit_boosted_trees(df, ["x", "y", "z", "c"], rounds=1, depth=6, max_bins=64,
+                                min_child_weight=0.1)
+    (splits, leaves), tree = trees[0], model.trees[0]
+    assert max(splits) >= 31 and tree.splits == splits       # splits on the last level
+    assert tree.leaves == pytest.approx(leaves, abs=1e-9)
+    # a row's node is looked up: one read of its bins, tested and compared, whatever the splits
+    placed = B.binned(df, model.features, model.cuts).select(tree.place("bins").alias("node"))
+    assert placed._jdf.queryExecution().analyzed().expressions().toString().count("bins#") == 2
+    assert {r.node for r in placed.collect()} == set(leaves)
+
+
 def test_fits_do_not_depend_on_partitions(spark):
     data, labels = _data(300, 9)
     df = spark.createDataFrame([(*r, y) for r, y in zip(data, labels)],
