@@ -1,22 +1,29 @@
 """Dense network for binary labels: ReLU layers, a logistic output, Adam.
 
-Rows are dealt over mini-batches by a hash of their key and written once, a folder a batch, so a step
-reads its own batch only. In a step each partition sums the gradients of its rows (numpy on Arrow
-batches) into one vector; Spark adds the vectors up, and as many numbers as the network has
-parameters come to the driver, which makes the Adam update. The data never do.
+Rows are dealt over mini-batches by a hash of their key and checkpointed once. Steps follow one
+another, so what a step costs besides its sums decides how long a fit takes:
+
+* Small mini-batches lie in partitions of a bounded number of consecutive ones. The network and the
+  optimiser's state visit the partitions in turn, one job each, and make the steps there.
+* A large mini-batch lies in partitions of its own. Each sums the gradients of its rows into one
+  vector; the driver adds the vectors up and makes the Adam update.
+
+Numpy works on blocks of rows. As many numbers as the network has parameters come to the driver (from
+each partition of a large mini-batch); the data never do.
 """
 
 from __future__ import annotations
 
 import json
 import math
-import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import RDD
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +31,8 @@ from quarterlens.session import delete_folder, ensure_checkpoint_dir
 
 # The optimiser's defaults in the reference's library.
 RATE, BETA1, BETA2, EPSILON = 0.001, 0.9, 0.999, 1e-7
-ROWS_PER_FILE = 1_000_000
+ROWS_PER_PARTITION = 1_000_000      # of a large mini-batch
+ROWS_PER_TURN = 16_384              # of the small mini-batches of one partition
 
 
 def initial_weights(layers: Sequence[int], seed: int) -> list[list]:
@@ -145,26 +153,71 @@ def _scaling(df: DataFrame, features: Sequence[str]) -> tuple[list[float], list[
     return mean, [row[f"s{i}"] or 1.0 for i in range(len(features))], row["n"]
 
 
-def step_gradients(batch: DataFrame, weights) -> np.ndarray:
-    """:func:`gradient_sums` over all rows (x, y) of a mini-batch, summed over its partitions."""
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+def held_batches(rows: DataFrame, partitions: int) -> RDD:
+    """(x, y, batch, at) rows as blocks of a batch's rows, (batch, x, y) with x and y as bytes of
+    doubles, checkpointed: the rows of each ``at`` (0 to ``partitions`` - 1) are the partition of
+    that number, its batches in order."""
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not len(b):
                 continue
-            x = b.column(0).flatten().to_numpy().reshape(len(b), -1)
-            part = gradient_sums(weights, x, b.column(1).to_numpy())
-            total = part if total is None else total + part
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([total])], names=["g"])
-
-    size = sum(w.size + b.size for w, b in weights) + 2
-    rows = batch.select("x", "y").mapInArrow(sums, "g array<double>") \
-        .select(F.posexplode("g").alias("i", "g")).groupBy("i").agg(F.sum("g").alias("g")).collect()
-    out = np.zeros(size)
-    for r in rows:
-        out[r.i] = r.g
-    return out
+            x, y = b.column(0).flatten().to_numpy().reshape(len(b), -1), b.column(1).to_numpy()
+            found, first = np.unique(b.column(2).to_numpy(), return_index=True)
+            cut = lambda a: pa.array([p.tobytes() for p in np.split(a, first[1:])])
+            yield pa.RecordBatch.from_arrays([pa.array(found), cut(x), cut(y)],
+                                             names=["batch", "x", "y"])
+
+    ensure_checkpoint_dir(rows.sparkSession)
+    held = rows.repartitionById(partitions, "at").select("x", "y", "batch") \
+        .sortWithinPartitions("batch").mapInArrow(blocks, "batch int, x binary, y binary") \
+        .rdd.map(tuple)
+    held.checkpoint()
+    held.count()                     # the checkpoint is written after the first job
+    return held
+
+
+def block_sums(weights, blocks: Iterator[tuple[int, bytes, bytes]]) -> np.ndarray:
+    """:func:`gradient_sums` over all blocks."""
+    total = np.zeros(sum(w.size + b.size for w, b in weights) + 2)
+    for _, x, y in blocks:
+        y = np.frombuffer(y)
+        total += gradient_sums(weights, np.frombuffer(x).reshape(len(y), -1), y)
+    return total
+
+
+@dataclass
+class Training:
+    """What a step needs and changes: the parameters, the optimiser and the losses so far."""
+    layers: list[int]
+    values: np.ndarray
+    adam: Adam
+    losses: list[float]
+
+    def update(self, sums: np.ndarray) -> None:
+        """A step with the sums of one mini-batch; none if it has no row."""
+        if sums[-1]:
+            self.losses.append(float(sums[-2] / sums[-1]))
+            self.values = self.values + self.adam.step(sums[:-2] / sums[-1])
+
+    def large_step(self, held: RDD, partitions: Sequence[int]) -> None:
+        """The step of the one mini-batch that lies in these partitions."""
+        weights = shaped(self.values, self.layers)
+        sums = held.context.runJob(held, lambda blocks: [block_sums(weights, blocks)],
+                                   list(partitions))
+        self.update(np.sum(sums, axis=0))
+
+    def turn(self, held: RDD, partition: int) -> None:
+        """A step with each mini-batch of a partition, made where the partition is."""
+        now = Training(self.layers, self.values, self.adam, [])
+
+        def steps(blocks: Iterator[tuple[int, bytes, bytes]]) -> list[Training]:
+            for _, batch in groupby(blocks, lambda block: block[0]):
+                now.update(block_sums(shaped(now.values, now.layers), batch))
+            return [now]
+
+        done = held.context.runJob(held, steps, [partition])[0]
+        self.values, self.adam = done.values, done.adam
+        self.losses.extend(done.losses)
 
 
 def fit_dense_net(df: DataFrame, features: Sequence[str], keys: Sequence[str],
@@ -183,24 +236,25 @@ def fit_dense_net(df: DataFrame, features: Sequence[str], keys: Sequence[str],
     mean, deviation, n = _scaling(rows, features)
     layers = [len(features), *hidden, 1]
     batches = max(1, math.ceil(n / batch_rows))
-    files = max(1, math.ceil(n / batches / ROWS_PER_FILE))
-    weights = initial_weights(layers, seed)
-    values, losses = flat(weights), []
-    adam = Adam(len(values), rate)
-    path = f"{ensure_checkpoint_dir(spark)}/batches-{uuid.uuid4()}"
-    try:
-        rows.select(_inputs(features, mean, deviation).alias("x"),
-                    F.col(label).cast("double").alias("y"), batch_of(keys, batches).alias("batch"),
-                    F.pmod(F.xxhash64(F.lit(1), *keys), F.lit(files)).alias("file")) \
-            .repartition("batch", "file").drop("file") \
-            .write.partitionBy("batch").parquet(path)
-        held = spark.read.schema("x array<double>, y double, batch int").parquet(path)
-        for step in range(epochs * batches if n else 0):
-            found = step_gradients(held.filter(F.col("batch") == step % batches),
-                                   shaped(values, layers))
-            if found[-1]:
-                losses.append(float(found[-2] / found[-1]))
-                values = values + adam.step(found[:-2] / found[-1])
-    finally:
-        delete_folder(spark, path)
-    return DenseNet(features, mean, deviation, layers, values.tolist(), losses)
+    parts = max(1, math.ceil(n / batches / ROWS_PER_PARTITION))      # of a mini-batch
+    turn = max(1, ROWS_PER_TURN // batch_rows)                       # mini-batches of a partition
+    values = flat(initial_weights(layers, seed))
+    now = Training(layers, values, Adam(len(values), rate), [])
+    if n:
+        batch = batch_of(keys, batches)
+        part = F.pmod(F.xxhash64(F.lit(1), *keys), F.lit(parts)).cast("int")
+        at = (batch / turn).cast("int") if parts == 1 else batch * parts + part
+        turns = math.ceil(batches / turn) if parts == 1 else batches
+        held = held_batches(rows.select(
+            _inputs(features, mean, deviation).alias("x"), F.col(label).cast("double").alias("y"),
+            batch.alias("batch"), at.alias("at")), turns * parts)
+        try:
+            for k in range(epochs * turns):
+                first = k % turns * parts
+                if parts == 1:
+                    now.turn(held, first)
+                else:
+                    now.large_step(held, range(first, first + parts))
+        finally:
+            delete_folder(spark, held.getCheckpointFile())
+    return DenseNet(features, mean, deviation, layers, now.values.tolist(), now.losses)

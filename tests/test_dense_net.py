@@ -92,6 +92,35 @@ def test_weights_equal_the_single_process_version(spark):
     assert np.allclose(model.values, other.values, rtol=0, atol=1e-9)
 
 
+@pytest.mark.parametrize("per_partition,per_turn", [(1_000_000, 16_384), (1_000_000, 100), (9, 1)])
+def test_steps_in_turns_and_large_batches_are_the_same_steps(spark, monkeypatch, per_partition, per_turn):
+    df = _frame(spark).filter("label IS NOT NULL")
+    n_batches = math.ceil(df.count() / 40)
+    used = df.withColumn("b", D.batch_of(["id"], n_batches)).collect()
+    data = [[None if v is None or v != v else v for v in (r.x, r.y, r.c)] for r in used]
+    _, _, net = plain_fit(data, [r.label for r in used], [r.b for r in used], n_batches,
+                          [3, 6, 5, 1], 2, 0.01, 7)
+    monkeypatch.setattr(D, "ROWS_PER_PARTITION", per_partition)
+    monkeypatch.setattr(D, "ROWS_PER_TURN", per_turn)
+    model = D.fit_dense_net(df, ["x", "y", "c"], ["id"], hidden=(6, 5), epochs=2, batch_rows=40,
+                            rate=0.01, seed=7)
+    assert np.allclose(model.values, D.flat(net), rtol=0, atol=1e-9)
+    assert len(model.losses) == 2 * n_batches
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    assert not [f for f in os.listdir(folder) if f.startswith("batches-")]
+
+
+def test_small_steps_need_no_job_each(spark):
+    sc = spark.sparkContext
+    sc.setJobGroup("net-steps", "")
+    try:
+        model = D.fit_dense_net(_frame(spark), ["x", "y"], ["id"], hidden=(4,), epochs=2, batch_rows=4)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(model.losses) > 90
+    assert len(sc.statusTracker().getJobIdsForGroup("net-steps")) < 20
+
+
 def test_a_step_reads_its_batch_only(spark, tmp_path):
     df = _frame(spark).selectExpr("array(y, c) AS x", "1.0D AS y", "id % 4 AS batch")
     path = str(tmp_path / "b")
